@@ -1,0 +1,29 @@
+"""Join helpers with explicit size reasoning.
+
+Spark's own strategy choice (AQE turns a sort-merge join into a broadcast
+join when the runtime size of a side is below
+``spark.sql.autoBroadcastJoinThreshold``) is the size-checked default for
+every join whose sides grow with the data.  The helpers here are for the one
+case where the bound is known from the plan itself: a top-k or a one-row pick.
+Scalars ("now", bounds of a slice) are attached with ``DataFrame.scalar()``
+subqueries, evaluated once and inlined, so no join is needed for them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def lookup(bounded: DataFrame, table: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join a result of bounded size (``limit(k)``, one-row aggregate) to a
+    table of any size without shuffling that table.
+
+    The keys of the bounded side are broadcast into a semi join that filters
+    the table where it is scanned; the surviving rows (at most k per key of a
+    keyed table) are broadcast into the final join.
+    """
+    keys = F.broadcast(bounded.select(key).distinct())
+    hits = table.join(keys, key, "left_semi")
+    return bounded.join(F.broadcast(hits), key, how)
+
