@@ -11,8 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import reports
-from ..operators import risk
+from ..operators import monitor, quality, replay, reports, risk
 from .layers import Layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +67,40 @@ query("patient_risk_rules")(lambda L: rule_risk(L).select(*risk.PATIENT_RISK_COL
                             .orderBy(F.desc("risk_score"), "patient_id"))
 query("cluster_features")(lambda L: risk.cluster_features(L.labelled))
 query("risk_counts")(lambda L: risk.risk_counts(rule_risk(L)))
+
+# --- monitoring (rule-variant risk; "now" = newest Silver event time) --------
+VIEW_MINUTES = 2          # history slider value used by the registered keys
+query("kpi_row")(lambda L: monitor.kpi_row(L.silver, L.alerts, rule_risk(L), VIEW_MINUTES))
+query("focus_patient")(lambda L: monitor.focus_patient(L.silver, L.alerts, L.patients,
+                                                       VIEW_MINUTES))
+query("vital_series")(lambda L: monitor.vital_series(
+    L.silver, monitor.focus_patient(L.silver, L.alerts, L.patients, VIEW_MINUTES), VIEW_MINUTES))
+query("alerts_by_type")(lambda L: monitor.alerts_by_type(L.alerts, L.silver, VIEW_MINUTES))
+query("newest_alerts")(lambda L: monitor.newest_alerts(L.alerts, L.silver, 15, VIEW_MINUTES))
+query("risk_board")(lambda L: monitor.risk_board(rule_risk(L), L.patients))
+
+# --- replay -------------------------------------------------------------------
+REPLAY_NOW = "2025-06-01 12:00:00"
+GAP_MS = 240              # the lens compresses time 5,000x: 240 ms ~ 20 min of raw events
+TRAIL_MINUTES = 0.5
+
+
+def _segments(L: Layers) -> DataFrame:
+    return replay.gap_segments(L.silver, GAP_MS)
+
+
+def _slice(L: Layers) -> DataFrame:
+    return replay.replay_slice(L.silver, replay.longest_segment(_segments(L)), TRAIL_MINUTES)
+
+
+query("replay_shift")(lambda L: replay.replay_shift(
+    L.silver, F.to_timestamp(F.lit(REPLAY_NOW))).select("patient_id", "event_time", "replay_time"))
+query("gap_segments")(_segments)
+query("longest_segment")(lambda L: replay.longest_segment(_segments(L)))
+query("replay_slice")(_slice)
+query("replay_alerts")(lambda L: replay.replay_alerts(L.alerts, _slice(L)))
+
+# --- quality profile ----------------------------------------------------------
+query("invalid_share")(lambda L: quality.invalid_share(L.parsed))
+query("alert_share")(lambda L: quality.alert_share(L.clean))
+query("label_agreement")(lambda L: quality.label_agreement(L.labelled))

@@ -209,7 +209,10 @@ patient_risk as (
 
 
 def with_lens(body: str) -> str:
-    return f"with {LENS.strip()}\n{body.strip()}\n"
+    """Prefix the lens CTEs; a body starting with ',' adds CTEs of its own."""
+    body = body.strip()
+    sep = "" if body.startswith(",") else "\n"
+    return f"with {LENS.strip()}{sep}{body}\n"
 
 
 QUERIES: dict[str, str] = {}
@@ -345,3 +348,135 @@ from labelled group by patient_id""")
 
 _q("risk_counts", """
 select risk_level, count(*) as patients from patient_risk group by risk_level""")
+
+# --- monitoring (history window of 2 minutes before the newest Silver time) --
+_NOW = "(select max(event_time) from silver)"
+_SINCE = f"({_NOW} - interval 2 minute)"
+
+_q("kpi_row", f"""
+select (select count(distinct patient_id) from silver
+        where event_time >= {_NOW} - interval 1 minute) as patients_active,
+       (select count(*) from silver) as silver_rows,
+       (select {xavg('latency_sec', 2)} from alerts where event_time >= {_SINCE}) as avg_latency_sec,
+       (select count(*) from alerts where event_time >= {_SINCE} and severity = 'CRITICAL')
+         as critical_alerts,
+       (select count(*) from patient_risk where risk_level = 'High') as high_risk_patients""")
+
+_FOCUS = f"""
+focus as (
+  select coalesce(a.pid, r.pid) as patient_id,
+         case when a.pid is not null then 'alert' else 'reading' end as source
+  from (select (select patient_id from alerts where event_time >= {_SINCE}
+                order by event_time desc, alert_id desc, patient_id desc limit 1) as pid) a,
+       (select (select patient_id from silver where event_time >= {_SINCE}
+                order by event_time desc, patient_id desc limit 1) as pid) r)"""
+
+_q("focus_patient", f""",{_FOCUS.strip()}
+select f.patient_id, f.source, p.ward, p.age
+from focus f left join patients p on p.patient_id = f.patient_id""")
+
+_q("vital_series", f""",{_FOCUS.strip()}
+select s.patient_id, s.event_time, 'heart_rate' as metric, s.heart_rate as value,
+       120.0 as threshold, s.heart_rate > 120 as breach
+from silver s join focus f on s.patient_id = f.patient_id where s.event_time >= {_SINCE}
+union all
+select s.patient_id, s.event_time, 'spo2', s.spo2, 92.0, s.spo2 < 92
+from silver s join focus f on s.patient_id = f.patient_id where s.event_time >= {_SINCE}""")
+
+_q("alerts_by_type", f"""
+select alert_type, count(*) as alerts,
+       case alert_type when 'HIGH_HR' then 'High heart rate (tachycardia)'
+                       when 'LOW_SPO2' then 'Low SpO2 (hypoxia)'
+                       when 'HIGH_BP' then 'High blood pressure'
+                       when 'FEVER' then 'Fever' when 'FALL' then 'Fall detected'
+                       else alert_type end as name
+from alerts where event_time >= {_SINCE} group by alert_type""")
+
+_q("newest_alerts", f"""
+select strftime(event_time, '%H:%M:%S') as time_utc, event_time, patient_id, alert_type,
+       severity, message, latency_sec
+from alerts where event_time >= {_SINCE}
+order by event_time desc, alert_id, latency_sec limit 15""")
+
+_q("risk_board", """
+select r.patient_id, r.risk_level, r.risk_score, p.age, p.ward,
+       r.avg_hr, r.avg_spo2, r.avg_sys, r.avg_dia, r.avg_temp
+from patient_risk r left join patients p on p.patient_id = r.patient_id
+order by r.risk_score desc, r.patient_id""")
+
+# --- replay (gap 240 ms, trailing 30 s, clock 2025-06-01 12:00:00) ------------
+_q("replay_shift", """
+, bnd as (select min(epoch_us(event_time)) as lo,
+                 max(epoch_us(event_time)) - min(epoch_us(event_time)) + 1000000 as len
+          from silver),
+  clk as (select epoch_us(timestamp '2025-06-01 12:00:00') as now_us)
+select s.patient_id, s.event_time,
+       make_timestamp(now_us - ((((now_us % len + len) % len) - (epoch_us(s.event_time) - lo))
+                                % len + len) % len) as replay_time
+from silver s, bnd, clk""")
+
+_SEGMENTS = """
+seg_t as (select epoch_us(event_time) as us from silver),
+seg_g as (select us, case when us - lag(us) over (order by us) > 240000 then 1 else 0 end as brk
+          from seg_t),
+seg_n as (select us, 1 + sum(brk) over (order by us) as segment from seg_g),
+segments as (
+  select cast(segment as bigint) as segment, make_timestamp(min(us)) as seg_start,
+         make_timestamp(max(us)) as seg_end, count(*) as readings,
+         (max(us) - min(us)) / 1000000.0 as duration_sec
+  from seg_n group by segment),
+longest as (select * from segments order by duration_sec desc, seg_start limit 1),
+slice as (
+  select patient_id, device_id, event_time, heart_rate, spo2, systolic_bp, diastolic_bp,
+         body_temp, steps, fall_detected, kafka_time
+  from silver, longest
+  where event_time >= greatest(seg_start, seg_end - interval 30 second)
+    and event_time <= seg_end)"""
+
+_q("gap_segments", f", {_SEGMENTS.strip()}\nselect * from segments")
+_q("longest_segment", f", {_SEGMENTS.strip()}\nselect * from longest")
+_q("replay_slice", f", {_SEGMENTS.strip()}\nselect * from slice")
+_q("replay_alerts", f""", {_SEGMENTS.strip()}
+select a.* exclude (event_date) from alerts a
+where a.event_time >= (select min(event_time) from slice)
+  and a.event_time <= (select max(event_time) from slice)""")
+
+# --- quality profile ----------------------------------------------------------
+_VALID = """(patient_id is not null and event_time is not null and steps is not null
+    and steps >= 0 and systolic_bp > diastolic_bp
+    and heart_rate between 30 and 220 and spo2 between 70 and 100
+    and systolic_bp between 70 and 250 and diastolic_bp between 40 and 150
+    and body_temp between 34.0 and 42.0)"""
+
+_q("invalid_share", f"""
+select count(*) as messages, count(*) filter (where not coalesce({_VALID}, false)) as invalid,
+       cast(count(*) filter (where not coalesce({_VALID}, false)) as double)
+         / nullif(count(*), 0) as share
+from parsed""")
+
+_q("alert_share", """
+select count(*) as valid_readings,
+       count(*) filter (where heart_rate > 120 or spo2 < 92 or systolic_bp > 140
+                        or diastolic_bp > 90 or body_temp > 38.0 or fall_detected) as with_alert,
+       count(*) filter (where heart_rate > 120) as high_hr,
+       count(*) filter (where spo2 < 92) as low_spo2,
+       count(*) filter (where systolic_bp > 140 or diastolic_bp > 90) as high_bp,
+       count(*) filter (where body_temp > 38.0) as fever,
+       count(*) filter (where fall_detected) as fall,
+       cast(count(*) filter (where heart_rate > 120 or spo2 < 92 or systolic_bp > 140
+                             or diastolic_bp > 90 or body_temp > 38.0 or fall_detected) as double)
+         / nullif(count(*), 0) as share
+from clean""")
+
+_q("label_agreement", """
+select profile, count(*) as windows,
+       count(*) filter (where label = case profile when 'low' then 0.0 when 'medium' then 1.0
+                                                   else 2.0 end) as agreeing,
+       cast(count(*) filter (where label = case profile when 'low' then 0.0
+                                                        when 'medium' then 1.0 else 2.0 end)
+            as double) / nullif(count(*), 0) as share
+from (select *, case cast(substr(patient_id, 3) as bigint) % 20 < 12 when true then 'low'
+                else case when cast(substr(patient_id, 3) as bigint) % 20 < 17 then 'medium'
+                          else 'high' end end as profile
+      from labelled)
+group by profile""")
