@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import monitor, quality, replay, reports, risk
+from ..operators import ml, monitor, quality, replay, reports, risk
 from .layers import Layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,19 @@ query("replay_alerts")(lambda L: replay.replay_alerts(L.alerts, _slice(L)))
 query("invalid_share")(lambda L: quality.invalid_share(L.parsed))
 query("alert_share")(lambda L: quality.alert_share(L.clean))
 query("label_agreement")(lambda L: quality.label_agreement(L.labelled))
+
+# --- model variant of risk (rows-only checks: training is not SQL) -----------
+
+
+def _trained(L: Layers):
+    return ml.train(L.labelled)
+
+
+query("risk_model_eval")(lambda L: (lambda t: L.spark.createDataFrame(
+    [(t.train_windows, t.test_windows, float(t.accuracy), float(t.f1))],
+    "train_windows bigint, test_windows bigint, accuracy double, f1 double"))(_trained(L)))
+query("window_scores")(lambda L: ml.score_windows(_trained(L).model, L.labelled)
+                       .select("patient_id", "window_start", "label", "prediction", "window_score"))
+query("patient_clusters")(lambda L: ml.cluster(risk.cluster_features(L.labelled)))
+query("patient_risk")(lambda L: ml.run_round(L.spark, L.labelled).patient_risk)
+query("model_metrics")(lambda L: ml.run_round(L.spark, L.labelled).metrics)
