@@ -480,3 +480,10 @@ from (select *, case cast(substr(patient_id, 3) as bigint) % 20 < 12 when true t
                           else 'high' end end as profile
       from labelled)
 group by profile""")
+
+# --- streaming layers (one available-now batch) --------------------------------
+_q("stream_silver", "select * exclude (kafka_time) from silver")
+_q("stream_alerts", "select * from alerts")
+_q("stream_vitals_1min", """
+select * from features
+where window_end <= (select max(event_time) from clean) - interval 1 minute""")
