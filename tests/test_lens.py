@@ -1,0 +1,48 @@
+"""Measured properties of the lens (the fixture's own invariants)."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from wardwatch.plans.layers import Layers
+
+EXPECTED = {
+    "0.001": dict(messages=1011, valid=996, silver=985, windows=135,
+                  alerts={"HIGH_HR": 19, "LOW_SPO2": 16, "HIGH_BP": 5, "FEVER": 15, "FALL": 9}),
+    "0.01": dict(messages=10104, valid=9976, silver=9875, windows=1349,
+                 alerts={"HIGH_HR": 180, "LOW_SPO2": 139, "HIGH_BP": 116, "FEVER": 95, "FALL": 44}),
+}
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_layer_sizes(spark, sf):
+    L = Layers(spark, f"/root/testdata/sf{sf}")
+    e = EXPECTED[sf]
+    assert L.bronze.count() == e["messages"]
+    assert L.clean.count() == e["valid"]
+    assert L.silver.count() == e["silver"]
+    assert L.features.count() == e["windows"]
+    got = {r["alert_type"]: r["count"] for r in L.alerts.groupBy("alert_type").count().collect()}
+    assert got == e["alerts"]
+
+
+def test_patient_ids_unique_and_cover_every_reading(spark, small):
+    L = Layers(spark, small)
+    p = L.patients
+    assert p.count() == p.select("patient_id").distinct().count() == 1500
+    orphans = L.silver.join(p, "patient_id", "left_anti").count()
+    assert orphans == 0
+
+
+def test_clean_and_rejected_partition_the_messages(spark, small):
+    L = Layers(spark, small)
+    from wardwatch.functions import rules
+    flagged = L.parsed.withColumn("ok", rules.valid_reading())
+    assert flagged.filter(F.col("ok").isNull()).count() == 0
+    assert flagged.filter("ok").count() + flagged.filter("not ok").count() == L.parsed.count()
+
+
+def test_kafka_key_is_patient_and_partition_in_range(spark, tiny):
+    b = Layers(spark, tiny).bronze
+    assert b.filter(F.col("kafka_partition").isin(0, 1, 2) == False).count() == 0  # noqa: E712
+    assert b.filter(~F.col("raw_json").contains(F.concat(F.lit('"patient_id": "'),
+                                                         F.col("kafka_key")))).count() == 0

@@ -1,0 +1,92 @@
+"""Model variant: stable split, two-class training set, clustering edge cases,
+cluster naming, vote ties."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from wardwatch.operators import ml, risk
+from wardwatch.plans.layers import Layers
+
+
+@pytest.fixture(scope="module")
+def labelled(spark, small):
+    return Layers(spark, small).labelled.cache()
+
+
+def test_split_is_independent_of_partitioning(labelled):
+    a_train, _ = ml.split(labelled)
+    b_train, _ = ml.split(labelled.repartition(7, "window_start"))
+    key = ["patient_id", "window_start"]
+    assert a_train.select(*key).exceptAll(b_train.select(*key)).count() == 0
+    assert b_train.select(*key).exceptAll(a_train.select(*key)).count() == 0
+    n, t = labelled.count(), a_train.count()
+    assert 0.7 < t / n < 0.9
+
+
+def test_training_gate(labelled):
+    with pytest.raises(ml.NotEnoughData):
+        ml.train(labelled.limit(10))
+
+
+def test_model_learns_the_rules(labelled):
+    t = ml.train(labelled)
+    assert t.accuracy >= 0.9 and t.train_windows + t.test_windows == labelled.count()
+
+
+def test_two_class_training_set_scores_without_error(labelled):
+    two = labelled.filter(F.col("label") < 2)
+    t = ml.train(two)
+    scored = ml.score_windows(t.model, labelled)
+    # no class-2 slot in the probability vector: High contributes 0
+    assert scored.filter(F.col("window_score") > 50.0001).count() == 0
+    assert scored.count() == labelled.count()
+
+
+def test_fewer_patients_than_clusters(spark, labelled):
+    few = risk.cluster_features(labelled).limit(2)
+    assert ml.cluster(few) is None
+    pr = ml.assemble(risk.rule_scored(labelled), None, dt.datetime(2026, 1, 1))
+    assert pr.filter(F.col("cluster").isNotNull()).count() == 0
+
+
+def test_two_distinct_points_give_two_named_clusters(spark):
+    rows = [("a", 70.0, 97.0, 118.0, 36.8, 0.0), ("b", 70.0, 97.0, 118.0, 36.8, 0.0),
+            ("c", 115.0, 90.0, 150.0, 38.5, 0.5), ("d", 115.0, 90.0, 150.0, 38.5, 0.5)]
+    df = spark.createDataFrame(rows, ["patient_id", *ml.CLUSTER_COLUMNS])
+    out = {r["patient_id"]: r["cluster_group"] for r in ml.cluster(df).collect()}
+    assert out["a"] == out["b"] == "Stable"
+    assert out["c"] == out["d"] == "Watch"    # only the first names are used
+
+
+def test_cluster_names_follow_points_then_abnormal_rate(spark):
+    rows = []
+    for i in range(4):
+        rows.append((f"s{i}", 72.0, 97.5, 116.0, 36.8, 0.00 + i * 1e-3))
+        rows.append((f"w{i}", 98.0, 94.0, 132.0, 37.4, 0.05 + i * 1e-3))
+        rows.append((f"u{i}", 118.0, 90.0, 150.0, 38.6, 0.50 + i * 1e-3))
+    df = spark.createDataFrame(rows, ["patient_id", *ml.CLUSTER_COLUMNS])
+    out = {r["patient_id"][0]: r["cluster_group"] for r in ml.cluster(df).collect()}
+    assert out == {"s": "Stable", "w": "Watch", "u": "Unstable"}
+
+
+def test_vote_tie_goes_to_higher_risk(spark):
+    base = dt.datetime(2026, 1, 1)
+    preds = [0.0, 0.0, 1.0, 1.0, 2.0, 0.0]
+    rows = [("p", base + dt.timedelta(minutes=i), float(p)) for i, p in enumerate(preds)]
+    df = spark.createDataFrame(rows, ["patient_id", "window_start", "prediction"])
+    # last five windows (minutes 1..5) predict 0,1,1,2,0 -> 0 and 1 tie at 2 votes -> 1
+    assert risk.vote(risk.recent(df)).first()["risk_label"] == 1.0
+
+
+def test_run_round_outputs(spark, labelled):
+    r = ml.run_round(spark, labelled, now=dt.datetime(2026, 1, 1, 12))
+    pr = r.patient_risk
+    assert pr.columns == ml.PATIENT_RISK_COLUMNS
+    assert pr.count() == labelled.select("patient_id").distinct().count()
+    m = r.metrics.first()
+    assert m["training_windows"] == r.trained.train_windows
+    assert set(m["label_distribution"]) <= {"Low", "Medium", "High"}
+    assert "feature " not in m["tree_rules"] and "Predict: " in m["tree_rules"]
+    assert sum(m["patient_risk_counts"].values()) == pr.count()

@@ -121,6 +121,12 @@ def inventory(spark: SparkSession, layers: dict[str, tuple[str, str, str]]) -> D
     """
     parts = []
     for layer, table, path in layers.values():
+        if not _exists(spark, path):
+            parts.append(spark.createDataFrame(
+                [(layer, table, 0, 0, None)],
+                "layer string, table string, parquet_files bigint, rows bigint, "
+                "last_write timestamp"))
+            continue
         df = read_layer(spark, path, table)
         per_file = (df.select(F.col("_metadata.file_path").alias("f"),
                               F.col("_metadata.file_modification_time").alias("m"))
