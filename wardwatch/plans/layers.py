@@ -28,14 +28,29 @@ class Layers:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
 
+    def spread(self, df: DataFrame) -> DataFrame:
+        """Parallelism floor for an under-split input.
+
+        The per-message work (lens, JSON text, parse, rules) is CPU-bound and
+        narrow, so it runs with the scan's parallelism.  A small unsplittable
+        file (one row group) would put all of it in one task; only then the
+        rows are dealt round-robin (no key, so no hot partition) onto the
+        default parallelism.  A large input has at least that many splits and
+        is left alone - no extra shuffle at scale.
+        """
+        want = self.spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= want:
+            return df
+        return df.repartition(want)
+
     @cached_property
     def readings(self) -> DataFrame:
         """Lens rows incl. hidden profile (tests and cohort checks only)."""
-        return lens.readings(self.table("events"))
+        return lens.readings(self.spread(self.table("events")))
 
     @cached_property
     def messages(self) -> DataFrame:
-        return lens.messages(self.table("events"))
+        return lens.messages(self.spread(self.table("events")))
 
     @cached_property
     def patients(self) -> DataFrame:

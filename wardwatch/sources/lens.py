@@ -36,6 +36,10 @@ def _cohort(p: Column, low, medium, high) -> Column:
     return F.when(p < 12, low).when(p < 17, medium).otherwise(high)
 
 
+def _cohort_sql(low: str, medium: str, high: str) -> str:
+    return f"case when p < 12 then {low} when p < 17 then {medium} else {high} end"
+
+
 def padded_id(prefix: str, key: Column) -> Column:
     return F.concat(F.lit(prefix), F.lpad(key.cast("string"), ID_WIDTH, "0"))
 
@@ -46,90 +50,79 @@ def profile_of(patient_id: Column) -> Column:
     return _cohort(p, F.lit("low"), F.lit("medium"), F.lit("high"))
 
 
+# The projection is written as SQL expression text: one JVM call per column
+# instead of one per operator keeps plan construction cheap.
+_READING_EXPRS = [
+    "event_id",
+    f"concat('P-', lpad(cast(user_id as string), {ID_WIDTH}, '0')) as patient_id",
+    f"concat('DEV-', lpad(cast(user_id as string), {ID_WIDTH}, '0')) as device_id",
+    f"{_cohort_sql(repr('low'), repr('medium'), repr('high'))} as profile",
+    f"{BASE_US} + (us - {BASE_US}) div {TIME_COMPRESSION * 1000} * 1000 as et_us",
+    f"""cast(case when event_id % 400 = 1 then null when event_id % 400 = 2 then -1
+             when event_type = 'error' and event_id % 11 = 0 then 125 + event_id % 31
+             else {_cohort_sql('72', '90', '100')} + v % 7 - 3 end as double) as heart_rate""",
+    f"""cast(case when event_id % 400 = 3 then 105.0D
+             when event_type = 'click' and event_id % 13 = 0 then 86.0D + (event_id % 11) * 0.5D
+             else {_cohort_sql('97.5D', '94.5D', '93.5D')} + ((v div 7) % 5 - 2) * 0.5D
+             end as double) as spo2""",
+    f"""cast(case when event_id % 400 = 4 then 60
+             when event_type = 'view' and event_id % 17 = 0 then 145 + event_id % 41
+             else {_cohort_sql('116', '131', '134')} + (v div 11) % 5 - 2 end as double)
+        as systolic_bp""",
+    f"""cast(case when event_id % 400 = 4 then 80
+             when event_type = 'view' and event_id % 17 = 0 then 92 + event_id % 31
+             else {_cohort_sql('76', '82', '84')} + (v div 13) % 5 - 2 end as double)
+        as diastolic_bp""",
+    f"""cast(case when event_id % 400 = 5 then null
+             when event_type = 'signup' and event_id % 19 = 0 then 38.25D + (event_id % 7) * 0.25D
+             else {_cohort_sql('36.75D', '37.0D', '37.5D')} + ((v div 17) % 3 - 1) * 0.25D
+             end as double) as body_temp""",
+    "500 + event_id div 10 as steps",
+    "event_type = 'purchase' and event_id % 37 = 0 as fall_detected",
+    # re-delivery without a second scan: 1 or 2 copies per row
+    f"explode(if(event_id % {REDELIVERY_EVERY} = 0, array(0, 1), array(0))) as copy",
+]
+
+
 def readings(events: DataFrame) -> DataFrame:
     """One row per delivered message: the reading fields, the hidden profile,
     event time and Kafka time in integer microseconds and the offset."""
-    e = events.select(
-        "event_id", "user_id", "event_type",
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
-        F.round(F.col("value") * 100).cast("bigint").alias("v"),
-        (F.col("user_id") % 20).alias("p"),
-    )
-    eid, v, p, kind = F.col("event_id"), F.col("v"), F.col("p"), F.col("event_type")
-    div = lambda a, b: F.floor(a / b).cast("bigint")  # noqa: E731 (all operands >= 0)
-    hr0 = _cohort(p, 72, 90, 100) + v % 7 - 3
-    sp0 = _cohort(p, 97.5, 94.5, 93.5) + (div(v, 7) % 5 - 2) * 0.5
-    sys0 = _cohort(p, 116, 131, 134) + div(v, 11) % 5 - 2
-    dia0 = _cohort(p, 76, 82, 84) + div(v, 13) % 5 - 2
-    t0 = _cohort(p, 36.75, 37.0, 37.5) + (div(v, 17) % 3 - 1) * 0.25
-    slot = eid % 400
-
-    r = e.select(
-        "event_id",
-        padded_id("P-", F.col("user_id")).alias("patient_id"),
-        padded_id("DEV-", F.col("user_id")).alias("device_id"),
-        _cohort(p, F.lit("low"), F.lit("medium"), F.lit("high")).alias("profile"),
-        (F.lit(BASE_US) + div(F.col("us") - BASE_US, TIME_COMPRESSION * 1000) * 1000).alias("et_us"),
-        F.when(slot == 1, None).when(slot == 2, -1)
-         .when((kind == "error") & (eid % 11 == 0), 125 + eid % 31)
-         .otherwise(hr0).cast("double").alias("heart_rate"),
-        F.when(slot == 3, 105.0)
-         .when((kind == "click") & (eid % 13 == 0), 86.0 + (eid % 11) * 0.5)
-         .otherwise(sp0).cast("double").alias("spo2"),
-        F.when(slot == 4, 60)
-         .when((kind == "view") & (eid % 17 == 0), 145 + eid % 41)
-         .otherwise(sys0).cast("double").alias("systolic_bp"),
-        F.when(slot == 4, 80)
-         .when((kind == "view") & (eid % 17 == 0), 92 + eid % 31)
-         .otherwise(dia0).cast("double").alias("diastolic_bp"),
-        F.when(slot == 5, None)
-         .when((kind == "signup") & (eid % 19 == 0), 38.25 + (eid % 7) * 0.25)
-         .otherwise(t0).cast("double").alias("body_temp"),
-        (500 + div(eid, 10)).alias("steps"),
-        ((kind == "purchase") & (eid % 37 == 0)).alias("fall_detected"),
-    )
-    # Re-delivery without a second scan: explode 1 or 2 copies per row.
-    copies = F.when(eid % REDELIVERY_EVERY == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    copy = F.col("copy")
-    return (r.withColumn("copy", F.explode(copies))
-             .withColumn("kafka_offset", F.when(copy == 0, eid).otherwise(1000000000 + eid))
-             .withColumn("kafka_us", F.col("et_us")
-                         + (1 + eid % 3 + copy * REDELIVERY_DELAY_S) * 1000000)
-             .drop("copy"))
-
-
-def _json_number(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit("null"))
-
-
-def reading_json(r: DataFrame) -> Column:
-    """The message value, written the way the device firmware writes it."""
-    ts = F.date_format(F.timestamp_micros(F.col("et_us")), TIMESTAMP_FORMAT)
-    return F.concat(
-        F.lit('{"patient_id": "'), F.col("patient_id"),
-        F.lit('", "device_id": "'), F.col("device_id"),
-        F.lit('", "timestamp": "'), ts,
-        F.lit('", "heart_rate": '), _json_number(F.col("heart_rate")),
-        F.lit(', "spo2": '), _json_number(F.col("spo2")),
-        F.lit(', "systolic_bp": '), _json_number(F.col("systolic_bp")),
-        F.lit(', "diastolic_bp": '), _json_number(F.col("diastolic_bp")),
-        F.lit(', "body_temp": '), _json_number(F.col("body_temp")),
-        F.lit(', "steps": '), _json_number(F.col("steps")),
-        F.lit(', "fall_detected": '), _json_number(F.col("fall_detected")),
-        F.lit("}"),
+    return (
+        events.selectExpr("event_id", "user_id", "event_type",
+                          "unix_micros(cast(ts as timestamp)) as us",
+                          "cast(round(value * 100) as bigint) as v", "user_id % 20 as p")
+        .selectExpr(*_READING_EXPRS)
+        .selectExpr("* except (copy)",
+                    "if(copy = 0, event_id, 1000000000 + event_id) as kafka_offset",
+                    f"et_us + (1 + event_id % 3 + copy * {REDELIVERY_DELAY_S}) * 1000000 as kafka_us")
     )
 
 
+def _json_number(name: str) -> str:
+    return f"coalesce(cast({name} as string), 'null')"
+
+
+# The message value, written the way the device firmware writes it.
+READING_JSON = (
+    "concat('{\"patient_id\": \"', patient_id, '\", \"device_id\": \"', device_id, "
+    f"'\", \"timestamp\": \"', date_format(timestamp_micros(et_us), '{TIMESTAMP_FORMAT}'), "
+    + ", ".join(f"'{lead}\"{c}\": ', {_json_number(c)}"
+                for lead, c in [('\", ', "heart_rate"), (", ", "spo2"), (", ", "systolic_bp"),
+                                (", ", "diastolic_bp"), (", ", "body_temp"), (", ", "steps"),
+                                (", ", "fall_detected")])
+    + ", '}')"
+)
+
+
 def messages(events: DataFrame) -> DataFrame:
     """Kafka-shaped messages (key, value, topic, partition, offset, timestamp)."""
-    r = readings(events)
-    return r.select(
-        F.col("patient_id").cast("binary").alias("key"),
-        reading_json(r).cast("binary").alias("value"),
-        F.lit(TOPIC).alias("topic"),
-        (F.substring("patient_id", 3, ID_WIDTH).cast("int") % KAFKA_PARTITIONS).alias("partition"),
-        F.col("kafka_offset").alias("offset"),
-        F.timestamp_micros(F.col("kafka_us")).alias("timestamp"),
+    return readings(events).selectExpr(
+        "cast(patient_id as binary) as key",
+        f"cast({READING_JSON} as binary) as value",
+        f"'{TOPIC}' as topic",
+        f"cast(substring(patient_id, 3, {ID_WIDTH}) as int) % {KAFKA_PARTITIONS} as partition",
+        "kafka_offset as offset",
+        "timestamp_micros(kafka_us) as timestamp",
     )
 
 
