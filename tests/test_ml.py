@@ -90,3 +90,14 @@ def test_run_round_outputs(spark, labelled):
     assert set(m["label_distribution"]) <= {"Low", "Medium", "High"}
     assert "feature " not in m["tree_rules"] and "Predict: " in m["tree_rules"]
     assert sum(m["patient_risk_counts"].values()) == pr.count()
+
+
+def test_model_round_trip(spark, labelled):
+    import tempfile
+    from pyspark.ml import PipelineModel
+    path = tempfile.mkdtemp(prefix="wardwatch-model-test-") + "/tree"
+    r = ml.run_round(spark, labelled, model_path=path)
+    again = PipelineModel.load(path)
+    a = ml.score_windows(r.trained.model, labelled).select("patient_id", "window_start", "prediction")
+    b = ml.score_windows(again, labelled).select("patient_id", "window_start", "prediction")
+    assert a.exceptAll(b).count() == 0

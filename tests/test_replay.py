@@ -72,3 +72,21 @@ def test_replay_shift_loops_onto_the_clock(spark):
         expect = now - dt.timedelta(seconds=(pos - off) % length)
         assert r["replay_time"] == expect
         assert now - dt.timedelta(seconds=length) < r["replay_time"] <= now
+
+
+def test_export_bundle(spark, tiny):
+    import tempfile
+    from wardwatch.operators import risk
+    from wardwatch.plans.layers import Layers
+    L = Layers(spark, tiny)
+    out = tempfile.mkdtemp(prefix="wardwatch-bundle-test-")
+    paths = replay.export_bundle(L.silver, L.alerts, risk.patient_risk(risk.rule_scored(L.labelled)),
+                                 out, gap_ms=240, trail_minutes=0.5)
+    v = spark.read.parquet(paths["vitals"])
+    a = spark.read.parquet(paths["alerts"])
+    assert v.count() == replay.replay_slice(
+        L.silver, replay.longest_segment(replay.gap_segments(L.silver, 240)), 0.5).count()
+    lo, hi = v.agg(F.min("event_time"), F.max("event_time")).first()
+    assert a.filter((F.col("event_time") < lo) | (F.col("event_time") > hi)).count() == 0
+    assert "event_date" not in v.columns and "event_date" not in a.columns
+    assert spark.read.parquet(paths["patient_risk"]).count() > 0

@@ -96,3 +96,21 @@ def replay_alerts(alerts: DataFrame, slice_df: DataFrame) -> DataFrame:
     t1 = slice_df.agg(F.max("event_time")).scalar()
     return (alerts.filter((F.col("event_time") >= t0) & (F.col("event_time") <= t1))
             .drop("event_date"))
+
+
+def export_bundle(silver: DataFrame, alerts: DataFrame, patient_risk: DataFrame, out: str,
+                  gap_ms: int = GAP_SECONDS * 1000,
+                  trail_minutes: float = TRAIL_MINUTES) -> dict[str, str]:
+    """Write a replay bundle: the trailing slice of the longest unbroken
+    stretch of Silver, the alerts inside it and the current risk table, each
+    as Parquet under ``out`` (``event_date`` dropped).  Returns the paths;
+    the recorded interval is the slice's first and last event time."""
+    longest = longest_segment(gap_segments(silver, gap_ms))
+    sl = replay_slice(silver, longest, trail_minutes)
+    paths = {"vitals": f"{out}/vitals", "alerts": f"{out}/alerts",
+             "patient_risk": f"{out}/patient_risk"}
+    sl.write.mode("overwrite").parquet(paths["vitals"])
+    slice_back = silver.sparkSession.read.parquet(paths["vitals"])   # bounds from the written slice
+    replay_alerts(alerts, slice_back).write.mode("overwrite").parquet(paths["alerts"])
+    patient_risk.drop("event_date").write.mode("overwrite").parquet(paths["patient_risk"])
+    return paths
