@@ -1,0 +1,88 @@
+"""Property tests: the Spark rules against a plain-Python statement of the
+same rules on random readings (including values on every limit), and
+conservation laws over the lens layers."""
+
+import datetime as dt
+import json
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from wardwatch.functions import rules
+from wardwatch.functions.schema import MESSAGE_SCHEMA
+from wardwatch.operators import transforms as tx
+from wardwatch.plans.layers import Layers
+
+T0 = dt.datetime(2026, 1, 1)
+
+
+def near(*points):
+    vals = []
+    for p in points:
+        vals += [p - 0.5, p, p + 0.5]
+    return st.one_of(st.sampled_from(vals), st.none(), st.floats(0, 300).map(lambda x: round(x, 1)))
+
+
+reading = st.fixed_dictionaries({
+    "heart_rate": near(30, 120, 140, 220),
+    "spo2": near(70, 88, 92, 100),
+    "systolic_bp": near(70, 140, 180, 250),
+    "diastolic_bp": near(40, 90, 120, 150),
+    "body_temp": near(34, 38, 39.5, 42),
+    "steps": st.one_of(st.none(), st.integers(-2, 5)),
+    "fall_detected": st.one_of(st.none(), st.booleans()),
+})
+
+
+def py_valid(r):
+    for c, (lo, hi) in rules.VALID_RANGES.items():
+        if r[c] is None or not lo <= r[c] <= hi:
+            return False
+    return r["steps"] is not None and r["steps"] >= 0 and r["systolic_bp"] > r["diastolic_bp"]
+
+
+def py_alerts(r):
+    out = set()
+    if r["heart_rate"] > 120:
+        out.add(("HIGH_HR", "CRITICAL" if r["heart_rate"] > 140 else "WARNING"))
+    if r["spo2"] < 92:
+        out.add(("LOW_SPO2", "CRITICAL" if r["spo2"] < 88 else "WARNING"))
+    if r["systolic_bp"] > 140 or r["diastolic_bp"] > 90:
+        crit = r["systolic_bp"] > 180 or r["diastolic_bp"] > 120
+        out.add(("HIGH_BP", "CRITICAL" if crit else "WARNING"))
+    if r["body_temp"] > 38.0:
+        out.add(("FEVER", "CRITICAL" if r["body_temp"] > 39.5 else "WARNING"))
+    if r["fall_detected"]:
+        out.add(("FALL", "CRITICAL"))
+    return out
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(reading, min_size=20, max_size=60))
+def test_rules_match_plain_python(spark, batch):
+    rows = []
+    for i, r in enumerate(batch):
+        doc = dict(patient_id=f"P-{i}", device_id="D", timestamp="2026-01-01 00:00:00.000", **r)
+        rows.append((b"k", json.dumps(doc).encode(), "vitals", 0, i, T0))
+    msgs = spark.createDataFrame(rows, MESSAGE_SCHEMA)
+    clean = tx.clean(tx.parse(msgs))
+    kept = {r["kafka_offset"] for r in clean.select("kafka_offset").collect()}
+    assert kept == {i for i, r in enumerate(batch) if py_valid(r)}
+    got = {}
+    for a in tx.alerts(clean, tx.replay_as_of()).select("patient_id", "alert_type", "severity").collect():
+        got.setdefault(int(a["patient_id"][2:]), set()).add((a["alert_type"], a["severity"]))
+    want = {i: py_alerts(r) for i, r in enumerate(batch) if py_valid(r) and py_alerts(r)}
+    assert got == want
+
+
+def test_conservation_over_layers(spark, small):
+    L = Layers(spark, small)
+    n_clean = L.clean.count()
+    assert L.features.agg(F.sum("readings")).first()[0] == n_clean
+    assert L.parsed.count() == L.bronze.count()
+    assert L.silver.count() == L.clean.select("patient_id", "event_time").distinct().count()
+    per_reading = L.clean.select(*[F.when(c, 1).otherwise(0) for c in
+                                   [rules.high_hr(), rules.low_spo2(), rules.high_bp(), rules.fever(),
+                                    rules.fall()]])
+    assert sum(per_reading.groupBy().sum().first()) == L.alerts.count()

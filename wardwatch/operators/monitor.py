@@ -43,15 +43,15 @@ def kpi_row(silver: DataFrame, alerts: DataFrame, patient_risk: DataFrame,
     now = as_of if as_of is not None else newest(silver)
     since = minutes_before(now, minutes)
     last_minute = minutes_before(now, 1)
-    in_window = history(alerts, since).agg(
+    in_window = history(alerts, since).agg(F.struct(
         rules.exact_avg("latency_sec", 2, 12).alias("lat"),
-        F.count_if(F.col("severity") == "CRITICAL").alias("crit"))
+        F.count_if(F.col("severity") == "CRITICAL").alias("crit"))).scalar()
     return (silver.agg(
                 F.count_distinct(F.when(F.col("event_time") >= last_minute, F.col("patient_id")))
                  .alias("patients_active"),
                 F.count(F.lit(1)).alias("silver_rows"))
-            .withColumn("avg_latency_sec", in_window.select("lat").scalar())
-            .withColumn("critical_alerts", in_window.select("crit").scalar())
+            .withColumn("avg_latency_sec", in_window["lat"])
+            .withColumn("critical_alerts", in_window["crit"])
             .withColumn("high_risk_patients",
                         patient_risk.agg(F.count_if(F.col("risk_level") == "High")).scalar()))
 

@@ -31,8 +31,9 @@ def replay_shift(df: DataFrame, now: Column, col: str = "event_time") -> DataFra
     was last played at ``now``; length L = span + 1 s, position = now mod L.
     Integer microseconds, ``pmod`` keeps the result in (now - L, now]."""
     us = F.unix_micros(col)
-    lo = df.agg(F.min(us)).scalar()
-    length = df.agg(F.max(us) - F.min(us) + F.lit(1_000_000)).scalar()
+    b = df.agg(F.struct(F.min(us).alias("lo"),
+                        (F.max(us) - F.min(us) + F.lit(1_000_000)).alias("len"))).scalar()
+    lo, length = b["lo"], b["len"]
     now_us = F.unix_micros(now)
     shifted = now_us - F.pmod(F.pmod(now_us, length) - (us - lo), length)
     return df.withColumn("replay_time", F.timestamp_micros(shifted))
@@ -76,10 +77,10 @@ def longest_segment(segments: DataFrame) -> DataFrame:
 def replay_bounds(longest: DataFrame, trail_minutes: float = TRAIL_MINUTES) -> tuple[Column, Column]:
     """(from, to) of the trailing ``trail_minutes`` of the longest segment."""
     trail_us = int(trail_minutes * 60_000_000)
-    hi = longest.agg(F.max("seg_end")).scalar()
-    lo = longest.agg(F.max("seg_start")).scalar()
-    start = F.greatest(lo, F.timestamp_micros(F.unix_micros(hi) - F.lit(trail_us)))
-    return start, hi
+    b = longest.agg(F.struct(F.max("seg_start").alias("lo"),
+                             F.max("seg_end").alias("hi"))).scalar()
+    start = F.greatest(b["lo"], F.timestamp_micros(F.unix_micros(b["hi"]) - F.lit(trail_us)))
+    return start, b["hi"]
 
 
 def replay_slice(silver: DataFrame, longest: DataFrame,
@@ -92,9 +93,9 @@ def replay_slice(silver: DataFrame, longest: DataFrame,
 
 def replay_alerts(alerts: DataFrame, slice_df: DataFrame) -> DataFrame:
     """Alerts with t0 <= event_time <= t1, t0/t1 the slice's first/last time."""
-    t0 = slice_df.agg(F.min("event_time")).scalar()
-    t1 = slice_df.agg(F.max("event_time")).scalar()
-    return (alerts.filter((F.col("event_time") >= t0) & (F.col("event_time") <= t1))
+    b = slice_df.agg(F.struct(F.min("event_time").alias("t0"),
+                              F.max("event_time").alias("t1"))).scalar()
+    return (alerts.filter((F.col("event_time") >= b["t0"]) & (F.col("event_time") <= b["t1"]))
             .drop("event_date"))
 
 
