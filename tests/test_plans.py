@@ -29,10 +29,11 @@ def test_last_n_windows_use_window_group_limit(spark, tiny):
     assert "WindowGroupLimit" in p
 
 
-def test_top_k_joins_broadcast_only_bounded_sides(spark, tiny):
+def test_top_k_is_computed_once_and_joined_after_the_limit(spark, tiny):
     p = plan(CATALOG["q3_top_risky"](spark, tiny))
     assert "TakeOrderedAndProject" in p
-    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+    assert p.count("FileScan parquet [event_id") == 1
+    assert p.index("Join") < p.index("TakeOrderedAndProject")   # join sits above the limit
 
 
 def test_gap_segments_aggregate_before_any_global_order(spark, tiny):

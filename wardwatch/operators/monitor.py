@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from .joins import lookup
 
 HISTORY_MINUTES = 10
 
@@ -69,7 +68,7 @@ def focus_patient(silver: DataFrame, alerts: DataFrame, patients: DataFrame,
             .agg(F.max(F.struct("event_time", "patient_id"))["patient_id"].alias("by_reading"))
             .select(F.coalesce(by_alert, F.col("by_reading")).alias("patient_id"),
                     F.when(by_alert.isNotNull(), "alert").otherwise("reading").alias("source")))
-    return (lookup(pick, patients.select("patient_id", "ward", "age"), "patient_id")
+    return (pick.join(patients.select("patient_id", "ward", "age"), "patient_id", "left")
             .select("patient_id", "source", "ward", "age"))
 
 
