@@ -82,3 +82,13 @@ def test_recent_slice(spark, built):
     expect = L.silver.filter(L.silver.event_time >= now - dt.timedelta(minutes=2)).count()
     # the files were just written, so the file-time cut keeps them all
     assert recent.count() == expect
+
+
+def test_compaction_keeps_rows_in_fewer_files(spark, built):
+    root, L = built
+    src = f"{root}/lake/vitals"
+    out = lake.compact(spark, src, "vitals", f"{root}/compacted/vitals", rows_per_file=400)
+    assert out.exceptAll(lake.read_layer(spark, src, "vitals")).count() == 0
+    assert out.count() == L.silver.count()
+    files = out.select("_metadata.file_path").distinct().count()
+    assert files <= L.silver.count() // 400 + 2 * out.select("event_date").distinct().count() + 8

@@ -139,3 +139,23 @@ def inventory(spark: SparkSession, layers: dict[str, tuple[str, str, str]]) -> D
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def compact(spark: SparkSession, src: str, table: str, dst: str,
+            rows_per_file: int = 5_000_000) -> DataFrame:
+    """Rewrite a streaming layer into fewer, larger files in another folder
+    (a file-sink folder only exposes files listed in its manifest, so
+    compacted output cannot go back into it).
+
+    Rows are range-clustered by (partition column, time) so each output file
+    covers one date and a time range; ``maxRecordsPerFile`` bounds file size.
+    Returns the compacted layer read back.
+    """
+    part = LAYER_PARTITION[table]
+    time_col = {"raw_vitals": "kafka_time", "vitals_1min": "window_start"}.get(table, "event_time")
+    layer = read_layer(spark, src, table)
+    (layer.repartitionByRange(part, time_col)
+          .sortWithinPartitions(part, time_col)
+          .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+          .partitionBy(part).parquet(dst))
+    return read_layer(spark, dst, table)
