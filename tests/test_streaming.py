@@ -106,3 +106,19 @@ def test_kafka_options():
     assert o == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "vitals",
                  "startingOffsets": "earliest", "failOnDataLoss": "false",
                  "maxOffsetsPerTrigger": "20000"}
+
+
+def test_command_line_once_writes_all_four_layers(spark, workdir, tiny):
+    from wardwatch.plans.layers import Layers
+    from wardwatch.streaming.__main__ import main
+    L = Layers(spark, tiny)
+    src = os.path.join(workdir, "in")
+    L.messages.write.parquet(src)
+    main(["--lake", os.path.join(workdir, "lake"), "--checkpoints", os.path.join(workdir, "ck"),
+          "--files", src, "--once"])
+    counts = {t: lake.read_layer(spark, os.path.join(workdir, "lake", t), t).count()
+              for t in ("raw_vitals", "vitals", "alerts", "vitals_1min")}
+    assert counts["raw_vitals"] == L.bronze.count()
+    assert counts["vitals"] == L.silver.count()
+    assert counts["alerts"] == L.alerts.count()
+    assert 0 < counts["vitals_1min"] <= L.features.count()

@@ -42,14 +42,17 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and written intermediates.
 
     Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set - a local test session - a private folder is
-    created and registered, so later calls agree on it.
+    Only when neither is set in a local session (tests) a private folder is
+    created and registered, so later calls agree on it; on a cluster a
+    machine-local folder would be invisible to executors, so that is an error.
     """
     sc = spark.sparkContext
     found = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not found:
         found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         if not found:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
             found = tempfile.mkdtemp(prefix="wardwatch-ckpt-")
         sc.setCheckpointDir(found)
         found = sc.getCheckpointDir() or found
