@@ -101,3 +101,10 @@ def test_model_round_trip(spark, labelled):
     a = ml.score_windows(r.trained.model, labelled).select("patient_id", "window_start", "prediction")
     b = ml.score_windows(again, labelled).select("patient_id", "window_start", "prediction")
     assert a.exceptAll(b).count() == 0
+
+
+def test_history_bound_filters_by_date(spark, labelled):
+    r = ml.run_round(spark, labelled, now=dt.datetime(2026, 1, 1), since=dt.date(2024, 1, 1))
+    assert r.patient_risk.count() == labelled.select("patient_id").distinct().count()
+    with pytest.raises(ml.NotEnoughData):
+        ml.run_round(spark, labelled, since=dt.date(2030, 1, 1))

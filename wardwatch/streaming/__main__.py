@@ -26,9 +26,19 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--max-offsets-per-trigger", type=int, default=20000)
     ap.add_argument("--max-files-per-trigger", type=int, default=None)
     ap.add_argument("--once", action="store_true", help="process what is available, then stop")
+    ap.add_argument("--state-partitions", type=int, default=None,
+                    help="shuffle partitions of the stateful queries; fixed at the first start "
+                         "of a checkpoint, so size it for the target patient count")
+    ap.add_argument("--rocksdb", action="store_true",
+                    help="keep de-dup and window state in RocksDB (off-heap, for many patients)")
     a = ap.parse_args(argv)
 
     spark = prepare(SparkSession.builder.appName("wardwatch-streaming").getOrCreate())
+    if a.state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(a.state_partitions))
+    if a.rocksdb:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                       "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     messages = (job.kafka_source(spark, a.kafka, a.topic,
                                  max_offsets_per_trigger=a.max_offsets_per_trigger)
                 if a.kafka else job.file_source(spark, a.files, a.max_files_per_trigger))
