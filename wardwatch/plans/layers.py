@@ -38,10 +38,12 @@ class Layers:
         default parallelism.  A large input has at least that many splits and
         is left alone - no extra shuffle at scale.
         """
-        want = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= want:
+        try:
+            want = self.spark.sparkContext.defaultParallelism
+            have = df.rdd.getNumPartitions()
+        except Exception:            # no RDD access (e.g. a Connect session): leave it to Spark
             return df
-        return df.repartition(want)
+        return df if have >= want else df.repartition(want)
 
     @cached_property
     def readings(self) -> DataFrame:

@@ -46,7 +46,13 @@ def shared_dir(spark: SparkSession) -> str:
     created and registered, so later calls agree on it; on a cluster a
     machine-local folder would be invisible to executors, so that is an error.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:                # no context access (Connect): the setting must exist
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return found
     found = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not found:
         found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
