@@ -47,3 +47,20 @@ def test_gap_segments_aggregate_before_any_global_order(spark, tiny):
 def test_scalars_are_subqueries_not_joins(spark, tiny):
     p = plan(CATALOG["kpi_row"](spark, tiny))
     assert "Subquery" in p and "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_bucketed_copies_group_and_join_without_shuffle(spark, tiny):
+    import tempfile
+    from wardwatch.operators import reports
+    from wardwatch.sources import lake
+    root = tempfile.mkdtemp(prefix="wardwatch-bucket-test-")
+    L = Layers(spark, tiny)
+    spark.sql("create database if not exists ww_bucket")
+    silver = lake.write_bucketed(L.silver, "ww_bucket.vitals", f"{root}/vitals", 4,
+                                 order=["event_time"])
+    patients = lake.write_bucketed(L.patients, "ww_bucket.patients", f"{root}/patients", 4)
+    out = reports.q1_patient_vitals(silver, patients)
+    p = plan(out)
+    body = p[p.index("SortMergeJoin") if "SortMergeJoin" in p else 0:]
+    assert "Exchange hashpartitioning" not in body        # aggregate and join are co-located
+    assert out.count() == reports.q1_patient_vitals(L.silver, L.patients).count()

@@ -159,3 +159,22 @@ def compact(spark: SparkSession, src: str, table: str, dst: str,
           .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
           .partitionBy(part).parquet(dst))
     return read_layer(spark, dst, table)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int,
+                   key: str = "patient_id", partition_col: str | None = None,
+                   order: list[str] | None = None) -> DataFrame:
+    """Save a layer as a catalog table bucketed (and sorted) by ``key``.
+
+    Tables bucketed on the same key with the same bucket count join and
+    group on that key without a shuffle: the per-patient reports over a
+    bucketed Silver / alerts / features copy and a bucketed registry run
+    as co-located, map-side plans.  Used for the compacted batch copy of a
+    layer (file-sink folders of running streams cannot be bucketed).
+    """
+    w = df.write.mode("overwrite").option("path", path).bucketBy(buckets, key)
+    w = w.sortBy(key, *(order or []))
+    if partition_col:
+        w = w.partitionBy(partition_col)
+    w.saveAsTable(table)
+    return df.sparkSession.table(table)
