@@ -28,6 +28,11 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP",
+                 "timestamp_ntz": "TIMESTAMP"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -69,12 +74,20 @@ def compare(spark, name: str, sf_dir: str, con=None) -> tuple[bool, str]:
     from wardwatch.plans.oracle import QUERIES
     con = con or duck(sf_dir)
     t0 = time.time()
-    scols, srows = rows_spark(CATALOG[name](spark, sf_dir))
+    sdf = CATALOG[name](spark, sf_dir)
+    scols, srows = rows_spark(sdf)
     t1 = time.time()
     dcols, drows = rows_duck(con, QUERIES[name])
     t2 = time.time()
     if scols != dcols:
         return False, f"columns differ: spark={scols} oracle={dcols}"
+    stypes = dict(sdf.dtypes)
+    rel = con.sql(QUERIES[name])
+    dtypes = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    wrong = {c: (stypes[c], dtypes[c]) for c in scols
+             if SPARK_TO_DUCK.get(stypes[c], stypes[c]) != dtypes[c]}
+    if wrong:
+        return False, f"types differ: {wrong}"
     if len(srows) != len(drows):
         return False, f"row count spark={len(srows)} oracle={len(drows)}"
     bad = [(a, b) for a, b in zip(srows, drows) if a != b]

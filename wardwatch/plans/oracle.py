@@ -377,10 +377,10 @@ from focus f left join patients p on p.patient_id = f.patient_id""")
 
 _q("vital_series", f""",{_FOCUS.strip()}
 select s.patient_id, s.event_time, 'heart_rate' as metric, s.heart_rate as value,
-       120.0 as threshold, s.heart_rate > 120 as breach
+       cast(120 as double) as threshold, s.heart_rate > 120 as breach
 from silver s join focus f on s.patient_id = f.patient_id where s.event_time >= {_SINCE}
 union all
-select s.patient_id, s.event_time, 'spo2', s.spo2, 92.0, s.spo2 < 92
+select s.patient_id, s.event_time, 'spo2', s.spo2, cast(92 as double), s.spo2 < 92
 from silver s join focus f on s.patient_id = f.patient_id where s.event_time >= {_SINCE}""")
 
 _q("alerts_by_type", f"""
