@@ -28,13 +28,14 @@ class Layers:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
 
-    def spread(self, df: DataFrame) -> DataFrame:
+    def spread(self, df: DataFrame, key: str) -> DataFrame:
         """Parallelism floor for an under-split input.
 
         The per-message work (lens, JSON text, parse, rules) is CPU-bound and
         narrow, so it runs with the scan's parallelism.  A small unsplittable
         file (one row group) would put all of it in one task; only then the
-        rows are dealt round-robin (no key, so no hot partition) onto the
+        rows are hash-distributed on a unique ``key`` (no hot partition, and
+        unlike round-robin no sort to make retries deterministic) onto the
         default parallelism.  A large input has at least that many splits and
         is left alone - no extra shuffle at scale.
         """
@@ -43,16 +44,16 @@ class Layers:
             have = df.rdd.getNumPartitions()
         except Exception:            # no RDD access (e.g. a Connect session): leave it to Spark
             return df
-        return df if have >= want else df.repartition(want)
+        return df if have >= want else df.repartition(want, key)
 
     @cached_property
     def readings(self) -> DataFrame:
         """Lens rows incl. hidden profile (tests and cohort checks only)."""
-        return lens.readings(self.spread(self.table("events")))
+        return lens.readings(self.spread(self.table("events"), "event_id"))
 
     @cached_property
     def messages(self) -> DataFrame:
-        return lens.messages(self.spread(self.table("events")))
+        return lens.messages(self.spread(self.table("events"), "event_id"))
 
     @cached_property
     def patients(self) -> DataFrame:
