@@ -19,6 +19,13 @@ from ..sources import lens
 from ..session import prepare
 
 
+# Columns of the shared test tables that the lens reads.
+INPUT_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "customer": "c_custkey bigint, c_nationkey int",
+}
+
+
 class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str, alert_delay_s: int = 2):
         self.spark = prepare(spark)
@@ -26,7 +33,12 @@ class Layers:
         self.alert_delay_s = alert_delay_s
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+        """A shared test table, read with the declared columns the lens uses
+        (no schema-inference job; the scan reads only these columns)."""
+        reader = self.spark.read
+        if name in INPUT_SCHEMAS:
+            reader = reader.schema(INPUT_SCHEMAS[name])
+        return reader.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
 
     def spread(self, df: DataFrame, key: str) -> DataFrame:
         """Parallelism floor for an under-split input.
