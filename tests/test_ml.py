@@ -108,3 +108,14 @@ def test_history_bound_filters_by_date(spark, labelled):
     assert r.patient_risk.count() == labelled.select("patient_id").distinct().count()
     with pytest.raises(ml.NotEnoughData):
         ml.run_round(spark, labelled, since=dt.date(2030, 1, 1))
+
+
+def test_publish_snapshot_and_metrics(spark, labelled):
+    import tempfile
+    from wardwatch.sources import lake
+    root = tempfile.mkdtemp(prefix="wardwatch-publish-test-")
+    r = ml.run_round(spark, labelled, now=dt.datetime(2026, 1, 1))
+    ml.publish(r, f"{root}/patient_risk", f"{root}/model_metrics", run_id="001")
+    assert lake.read_snapshot(spark, f"{root}/patient_risk").count() == r.patient_risk.count()
+    m = spark.read.json(f"{root}/model_metrics").first()
+    assert m["training_windows"] == r.trained.train_windows and "tree_rules" in m.asDict()
