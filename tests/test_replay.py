@@ -90,3 +90,21 @@ def test_export_bundle(spark, tiny):
     assert a.filter((F.col("event_time") < lo) | (F.col("event_time") > hi)).count() == 0
     assert "event_date" not in v.columns and "event_date" not in a.columns
     assert spark.read.parquet(paths["patient_risk"]).count() > 0
+
+
+def test_gap_segments_agree_with_session_windows(spark):
+    """session_window merges readings whose gap is <= the gap duration, so its
+    sessions over all readings are the same segments."""
+    rng = random.Random(11)
+    secs, t = [], 0.0
+    for _ in range(400):
+        t += rng.choice([0.5, 3.0, 19.0, 20.0, 21.0, 60.0])
+        secs.append(t)
+    df = times_df(spark, secs)
+    sessions = (df.groupBy(F.session_window("event_time", "20 seconds"))
+                .agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi"),
+                     F.count(F.lit(1)).alias("n")))
+    ours = replay.gap_segments(df, 20_000)
+    a = sorted((r["lo"], r["hi"], r["n"]) for r in sessions.collect())
+    b = sorted((r["seg_start"], r["seg_end"], r["readings"]) for r in ours.collect())
+    assert a == b

@@ -54,3 +54,19 @@ def test_q4_pre_aggregation_equals_join_then_group(spark, tiny):
                    F.sum("abnormal_readings").alias("abnormal_readings")))
     ours = reports.q4_ward_hourly(w, p).select("ward", "hour_utc", "patients", "abnormal_readings")
     assert direct.exceptAll(ours).count() == 0 and ours.exceptAll(direct).count() == 0
+
+
+def test_kpi_row_without_alerts_in_window(spark):
+    from wardwatch.operators import monitor
+    t = dt.datetime(2026, 1, 1, 12)
+    silver = spark.createDataFrame(
+        [("P-1", t), ("P-2", t - dt.timedelta(seconds=90)), ("P-1", t - dt.timedelta(minutes=30))],
+        "patient_id string, event_time timestamp")
+    alerts = spark.createDataFrame(
+        [("P-1", t - dt.timedelta(hours=2), "CRITICAL", 3.0)],
+        "patient_id string, event_time timestamp, severity string, latency_sec double")
+    risk_df = spark.createDataFrame([("P-1", "High"), ("P-2", "Low")], "patient_id string, risk_level string")
+    r = monitor.kpi_row(silver, alerts, risk_df, minutes=10).first()
+    assert r["patients_active"] == 1 and r["silver_rows"] == 3
+    assert r["avg_latency_sec"] is None and r["critical_alerts"] == 0
+    assert r["high_risk_patients"] == 1
