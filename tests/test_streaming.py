@@ -122,3 +122,7 @@ def test_command_line_once_writes_all_four_layers(spark, workdir, tiny):
     assert counts["vitals"] == L.silver.count()
     assert counts["alerts"] == L.alerts.count()
     assert 0 < counts["vitals_1min"] <= L.features.count()
+    # external tables over the running sinks read through the sink manifests
+    made = lake.register_tables(spark, os.path.join(workdir, "lake"), database="ww_stream")
+    assert set(made) == {"raw_vitals", "vitals", "alerts", "vitals_1min"}
+    assert spark.sql("select count(*) from ww_stream.vitals").first()[0] == counts["vitals"]

@@ -54,9 +54,14 @@ def register_tables(spark: SparkSession, lake_root: str, patients_path: str | No
             continue
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-        spark.sql(f"CREATE TABLE {database}.{table} ({cols}) USING PARQUET "
-                  f"PARTITIONED BY ({LAYER_PARTITION[table]}) LOCATION '{path}'")
-        spark.sql(f"MSCK REPAIR TABLE {database}.{table}")
+        if _exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
+            # a streaming sink: keep reads on its manifest (only committed
+            # files); date folders are discovered at read time
+            spark.sql(f"CREATE TABLE {database}.{table} ({cols}) USING PARQUET LOCATION '{path}'")
+        else:
+            spark.sql(f"CREATE TABLE {database}.{table} ({cols}) USING PARQUET "
+                      f"PARTITIONED BY ({LAYER_PARTITION[table]}) LOCATION '{path}'")
+            spark.sql(f"MSCK REPAIR TABLE {database}.{table}")
         made.append(table)
     if patients_path and _exists(spark, patients_path):
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in PATIENT_SCHEMA.fields)
