@@ -75,13 +75,24 @@ query("risk_counts")(lambda L: risk.risk_counts(rule_risk(L)))
 
 # --- monitoring (rule-variant risk; "now" = newest Silver event time) --------
 VIEW_MINUTES = 2          # history slider value used by the registered keys
-query("kpi_row")(lambda L: monitor.kpi_row(L.silver, L.alerts, rule_risk(L), VIEW_MINUTES))
+
+
+def _now(L: Layers):
+    """One "now" per query (newest Silver event time), shared by every part."""
+    return monitor.newest(L.silver)
+
+
+query("kpi_row")(lambda L: monitor.kpi_row(L.silver, L.alerts, rule_risk(L), VIEW_MINUTES,
+                                           _now(L)))
 query("focus_patient")(lambda L: monitor.focus_patient(L.silver, L.alerts, L.patients,
-                                                       VIEW_MINUTES))
-query("vital_series")(lambda L: monitor.vital_series(
-    L.silver, monitor.focus_patient(L.silver, L.alerts, L.patients, VIEW_MINUTES), VIEW_MINUTES))
-query("alerts_by_type")(lambda L: monitor.alerts_by_type(L.alerts, L.silver, VIEW_MINUTES))
-query("newest_alerts")(lambda L: monitor.newest_alerts(L.alerts, L.silver, 15, VIEW_MINUTES))
+                                                       VIEW_MINUTES, _now(L)))
+query("vital_series")(lambda L: (lambda now: monitor.vital_series(
+    L.silver, monitor.focus_patient(L.silver, L.alerts, L.patients, VIEW_MINUTES, now),
+    VIEW_MINUTES, now))(_now(L)))
+query("alerts_by_type")(lambda L: monitor.alerts_by_type(L.alerts, L.silver, VIEW_MINUTES,
+                                                         _now(L)))
+query("newest_alerts")(lambda L: monitor.newest_alerts(L.alerts, L.silver, 15, VIEW_MINUTES,
+                                                       _now(L)))
 query("risk_board")(lambda L: monitor.risk_board(rule_risk(L), L.patients))
 
 # --- replay -------------------------------------------------------------------
