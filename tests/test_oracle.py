@@ -1,5 +1,7 @@
 """Every SQL-expressible query against its independent DuckDB text."""
 
+import os
+
 import pytest
 
 from compare import compare, duck
@@ -40,3 +42,16 @@ def test_matches_oracle_sf0001(spark, tiny, con_tiny, name):
 def test_matches_oracle_sf001(spark, small, con_small, name):
     ok, msg = compare(spark, name, small, con_small)
     assert ok, msg
+
+
+# stream_silver keeps the first copy to arrive; at sf0.1 seven (patient, time)
+# keys carry two different readings, so only its keys are comparable there.
+SF01_KEYS = [k for k in SQL_KEYS if k != "stream_silver"]
+
+
+@pytest.mark.skipif(not os.environ.get("WARDWATCH_SF01"), reason="set WARDWATCH_SF01=1 (slow)")
+@pytest.mark.parametrize("name", SF01_KEYS)
+def test_matches_oracle_sf01(spark, name):
+    sf = "/root/testdata/sf0.1"
+    ok, msg = compare(spark, name, sf, duck(sf))
+    assert ok, msg
