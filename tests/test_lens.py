@@ -46,3 +46,13 @@ def test_kafka_key_is_patient_and_partition_in_range(spark, tiny):
     assert b.filter(F.col("kafka_partition").isin(0, 1, 2) == False).count() == 0  # noqa: E712
     assert b.filter(~F.col("raw_json").contains(F.concat(F.lit('"patient_id": "'),
                                                          F.col("kafka_key")))).count() == 0
+
+
+def test_layer_columns_and_types_match_declared_schemas(spark, tiny):
+    from wardwatch.functions.schema import LAYER_SCHEMAS
+    L = Layers(spark, tiny)
+    for table, df in [("raw_vitals", L.bronze), ("vitals", L.silver), ("alerts", L.alerts),
+                      ("vitals_1min", L.features)]:
+        want = LAYER_SCHEMAS[table]
+        assert df.columns == want.fieldNames(), table
+        assert [f.dataType for f in df.schema.fields] == [f.dataType for f in want.fields], table
