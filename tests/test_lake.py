@@ -92,3 +92,23 @@ def test_compaction_keeps_rows_in_fewer_files(spark, built):
     assert out.count() == L.silver.count()
     files = out.select("_metadata.file_path").distinct().count()
     assert files <= L.silver.count() // 400 + 2 * out.select("event_date").distinct().count() + 8
+
+
+def test_sql_text_over_registered_lake(spark, built):
+    """Report SQL written against the lake tables runs through spark.sql."""
+    from wardwatch.operators import reports, risk
+    root, L = built
+    lake.register_tables(spark, f"{root}/lake", f"{root}/patients", database="ww_sql")
+    pr = risk.patient_risk(risk.rule_scored(L.labelled))
+    lake.write_snapshot(pr.select("patient_id", "risk_level", "risk_score"), f"{root}/pr", "001")
+    lake.register_snapshot(spark, f"{root}/pr", database="ww_sql")
+    q2 = spark.sql("""SELECT alert_type, severity, COUNT(*) AS alerts,
+                             COUNT(DISTINCT patient_id) AS patients_affected
+                      FROM ww_sql.alerts GROUP BY alert_type, severity""")
+    ours = reports.q2_alert_counts(L.alerts).select("alert_type", "severity", "alerts",
+                                                    "patients_affected")
+    assert q2.exceptAll(ours).count() == 0 and ours.exceptAll(q2).count() == 0
+    q7 = spark.sql("""SELECT risk_level, COUNT(*) AS patients FROM ww_sql.patient_risk
+                      GROUP BY risk_level""")
+    assert {r[0]: r[1] for r in q7.collect()} == \
+        {r["risk_level"]: r["patients"] for r in reports.q7_risk_mix(pr).collect()}

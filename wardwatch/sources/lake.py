@@ -117,6 +117,19 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{runs[-1]}")
 
 
+def register_snapshot(spark: SparkSession, root: str, table: str = "patient_risk",
+                      database: str = "wardwatch") -> DataFrame:
+    """Expose the newest complete snapshot under ``root`` as ``database.table``
+    (an external table re-pointed at each new run), so SQL text written
+    against the lake tables - e.g. the risk-mix report - runs unchanged."""
+    newest = read_snapshot(spark, root)
+    path = newest.inputFiles()[0].rsplit("/", 1)[0]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
+    spark.sql(f"CREATE TABLE {database}.{table} USING PARQUET LOCATION '{path}'")
+    return spark.table(f"{database}.{table}")
+
+
 def inventory(spark: SparkSession, layers: dict[str, tuple[str, str, str]]) -> DataFrame:
     """Per layer: files, rows, newest write - from the scan's file metadata.
 
