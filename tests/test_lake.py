@@ -112,3 +112,19 @@ def test_sql_text_over_registered_lake(spark, built):
                       GROUP BY risk_level""")
     assert {r[0]: r[1] for r in q7.collect()} == \
         {r["risk_level"]: r["patients"] for r in reports.q7_risk_mix(pr).collect()}
+
+
+def test_recent_slice_skips_old_files(spark, built):
+    import glob
+    root, L = built
+    src = f"{root}/lake/alerts"
+    files = sorted(glob.glob(f"{src}/event_date=*/*.parquet"))
+    old = dt.datetime(2020, 1, 1, tzinfo=dt.timezone.utc).timestamp()
+    for f in files[: len(files) // 2]:
+        os.utime(f, (old, old))                 # written long before the window
+    # event times are 2024-01-01 00:00-00:09: a 60-minute window ending 00:10
+    # keeps every row by time, so only the file-time cut removes rows
+    keep = lake.read_recent(spark, src, "alerts", 60, dt.datetime(2024, 1, 1, 0, 10))
+    fresh = files[len(files) // 2:]
+    assert keep.count() == (spark.read.parquet(*fresh).count() if fresh else 0)
+    assert keep.count() < L.alerts.count()

@@ -119,3 +119,13 @@ def test_publish_snapshot_and_metrics(spark, labelled):
     assert lake.read_snapshot(spark, f"{root}/patient_risk").count() == r.patient_risk.count()
     m = spark.read.json(f"{root}/model_metrics").first()
     assert m["training_windows"] == r.trained.train_windows and "tree_rules" in m.asDict()
+
+
+def test_kpi_row_carries_model_accuracy(spark, labelled):
+    from wardwatch.operators import monitor
+    r = ml.run_round(spark, labelled, now=dt.datetime(2026, 1, 1))
+    silver = labelled.select("patient_id", F.col("window_start").alias("event_time"))
+    alerts = spark.createDataFrame([], "patient_id string, event_time timestamp, "
+                                       "severity string, latency_sec double")
+    row = monitor.kpi_row(silver, alerts, r.patient_risk, metrics=r.metrics).first()
+    assert row["model_accuracy"] == r.metrics.first()["accuracy"]

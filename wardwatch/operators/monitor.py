@@ -36,9 +36,11 @@ def history(df: DataFrame, since: Column, col: str = "event_time",
 
 
 def kpi_row(silver: DataFrame, alerts: DataFrame, patient_risk: DataFrame,
-            minutes: float = HISTORY_MINUTES, as_of: Column | None = None) -> DataFrame:
+            minutes: float = HISTORY_MINUTES, as_of: Column | None = None,
+            metrics: DataFrame | None = None) -> DataFrame:
     """Patients active in the last minute, all Silver rows, mean alert latency
-    and critical alerts in the history window, High-risk patients."""
+    and critical alerts in the history window, High-risk patients, and - given
+    the model-metrics row - the model's test accuracy."""
     now = as_of if as_of is not None else newest(silver)
     since = minutes_before(now, minutes)
     last_minute = minutes_before(now, 1)
@@ -52,7 +54,9 @@ def kpi_row(silver: DataFrame, alerts: DataFrame, patient_risk: DataFrame,
             .withColumn("avg_latency_sec", in_window["lat"])
             .withColumn("critical_alerts", in_window["crit"])
             .withColumn("high_risk_patients",
-                        patient_risk.agg(F.count_if(F.col("risk_level") == "High")).scalar()))
+                        patient_risk.agg(F.count_if(F.col("risk_level") == "High")).scalar())
+            .transform(lambda df: df if metrics is None else df.withColumn(
+                "model_accuracy", metrics.agg(F.max("accuracy")).scalar())))
 
 
 def focus_patient(silver: DataFrame, alerts: DataFrame, patients: DataFrame,
