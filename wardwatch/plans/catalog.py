@@ -25,7 +25,10 @@ CATALOG: dict[str, Query] = {}
 
 def query(name: str):
     def deco(fn: Callable[[Layers], DataFrame]) -> Callable[[Layers], DataFrame]:
-        CATALOG[name] = lambda spark, sf_dir, _fn=fn: _fn(Layers(spark, sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(Layers(spark, sf_dir))
+        run.__name__ = run.__qualname__ = name
+        CATALOG[name] = run
         return fn
     return deco
 
