@@ -49,6 +49,26 @@ def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def group_arrow(df: DataFrame, keys: list[str], fn: Callable, schema: str) -> DataFrame:
+    """``applyInArrow`` of ``fn`` (table -> table) on each group of ``keys``.  The
+    call is wrapped because Spark reads type hints, which partials lack."""
+    ship(df.sparkSession)
+    return df.groupBy(*keys).applyInArrow(lambda group: fn(group), schema)
+
+
+def group_pandas(df: DataFrame, keys: list[str], fn: Callable, schema: str) -> DataFrame:
+    """``applyInPandas`` of ``fn`` (frame -> frame) on each group of ``keys``."""
+    ship(df.sparkSession)
+    return df.groupBy(*keys).applyInPandas(lambda group: fn(group), schema)
+
+
+def cogroup_arrow(left: DataFrame, right: DataFrame, keys: list[str], fn: Callable, schema: str) -> DataFrame:
+    """``applyInArrow`` of ``fn`` (table, table -> table) on both sides' groups."""
+    ship(left.sparkSession)
+    return (left.groupBy(*keys).cogroup(right.groupBy(*keys))
+            .applyInArrow(lambda mine, other: fn(mine, other), schema))
+
+
 def text_bytes(column: str = "text") -> Column:
     """The text as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit("").cast("binary"))

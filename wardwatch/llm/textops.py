@@ -19,10 +19,10 @@ def codepoints(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i (mod 2**64) for i < n, kept for later calls."""
     if len(_POWERS[0]) < n:
-        n = max(n, 1 << 16)
+        size = max(n, 1 << 16)
         inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
         for k, base in enumerate((BASE, inverse)):
-            steps = np.full(n, base, np.uint64)
+            steps = np.full(size, base, np.uint64)
             steps[0] = 1
             _POWERS[k] = np.multiply.accumulate(steps)
     return _POWERS[0][:n], _POWERS[1][:n]
