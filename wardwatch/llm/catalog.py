@@ -7,12 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embed_dedup, langid, lm, packing, quality, sharding, simhash, topk
+from . import embed_dedup, langid, licenses, lm, packing, pieces, quality, sharding, simhash, topk
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), length=1024)
 
@@ -25,6 +29,10 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,8 +55,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_packing, op3_embedding_near_dedup, op4_lm_scoring, op6_quality_classifier, op7_top_k_search,
-    op8_language_id, op9_simhash_near_dedup, op10_sharding)}
+    op1_license_scan, op2_packing, op3_embedding_near_dedup, op4_lm_scoring, op5_sentencepiece,
+    op6_quality_classifier, op7_top_k_search, op8_language_id, op9_simhash_near_dedup, op10_sharding)}
 
 #: No operator has a SQL twin: they need XXH64, CRC32, tokenizers, trained
 #: models or iteration, so tests/llm holds each against a brute-force version.

@@ -14,11 +14,10 @@ import os
 
 import numpy as np
 
+from .spans import SpanTable
 from .textops import codepoints, prefix_hashes, span_hashes
 
 LETTER, DIGIT, OTHER, SPACE, UNSEEN = range(5)
-KEPT = 1_000_000               # distinct pre-tokens that a process remembers
-KEPT_IDS = 8_000_000           # and their ids
 END = 0                        # id that ends every document
 
 
@@ -44,7 +43,7 @@ class Encoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.signs = _byte_signs()
         self.classes = np.full(0x110000, UNSEEN, np.uint8)
-        self._forget()
+        self.table = SpanTable(self._merge, [END])
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -53,11 +52,6 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def _forget(self) -> None:
-        """Start anew with the end mark alone, as entry 0."""
-        self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.flat, self.at = np.array([END], np.uint32), np.array([0, 1], np.int64)
-
     def _class(self, char: str) -> int:
         alone = self.tokenizer.pre_tokenizer.pre_tokenize_str
         return next((k for k, before in ((LETTER, "a"), (DIGIT, "1"), (OTHER, "!"))
@@ -92,44 +86,9 @@ class Encoder:
             begin[mark[two] + 3] = True
         return np.flatnonzero(begin[:n])
 
-    def _learn(self, keys: np.ndarray, spans: list[str]) -> None:
+    def _merge(self, spans: list[str]) -> list[list[int]]:
         merge, signs = self.tokenizer.model.tokenize, self.signs
-        found = [[t.id for t in merge(s.encode().decode("latin-1").translate(signs))] for s in spans]
-        if len(self.keys) + len(keys) > KEPT or len(self.flat) > KEPT_IDS:
-            raise OverflowError
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        entries = np.arange(len(self.at) - 1, len(self.at) - 1 + len(found))
-        self.flat = np.concatenate([self.flat, np.concatenate([np.asarray(x, np.uint32) for x in found])])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
-        where = np.searchsorted(self.keys, keys)
-        self.keys, self.entry = np.insert(self.keys, where, keys), np.insert(self.entry, where, entries)
-
-    def _entries(self, keys: np.ndarray, starts: np.ndarray, stops: np.ndarray, joined: str) -> np.ndarray:
-        distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
-        where = np.searchsorted(self.keys, distinct)
-        known = np.zeros(len(distinct), bool)
-        if len(self.keys):
-            known = self.keys[np.minimum(where, len(self.keys) - 1)] == distinct
-        if not known.all():
-            new = first[~known]
-            spans = [joined[s:e] for s, e in zip(starts[new].tolist(), stops[new].tolist(), strict=True)]
-            try:
-                self._learn(distinct[~known], spans)
-            except OverflowError:
-                self._forget()
-                spans = [joined[s:e] for s, e in zip(starts[first].tolist(), stops[first].tolist(), strict=True)]
-                self._learn_all(distinct, spans)
-            where = np.searchsorted(self.keys, distinct)
-        return self.entry[where][back]
-
-    def _learn_all(self, keys: np.ndarray, spans: list[str]) -> None:
-        """After forgetting: one batch's pre-tokens, however many."""
-        global KEPT
-        kept, KEPT = KEPT, max(KEPT, len(keys))
-        try:
-            self._learn(keys, spans)
-        finally:
-            KEPT = kept
+        return [[t.id for t in merge(s.encode().decode("latin-1").translate(signs))] for s in spans]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after another, each followed by END, and offsets."""
@@ -139,12 +98,10 @@ class Encoder:
         starts = self.split(cp, ends) if len(cp) else np.zeros(0, np.int64)
         stops = np.append(starts[1:], len(cp))
         keys = span_hashes(prefix_hashes(cp), starts, stops)
-        entry = self._entries(keys, starts, stops, "".join(plain)) if len(keys) else np.zeros(0, np.int64)
+        entry = self.table.entries(keys, starts, stops, "".join(plain))
         entry = np.insert(entry, np.searchsorted(starts, ends[1:]), 0)
         of_text = np.searchsorted(starts, ends) + np.arange(len(ends))
-        size = (self.at[1:] - self.at[:-1])[entry]
-        at = np.concatenate([[0], np.cumsum(size)])
-        ids = self.flat[np.repeat(self.at[entry] - at[:-1], size) + np.arange(at[-1])]
+        ids, at = self.table.gather(entry)
         offsets = at[of_text]
         if odd:
             parts = [ids[offsets[i]: offsets[i + 1]] for i in range(len(texts))]
