@@ -122,23 +122,28 @@ _DELETED = {
 }
 
 
-def _close(pairs: DataFrame, max_bits: int) -> DataFrame:
-    return pairs.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
+#: Fingerprints with an equal half share all 32 variants of it: such a pair counts
+#: in the first alone.  (``x``: the bits that differ.)
+_ONCE = """(shiftrightunsigned(key, 32) % 32 = 0 or
+    if(shiftrightunsigned(key, 32) < 32, x & 4294967295L, shiftrightunsigned(x, 32)) != 0)"""
 
 
-def _edges_by(variants: DataFrame, keys: list[str], max_bits: int) -> tuple[DataFrame, DataFrame]:
+def _edges_by(variants: DataFrame, keys: list[str], max_bits: int,
+              once: str = "true") -> tuple[DataFrame, DataFrame]:
     """Links among fingerprints that share a variant, and the members of those
     variants that are too full to compare in pairs."""
     groups = cut(variants.groupBy(*keys)
                  .agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
                  .filter("n > 1"))
-    two = _close(groups.filter("n = 2").select("a", "b"), max_bits)
+    close = f"bit_count(x) <= {max_bits} and {once}"
+    two = groups.filter("n = 2").withColumn("x", F.expr("a ^ b")).filter(close).select("a", "b")
     members = cut(variants.join(groups.filter("n > 2").select(*keys, "n"), keys))
     some = (members.filter(F.col("n") <= FULL).groupBy(*keys).agg(F.sort_array(F.collect_list("fp")).alias("fps"))
-            .select("fps", F.posexplode("fps").alias("i", "a"))
-            .select("a", F.explode(F.expr("slice(fps, i + 2, size(fps))")).alias("b")))
+            .select(*keys, F.expr(f"""explode(flatten(transform(fps, (a, i) -> transform(filter(transform(
+                slice(fps, i + 2, size(fps)), b -> a ^ b), x -> {close}), x -> struct(a, a ^ x as b)))))""")
+                    .alias("pair")).select("pair.*"))
     crowded = members.filter(F.col("n") > FULL).select("fp").distinct()
-    return two.union(_close(some, max_bits)), crowded
+    return two.union(some), crowded
 
 
 def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
@@ -147,7 +152,7 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     within a crowd only those to a common member are kept."""
     if max_bits not in _DELETED:
         raise ValueError("two halves with one deleted bit each cover 1 or 2 differing bits")
-    near, crowd = _edges_by(fps.select("fp", F.expr(_HALVES).alias("key")), ["key"], max_bits)
+    near, crowd = _edges_by(fps.select("fp", F.expr(_HALVES).alias("key")), ["key"], max_bits, _ONCE)
     crowd = cut(crowd)
     if not crowd.isEmpty():
         more, dense = _edges_by(crowd.select("fp", F.expr(_BYTES).alias("kind", "key")),
