@@ -23,6 +23,7 @@ BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 TRAIN_DOCS = 20_000            # documents that the model is fitted on, at most about
 TRAIN_PARTS = 32
+FULL_WEIGHT = 4_000            # characters up to which a training text counts in full
 UNKNOWN = "und"
 MIN_SCORE = 0.5
 SLICE = 1 << 18
@@ -47,7 +48,7 @@ def _grams(texts: list[str], buckets: int) -> tuple[list[tuple[np.ndarray, np.nd
     cp, ends = codepoints([t.lower() + " " for t in texts])
     letter = _letters()[cp]
     doc = np.repeat(np.arange(len(texts)), np.diff(ends))
-    keep = letter | np.concatenate([[True], letter[:-1]])
+    keep = letter | np.concatenate([[False], letter[:-1]])
     x = np.where(letter, cp, 32).astype(np.uint64)[keep] + np.uint64(1)
     doc, letter = doc[keep], letter[keep]
     starts = np.searchsorted(doc, np.arange(len(texts) + 1))
@@ -77,14 +78,17 @@ def _pieces(texts: list[str | None]) -> tuple[list[str], np.ndarray]:
 
 
 def _counts(batches, langs: list[str], buckets: int):
-    total = np.zeros((len(langs), buckets), np.int64)
+    total = np.zeros((len(langs), buckets))
     row = {lang: i for i, lang in enumerate(langs)}
     for b in slices(batches, "text", SLICE):
-        parts, owner = _pieces(b.column("text").to_pylist())
+        texts = b.column("text").to_pylist()
+        parts, owner = _pieces(texts)
         lang = np.array([row[x] for x in b.column("lang").to_pylist()])[owner]
+        weight = np.array([min(1.0, FULL_WEIGHT / max(1, len(t))) for t in texts])[owner]
         for bucket, at in _grams(parts, buckets)[0]:
             which = np.repeat(lang, np.diff(at)).astype(np.int64)
-            total += np.bincount(which * buckets + bucket, minlength=total.size).reshape(total.shape)
+            total += np.bincount(which * buckets + bucket, np.repeat(weight, np.diff(at)),
+                                 total.size).reshape(total.shape)
     lang, bucket = np.nonzero(total)
     if len(lang):
         yield pa.RecordBatch.from_arrays(
@@ -94,7 +98,9 @@ def _counts(batches, langs: list[str], buckets: int):
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, buckets: int = BUCKETS) -> Model:
     """Fit on the rows of ``docs`` (text, lang) whose text and lang are not null:
-    all of them up to ``train_docs``, else a hash sample of about that many."""
+    all of them up to ``train_docs``, else a hash sample of about that many.  Texts
+    of over FULL_WEIGHT characters weigh as much as one of that length, so that no
+    single text stands for its language."""
     usable = docs.filter("text is not null and lang is not null")
     share = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 20))
     by_lang = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect()
@@ -104,7 +110,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, buckets: int = BUCKETS) -
     sample = usable if sizes.sum() <= train_docs else usable.filter(
         share < int(train_docs / sizes.sum() * (1 << 20)) + 1)
     rows = (map_arrow(sample.select("text", "lang").repartition(TRAIN_PARTS),
-                      partial(_counts, langs=langs, buckets=buckets), "lang int, bucket int, n long")
+                      partial(_counts, langs=langs, buckets=buckets), "lang int, bucket int, n double")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))).toPandas()
     counts = np.zeros((buckets, len(langs)))
     counts[rows["bucket"], rows["lang"]] = rows["n"]
@@ -138,16 +144,16 @@ def _score(batches, model):
         kept = [c for i, c in enumerate(b.columns) if b.schema.names[i] != "__text"]
         yield pa.RecordBatch.from_arrays(
             [*kept, pa.array(langs, pa.string()), pa.array(score)],
-            names=[*(x for x in b.schema.names if x != "__text"), "lang_pred", "lang_score"])
+            names=[*(x for x in b.schema.names if x != "__text"), "__lang", "__score"])
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` with lang_pred and lang_score for each row."""
+    """Columns ``keep`` of ``docs`` with __lang and __score for each row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     read = docs.select(*keep, F.col("text").alias("__text"))
     kinds = docs.select(*keep).schema.simpleString()[len("struct<"):-1]
     return map_arrow(read, partial(_score, model=shared),
-                     ", ".join(x for x in (kinds, "lang_pred string, lang_score double") if x))
+                     ", ".join(x for x in (kinds, "__lang string, __score double") if x))
 
 
 def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
@@ -162,8 +168,7 @@ def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     ours = docs.select("doc_id", "text", "lang", (fold() == 0).alias("held_out"))
     model = fit(ours.filter("not held_out"), train_docs)
     return (predict(ours, model, ["doc_id", "held_out"])
-            .withColumnRenamed("lang_score", "score")
-            .select("doc_id", "held_out", "lang_pred", "score"))
+            .select("doc_id", "held_out", F.col("__lang").alias("lang_pred"), F.col("__score").alias("score")))
 
 
 def keep_identified(docs: DataFrame, train_docs: int = TRAIN_DOCS,
@@ -173,5 +178,5 @@ def keep_identified(docs: DataFrame, train_docs: int = TRAIN_DOCS,
     ours = docs.withColumn("__held_out", fold() == 0)
     model = fit(ours.filter("not __held_out").select("doc_id", "text", "lang"), train_docs)
     seen = predict(ours.drop("__held_out"), model, docs.columns)
-    return (seen.filter((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= min_score))
+    return (seen.filter((F.col("__lang") != UNKNOWN) & (F.col("__score") >= min_score))
             .select(*docs.columns))
