@@ -36,8 +36,8 @@ SIZE = 24                      # components of a vector
 CONTEXT = 3
 NOISE = 16
 ROUNDS = 2
-SHARE = 4                      # one of so many training documents a round
-BATCH = 4096                   # tokens of a training step
+SHARE = 8                      # one of so many training documents a round
+BATCH = 2048                   # tokens of a training step
 KNOWN = 1_000_000              # words whose counts every task holds, at most
 FLUSH = 2_000_000              # distinct words that a counting task holds
 SLAB = 32_768                  # tokens scored at once
@@ -232,56 +232,67 @@ def _hidden(m: Model, context: np.ndarray) -> np.ndarray:
 
 
 def _scatter(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    return np.stack([np.bincount(index, values[:, f], n) for f in range(values.shape[1])], axis=1)
+    """Sums of the rows of ``values`` by ``index``."""
+    out = np.zeros((n, values.shape[1]), values.dtype)
+    order = np.argsort(index, kind="stable")
+    own = index[order]
+    first = np.flatnonzero(np.diff(own, prepend=-1))
+    out[own[first]] = np.add.reduceat(values[order], first, axis=0)
+    return out
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 class Trainer:
     """AdaGrad steps on the noise-contrastive loss: each true class (and unit in its
     class) against NOISE drawn by their shares, shared by a batch."""
 
-    def __init__(self, model: Model, share: np.ndarray, seed: int, rate: float = 0.08):
+    def __init__(self, model: Model, share: np.ndarray, seed: int, rate: float = 0.3):
         self.m, self.rate, self.rng, self.tokens = model, rate, np.random.default_rng(seed), 0
         self.group_share = share.reshape(CLASSES, PER_CLASS).sum(axis=1)
         self.unit_share = share.reshape(CLASSES, PER_CLASS) / self.group_share[:, None]
+        self.group_ends = np.cumsum(self.group_share)
+        self.unit_ends = np.cumsum(self.unit_share, axis=1)
         self.log_group = np.log(NOISE * self.group_share).astype(np.float32)
         self.log_unit = np.log(NOISE * self.unit_share).ravel().astype(np.float32)
         self.seen = [np.full(a.shape, 1.0, np.float32) for a in model.arrays()]
 
-    def _contrast(self, q, true, noise, vec, bias, log_share):
-        """Gradients of one softmax's contrast: to q, and (rows, values) to vec."""
-        sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        pos = sigmoid((q * vec[true]).sum(axis=1) + bias[true] - log_share[true]) - 1
-        neg = sigmoid(q @ vec[noise].T + bias[noise] - log_share[noise])
-        rows = np.concatenate([true, noise])
-        values = np.concatenate([pos[:, None] * q, neg.T @ q])
-        return pos[:, None] * vec[true] + neg @ vec[noise], rows, values, np.concatenate([pos, neg.sum(axis=0)])
+    @staticmethod
+    def _contrast(q, true, noise, vec, bias, log_share):
+        """Gradients of one softmax's contrast: to q, and (rows, values, sums) to the
+        vectors and biases.  ``bias`` and ``log_share`` are of all vectors."""
+        mine, other = vec[true], vec[noise]
+        pos = _sigmoid(np.einsum("nd,nd->n", q, mine) + (bias - log_share)[true]) - 1
+        neg = _sigmoid(q @ other.T + (bias - log_share)[noise])
+        return (pos[:, None] * mine + neg @ other, np.concatenate([true, noise]),
+                np.concatenate([pos[:, None] * q, neg.T @ q]), np.concatenate([pos, neg.sum(axis=0)]))
 
     def step(self, target: np.ndarray, context: np.ndarray) -> None:
         m, n = self.m, len(target)
-        q = _hidden(m, context)
         group = target // PER_CLASS
-        noise = self.rng.choice(CLASSES, NOISE, p=self.group_share)
+        order = np.argsort(group, kind="stable")               # classes one after another
+        target, context, group = target[order], context[order], group[order]
+        ends = np.searchsorted(group, np.arange(CLASSES + 1))
+        q = _hidden(m, context)
+        noise = np.minimum(np.searchsorted(self.group_ends, self.rng.random(NOISE)), CLASSES - 1)
         to_q, rows, values, ones = self._contrast(q, group, noise, m.group, m.group_bias, self.log_group)
         grads = [None, None, _scatter(rows, values, CLASSES), np.bincount(rows, ones, CLASSES)]
-        order = np.argsort(group, kind="stable")
-        ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        all_rows, all_values, all_ones = [], [], []
-        for c in range(CLASSES):
-            mine = order[ends[c]: ends[c + 1]]
-            if len(mine):
-                noise = c * PER_CLASS + self.rng.choice(PER_CLASS, NOISE, p=self.unit_share[c])
-                more, rows, values, ones = self._contrast(q[mine], target[mine], noise, m.unit, m.unit_bias,
-                                                          self.log_unit)
-                to_q[mine] += more
-                all_rows.append(rows)
-                all_values.append(values)
-                all_ones.append(ones)
-        rows = np.concatenate(all_rows)
-        unit = [_scatter(rows, np.concatenate(all_values), UNITS), np.bincount(rows, np.concatenate(all_ones), UNITS)]
-        grads[1] = np.stack([(to_q * m.context[context[:, j]]).sum(axis=0) for j in range(CONTEXT)])
-        grads[0] = sum(_scatter(context[:, j], to_q * m.weight[j], UNITS) for j in range(CONTEXT))
-        for a, g, s in zip(m.arrays(), [*grads, *unit], self.seen, strict=True):
-            g = (g / n * 64).astype(np.float32)
+        draws = (self.rng.random((CLASSES, NOISE, 1)) > self.unit_ends[:, None, :]).sum(axis=2)
+        draws = np.minimum(draws, PER_CLASS - 1) + np.arange(CLASSES)[:, None] * PER_CLASS
+        found = []
+        for c in np.flatnonzero(np.diff(ends)):
+            mine = slice(ends[c], ends[c + 1])
+            more, *rest = self._contrast(q[mine], target[mine], draws[c], m.unit, m.unit_bias, self.log_unit)
+            to_q[mine] += more
+            found.append(rest)
+        rows, values, ones = (np.concatenate(x) for x in zip(*found, strict=True))
+        grads += [_scatter(rows, values, UNITS), np.bincount(rows, ones, UNITS)]
+        grads[1] = np.stack([np.einsum("nd,nd->d", to_q, m.context[context[:, j]]) for j in range(CONTEXT)])
+        grads[0] = _scatter(context.T.ravel(), np.concatenate([to_q * w for w in m.weight]), UNITS)
+        for a, g, s in zip(m.arrays(), grads, self.seen, strict=True):
+            g = (g * (64 / n)).astype(np.float32)
             s += g * g
             a -= self.rate * g / np.sqrt(s)
         self.tokens += n
