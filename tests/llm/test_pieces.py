@@ -1,0 +1,61 @@
+import random
+
+import sentencepiece
+
+from wardwatch.llm import pieces
+from wardwatch.llm.common import table
+
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+
+
+def check(texts):
+    encoder = pieces.Encoder.of(pieces.default_model())
+    ids, at = encoder.encode(texts)
+    for i, t in enumerate(texts):
+        assert ids[at[i]: at[i + 1]].tolist() == LIBRARY.encode(t), t[:100]
+    assert encoder.decode(ids, at) == [t.replace("▁", " ") for t in texts]
+
+
+def test_awkward_texts():
+    check(["", "a", " ", "  ", "   a", "aaaaaaaaa", "Hello   world\n\nfoo\tbar  ", "é ﬁ Ａ  x​ <0x0A> <s> </s>",
+           "▁▁ a▁b", "　日本語 文字 \U0001F642\U0001F642", "\x00 \x7f", "    \n    \n", "  日", "  \U0001F642", "z" * 3000])
+
+
+def test_blank_runs():
+    check([" " * n for n in range(70)] + [" " * n + "the" for n in range(70)] + ["a" + " " * n + "日" for n in range(40)])
+
+
+def test_random_texts():
+    rng = random.Random(1)
+    for letters in ("abcdeéht  inor1\n", "aab ", "thequickbrown", "日本ab é"):
+        check(["".join(rng.choice(letters) for _ in range(rng.randint(0, 80))) for _ in range(400)])
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    from wardwatch.llm import spans
+    monkeypatch.setattr(spans, "KEPT", 10)
+    monkeypatch.setattr(pieces, "PAIRS", 20)
+    rng = random.Random(2)
+    for _ in range(30):
+        check(["".join(rng.choice("abcde ") for _ in range(60)) for _ in range(4)])
+
+
+def test_whole_table_round_trip(spark, tiny):
+    docs = table(spark, tiny, "documents")
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in pieces.encode(docs).collect():
+        assert r["ids"] == LIBRARY.encode(text[r["doc_id"]])
+    rows = pieces.round_trip(docs).collect()
+    assert len(rows) == len(text) and all(r["round_trip"] and r["decoded_crc32"] == r["text_crc32"] for r in rows)
+
+
+def test_awkward_rows(awkward, clashing, empty, spark):
+    rows = pieces.round_trip(awkward).collect()
+    assert len(rows) == awkward.count()
+    assert [r["doc_id"] for r in rows if not r["round_trip"]] == [107]          # has U+2581
+    assert {r["n_ids"] for r in rows if r["doc_id"] in (100, 101)} == {0}
+    assert pieces.encode(clashing).columns == ["doc_id", "ids", "ids_crc32", "text_crc32"]
+    assert pieces.round_trip(empty).count() == 0
+    lists = spark.createDataFrame([(1, None), (2, []), (3, [0x61 + 3, 259])], "k long, ids array<int>")
+    assert sorted((r["k"], r["n_ids"], r["text"]) for r in pieces.decode(lists).collect()) == [
+        (1, 0, ""), (2, 0, ""), (3, 2, LIBRARY.decode([0x61 + 3, 259]))]

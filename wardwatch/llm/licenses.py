@@ -38,6 +38,9 @@ MARKS = ["licen", "copyright", "spdx", "warrant", "redistribut", "permission", "
 QUALIFIERS = {"nc", "nd", "sa", "noncommercial", "sharealike", "noderivatives", "noderivs", "lesser",
               "library", "affero", "not", "no", "except"}
 
+#: What turns the wording that follows around.
+NEGATIONS = {"not", "no", "never"}
+
 # --- fixed values: the wording of public license notices ---------------------------
 #: id, words that must be there, text
 TEMPLATES: list[tuple[str, str, str]] = [
@@ -119,7 +122,8 @@ TEMPLATES: list[tuple[str, str, str]] = [
 # --- end of fixed values -------------------------------------------------------------
 
 _WORD = re.compile(r"[a-z0-9]+")
-_SENTENCE = re.compile(r"[^\n.;]*(?:[.;](?!\s|$)[^\n.;]*)*(?:[.;]+(?=\s|$))?")
+#: Up to the end of a line or of a sentence (not the dot after a single letter).
+_SENTENCE = re.compile(r"(?:[^\n.;]|[.;](?!\s|$)|(?<=\W[a-z])\.)+[.;]*|[.;]+")
 _MARK = re.compile("|".join(map(re.escape, MARKS)))
 
 
@@ -200,7 +204,8 @@ def _confirmed(words: list[str], best: list[tuple[int, int, Template]]):
         first, end, diff = differences(words, t)
         lost = {d[1:] for d in diff if d[0] == "-"} & t.needs
         added = {d[1:] for d in diff if d[0] == "+"} & (QUALIFIERS - set(t.words))
-        if saved > 0 and not lost and not added and len(diff) <= DIFFERENT * len(t.words):
+        refused = NEGATIONS & set(words[max(0, first - 3): first])
+        if saved > 0 and not refused and not lost and not added and len(diff) <= DIFFERENT * len(t.words):
             fit.append((len(diff), place, saved, size, t, first, end, diff))
     return min(fit, default=None, key=lambda f: f[:2])
 
