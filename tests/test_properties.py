@@ -82,6 +82,6 @@ def test_conservation_over_layers(spark, small):
     assert L.features.agg(F.sum("readings")).first()[0] == n_clean
     assert L.parsed.count() == L.bronze.count()
     assert L.silver.count() == L.clean.select("patient_id", "event_time").distinct().count()
-    fired = [rules.high_hr(), rules.low_spo2(), rules.high_bp(), rules.fever(), rules.fall()]
+    fired = [rules.fires(rule) for rule in rules.RULES]
     per_rule = L.clean.agg(*[F.count_if(c).alias(f"r{i}") for i, c in enumerate(fired)]).first()
     assert sum(per_rule) == L.alerts.count()

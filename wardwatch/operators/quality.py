@@ -25,11 +25,7 @@ def alert_share(clean: DataFrame) -> DataFrame:
     return (clean.agg(
                 F.count(F.lit(1)).alias("valid_readings"),
                 F.count_if(rules.abnormal_reading()).alias("with_alert"),
-                F.count_if(rules.high_hr()).alias("high_hr"),
-                F.count_if(rules.low_spo2()).alias("low_spo2"),
-                F.count_if(rules.high_bp()).alias("high_bp"),
-                F.count_if(rules.fever()).alias("fever"),
-                F.count_if(rules.fall()).alias("fall"))
+                *[F.count_if(rules.fires(rule)).alias(rule.kind.lower()) for rule in rules.RULES])
             .withColumn("share", F.try_divide(F.col("with_alert").cast("double"),
                                               F.col("valid_readings").cast("double"))))
 
