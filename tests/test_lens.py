@@ -56,3 +56,34 @@ def test_layer_columns_and_types_match_declared_schemas(spark, tiny):
         want = LAYER_SCHEMAS[table]
         assert df.columns == want.fieldNames(), table
         assert [f.dataType for f in df.schema.fields] == [f.dataType for f in want.fields], table
+
+
+def test_ids_of_any_length_stay_apart(spark, tmp_path):
+    """Keys beyond six digits, and events beyond a billion, in lens and oracle."""
+    import datetime as dt
+
+    from compare import duck, rows_duck, rows_spark
+    from wardwatch.plans.oracle import QUERIES
+    keys = [1, 100000, 1000000, 1000001, 1000002, 10000019]
+    stamp = dt.datetime(2024, 1, 3)
+    events = [(e, stamp + dt.timedelta(hours=i), keys[i % 6], "view", 1.5 * i)
+              for i, e in enumerate([97, 98, 194, 1_000_000_097, 1_000_000_163, 4 * 10 ** 11 + 1, 291, 388])]
+    spark.createDataFrame(events, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double") \
+        .coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(k, k % 5) for k in keys], "c_custkey bigint, c_nationkey int") \
+        .coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    L = Layers(spark, str(tmp_path))
+    assert L.patients.select("patient_id").distinct().count() == len(keys)
+    assert L.bronze.select("kafka_key").distinct().count() == len(keys)
+    place = ["topic", "kafka_partition", "kafka_offset"]
+    assert L.bronze.select(*place).distinct().count() == L.bronze.count()
+    con = duck(str(tmp_path))
+    for name, df in (("patients", L.patients), ("bronze_raw", L.bronze), ("silver_vitals", L.silver)):
+        assert rows_spark(df) == rows_duck(con, QUERIES[name])
+    assert {r["p"] for r in L.readings.selectExpr("profile as p").collect()} <= {"low", "medium", "high"}
+
+
+def test_profile_follows_the_whole_id(spark, small):
+    from wardwatch.sources import lens
+    df = spark.createDataFrame([("P-000017",), ("P-1000019",), ("P-100000005",)], "patient_id string")
+    assert [r[0] for r in df.select(lens.profile_of(F.col("patient_id"))).collect()] == ["high", "high", "low"]

@@ -49,8 +49,8 @@ b as (
   from e),
 rd as (
   select event_id,
-    concat('P-', lpad(cast(user_id as varchar),6,'0')) as patient_id,
-    concat('DEV-', lpad(cast(user_id as varchar),6,'0')) as device_id,
+    concat('P-', lpad(cast(user_id as varchar), cast(greatest(6, length(cast(user_id as varchar))) as integer), '0')) as patient_id,
+    concat('DEV-', lpad(cast(user_id as varchar), cast(greatest(6, length(cast(user_id as varchar))) as integer), '0')) as device_id,
     case when p<12 then 'low' when p<17 then 'medium' else 'high' end as profile,
     et_us,
     cast(case when event_id%400=1 then null when event_id%400=2 then -1
@@ -69,9 +69,9 @@ rd as (
     (event_type='purchase' and event_id%37=0) as fall_detected
   from b),
 m as (
-  select *, event_id as kafka_offset, et_us + (1+event_id%3)*1000000 as kafka_us from rd
+  select *, 2*event_id as kafka_offset, et_us + (1+event_id%3)*1000000 as kafka_us from rd
   union all
-  select *, 1000000000+event_id, et_us + (1+event_id%3+30)*1000000 from rd where event_id%97=0),
+  select *, 2*event_id+1, et_us + (1+event_id%3+30)*1000000 from rd where event_id%97=0),
 bronze as (
   select patient_id as kafka_key,
     concat('{{"patient_id": "', patient_id, '", "device_id": "', device_id,
@@ -84,7 +84,7 @@ bronze as (
            ', "steps": ', coalesce(cast(steps as varchar), 'null'),
            ', "fall_detected": ', coalesce(cast(fall_detected as varchar), 'null'), '}}') as raw_json,
     'vitals' as topic,
-    cast(cast(substr(patient_id, 3) as integer) % 3 as integer) as kafka_partition,
+    cast(cast(substr(patient_id, 3) as bigint) % 3 as integer) as kafka_partition,
     kafka_offset,
     make_timestamp(kafka_us) as kafka_time,
     cast(make_timestamp(kafka_us) as date) as ingest_date
@@ -171,14 +171,14 @@ labelled as (
     where avg_hr is not null and max_hr is not null and avg_spo2 is not null and min_spo2 is not null
       and avg_sys is not null and avg_dia is not null and avg_temp is not null and falls is not null)),
 patients as (
-  select concat('P-', lpad(cast(c_custkey as varchar),6,'0')) as patient_id,
+  select concat('P-', lpad(cast(c_custkey as varchar), cast(greatest(6, length(cast(c_custkey as varchar))) as integer), '0')) as patient_id,
          cast(22 + (c_custkey*37) % 64 as integer) as age,
          case when c_custkey % 2 = 0 then 'F' else 'M' end as gender,
          case c_nationkey % 4 when 0 then 'Cardiology' when 1 then 'General Medicine'
                               when 2 then 'Geriatrics' else 'Pulmonology' end as ward,
          case c_custkey % 4 when 0 then 'Smartwatch' when 1 then 'Fitness Band'
                             when 2 then 'ECG Patch' else 'BP Monitor' end as device_type,
-         concat('DEV-', lpad(cast(c_custkey as varchar),6,'0')) as device_id
+         concat('DEV-', lpad(cast(c_custkey as varchar), cast(greatest(6, length(cast(c_custkey as varchar))) as integer), '0')) as device_id
   from customer),
 recent as (
   select * from (select *, row_number() over (partition by patient_id order by window_start desc) as rn
@@ -415,6 +415,16 @@ select s.patient_id, s.event_time,
                                 % len + len) % len) as replay_time
 from silver s, bnd, clk""")
 
+_q("replay_alerts_shift", """
+, bnd as (select min(epoch_us(event_time)) as lo,
+                 max(epoch_us(event_time)) - min(epoch_us(event_time)) + 1000000 as len
+          from silver),
+  clk as (select epoch_us(timestamp '2025-06-01 12:00:00') as now_us)
+select a.alert_id, a.event_time, a.alert_time,
+       make_timestamp(now_us - ((((now_us % len + len) % len) - (epoch_us(a.event_time) - lo))
+                                % len + len) % len) as replay_time
+from alerts a, bnd, clk""")
+
 _SEGMENTS = """
 seg_t as (select epoch_us(event_time) as us from silver),
 seg_g as (select us, case when us - lag(us) over (order by us) > 240000 then 1 else 0 end as brk
@@ -481,8 +491,21 @@ from (select *, case cast(substr(patient_id, 3) as bigint) % 20 < 12 when true t
       from labelled)
 group by profile""")
 
+# --- model variant: what does not depend on the fitted model --------------------
+_TENTH = ("cast('0x' || substr(md5(concat_ws('|', patient_id, cast(epoch_us(window_start) as varchar))), 1, 8) "
+          "as bigint) % 10")
+_q("model_split", f"""
+select patient_id, window_start, case when {_TENTH} < 8 then 'train' else 'test' end as side
+from labelled""")
+
+_q("model_checks", f"""
+select p.n as patients, p.n as votes_agree, p.n as named, w.n as windows, w.train as train_windows,
+       w.n as scores_in_range, w.n - w.train as test_windows
+from (select count(distinct patient_id) as n from labelled) p,
+     (select count(*) as n, count(*) filter (where {_TENTH} < 8) as train from labelled) w""")
+
 # --- streaming layers (one available-now batch) --------------------------------
-_q("stream_silver", "select * exclude (kafka_time) from silver")
+_q("stream_silver", "select patient_id, event_time, event_date, true as delivered from silver")
 _q("stream_alerts", "select * from alerts")
 _q("stream_vitals_1min", """
 select * from features

@@ -27,7 +27,7 @@ TOPIC = "vitals"
 KAFKA_PARTITIONS = 3
 REDELIVERY_EVERY = 97             # event ids divisible by this arrive twice
 REDELIVERY_DELAY_S = 30
-ID_WIDTH = 6
+ID_WIDTH = 6                      # shorter ids are padded to it, longer ones stay whole
 # --- end of fixed values ------------------------------------------------------
 
 
@@ -40,13 +40,19 @@ def _cohort_sql(low: str, medium: str, high: str) -> str:
     return f"case when p < 12 then {low} when p < 17 then {medium} else {high} end"
 
 
-def padded_id(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), ID_WIDTH, "0"))
+def _padded_sql(key: str) -> str:
+    """At least ID_WIDTH digits; ``lpad`` alone would cut longer ids off."""
+    text = f"cast({key} as string)"
+    return f"lpad({text}, greatest({ID_WIDTH}, length({text})), '0')"
+
+
+def padded_id(prefix: str, key: str) -> Column:
+    return F.expr(f"concat('{prefix}', {_padded_sql(key)})")
 
 
 def profile_of(patient_id: Column) -> Column:
     """Hidden cohort of a lens patient (low / medium / high)."""
-    p = F.substring(patient_id, 3, ID_WIDTH).cast("bigint") % 20
+    p = F.substr(patient_id, F.lit(3)).cast("bigint") % 20
     return _cohort(p, F.lit("low"), F.lit("medium"), F.lit("high"))
 
 
@@ -54,8 +60,8 @@ def profile_of(patient_id: Column) -> Column:
 # instead of one per operator keeps plan construction cheap.
 _READING_EXPRS = [
     "event_id",
-    f"concat('P-', lpad(cast(user_id as string), {ID_WIDTH}, '0')) as patient_id",
-    f"concat('DEV-', lpad(cast(user_id as string), {ID_WIDTH}, '0')) as device_id",
+    f"concat('P-', {_padded_sql('user_id')}) as patient_id",
+    f"concat('DEV-', {_padded_sql('user_id')}) as device_id",
     f"{_cohort_sql(repr('low'), repr('medium'), repr('high'))} as profile",
     f"{BASE_US} + (us - {BASE_US}) div {TIME_COMPRESSION * 1000} * 1000 as et_us",
     f"""cast(case when event_id % 400 = 1 then null when event_id % 400 = 2 then -1
@@ -93,7 +99,7 @@ def readings(events: DataFrame) -> DataFrame:
                           "cast(round(value * 100) as bigint) as v", "user_id % 20 as p")
         .selectExpr(*_READING_EXPRS)
         .selectExpr("* except (copy)",
-                    "if(copy = 0, event_id, 1000000000 + event_id) as kafka_offset",
+                    "2 * event_id + copy as kafka_offset",       # unique at any event count
                     f"et_us + (1 + event_id % 3 + copy * {REDELIVERY_DELAY_S}) * 1000000 as kafka_us")
     )
 
@@ -120,7 +126,7 @@ def messages(events: DataFrame) -> DataFrame:
         "cast(patient_id as binary) as key",
         f"cast({READING_JSON} as binary) as value",
         f"'{TOPIC}' as topic",
-        f"cast(substring(patient_id, 3, {ID_WIDTH}) as int) % {KAFKA_PARTITIONS} as partition",
+        f"cast(cast(substring(patient_id, 3) as bigint) % {KAFKA_PARTITIONS} as int) as partition",
         "kafka_offset as offset",
         "timestamp_micros(kafka_us) as timestamp",
     )
@@ -130,7 +136,7 @@ def patients(customer: DataFrame) -> DataFrame:
     """Patient registry, one row per customer (patient_id is unique)."""
     k = F.col("c_custkey")
     return customer.select(
-        padded_id("P-", k).alias("patient_id"),
+        padded_id("P-", "c_custkey").alias("patient_id"),
         (22 + (k * 37) % 64).cast("int").alias("age"),
         F.when(k % 2 == 0, "F").otherwise("M").alias("gender"),
         F.when(F.col("c_nationkey") % 4 == 0, "Cardiology")
@@ -139,5 +145,5 @@ def patients(customer: DataFrame) -> DataFrame:
          .otherwise("Pulmonology").alias("ward"),
         F.when(k % 4 == 0, "Smartwatch").when(k % 4 == 1, "Fitness Band")
          .when(k % 4 == 2, "ECG Patch").otherwise("BP Monitor").alias("device_type"),
-        padded_id("DEV-", k).alias("device_id"),
+        padded_id("DEV-", "c_custkey").alias("device_id"),
     )
