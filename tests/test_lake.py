@@ -17,7 +17,7 @@ def built(spark, tiny):
     root = tempfile.mkdtemp(prefix="wardwatch-lake-test-")
     L = Layers(spark, tiny)
     L.silver.write.partitionBy("event_date").parquet(f"{root}/lake/vitals")
-    L.alerts.write.partitionBy("event_date").parquet(f"{root}/lake/alerts")
+    L.alerts.repartition(4).write.partitionBy("event_date").parquet(f"{root}/lake/alerts")
     lake.write_patients(L.patients, f"{root}/patients")
     return root, L
 
@@ -128,3 +128,63 @@ def test_recent_slice_skips_old_files(spark, built):
     fresh = files[len(files) // 2:]
     assert keep.count() == (spark.read.parquet(*fresh).count() if fresh else 0)
     assert keep.count() < L.alerts.count()
+
+
+@pytest.fixture()
+def damaged(spark, tmp_path, tiny):
+    """A layer of four files, one of them cut short."""
+    import glob
+    src = f"{tmp_path}/vitals"
+    Layers(spark, tiny).silver.repartition(4).write.partitionBy("event_date").parquet(src)
+    files = sorted(glob.glob(f"{src}/event_date=*/*.parquet"))
+    bad = files[1]
+    with open(bad, "r+b") as f:
+        f.truncate(os.path.getsize(bad) // 2)
+    os.remove(os.path.join(os.path.dirname(bad), f".{os.path.basename(bad)}.crc"))
+    return src, bad
+
+
+def test_an_unreadable_file_is_an_error_unless_left_out_by_name(spark, damaged, tiny):
+    src, bad = damaged
+    with pytest.raises(Exception):
+        lake.read_layer(spark, src, "vitals").count()
+    some = lake.read_layer(spark, src, "vitals", tolerant=True).count()
+    assert 0 < some < Layers(spark, tiny).silver.count()
+    (row,) = lake.skipped_files(spark, src, "vitals").collect()
+    assert row["file"].endswith(os.path.basename(bad)) and row["length"] == os.path.getsize(bad)
+
+
+def test_compaction_keeps_all_rows_or_fails(spark, damaged, tmp_path, built):
+    src, _ = damaged
+    root, L = built
+    dst = f"{tmp_path}/compacted/vitals"
+    before = lake.compact(spark, f"{root}/lake/vitals", "vitals", dst).count()
+    assert before == L.silver.count()
+    with pytest.raises(Exception):
+        lake.compact(spark, src, "vitals", dst)
+    assert lake.read_layer(spark, dst, "vitals").count() == before          # untouched
+
+
+def test_recent_slice_is_the_same_in_any_zone(spark, built):
+    root, L = built
+    now = L.silver.agg({"event_time": "max"}).first()[0].replace(tzinfo=dt.timezone.utc)
+    want = None
+    for hours in (0, 14, -11):
+        moved = now.astimezone(dt.timezone(dt.timedelta(hours=hours)))
+        n = lake.read_recent(spark, f"{root}/lake/vitals", "vitals", 2, moved).count()
+        want = n if want is None else want
+        assert n == want > 0
+    assert lake.read_recent(spark, f"{root}/lake/vitals", "vitals", 2, now.replace(tzinfo=None)).count() == want
+
+
+def test_newest_snapshot_is_the_last_written(spark, built, tmp_path):
+    root, L = built
+    snap = f"{tmp_path}/snap"
+    assert lake.newest_snapshot(spark, snap) is None
+    with pytest.raises(FileNotFoundError):
+        lake.read_snapshot(spark, snap)
+    for i, run in enumerate(("9", "10")):
+        lake.write_snapshot(L.patients.limit(i + 1), snap, run)
+        t = 1_700_000_000 + i
+        os.utime(f"{snap}/run_id={run}/_SUCCESS", (t, t))
+    assert lake.read_snapshot(spark, snap).count() == 2

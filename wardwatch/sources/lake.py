@@ -1,10 +1,11 @@
-"""Lake access: tolerant layer reader, external tables in the catalog, the
+"""Lake access: layer reader, external tables in the catalog, the
 recent-slice reader, the patients CSV, versioned snapshot writes and the
 layer inventory."""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,15 +20,27 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def read_layer(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_layer(spark: SparkSession, path: str, table: str, tolerant: bool = False,
+               **options: str) -> DataFrame:
     """A lake layer with its declared schema.  A missing folder reads as an
-    empty table (not UNABLE_TO_INFER_SCHEMA) and half-written files are
-    skipped; partition columns are recovered from the folder names."""
+    empty table (not UNABLE_TO_INFER_SCHEMA); partition columns are recovered
+    from the folder names.  A file that can't be read is an error: a streaming
+    sink's manifest lists finished files only.  ``tolerant`` leaves such files
+    out instead; :func:`skipped_files` names them."""
     schema = LAYER_SCHEMAS[table]
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    return (spark.read.schema(schema).option("ignoreCorruptFiles", "true")
-            .option("basePath", path).parquet(path))
+    return (spark.read.schema(schema).options(ignoreCorruptFiles=str(tolerant).lower(), basePath=path, **options)
+            .parquet(path))
+
+
+def skipped_files(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Files of a layer that a tolerant read got no row from: (file, length)."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*.parquet").load(path).select(F.col("path").alias("file"), "length"))
+    read = read_layer(spark, path, table, tolerant=True).select(
+        F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("file")).distinct()
+    return listed.withColumn("file", F.regexp_replace("file", "^file:/+", "file:/")).join(read, "file", "left_anti")
 
 
 def read_patients(spark: SparkSession, path: str) -> DataFrame:
@@ -72,25 +85,23 @@ def register_tables(spark: SparkSession, lake_root: str, patients_path: str | No
     return made
 
 
+def _time_column(table: str) -> str:
+    return {"raw_vitals": "kafka_time", "vitals_1min": "window_start"}.get(table, "event_time")
+
+
 def read_recent(spark: SparkSession, path: str, table: str, minutes: float,
                 now: dt.datetime) -> DataFrame:
     """Rows of the last ``minutes`` before ``now``: files modified since
     (now - minutes - 2 min), date partitions from that day on, then the
-    exact event-time cut."""
+    exact event-time cut.  ``now`` without a zone is UTC."""
+    now = now.replace(tzinfo=dt.timezone.utc) if now.tzinfo is None else now.astimezone(dt.timezone.utc)
     since = now - dt.timedelta(minutes=minutes)
     files_since = since - dt.timedelta(minutes=2)
-    layer = read_layer(spark, path, table)
-    if not _exists(spark, path):
-        return layer
-    part = LAYER_PARTITION[table]
-    time_col = "kafka_time" if table == "raw_vitals" else (
-        "window_start" if table == "vitals_1min" else "event_time")
-    df = (spark.read.schema(LAYER_SCHEMAS[table]).option("ignoreCorruptFiles", "true")
-          .option("basePath", path)
-          .option("modifiedAfter", files_since.strftime("%Y-%m-%dT%H:%M:%S"))
-          .parquet(path))
-    return (df.filter(F.col(part) >= F.lit(since.date()))
-              .filter(F.col(time_col) >= F.lit(since)))
+    layer = read_layer(spark, path, table, modifiedAfter=files_since.strftime("%Y-%m-%dT%H:%M:%S"),
+                       timeZone="UTC")
+    since_us = round((since - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) / dt.timedelta(microseconds=1))
+    return (layer.filter(F.col(LAYER_PARTITION[table]) >= F.lit(since.date()))
+            .filter(F.col(_time_column(table)) >= F.timestamp_micros(F.lit(since_us))))
 
 
 def write_snapshot(df: DataFrame, root: str, run_id: str | None = None) -> str:
@@ -103,18 +114,28 @@ def write_snapshot(df: DataFrame, root: str, run_id: str | None = None) -> str:
     return path
 
 
-def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The newest snapshot written by :func:`write_snapshot` (a folder is
-    complete when its _SUCCESS marker exists)."""
+def newest_snapshot(spark: SparkSession, root: str) -> str | None:
+    """Folder of the newest snapshot by the time its _SUCCESS marker was written
+    (a folder without one is not complete); None if there is none."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(root)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    runs = sorted(s.getPath().getName() for s in fs.listStatus(p)
-                  if s.isDirectory() and s.getPath().getName().startswith("run_id=")
-                  and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
-    if not runs:
+    if not fs.exists(p):
+        return None
+    found = []
+    for s in fs.listStatus(p):
+        name, marker = s.getPath().getName(), jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")
+        if s.isDirectory() and name.startswith("run_id=") and fs.exists(marker):
+            found.append((fs.getFileStatus(marker).getModificationTime(), len(name), name))
+    return f"{root.rstrip('/')}/{max(found)[2]}" if found else None
+
+
+def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
+    """The newest snapshot written by :func:`write_snapshot`."""
+    path = newest_snapshot(spark, root)
+    if path is None:
         raise FileNotFoundError(f"no complete snapshot under {root}")
-    return spark.read.parquet(f"{root.rstrip('/')}/{runs[-1]}")
+    return spark.read.parquet(path)
 
 
 def register_snapshot(spark: SparkSession, root: str, table: str = "patient_risk",
@@ -122,8 +143,9 @@ def register_snapshot(spark: SparkSession, root: str, table: str = "patient_risk
     """Expose the newest complete snapshot under ``root`` as ``database.table``
     (an external table re-pointed at each new run), so SQL text written
     against the lake tables - e.g. the risk-mix report - runs unchanged."""
-    newest = read_snapshot(spark, root)
-    path = newest.inputFiles()[0].rsplit("/", 1)[0]
+    path = newest_snapshot(spark, root)
+    if path is None:
+        raise FileNotFoundError(f"no complete snapshot under {root}")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
     spark.sql(f"CREATE TABLE {database}.{table} USING PARQUET LOCATION '{path}'")
@@ -133,19 +155,22 @@ def register_snapshot(spark: SparkSession, root: str, table: str = "patient_risk
 def inventory(spark: SparkSession, layers: dict[str, tuple[str, str, str]]) -> DataFrame:
     """Per layer: files, rows, newest write - from the scan's file metadata.
 
-    ``layers`` maps a name to (layer, table, path).  Only ``_metadata`` is
-    read, so row counts come from Parquet footers; the layers are a union of
-    small per-file aggregates.
+    ``layers`` maps a name to (layer, table, path); of a table that is written as
+    snapshots (any but the four layers) the newest one counts.  Only
+    ``_metadata`` is read, so row counts come from Parquet footers; the layers
+    are a union of small per-file aggregates.
     """
     parts = []
     for layer, table, path in layers.values():
-        if not _exists(spark, path):
+        if table not in LAYER_SCHEMAS:
+            path = newest_snapshot(spark, path)
+        if path is None or not _exists(spark, path):
             parts.append(spark.createDataFrame(
                 [(layer, table, 0, 0, None)],
                 "layer string, table string, parquet_files bigint, rows bigint, "
                 "last_write timestamp"))
             continue
-        df = read_layer(spark, path, table)
+        df = read_layer(spark, path, table) if table in LAYER_SCHEMAS else spark.read.parquet(path)
         per_file = (df.select(F.col("_metadata.file_path").alias("f"),
                               F.col("_metadata.file_modification_time").alias("m"))
                     .groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.max("m").alias("m")))
@@ -167,15 +192,27 @@ def compact(spark: SparkSession, src: str, table: str, dst: str,
 
     Rows are range-clustered by (partition column, time) so each output file
     covers one date and a time range; ``maxRecordsPerFile`` bounds file size.
+    The copy is written beside ``dst`` and takes its place only when it has every
+    row; an unreadable source file is an error, and then ``dst`` stays as it was.
     Returns the compacted layer read back.
     """
-    part = LAYER_PARTITION[table]
-    time_col = {"raw_vitals": "kafka_time", "vitals_1min": "window_start"}.get(table, "event_time")
+    part, time_col = LAYER_PARTITION[table], _time_column(table)
     layer = read_layer(spark, src, table)
+    staged = f"{dst.rstrip('/')}.staged-{uuid.uuid4().hex[:12]}"
     (layer.repartitionByRange(part, time_col)
           .sortWithinPartitions(part, time_col)
-          .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
-          .partitionBy(part).parquet(dst))
+          .write.option("maxRecordsPerFile", rows_per_file)
+          .partitionBy(part).parquet(staged))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(dst).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had, has = layer.count(), read_layer(spark, staged, table).count()
+    if had != has:
+        fs.delete(path(staged), True)
+        raise RuntimeError(f"{src} has {had} rows, its copy {has}: not published")
+    fs.delete(path(dst), True)
+    fs.mkdirs(path(dst).getParent())
+    if not fs.rename(path(staged), path(dst)):
+        raise RuntimeError(f"could not publish {staged} as {dst}")
     return read_layer(spark, dst, table)
 
 
