@@ -104,8 +104,9 @@ def test_alerts_stream_equals_batch(spark, workdir, tiny):
 def test_kafka_options():
     o = job.kafka_options("broker:9092", "vitals")
     assert o == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "vitals",
-                 "startingOffsets": "earliest", "failOnDataLoss": "false",
-                 "maxOffsetsPerTrigger": "20000"}
+                 "startingOffsets": "earliest", "failOnDataLoss": "true"}
+    assert job.kafka_options("b", "t", max_offsets_per_trigger=9, fail_on_data_loss=False).items() >= {
+        "failOnDataLoss": "false", "maxOffsetsPerTrigger": "9"}.items()
 
 
 def test_command_line_once_writes_all_four_layers(spark, workdir, tiny):
@@ -150,3 +151,41 @@ def test_running_queries_pick_up_new_files(spark, workdir):
          for name, t in job.TABLES.items()}
     assert n["raw_vitals"] == 3 and n["vitals"] == 3 and n["alerts"] == 1
     assert n["vitals_1min"] == 1        # window 00:00 closed by the 00:03 reading; 00:03 still open
+
+
+def test_files_of_a_batch_are_bounded(spark, workdir):
+    """However many tasks hold the rows, a date gets at most files_per_date files."""
+    import glob
+    src = os.path.join(workdir, "in")
+    rows = [msg(i, at(0, 10) + dt.timedelta(days=i % 3), patient=f"P-{i}", hr=150.0) for i in range(300)]
+    write_batches(src, [rows[:100], rows[100:200], rows[200:]])
+    sink = job.Sink(os.path.join(workdir, "lake"), os.path.join(workdir, "ckpt"), files_per_date=2)
+    for name in ("bronze_raw_vitals", "gold_alerts"):
+        job.run_bounded(spark, job.file_source(spark, src), sink, only=[name])
+        for date in glob.glob(sink.path(name) + "/*_date=*"):
+            assert 1 <= len(glob.glob(date + "/*.parquet")) <= 2
+        assert lake.read_layer(spark, sink.path(name), job.TABLES[name]).count() == 300
+
+
+def test_a_failing_layer_stops_the_others(spark, workdir):
+    src = os.path.join(workdir, "in")
+    write_batches(src, [[msg(0, at(0, 10))]])
+    sink = job.Sink(os.path.join(workdir, "lake"), os.path.join(workdir, "ckpt"))
+    os.makedirs(os.path.dirname(sink.path("gold_alerts")))
+    with open(sink.path("gold_alerts"), "w") as f:        # a file where the layer's folder should be
+        f.write("x")
+    with pytest.raises(Exception):
+        job.run_bounded(spark, job.file_source(spark, src), sink)
+    assert not spark.streams.active
+
+
+def test_scratch_folders_end_with_the_driver(tmp_path):
+    import subprocess
+    import sys
+    code = ("from wardwatch.session import build, scratch; s = build('local[1]', 1, "
+            f"spark__checkpoint__dir='file://{tmp_path}/shared'); p = scratch(s, 'x'); s.range(3).write.parquet(p + '/t'); "
+            "print('AT', p); s.stop()")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout
+    path = out.split("AT ")[1].strip().removeprefix("file:")
+    assert path.startswith(str(tmp_path)) and not os.path.exists(path)

@@ -66,6 +66,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared folder (one per run, never reused)."""
-    base = shared_dir(spark)
-    return base.rstrip("/") + f"/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, empty sub-folder of the shared folder (one per run, never reused);
+    it is deleted when the driver ends.  Tables go below it."""
+    path = shared_dir(spark).rstrip("/") + f"/{name}-{uuid.uuid4().hex[:12]}"
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:                # no context access (Connect): the folder stays
+        return path
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    fs.mkdirs(folder)                # only a folder that exists can be marked
+    fs.deleteOnExit(folder)
+    return path

@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.schema import MESSAGE_SCHEMA
@@ -31,8 +32,10 @@ WINDOW_WATERMARK = "1 minute"
 
 
 def kafka_options(bootstrap: str, topic: str, starting_offsets: str = "earliest",
-                  max_offsets_per_trigger: int | None = 20000,
-                  fail_on_data_loss: bool = False) -> dict[str, str]:
+                  max_offsets_per_trigger: int | None = None,
+                  fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Offsets that have aged out stop the query unless ``fail_on_data_loss`` is
+    off; a batch takes all there is unless ``max_offsets_per_trigger`` throttles."""
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
             "startingOffsets": starting_offsets,
             "failOnDataLoss": str(fail_on_data_loss).lower()}
@@ -73,8 +76,11 @@ def layers(messages: DataFrame, alert_time: Column | None = None) -> dict[str, D
 
 @dataclass
 class Sink:
+    """Where the layers go.  A batch writes at most ``files_per_date`` files for
+    each date in it."""
     lake_root: str
     checkpoint_root: str
+    files_per_date: int = 4
 
     def path(self, name: str) -> str:
         return f"{self.lake_root.rstrip('/')}/{TABLES[name]}"
@@ -87,14 +93,18 @@ def start(df: DataFrame, name: str, sink: Sink, trigger: str | None = None,
           available_now: bool = False) -> StreamingQuery:
     """Append ``df`` as date-partitioned Parquet with its own checkpoint.
 
-    No ``coalesce(1)``: that would run parse and rules in one task.  Files
-    per batch = tasks x dates; compaction belongs to a batch job writing to a
-    different folder (a file-sink folder only exposes files in its manifest).
+    No ``coalesce(1)``: that would run parse and rules in one task.  Instead the
+    rows that are left are dealt by (date, hash) before the write, so a batch's
+    files don't grow with its tasks; compaction belongs to a batch job writing to
+    a different folder (a file-sink folder only exposes files in its manifest).
     """
+    date = PARTITION[name]
+    deal = F.pmod(F.xxhash64(*[c for c in df.columns if c != date]), F.lit(sink.files_per_date))
+    df = df.repartition(date, deal)
     w = (df.writeStream.queryName(name).format("parquet")
          .option("path", sink.path(name))
          .option("checkpointLocation", sink.checkpoint(name))
-         .partitionBy(PARTITION[name]).outputMode("append"))
+         .partitionBy(date).outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger or TRIGGERS[name])
     return w.start()
 
@@ -104,14 +114,35 @@ def start_all(messages: DataFrame, sink: Sink, available_now: bool = False,
     """Start the (selected) four layer queries; they share code, not execution:
     each reads the source with its own offsets and checkpoint."""
     dfs = layers(messages, alert_time)
-    return [start(df, name, sink, available_now=available_now)
-            for name, df in dfs.items() if only is None or name in only]
+    started: list[StreamingQuery] = []
+    try:
+        for name, df in dfs.items():
+            if only is None or name in only:
+                started.append(start(df, name, sink, available_now=available_now))
+    except Exception:
+        for q in started:
+            q.stop()
+        raise
+    return started
 
 
 def run_bounded(spark: SparkSession, messages: DataFrame, sink: Sink,
                 alert_time: Column | None = None, only: list[str] | None = None) -> None:
-    """Process everything available now and stop (a replay / backfill run)."""
-    for q in start_all(messages, sink, available_now=True, alert_time=alert_time, only=only):
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+    """Process everything available now and stop (a replay / backfill run).  If
+    one layer fails, the others are stopped too.  One-minute windows that the
+    watermark has not passed at the end stay in the state, unwritten."""
+    started = start_all(messages, sink, available_now=True, alert_time=alert_time, only=only)
+    try:
+        for q in started:
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise q.exception()
+    finally:
+        for q in started:
+            q.stop()
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keep de-dup and window state off-heap, for many patients."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
