@@ -23,7 +23,9 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con.execute("SET TimeZone='UTC'")
     for t in TABLES:
         path = os.path.join(sf_dir, f"{t}.parquet")
-        if os.path.exists(path):
+        if os.path.isdir(path):
+            path += "/*.parquet"
+        if os.path.exists(path.removesuffix("/*.parquet")):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
     return con
 

@@ -45,9 +45,9 @@ def test_two_class_training_set_scores_without_error(labelled):
 
 
 def test_fewer_patients_than_clusters(spark, labelled):
-    few = risk.cluster_features(labelled).limit(2)
-    assert ml.cluster(few) is None
-    pr = ml.assemble(risk.rule_scored(labelled), None, dt.datetime(2026, 1, 1))
+    few = ml.cluster(risk.cluster_features(labelled).limit(2))
+    assert few.count() == 2 and few.filter("cluster is not null or cluster_group is not null").count() == 0
+    pr = ml.assemble(risk.rule_scored(labelled), few, dt.datetime(2026, 1, 1))
     assert pr.filter(F.col("cluster").isNotNull()).count() == 0
 
 
@@ -88,7 +88,9 @@ def test_run_round_outputs(spark, labelled):
     m = r.metrics.first()
     assert m["training_windows"] == r.trained.train_windows
     assert set(m["label_distribution"]) <= {"Low", "Medium", "High"}
-    assert "feature " not in m["tree_rules"] and "Predict: " in m["tree_rules"]
+    tree = r.trained.model.stages[-1]
+    leaves = (tree.numNodes + 1) // 2
+    assert m["tree_rules"].count("Predict: ") == leaves and m["tree_rules"].count(" <= ") == leaves - 1
     assert sum(m["patient_risk_counts"].values()) == pr.count()
 
 
@@ -129,3 +131,20 @@ def test_kpi_row_carries_model_accuracy(spark, labelled):
                                        "severity string, latency_sec double")
     row = monitor.kpi_row(silver, alerts, r.patient_risk, metrics=r.metrics).first()
     assert row["model_accuracy"] == r.metrics.first()["accuracy"]
+
+
+def test_scored_at_is_the_same_instant_in_any_zone(spark, labelled):
+    scored = risk.rule_scored(labelled)
+    none = ml.cluster(risk.cluster_features(labelled).limit(2))
+    utc = dt.datetime(2026, 1, 1, 12, tzinfo=dt.timezone.utc)
+    for now in (utc, utc.astimezone(dt.timezone(dt.timedelta(hours=14))), utc.replace(tzinfo=None)):
+        row = ml.assemble(scored, none, now).select(F.date_format("scored_at", "yyyy-MM-dd HH:mm").alias("t")).first()
+        assert row["t"] == "2026-01-01 12:00"
+
+
+@pytest.mark.parametrize("name", ["patient_clusters", "patient_risk", "model_metrics", "window_scores",
+                                  "risk_model_eval", "model_checks"])
+def test_a_round_reads_its_input_once(spark, small, reads, name):
+    from wardwatch.plans.catalog import CATALOG
+    events = spark.read.parquet(f"{small}/events.parquet").count()
+    assert reads(lambda: CATALOG[name](spark, small), small) == events

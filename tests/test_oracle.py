@@ -1,20 +1,15 @@
 """Every SQL-expressible query against its independent DuckDB text."""
 
-import os
-
 import pytest
 
 from compare import compare, duck
 from wardwatch.plans.catalog import CATALOG
+from wardwatch.plans.layers import INPUT_PARTITIONS
 from wardwatch.plans.oracle import QUERIES
 
-SQL_KEYS = [k for k in CATALOG if k in QUERIES]
-SMALL_KEYS = ["silver_vitals", "alerts", "vitals_1min", "q1_patient_vitals", "q2_alert_counts",
-              "q3_top_risky", "q4_ward_hourly", "q5_daily_summary", "q7_risk_mix",
-              "patient_risk_rules", "cluster_features", "gap_segments", "replay_alerts",
-              "kpi_row", "label_agreement"]
-
+LARGE = "/root/testdata/sf0.1"
 
+SQL_KEYS = [k for k in CATALOG if k in QUERIES]
 def test_every_query_is_registered_with_an_oracle_or_is_model_or_stream():
     rows_only = {"risk_model_eval", "window_scores", "patient_clusters", "patient_risk",
                  "model_metrics"}
@@ -38,20 +33,21 @@ def test_matches_oracle_sf0001(spark, tiny, con_tiny, name):
     assert ok, msg
 
 
-@pytest.mark.parametrize("name", SMALL_KEYS)
+@pytest.mark.parametrize("name", SQL_KEYS)
 def test_matches_oracle_sf001(spark, small, con_small, name):
     ok, msg = compare(spark, name, small, con_small)
     assert ok, msg
 
 
-# stream_silver keeps the first copy to arrive; at sf0.1 seven (patient, time)
-# keys carry two different readings, so only its keys are comparable there.
-SF01_KEYS = [k for k in SQL_KEYS if k != "stream_silver"]
+@pytest.fixture(scope="module")
+def dealt_out(spark):
+    """The one-file events of sf0.1, dealt out over the test's cores."""
+    spark.conf.set(INPUT_PARTITIONS, "8")
+    yield duck(LARGE)
+    spark.conf.unset(INPUT_PARTITIONS)
 
 
-@pytest.mark.skipif(not os.environ.get("WARDWATCH_SF01"), reason="set WARDWATCH_SF01=1 (slow)")
-@pytest.mark.parametrize("name", SF01_KEYS)
-def test_matches_oracle_sf01(spark, name):
-    sf = "/root/testdata/sf0.1"
-    ok, msg = compare(spark, name, sf, duck(sf))
+@pytest.mark.parametrize("name", SQL_KEYS)
+def test_matches_oracle_sf01(spark, dealt_out, name):
+    ok, msg = compare(spark, name, LARGE, dealt_out)
     assert ok, msg

@@ -1,6 +1,8 @@
 """Plan shape: pruning reaches the scan, partial aggregation before every
 shuffle of a hot key, window group limit, bounded broadcasts only."""
 
+import pytest
+
 from wardwatch.operators import replay, risk
 from wardwatch.plans.catalog import CATALOG
 from wardwatch.plans.layers import Layers
@@ -18,7 +20,8 @@ def test_scan_reads_only_used_columns(spark, tiny):
 
 def test_dedup_and_features_combine_map_side(spark, tiny):
     L = Layers(spark, tiny)
-    assert "partial_min" in plan(L.silver)
+    p = plan(L.silver)
+    assert p.count("SortAggregate") == 2 and "partial_min" in p     # see PLANS.md on the choice
     p = plan(L.features)
     assert "partial_count" in p and "partial_avg" in p
 
@@ -64,3 +67,24 @@ def test_bucketed_copies_group_and_join_without_shuffle(spark, tiny):
     body = p[p.index("SortMergeJoin") if "SortMergeJoin" in p else 0:]
     assert "Exchange hashpartitioning" not in body        # aggregate and join are co-located
     assert out.count() == reports.q1_patient_vitals(L.silver, L.patients).count()
+
+
+@pytest.mark.parametrize("name,most", [
+    ("kpi_row", 1), ("focus_patient", 1), ("vital_series", 1), ("alerts_by_type", 2), ("newest_alerts", 2),
+    ("gap_segments", 1), ("longest_segment", 1), ("replay_slice", 2), ("replay_alerts", 2),
+    ("replay_shift", 2), ("replay_alerts_shift", 2), ("reconcile_layers", 2), ("q6_data_quality", 2),
+    ("q3_top_risky", 1), ("patient_risk_rules", 1)])
+def test_input_is_read_this_often(spark, tiny, reads, name, most):
+    """With the scan's own splits: no repartition that branches could share."""
+    events = spark.read.parquet(f"{tiny}/events.parquet").count()
+    assert 0 < reads(lambda: CATALOG[name](spark, tiny), tiny) <= most * events
+
+
+def test_input_is_dealt_out_only_on_request(spark, tiny):
+    assert "Exchange" not in plan(Layers(spark, tiny).messages)
+    assert "hashpartitioning(event_id" in plan(Layers(spark, tiny, input_partitions=3).messages)
+
+
+def test_focus_patient_filters_below_the_dedup(spark, tiny):
+    p = plan(CATALOG["vital_series"](spark, tiny))
+    assert "LeftSemi" not in p

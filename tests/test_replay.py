@@ -59,7 +59,7 @@ def test_longest_and_slice_and_alerts(spark):
     sl = replay.replay_slice(silver, replay.longest_segment(segments), trail_minutes=0.25)
     assert sorted((r["event_time"] - base).total_seconds() for r in sl.collect()) == [10, 20]
     alerts = silver.withColumn("alert_id", F.lit("x"))
-    assert replay.replay_alerts(alerts, sl).count() == 2
+    assert replay.replay_alerts(alerts, replay.longest_segment(segments), 0.25).count() == 2
 
 
 def test_replay_shift_loops_onto_the_clock(spark):
@@ -78,10 +78,20 @@ def test_export_bundle(spark, tiny):
     import tempfile
     from wardwatch.operators import risk
     from wardwatch.plans.layers import Layers
+    from wardwatch.sources import lake
     L = Layers(spark, tiny)
     out = tempfile.mkdtemp(prefix="wardwatch-bundle-test-")
-    paths = replay.export_bundle(L.silver, L.alerts, risk.patient_risk(risk.rule_scored(L.labelled)),
-                                 out, gap_ms=240, trail_minutes=0.5)
+    L.silver.write.partitionBy("event_date").parquet(f"{out}/lake/vitals")
+    risk_table = risk.patient_risk(risk.rule_scored(L.labelled))
+    lake.write_snapshot(risk_table, f"{out}/lake/patient_risk", "1")
+    lake.write_snapshot(risk_table.limit(4), f"{out}/lake/patient_risk", "2")
+    layers = lake.inventory(spark, {"silver": ("Silver", "vitals", f"{out}/lake/vitals"),
+                                    "risk": ("Gold", "patient_risk", f"{out}/lake/patient_risk"),
+                                    "none": ("Gold", "model", f"{out}/lake/none")})
+    metrics = spark.createDataFrame([(0.5, 3)], "accuracy double, windows bigint")
+    paths = replay.export_bundle(L.silver, L.alerts, risk_table, L.patients, metrics, layers,
+                                 f"{out}/bundle", gap_ms=240, trail_minutes=0.5)
+    assert sorted(paths) == ["alerts", "model_metrics", "patient_risk", "patients", "recording", "vitals"]
     v = spark.read.parquet(paths["vitals"])
     a = spark.read.parquet(paths["alerts"])
     assert v.count() == replay.replay_slice(
@@ -90,6 +100,33 @@ def test_export_bundle(spark, tiny):
     assert a.filter((F.col("event_time") < lo) | (F.col("event_time") > hi)).count() == 0
     assert "event_date" not in v.columns and "event_date" not in a.columns
     assert spark.read.parquet(paths["patient_risk"]).count() > 0
+    assert spark.read.parquet(paths["patients"]).count() == L.patients.count()
+    assert spark.read.json(paths["model_metrics"]).first()["accuracy"] == 0.5
+    told = spark.read.schema("recorded_from timestamp, recorded_to timestamp, "
+                             "layers array<struct<table: string, rows: bigint, parquet_files: bigint>>") \
+        .json(paths["recording"]).first()
+    assert (told["recorded_from"], told["recorded_to"]) == (lo, hi)
+    assert {x["table"]: x["rows"] for x in told["layers"]} == {
+        "vitals": L.silver.count(), "patient_risk": 4, "model": 0}        # the newest snapshot
+
+
+def test_alerts_play_with_their_readings(spark):
+    """Alerts at 10 to 30 s of a recording of 0 to 40 s: on the same clock."""
+    base = dt.datetime(2026, 1, 1)
+    silver = times_df(spark, [0, 10, 20, 30, 40])
+    alerts = times_df(spark, [10, 20, 30])
+    now = F.lit(dt.datetime(2026, 3, 1, 0, 0, 7))
+    clock = replay.recording(silver)
+    played = {r["event_time"]: r["replay_time"] for r in replay.replay_shift(silver, now, clock).collect()}
+    for r in replay.replay_shift(alerts, now, clock).collect():
+        assert played[r["event_time"]] == r["replay_time"]
+    assert base in played
+
+
+def test_blocks_grow_with_the_root_of_the_range(spark):
+    secs = [0.0, 0.001, 5000.0, 5000.001, 100000.0]
+    df = times_df(spark, secs)
+    assert [r["readings"] for r in replay.gap_segments(df, 1).orderBy("segment").collect()] == [2, 2, 1]
 
 
 def test_gap_segments_agree_with_session_windows(spark):

@@ -70,3 +70,13 @@ def test_kpi_row_without_alerts_in_window(spark):
     assert r["patients_active"] == 1 and r["silver_rows"] == 3
     assert r["avg_latency_sec"] is None and r["critical_alerts"] == 0
     assert r["high_risk_patients"] == 1
+
+
+def test_q4_counts_a_patient_once_even_if_registered_twice(spark, tiny):
+    from wardwatch.operators import reports
+    from wardwatch.plans.layers import Layers
+    L = Layers(spark, tiny)
+    once = {(r["ward"], r["hour_utc"]): r["patients"] for r in reports.q4_ward_hourly(L.features, L.patients).collect()}
+    doubled = L.patients.union(L.patients)
+    twice = {(r["ward"], r["hour_utc"]): r["patients"] for r in reports.q4_ward_hourly(L.features, doubled).collect()}
+    assert once == twice

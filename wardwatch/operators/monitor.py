@@ -2,7 +2,8 @@
 series with breach flags, alerts by type, newest alerts, risk board.
 
 "Now" is a parameter (``as_of`` Column); by default the newest event time of
-Silver, so results are reproducible.  Scalars are scalar subqueries (one
+Silver, so results are reproducible.  (The newest clean reading has the same
+time and needs no de-duplication: pass that where it is at hand.)  Scalars are scalar subqueries (one
 small job each, inlined), never collected to the driver.
 """
 
@@ -81,16 +82,12 @@ def vital_series(silver: DataFrame, focus: DataFrame, minutes: float = HISTORY_M
     """Ordered (time, metric, value, threshold, breach) of the focus patient:
     heart rate against its high limit, SpO2 against its low limit."""
     now = as_of if as_of is not None else newest(silver)
-    one = history(silver, minutes_before(now, minutes)).join(
-        F.broadcast(focus.select("patient_id")), "patient_id", "left_semi")
-    series = F.array(
-        F.struct(F.lit("heart_rate").alias("metric"), F.col("heart_rate").alias("value"),
-                 F.lit(float(rules.HIGH_HR_LIMIT)).alias("threshold"),
-                 rules.high_hr().alias("breach")),
-        F.struct(F.lit("spo2").alias("metric"), F.col("spo2").alias("value"),
-                 F.lit(float(rules.LOW_SPO2_LIMIT)).alias("threshold"),
-                 rules.low_spo2().alias("breach")),
-    )
+    # a scalar predicate on the de-dup key, which filters below the de-dup
+    one = history(silver.filter(F.col("patient_id") == focus.agg(F.max("patient_id")).scalar()),
+                  minutes_before(now, minutes))
+    series = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value"),
+                                F.lit(float(rules.LIMITS[c].warn)).alias("threshold"),
+                                rules.beyond(c).alias("breach")) for c in ("heart_rate", "spo2")])
     return (one.select("patient_id", "event_time", F.inline(series))
             .orderBy("metric", "event_time"))
 

@@ -19,42 +19,66 @@ unpartitioned window would pull into one task.  Instead:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch
+
 GAP_SECONDS = 20
 TRAIL_MINUTES = 30
 
 
-def replay_shift(df: DataFrame, now: Column, col: str = "event_time") -> DataFrame:
-    """Move a recording onto a clock that loops it: each row gets the time it
-    was last played at ``now``; length L = span + 1 s, position = now mod L.
-    Integer microseconds, ``pmod`` keeps the result in (now - L, now]."""
+def recording(silver: DataFrame, col: str = "event_time") -> Column:
+    """The recording's clock as a scalar struct: ``lo``, its first time, and ``len``,
+    its span + 1 s, in integer microseconds.  Every layer replayed together takes
+    the one of Silver, or an alert would not play with its reading."""
     us = F.unix_micros(col)
-    b = df.agg(F.struct(F.min(us).alias("lo"),
-                        (F.max(us) - F.min(us) + F.lit(1_000_000)).alias("len"))).scalar()
-    lo, length = b["lo"], b["len"]
+    return silver.agg(F.struct(F.min(us).alias("lo"),
+                               (F.max(us) - F.min(us) + F.lit(1_000_000)).alias("len"))).scalar()
+
+
+def replay_shift(df: DataFrame, now: Column, clock: Column | None = None,
+                 col: str = "event_time") -> DataFrame:
+    """Move a recording onto a clock that loops it: each row gets the time it
+    was last played at ``now``, position = now mod length.  ``clock`` is the
+    :func:`recording` it belongs to (by default its own).  Integer microseconds;
+    ``pmod`` keeps the result in (now - length, now]."""
+    clock = recording(df, col) if clock is None else clock
     now_us = F.unix_micros(now)
-    shifted = now_us - F.pmod(F.pmod(now_us, length) - (us - lo), length)
-    return df.withColumn("replay_time", F.timestamp_micros(shifted))
+    behind = F.pmod(F.pmod(now_us, clock["len"]) - (F.unix_micros(col) - clock["lo"]), clock["len"])
+    return df.withColumn("replay_time", F.timestamp_micros(now_us - behind))
 
 
 def gap_segments(df: DataFrame, gap_ms: int = GAP_SECONDS * 1000, col: str = "event_time",
-                 block: int = 4096) -> DataFrame:
+                 block: int | None = None) -> DataFrame:
     """Segments of ``col`` split where consecutive times are more than
     ``gap_ms`` apart (equal gaps stay together): segment number (1-based,
-    time order), first and last time, rows, duration in seconds."""
+    time order), first and last time, rows, duration in seconds.
+
+    ``df`` is read once: the bucket table, at most span / gap rows, is written and
+    the rest works on it.  ``block`` defaults to the root of the buckets' range, so
+    the one globally ordered step and the largest block both grow with the root
+    of span / gap.
+    """
     g = int(gap_ms) * 1000
     t = df.select(F.unix_micros(col).alias("t")).filter(F.col("t").isNotNull())
-    buckets = (t.groupBy(F.expr(f"t div {g}").alias("b"))
-                .agg(F.min("t").alias("lo"), F.max("t").alias("hi"), F.count(F.lit(1)).alias("n")))
+    path = scratch(df.sparkSession, "buckets") + "/t"
+    (t.groupBy(F.expr(f"t div {g}").alias("b"))
+      .agg(F.min("t").alias("lo"), F.max("t").alias("hi"), F.count(F.lit(1)).alias("n"))
+      .write.parquet(path))
+    buckets = df.sparkSession.read.schema("b bigint, lo bigint, hi bigint, n bigint").parquet(path)
+    if block is None:
+        first, last = buckets.agg(F.min("b"), F.max("b")).first()
+        block = max(4096, math.isqrt((last or 0) - (first or 0)))
     before = buckets.select((F.col("b") + 1).alias("b"), F.col("hi").alias("prev_hi"))
     flagged = (buckets.join(before, "b", "left")
                .withColumn("start", (F.col("prev_hi").isNull()
                                      | (F.col("lo") - F.col("prev_hi") > g)).cast("int"))
                .withColumn("blk", F.expr(f"b div {block}")))
     per_block = flagged.groupBy("blk").agg(F.sum("start").alias("starts"))
-    # block table: span / gap / block rows - the only globally ordered step
+    # one row a block: the only globally ordered step
     offsets = per_block.withColumn(
         "before", F.sum("starts").over(Window.orderBy("blk")) - F.col("starts")).drop("starts")
     in_block = Window.partitionBy("blk").orderBy("b")
@@ -91,27 +115,39 @@ def replay_slice(silver: DataFrame, longest: DataFrame,
             .drop("event_date"))
 
 
-def replay_alerts(alerts: DataFrame, slice_df: DataFrame) -> DataFrame:
-    """Alerts with t0 <= event_time <= t1, t0/t1 the slice's first/last time."""
-    b = slice_df.agg(F.struct(F.min("event_time").alias("t0"),
-                              F.max("event_time").alias("t1"))).scalar()
-    return (alerts.filter((F.col("event_time") >= b["t0"]) & (F.col("event_time") <= b["t1"]))
+def replay_alerts(alerts: DataFrame, longest: DataFrame,
+                  trail_minutes: float = TRAIL_MINUTES) -> DataFrame:
+    """Alerts within the trailing part of the longest segment.  An alert has the
+    time of a clean reading, so the slice's own bounds would cut the same rows;
+    these need no pass over the slice."""
+    start, end = replay_bounds(longest, trail_minutes)
+    return (alerts.filter((F.col("event_time") >= start) & (F.col("event_time") <= end))
             .drop("event_date"))
 
 
-def export_bundle(silver: DataFrame, alerts: DataFrame, patient_risk: DataFrame, out: str,
+def export_bundle(silver: DataFrame, alerts: DataFrame, patient_risk: DataFrame, patients: DataFrame,
+                  metrics: DataFrame, layers: DataFrame, out: str,
                   gap_ms: int = GAP_SECONDS * 1000,
                   trail_minutes: float = TRAIL_MINUTES) -> dict[str, str]:
-    """Write a replay bundle: the trailing slice of the longest unbroken
-    stretch of Silver, the alerts inside it and the current risk table, each
-    as Parquet under ``out`` (``event_date`` dropped).  Returns the paths;
-    the recorded interval is the slice's first and last event time."""
+    """Write a replay bundle below ``out`` and return its paths: as Parquet the
+    trailing slice of the longest unbroken stretch of Silver, the alerts inside
+    it, the current risk table (``event_date`` dropped) and the registry; as JSON
+    the model metrics and the recording, i.e. its first and last time and the
+    inventory of the layers it was taken from (``layers``, see lake.inventory)."""
     longest = longest_segment(gap_segments(silver, gap_ms))
-    sl = replay_slice(silver, longest, trail_minutes)
-    paths = {"vitals": f"{out}/vitals", "alerts": f"{out}/alerts",
-             "patient_risk": f"{out}/patient_risk"}
-    sl.write.mode("overwrite").parquet(paths["vitals"])
-    slice_back = silver.sparkSession.read.parquet(paths["vitals"])   # bounds from the written slice
-    replay_alerts(alerts, slice_back).write.mode("overwrite").parquet(paths["alerts"])
-    patient_risk.drop("event_date").write.mode("overwrite").parquet(paths["patient_risk"])
+    paths = {name: f"{out}/{name}" for name in ("vitals", "alerts", "patient_risk", "patients",
+                                                "model_metrics", "recording")}
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(paths[name])
+        return silver.sparkSession.read.parquet(paths[name])
+
+    vitals = write(replay_slice(silver, longest, trail_minutes), "vitals")
+    write(replay_alerts(alerts, longest, trail_minutes), "alerts")
+    write(patient_risk.drop("event_date"), "patient_risk")
+    write(patients, "patients")
+    metrics.coalesce(1).write.mode("overwrite").json(paths["model_metrics"])       # one row
+    (vitals.agg(F.min("event_time").alias("recorded_from"), F.max("event_time").alias("recorded_to"))
+     .join(layers.agg(F.collect_list(F.struct(*layers.columns)).alias("layers")))  # one row a layer
+     .coalesce(1).write.mode("overwrite").json(paths["recording"]))
     return paths

@@ -64,9 +64,10 @@ def q3_top_risky(alerts: DataFrame, patients: DataFrame, k: int = 5) -> DataFram
 def q4_ward_hourly(features: DataFrame, patients: DataFrame) -> DataFrame:
     """Hourly trend per ward over the one-minute features (inner join).
 
-    Pre-aggregated per (patient, hour): distinct patients per (ward, hour)
-    become a row count, and the averages of the rounded window averages are
-    carried as exact decimal sums + counts.
+    Pre-aggregated per (patient, hour): the averages of the rounded window
+    averages are carried as exact decimal sums + counts, and the distinct
+    patients are counted over one row each (a registry row that occurs twice
+    does not count its patient twice).
     """
     hour = F.date_format("window_start", "yyyy-MM-dd HH:00")
     per_patient_hour = features.groupBy("patient_id", hour.alias("hour_utc")).agg(
@@ -79,7 +80,7 @@ def q4_ward_hourly(features: DataFrame, patients: DataFrame) -> DataFrame:
     joined = per_patient_hour.join(patients.select("patient_id", "ward"), "patient_id")
     mean = lambda s, n: F.try_divide(F.sum(s).cast("double"), F.sum(n).cast("double"))
     return (joined.groupBy("ward", "hour_utc")
-            .agg(F.count(F.lit(1)).alias("patients"),
+            .agg(F.count_distinct("patient_id").alias("patients"),
                  F.round(mean("s_hr", "n_hr"), 1).alias("avg_hr"),
                  F.round(mean("s_spo2", "n_spo2"), 2).alias("avg_spo2"),
                  F.sum("abnormal_readings").alias("abnormal_readings"))
@@ -142,14 +143,14 @@ def reconcile_layers(bronze: DataFrame, silver: DataFrame) -> DataFrame:
 
     The layers commit on different triggers, so Silver can be ahead of
     Bronze; comparing up to the same Kafka time keeps the difference >= 0
-    in steady state.  One job: the cutoff is a scalar subquery.
+    in steady state.  One aggregate gives Bronze's count and cutoff, as one
+    scalar subquery that Spark runs once; Silver is read once.
     """
-    cutoff = bronze.agg(F.max("kafka_time")).scalar()
-    same = silver.agg(F.count_if(F.col("kafka_time") <= cutoff)).scalar()
-    return (bronze.agg(F.count(F.lit(1)).alias("bronze_messages"),
-                       F.max("kafka_time").alias("cutoff"))
-            .withColumn("silver_up_to_cutoff", same)
-            .withColumn("dropped", F.col("bronze_messages") - F.col("silver_up_to_cutoff")))
+    raw = bronze.agg(F.struct(F.count(F.lit(1)).alias("n"),
+                              F.max("kafka_time").alias("cutoff"))).scalar()
+    return (silver.agg(F.count_if(F.col("kafka_time") <= raw["cutoff"]).alias("silver_up_to_cutoff"))
+            .select(raw["n"].alias("bronze_messages"), raw["cutoff"].alias("cutoff"), "silver_up_to_cutoff",
+                    (raw["n"] - F.col("silver_up_to_cutoff")).alias("dropped")))
 
 
 def alert_matrix(alerts: DataFrame) -> DataFrame:

@@ -81,21 +81,30 @@ VIEW_MINUTES = 2          # history slider value used by the registered keys
 
 
 def _now(L: Layers):
-    """One "now" per query (newest Silver event time), shared by every part."""
-    return monitor.newest(L.silver)
-
-
-query("kpi_row")(lambda L: monitor.kpi_row(L.silver, L.alerts, rule_risk(L), VIEW_MINUTES,
-                                           _now(L)))
-query("focus_patient")(lambda L: monitor.focus_patient(L.silver, L.alerts, L.patients,
-                                                       VIEW_MINUTES, _now(L)))
-query("vital_series")(lambda L: (lambda now: monitor.vital_series(
-    L.silver, monitor.focus_patient(L.silver, L.alerts, L.patients, VIEW_MINUTES, now),
-    VIEW_MINUTES, now))(_now(L)))
-query("alerts_by_type")(lambda L: monitor.alerts_by_type(L.alerts, L.silver, VIEW_MINUTES,
-                                                         _now(L)))
-query("newest_alerts")(lambda L: monitor.newest_alerts(L.alerts, L.silver, 15, VIEW_MINUTES,
-                                                       _now(L)))
+    """One "now" per query: the newest clean event time, which is Silver's too
+    (de-duplication keeps every time), without the de-duplication."""
+    return monitor.newest(L.clean)
+
+
+def monitored(name: str):
+    """A query over several layers: they are taken from one written copy of the
+    clean readings, with one "now"."""
+    def deco(fn):
+        def run(L: Layers) -> DataFrame:
+            stored = L.stored()
+            return fn(stored, _now(stored))
+        query(name)(run)
+        return fn
+    return deco
+
+
+monitored("kpi_row")(lambda L, now: monitor.kpi_row(L.silver, L.alerts, rule_risk(L), VIEW_MINUTES, now))
+monitored("focus_patient")(lambda L, now: monitor.focus_patient(L.silver, L.alerts, L.patients,
+                                                                VIEW_MINUTES, now))
+monitored("vital_series")(lambda L, now: monitor.vital_series(
+    L.silver, monitor.focus_patient(L.silver, L.alerts, L.patients, VIEW_MINUTES, now), VIEW_MINUTES, now))
+query("alerts_by_type")(lambda L: monitor.alerts_by_type(L.alerts, L.silver, VIEW_MINUTES, _now(L)))
+query("newest_alerts")(lambda L: monitor.newest_alerts(L.alerts, L.silver, 15, VIEW_MINUTES, _now(L)))
 query("risk_board")(lambda L: monitor.risk_board(rule_risk(L), L.patients))
 
 # --- replay -------------------------------------------------------------------
@@ -112,12 +121,19 @@ def _slice(L: Layers) -> DataFrame:
     return replay.replay_slice(L.silver, replay.longest_segment(_segments(L)), TRAIL_MINUTES)
 
 
-query("replay_shift")(lambda L: replay.replay_shift(
-    L.silver, F.to_timestamp(F.lit(REPLAY_NOW))).select("patient_id", "event_time", "replay_time"))
+def _shifted(df: DataFrame, L: Layers) -> DataFrame:
+    """On the clock of the recording, i.e. of Silver's times (the clean ones)."""
+    return replay.replay_shift(df, F.to_timestamp(F.lit(REPLAY_NOW)), replay.recording(L.clean))
+
+
+query("replay_shift")(lambda L: _shifted(L.silver, L).select("patient_id", "event_time", "replay_time"))
+query("replay_alerts_shift")(lambda L: _shifted(L.alerts, L).select(
+    "alert_id", "event_time", "alert_time", "replay_time"))
 query("gap_segments")(_segments)
 query("longest_segment")(lambda L: replay.longest_segment(_segments(L)))
 query("replay_slice")(_slice)
-query("replay_alerts")(lambda L: replay.replay_alerts(L.alerts, _slice(L)))
+query("replay_alerts")(lambda L: replay.replay_alerts(L.alerts, replay.longest_segment(_segments(L)),
+                                                      TRAIL_MINUTES))
 
 # --- quality profile ----------------------------------------------------------
 query("invalid_share")(lambda L: quality.invalid_share(L.parsed))
@@ -134,11 +150,14 @@ def _trained(L: Layers):
 query("risk_model_eval")(lambda L: (lambda t: L.spark.createDataFrame(
     [(t.train_windows, t.test_windows, float(t.accuracy), float(t.f1))],
     "train_windows bigint, test_windows bigint, accuracy double, f1 double"))(_trained(L)))
-query("window_scores")(lambda L: ml.score_windows(_trained(L).model, L.labelled)
+query("window_scores")(lambda L: ml.scored_windows(L.labelled)
                        .select("patient_id", "window_start", "label", "prediction", "window_score"))
 query("patient_clusters")(lambda L: ml.cluster(risk.cluster_features(L.labelled)))
 query("patient_risk")(lambda L: ml.run_round(L.spark, L.labelled).patient_risk)
 query("model_metrics")(lambda L: ml.run_round(L.spark, L.labelled).metrics)
+# what SQL can say of the model variant
+query("model_split")(lambda L: ml.sides(L.labelled))
+query("model_checks")(lambda L: ml.checks(ml.run_round(L.spark, L.labelled)))
 
 # --- streaming layers over the lens messages (one available-now run) ---------
 
@@ -155,9 +174,19 @@ def _stream_layer(L: Layers, name: str) -> DataFrame:
     return lake.read_layer(L.spark, sink.path(name), job.TABLES[name])
 
 
-# dropDuplicates keeps the first copy to arrive, whose Kafka time depends on
-# the arrival order; the payload of re-delivered copies is identical.
-query("stream_silver")(lambda L: _stream_layer(L, "silver_vitals")
-                       .select(*[c for c in SILVER_COLUMNS if c != "kafka_time"]))
+def _stream_silver(L: Layers) -> DataFrame:
+    """Silver rows as streamed, each with whether it equals a delivered reading in
+    every column.  (dropDuplicates keeps the first copy to arrive, which depends
+    on the order of arrival where a key was delivered with two payloads.)"""
+    kept = _stream_layer(L, "silver_vitals")
+    same = [c for c in SILVER_COLUMNS if c != "event_date"]
+    delivered = L.clean.select(*same).distinct().withColumn("found", F.lit(True))
+    match = [kept[c].eqNullSafe(delivered[c]) for c in same]
+    return kept.join(delivered, match, "left").select(
+        kept["patient_id"], kept["event_time"], kept["event_date"],
+        F.coalesce("found", F.lit(False)).alias("delivered"))
+
+
+query("stream_silver")(_stream_silver)
 query("stream_alerts")(lambda L: _stream_layer(L, "gold_alerts"))
 query("stream_vitals_1min")(lambda L: _stream_layer(L, "gold_vitals_1min"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import features as feat
 from ..operators import transforms as tx
 from ..sources import lens
-from ..session import prepare
+from ..session import prepare, scratch
 
 
 # Columns of the shared test tables that the lens reads.
@@ -26,11 +26,20 @@ INPUT_SCHEMAS = {
 }
 
 
+#: Session setting for runs over a few unsplittable files (tests, the bench).
+INPUT_PARTITIONS = "spark.wardwatch.inputPartitions"
+
+
 class Layers:
-    def __init__(self, spark: SparkSession, sf_dir: str, alert_delay_s: int = 2):
+    def __init__(self, spark: SparkSession, sf_dir: str, alert_delay_s: int = 2,
+                 input_partitions: int | None = None):
+        """``input_partitions`` deals the events out over so many partitions before
+        the per-message work; by default (or as set in the session's
+        INPUT_PARTITIONS) the scan's own splits are used."""
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
         self.alert_delay_s = alert_delay_s
+        self.input_partitions = input_partitions or int(spark.conf.get(INPUT_PARTITIONS, "0"))
 
     def table(self, name: str) -> DataFrame:
         """A shared test table, read with the declared columns the lens uses
@@ -40,32 +49,29 @@ class Layers:
             reader = reader.schema(INPUT_SCHEMAS[name])
         return reader.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
 
-    def spread(self, df: DataFrame, key: str) -> DataFrame:
-        """Parallelism floor for an under-split input.
-
-        The per-message work (lens, JSON text, parse, rules) is CPU-bound and
-        narrow, so it runs with the scan's parallelism.  A small unsplittable
-        file (one row group) would put all of it in one task; only then the
-        rows are hash-distributed on a unique ``key`` (no hot partition, and
-        unlike round-robin no sort to make retries deterministic) onto the
-        default parallelism.  A large input has at least that many splits and
-        is left alone - no extra shuffle at scale.
-        """
-        try:
-            want = self.spark.sparkContext.defaultParallelism
-            have = df.rdd.getNumPartitions()
-        except Exception:            # no RDD access (e.g. a Connect session): leave it to Spark
-            return df
-        return df if have >= want else df.repartition(want, key)
+    @cached_property
+    def events(self) -> DataFrame:
+        events = self.table("events")
+        return events.repartition(self.input_partitions, "event_id") if self.input_partitions else events
+
+    def stored(self) -> Layers:
+        """These layers with the clean readings written once, as the lake keeps
+        them: a query that needs several layers then reads the events once and
+        each layer's columns from the written table."""
+        path = scratch(self.spark, "lake") + "/clean"
+        self.clean.write.parquet(path)
+        out = Layers(self.spark, self.sf_dir, self.alert_delay_s, self.input_partitions)
+        out.clean = self.spark.read.schema(self.clean.schema).parquet(path)
+        return out
 
     @cached_property
     def readings(self) -> DataFrame:
         """Lens rows incl. hidden profile (tests and cohort checks only)."""
-        return lens.readings(self.spread(self.table("events"), "event_id"))
+        return lens.readings(self.events)
 
     @cached_property
     def messages(self) -> DataFrame:
-        return lens.messages(self.spread(self.table("events"), "event_id"))
+        return lens.messages(self.events)
 
     @cached_property
     def patients(self) -> DataFrame:
