@@ -21,7 +21,7 @@ def test_scan_reads_only_used_columns(spark, tiny):
 def test_dedup_and_features_combine_map_side(spark, tiny):
     L = Layers(spark, tiny)
     p = plan(L.silver)
-    assert p.count("SortAggregate") == 2 and "partial_min" in p     # see PLANS.md on the choice
+    assert "SortAggregate" not in p and "row_number(), 1, Partial" in p and "row_number(), 1, Final" in p
     p = plan(L.features)
     assert "partial_count" in p and "partial_avg" in p
 
@@ -39,12 +39,10 @@ def test_top_k_is_computed_once_and_joined_after_the_limit(spark, tiny):
     assert p.index("Join") < p.index("TakeOrderedAndProject")   # join sits above the limit
 
 
-def test_gap_segments_aggregate_before_any_global_order(spark, tiny):
-    L = Layers(spark, tiny)
-    p = plan(replay.gap_segments(L.silver, 240))
-    # the only single-partition step is the per-block running sum
-    assert p.count("SinglePartition") == 1
-    assert "partial_min" in p
+def test_gap_segments_order_globally_only_one_row_a_block(spark, tiny):
+    p = plan(replay.gap_segments(Layers(spark, tiny).silver, 240))
+    assert p.count("SinglePartition") == 1        # the running sum over the block table
+    assert "event_id" not in p                    # all from the written bucket table
 
 
 def test_scalars_are_subqueries_not_joins(spark, tiny):
@@ -88,3 +86,9 @@ def test_input_is_dealt_out_only_on_request(spark, tiny):
 def test_focus_patient_filters_below_the_dedup(spark, tiny):
     p = plan(CATALOG["vital_series"](spark, tiny))
     assert "LeftSemi" not in p
+
+
+def test_vote_aggregates_by_hash(spark, tiny):
+    p = plan(CATALOG["risk_vote"](spark, tiny))
+    vote = p[: p.index("WindowGroupLimit")]
+    assert "HashAggregate" in vote and "SortAggregate" not in vote

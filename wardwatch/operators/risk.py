@@ -47,14 +47,16 @@ def recent(scored: DataFrame, n: int = RECENT_WINDOWS) -> DataFrame:
 def vote(recent_df: DataFrame) -> DataFrame:
     """Majority prediction per patient; a tie goes to the higher risk.
 
-    Two aggregations instead of a second sort-based window: count per
-    (patient, prediction), then ``max(struct(count, prediction))``.
+    Two hash aggregations instead of a second sort-based window: count per
+    (patient, prediction), then the largest of votes and prediction packed into
+    one number (a struct would make Spark sort).
     """
     counts = recent_df.groupBy("patient_id", "prediction").agg(F.count(F.lit(1)).alias("votes"))
-    return (counts.groupBy("patient_id")
-            .agg(F.max(F.struct("votes", "prediction")).alias("best"))
-            .select("patient_id", F.col("best.prediction").alias("risk_label"),
-                    F.col("best.votes").alias("votes")))
+    levels = len(rules.RISK_LEVELS)
+    packed = F.col("votes") * levels + F.col("prediction").cast("bigint")
+    return (counts.groupBy("patient_id").agg(F.max(packed).alias("best"))
+            .select("patient_id", (F.col("best") % levels).cast("double").alias("risk_label"),
+                    F.expr(f"best div {levels}").alias("votes")))
 
 
 def summary(recent_df: DataFrame) -> DataFrame:
