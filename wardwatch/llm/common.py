@@ -69,6 +69,12 @@ def cogroup_arrow(left: DataFrame, right: DataFrame, keys: list[str], fn: Callab
             .applyInArrow(lambda mine, other: fn(mine, other), schema))
 
 
+def collected(df: DataFrame) -> dict[str, np.ndarray]:
+    """A small frame's columns on the driver (as Arrow: no object for each row)."""
+    table = df.toArrow()
+    return {name: table.column(name).to_numpy() for name in table.column_names}
+
+
 def text_bytes(column: str = "text") -> Column:
     """The text as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit("").cast("binary"))

@@ -192,9 +192,13 @@ def audit(nodes: DataFrame, links: DataFrame, threshold: float, sample: int = AU
     """Share of the links of ``sample`` nodes, found by comparing them with every
     row of their label, that ``links`` (node, nodes: linked nodes) has."""
     picked = nodes.orderBy(F.xxhash64("node", F.lit("audit"))).limit(sample).select("node", "label", "dim", "vec")
-    rows = picked.toPandas()
-    queries = {key: (g["node"].to_numpy(), unit(np.stack(g["vec"]).astype(np.float64)))
-               for key, g in rows.groupby(["label", "dim"])}
+    rows = picked.toArrow()
+    node, label = rows.column("node").to_numpy(), np.array(rows.column("label").to_pylist(), object)
+    queries = {}
+    for at, x in by_width(rows.column("vec")) if len(node) else []:
+        for own in set(label[at].tolist()):
+            mine = label[at] == own
+            queries[own, x.shape[1]] = (node[at[mine]], unit(x[mine]))
     true = map_arrow(nodes.select("node", "label", "vec"), partial(_audited, sample=queries, threshold=threshold),
                      "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
     got = true.join(links, "node", "left").agg(F.sum("n"), F.sum(F.least("n", F.coalesce("nodes", F.lit(0))))).first()

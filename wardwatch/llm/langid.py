@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, map_arrow, slices, sum_rows
+from .common import collected, fold, map_arrow, slices, sum_rows
 from .textops import class_table, codepoints, mix
 
 BUCKETS = 1 << 15
@@ -111,7 +111,8 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, buckets: int = BUCKETS) -
         share < int(train_docs / sizes.sum() * (1 << 20)) + 1)
     rows = (map_arrow(sample.select("text", "lang").repartition(TRAIN_PARTS),
                       partial(_counts, langs=langs, buckets=buckets), "lang int, bucket int, n double")
-            .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))).toPandas()
+            .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+    rows = collected(rows)
     counts = np.zeros((buckets, len(langs)))
     counts[rows["bucket"], rows["lang"]] = rows["n"]
     counts += 0.5

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold, map_arrow, slices, sum_rows, text_bytes
+from .common import collected, cut, fold, map_arrow, slices, sum_rows, text_bytes
 from .textops import mix, prefix_hashes, span_hashes
 
 CLASSES, PER_CLASS = 32, 32
@@ -145,13 +145,13 @@ def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
         if held > KNOWN:
             break
         least = row["p"]
-    top = counts.filter(F.col("n") >= (1 << least)).orderBy("h").toPandas()
-    by_ending = counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).toPandas()
+    top = collected(counts.filter(F.col("n") >= (1 << least)))
+    by_ending = collected(counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")))
     rest_count, rest_words = np.zeros(ENDINGS), np.zeros(ENDINGS)
     rest_count[by_ending["ending"]], rest_words[by_ending["ending"]] = by_ending["n"], by_ending["words"]
-    key = top["h"].to_numpy(np.int64).view(np.uint64)
+    key = top["h"].view(np.uint64)
     order = np.argsort(key)
-    key, count, ending = key[order], top["n"].to_numpy(np.int64)[order], top["ending"].to_numpy(np.int64)[order]
+    key, count, ending = key[order], top["n"][order], top["ending"][order].astype(np.int64)
     own = np.lexsort((key, -count))[: UNITS - 1 - ENDINGS]
     np.subtract.at(rest_count, ending[own], count[own])
     np.subtract.at(rest_words, ending[own], 1)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, map_arrow, ship, slices, sum_rows
+from .common import collected, fold, map_arrow, ship, slices, sum_rows
 from .textops import class_table, codepoints, prefix_hashes, span_hashes
 
 WORDS = 1 << 13                # hash buckets of words
@@ -224,11 +224,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Mod
     sample = docs.select("doc_id", "text", _n_chars(docs)).join(       # about train_docs rows of 12 bytes
         F.broadcast(known), F.col("doc_id").cast("long") == F.col("__id"))
     ship(docs.sparkSession)
-    rows = map_arrow(sample.select(F.col("__id").alias("doc_id"), "quality", "text", "n_chars"),
+    rows = collected(map_arrow(sample.select(F.col("__id").alias("doc_id"), "quality", "text", "n_chars"),
                      _sparse, "doc_id long, quality int, idx binary, val binary") \
-        .dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
+        .dropDuplicates(["doc_id"]).orderBy("doc_id"))
     return train([(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32))
-                  for i, v in zip(rows["idx"], rows["val"], strict=True)], rows["quality"].to_numpy(float))
+                  for i, v in zip(rows["idx"], rows["val"], strict=True)], rows["quality"].astype(float))
 
 
 def _n_chars(docs: DataFrame):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cogroup_arrow, cut, map_arrow
+from .common import cogroup_arrow, collected, cut, map_arrow
 from .vectors import by_width, usable
 
 K = 5
@@ -41,17 +41,16 @@ def _ints(x: np.ndarray) -> np.ndarray:
 def _pivots(vectors: DataFrame, queries: int) -> dict[int, np.ndarray]:
     """For each vector length its pivots: centres of a few Lloyd steps on a hash
     sample of at most SAMPLE vectors."""
-    picked = vectors.orderBy(F.xxhash64("vec_id", F.lit("pivot"))).limit(SAMPLE).select("vec").toPandas()
-    sizes = picked["vec"].map(len).to_numpy() if len(picked) else np.zeros(0, int)
+    picked = vectors.orderBy(F.xxhash64("vec_id", F.lit("pivot"))).limit(SAMPLE).select("vec").toArrow()
     out = {}
-    for width in np.unique(sizes):
-        x = _ints(np.stack([v for v, s in zip(picked["vec"], sizes, strict=True) if s == width]).astype(float))
+    for _, x in by_width(picked.column("vec")):
+        x = _ints(x)
         many = int(min(PIVOTS, len(x), max(1, -(-queries // PER_GROUP))))
         p = x[np.random.default_rng(5).permutation(len(x))[:many]]
         for _ in range(5):
             near = ((x ** 2).sum(1)[:, None] - 2 * x @ p.T + (p ** 2).sum(1)).argmin(axis=1)
             p = np.stack([x[near == j].mean(axis=0) if (near == j).any() else p[j] for j in range(many)])
-        out[int(width)] = p
+        out[x.shape[1]] = p
     return out
 
 
@@ -183,11 +182,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     pivots = _pivots(rows, asked.count())
     grouped = cut(map_arrow(asked, partial(_group, pivots=pivots),
                             f"query_id long, vec {kind}, dim int, grp int, away double"))
-    groups = grouped.groupBy("dim", "grp").agg(F.max("away").alias("r"), F.count(F.lit(1)).alias("n")).toPandas()
+    groups = grouped.groupBy("dim", "grp").agg(F.max("away").alias("r"), F.count(F.lit(1)).alias("n"))
+    groups = collected(groups)
     radius = {(int(d), int(g)): r for d, g, r in zip(groups["dim"], groups["grp"], groups["r"], strict=True)}
     order = Window.partitionBy("dim", "grp").orderBy(F.desc("low"))
     reached = (map_arrow(rows, partial(_summaries, pivots=pivots, radius=radius, k=k), "dim int, grp int, low double")
-               .withColumn("at", F.row_number().over(order)).filter(F.col("at") == k + 1).toPandas())
+               .withColumn("at", F.row_number().over(order)).filter(F.col("at") == k + 1))
+    reached = collected(reached)
     reach = {(int(d), int(g)): s for d, g, s in zip(reached["dim"], reached["grp"], reached["low"], strict=True)}
     sent = cut(map_arrow(rows, partial(_replicas, pivots=pivots, radius=radius, reach=reach),
                          f"vec_id long, vec {kind}, dim int, grp int"))
