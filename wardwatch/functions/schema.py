@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql.types import (BinaryType, BooleanType, DateType, DoubleType, IntegerType,
                                LongType, StringType, StructField, StructType, TimestampType)
 
-# One wearable reading as it travels in the message value (JSON).  Numbers are
-# DOUBLE so that 72 and 72.0 both parse; steps is LONG.
+# --- fixed values: names, types and order of the wire format and the layers --------
+# A message's JSON.  Vitals may come with or without decimals, so they are doubles; a
+# step counter with decimals is a fault and parses to null.
 READING_SCHEMA = StructType([
     StructField("patient_id", StringType()),
     StructField("device_id", StringType()),
@@ -111,6 +112,8 @@ FEATURE_SCHEMA = StructType([
     StructField("event_date", DateType()),
 ])
 
+# --- end of fixed values -------------------------------------------------------------
+
 LAYER_SCHEMAS = {
     "raw_vitals": BRONZE_SCHEMA,
     "vitals": SILVER_SCHEMA,

@@ -59,18 +59,18 @@ def vote(recent_df: DataFrame) -> DataFrame:
                     F.expr(f"best div {levels}").alias("votes")))
 
 
+#: Window averages that a patient's summary averages again, with their decimals.
+AVERAGED = {"avg_hr": 1, "avg_spo2": 2, "avg_sys": 1, "avg_dia": 1, "avg_temp": 2}
+
+
 def summary(recent_df: DataFrame) -> DataFrame:
+    """One row a patient over the given windows: how many, until when, their mean
+    score and vitals, and the most rule points of any."""
+    vitals = [F.round(rules.exact_avg(c, digits), digits).alias(c) for c, digits in AVERAGED.items()]
     return recent_df.groupBy("patient_id").agg(
-        F.round(F.avg("window_score"), 1).alias("risk_score"),
-        F.count(F.lit(1)).alias("windows_used"),
-        F.max("window_end").alias("last_window_end"),
-        F.round(rules.exact_avg("avg_hr", 1), 1).alias("avg_hr"),
-        F.round(rules.exact_avg("avg_spo2", 2), 2).alias("avg_spo2"),
-        F.round(rules.exact_avg("avg_sys", 1), 1).alias("avg_sys"),
-        F.round(rules.exact_avg("avg_dia", 1), 1).alias("avg_dia"),
-        F.round(rules.exact_avg("avg_temp", 2), 2).alias("avg_temp"),
+        F.count(F.lit(1)).alias("windows_used"), F.max("window_end").alias("last_window_end"),
         F.max("rule_points").alias("max_rule_points"),
-    )
+        F.round(F.avg("window_score"), 1).alias("risk_score"), *vitals)
 
 
 def patient_risk(scored: DataFrame, n: int = RECENT_WINDOWS) -> DataFrame:
