@@ -152,6 +152,8 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     within a crowd only those to a common member are kept."""
     if max_bits not in _DELETED:
         raise ValueError("two halves with one deleted bit each cover 1 or 2 differing bits")
+    # 64 variants each: spread the fingerprints first, over as many tasks as a shuffle has
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     near, crowd = _edges_by(fps.select("fp", F.expr(_HALVES).alias("key")), ["key"], max_bits, _ONCE)
     crowd = cut(crowd)
     if not crowd.isEmpty():
