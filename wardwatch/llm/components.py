@@ -21,7 +21,9 @@ def _hand_over(edges: DataFrame, toward: DataFrame) -> DataFrame:
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    """Dealt out anew, so that the join back shuffles either side for itself: Spark
+    then splits a node that many edges share (it can't above an aggregate)."""
+    return edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")).repartition("u", "m")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
