@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import scratch, shared_dir
 
 SLICE_BYTES = 1 << 20          # text bytes that one numpy step works on
 
@@ -29,6 +29,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table of the shared folder and read back, with its size
+    known to the planner."""
+    path = scratch(df.sparkSession, name) + "/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once a Spark context."""
     sc = spark.sparkContext

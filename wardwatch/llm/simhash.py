@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, cut, map_arrow, slices, text_bytes
+from .common import SLICE_BYTES, cut, map_arrow, slices, stored, text_bytes
 from .components import components
 
 SEED = 42
@@ -188,16 +188,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """``docs`` with one row of each near-duplicate component, all columns kept:
     the row of its smallest doc_id.  A repeated doc_id leaves one row; a
-    component whose rows all lack an id is kept whole (nothing tells its rows
-    apart), so no text is lost."""
+    component whose rows all lack an id is kept whole, so no text is lost.
+
+    Only ids travel where the dropped ones fit a broadcast; they are written, so
+    that the planner knows their size.
+    """
     found = near_duplicates(docs, shingle, max_bits)
-    kept = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"))
-    named = docs.join(kept.withColumnRenamed("doc_id", "__id"),
-                      F.col("doc_id").cast("long") == F.col("__id")).drop("__id")
-    single = named.filter("__n = 1").drop("__n")
-    repeated = named.filter("__n > 1").drop("__n").dropDuplicates(["doc_id"])
-    unnamed = found.filter("component_id is null").limit(1)
-    out = single.unionByName(repeated)
-    if unnamed.isEmpty():
-        return out
-    return out.unionByName(docs.filter("doc_id is null"))
+    verdict = cut(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__id"))
+                  .agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("keep"),
+                       F.count(F.lit(1)).alias("n")))
+    own = F.col("doc_id").cast("long") == F.col("__id")
+    named = docs.filter("doc_id is not null").join(
+        stored(verdict.filter("not keep").select("__id"), "dropped"), own, "left_anti")
+    again = stored(verdict.filter("keep and n > 1").select("__id"), "repeated")
+    if not again.isEmpty():
+        named = named.join(again, own, "left_anti").unionByName(
+            named.join(again, own, "left_semi").dropDuplicates(["doc_id"]))
+    nameless = found.filter("component_id is null").select("fp").distinct()
+    if nameless.isEmpty():
+        return named
+    loose, text = docs.filter("doc_id is null"), F.xxhash64(text_bytes())    # told apart by their texts
+    marked = fingerprints(loose.select(text.alias("doc_id"), "text"), shingle)
+    keep = stored(marked.join(nameless, "fp").select(F.col("doc_id").alias("__text")).distinct(), "nameless")
+    return named.unionByName(loose.join(keep, text == F.col("__text"), "left_semi"))
