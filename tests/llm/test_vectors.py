@@ -81,6 +81,24 @@ def test_crowds_have_every_link(spark):
     assert found_by(vectors) == links_by_brute_force(vectors.collect(), 0.93)
 
 
+@pytest.mark.parametrize("block", [7, 512])
+def test_tight_groups_that_link_to_one_another(spark, block, monkeypatch):
+    """Each fills its members' lists, the next one's members are links all the same."""
+    monkeypatch.setattr(embed_dedup, "BLOCK", block)
+    monkeypatch.setattr(embed_dedup, "TILE", 3)
+    rng = np.random.default_rng(4)
+    rows = []
+    for g in range(4):                                 # a chain: 0.94 from one to the next
+        turn = g * np.arccos(0.94)
+        centre = np.r_[np.cos(turn), np.sin(turn), np.zeros(14)]
+        rows += [(100 * g + i, (centre + 0.005 * rng.normal(size=16)).tolist(), 1) for i in range(40)]
+    rows += [(1000 + i, (np.r_[np.zeros(15), 1.0] + 0.02 * rng.normal(size=16)).tolist(), 1) for i in range(40)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = links_by_brute_force(vectors.collect(), 0.93)
+    assert {w[3] for w in want} == {0, 1000}
+    assert found_by(vectors) == want
+
+
 def test_no_vectors(spark):
     nothing = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embed_dedup.near_duplicates(nothing).count() == 0

@@ -3,9 +3,10 @@
 Equal vectors are one node.  A first graph comes from random hyperplanes: nodes
 with like signs meet in small groups and keep their nearest.  NN-descent then
 refines it: each node introduces its neighbours to one another, whoever improves
-a list enters it, and only pairs with a new edge meet again.  Lists that fill up
-with links are enlarged to their whole component, whose members are counted
-against each other in blocks.  A sample of nodes, compared with every row, audits
+a list enters it, and only pairs with a new edge meet again.  A link that was met
+is lost only if the lists of both its ends are full of nearer ones; the components
+with full lists are therefore counted in blocks against themselves and against
+one another, which joins those that link.  A sample of nodes, compared with every row, audits
 the recall; below the target the search goes on with fresh hyperplanes.
 """
 
@@ -30,6 +31,7 @@ ROUNDS = 4
 AUDIT = 400                    # nodes that the audit compares with every row
 RECALL = 0.97
 BLOCK = 512                    # members of a crowded component compared at once
+TILE = 1024                    # blocks whose centres are compared at once
 BITS = 16
 
 EDGES = "u long, v long, sim double"
@@ -142,9 +144,38 @@ def _descend(nodes: DataFrame, graph: DataFrame, k: int, seed: int) -> DataFrame
     return _top(graph.withColumn("new", F.lit(False)).union(found.select("u", "v", "sim", "new")), k)
 
 
+def _ball(group: pa.Table) -> pa.Table:
+    """Mean direction of a block and the largest angle of a member to it."""
+    (_, x), = by_width(group.column("vec"))
+    x = unit(x)
+    centre = x.sum(axis=0)
+    length = np.sqrt(centre @ centre)
+    centre = centre / length if length > 1e-9 else x[0]
+    radius = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+    return pa.table({"root": group.column("root").slice(0, 1), "own": group.column("own").slice(0, 1),
+                     "centre": pa.array([centre.tolist()], pa.list_(pa.float64())), "radius": [radius]})
+
+
+def _may_link(group: pa.Table, threshold: float) -> pa.Table:
+    """Pairs of blocks, one of each tile (or both of one), that are near enough for a link."""
+    root, own = group.column("root").to_numpy(), group.column("own").to_numpy()
+    side, radius = group.column("side").to_numpy(), group.column("radius").to_numpy()
+    (_, x), = by_width(group.column("centre"))
+    a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    same = not len(b)
+    b = a if same else b
+    gap = np.arccos(np.clip(x[a] @ x[b].T, -1, 1)) - radius[a][:, None] - radius[b]
+    near = gap <= np.arccos(np.clip(threshold, -1, 1)) + 1e-6
+    if same:
+        near = np.triu(near) | np.eye(len(a), dtype=bool)
+    i, j = np.nonzero(near)
+    return pa.table({"root": root[a[i]], "own": own[a[i]], "root2": root[b[j]], "own2": own[b[j]]})
+
+
 def _linked_in_block(group: pa.Table, threshold: float) -> pa.Table:
-    """For each member of blocks i <= j how many vectors of the other it links to."""
-    node, side = group.column("node").to_numpy(), group.column("side").to_numpy()
+    """For each member of two blocks how many vectors of the other it links to, and
+    the other's root if it links to any."""
+    node, side, root = (group.column(c).to_numpy() for c in ("node", "side", "root"))
     copies = group.column("copies").to_numpy()
     (_, x), = by_width(group.column("vec"))
     x = unit(x)
@@ -152,27 +183,42 @@ def _linked_in_block(group: pa.Table, threshold: float) -> pa.Table:
     if not len(b):                                     # a block with itself
         b = a
     link = (x[a] @ x[b].T >= threshold) & (node[a][:, None] != node[b][None, :])
-    out = [pa.table({"node": node[a], "n_links": (link * copies[b]).sum(axis=1).astype(np.int64),
-                     "nodes": link.sum(axis=1).astype(np.int64)})]
-    if b is not a:
-        out.append(pa.table({"node": node[b], "n_links": (link * copies[a][:, None]).sum(axis=0).astype(np.int64),
-                             "nodes": link.sum(axis=0).astype(np.int64)}))
-    return pa.concat_tables(out)
-
-
-def _count_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
-    """(node, n_links, nodes) of crowded components: ``members`` (root, node, copies, vec) are
-    dealt into blocks and every two blocks of a component compared, by counts
-    alone; no pair leaves its task."""
+
+    def side_of(mine, other, link):
+        return pa.table({"node": node[mine], "n_links": (link * copies[other]).sum(axis=1).astype(np.int64),
+                         "nodes": link.sum(axis=1).astype(np.int64), "root": root[mine],
+                         "other": np.where(link.any(axis=1), root[other[0]], root[mine])})
+
+    return pa.concat_tables([side_of(a, b, link)] + ([side_of(b, a, link.T)] if b is not a else []))
+
+
+def _count_in_blocks(members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(node, n_links, nodes) of crowded components, and (a, b): roots that a link
+    joins.  ``members`` (root, label, dim, node, copies, vec) are dealt into blocks; every
+    two blocks of a label, of one component or of two, whose centres and radii
+    leave room for a link are compared, by counts alone; no pair leaves its task."""
     blocks = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = (members.join(blocks, "root")
-             .withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))))
-    keyed = dealt.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                         (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "copies", "vec")
-    return (group_arrow(keyed, ["root", "i", "j"], partial(_linked_in_block, threshold=threshold),
-                        "node long, n_links long, nodes long")
-            .groupBy("node").agg(F.sum("n_links").alias("n_links"), F.sum("nodes").alias("nodes")))
+    dealt = cut(members.join(blocks, "root")
+                .withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int")).drop("blocks"))
+    kinds = "root long, own int, centre array<double>, radius double"
+    balls = cut(group_arrow(dealt.select("root", "own", "vec"), ["root", "own"], _ball, kinds)
+                .join(dealt.select("root", "label", "dim").distinct(), "root"))
+    tiles = balls.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    tiled = (balls.join(tiles, ["label", "dim"])
+             .withColumn("tile", F.pmod(F.xxhash64("root", "own"), F.col("tiles")).cast("int"))
+             .withColumn("with", F.explode(F.expr("sequence(0, tiles - 1)"))))
+    tiled = tiled.select("label", "dim", F.least("tile", "with").alias("i"), F.greatest("tile", "with").alias("j"),
+                         (F.col("tile") > F.col("with")).cast("int").alias("side"), "root", "own", "centre", "radius")
+    near = cut(group_arrow(tiled, ["label", "dim", "i", "j"], partial(_may_link, threshold=threshold),
+                           "root long, own int, root2 long, own2 int")
+               .withColumn("pair", F.monotonically_increasing_id()))
+    sides = (near.select("pair", F.lit(0).alias("side"), "root", "own")
+             .union(near.filter("root != root2 or own != own2").select("pair", F.lit(1), "root2", "own2")))
+    found = cut(group_arrow(sides.join(dealt, ["root", "own"]).select("pair", "side", "root", "node", "copies", "vec"),
+                            ["pair"], partial(_linked_in_block, threshold=threshold),
+                            "node long, n_links long, nodes long, root long, other long"))
+    return (found.groupBy("node").agg(F.sum("n_links").alias("n_links"), F.sum("nodes").alias("nodes")),
+            found.filter("root != other").select(F.col("root").alias("a"), F.col("other").alias("b")).distinct())
 
 
 def _audited(batches, sample: dict, threshold: float) -> Iterator[pa.RecordBatch]:
@@ -258,10 +304,13 @@ def _links(nodes: DataFrame, graph: DataFrame, threshold: float, k: int) -> tupl
     full = (graph.filter(F.col("sim") >= threshold).groupBy("u").agg(F.count(F.lit(1)).alias("n"))
             .filter(F.col("n") >= k).select(F.col("u").alias("node")))
     crowded = roots.join(full, "node").select("root").distinct()
-    crowd = cut(roots.join(crowded, "root").join(nodes.select("node", "copies", "vec"), "node"))
+    crowd = roots.join(crowded, "root").join(nodes.select("node", "label", "dim", "copies", "vec"), "node")
     few = (pairs.join(roots.join(crowded, "root", "left_anti").select(F.col("node").alias("u")), "u")
            .join(nodes.select(F.col("node").alias("v"), "copies"), "v")
            .groupBy(F.col("u").alias("node")).agg(F.sum("copies").alias("n_links"),
                                                   F.count(F.lit(1)).alias("nodes")))
-    links = cut(few.unionByName(_count_in_blocks(crowd, threshold)))
+    counts, joined = _count_in_blocks(crowd, threshold)
+    links = cut(few.unionByName(counts))
+    merged = components(joined).select(F.col("node").alias("root"), F.col("root").alias("whole"))
+    roots = cut(roots.join(merged, "root", "left").select("node", F.coalesce("whole", "root").alias("root")))
     return links, roots, audit(nodes, links, threshold)
