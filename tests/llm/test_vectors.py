@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from wardwatch.llm import embed_dedup, topk
@@ -99,6 +100,50 @@ def test_tight_groups_that_link_to_one_another(spark, block, monkeypatch):
     assert found_by(vectors) == want
 
 
+def test_audit_weighs_nodes_outside_the_crowd(spark):
+    """One crowd, 20 pairs: the crowd's links hide no pair that is missed."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [1.0, *(0.01 * rng.normal(size=15)).tolist()], 1) for i in range(300)]
+    for i in range(20):
+        v = rng.normal(size=16)
+        rows += [(1000 + 2 * i + j, (v + 0.01 * rng.normal(size=16)).tolist(), 1) for j in range(2)]
+    nodes = spark.createDataFrame(rows, "node long, vec array<double>, label int").selectExpr("*", "16 as dim")
+    crowd = [(i, 299, True) for i in range(300)]
+
+    def found(pairs):
+        return spark.createDataFrame(crowd + [(1000 + i, 1, False) for i in range(2 * pairs)],
+                                     "node long, nodes long, crowded boolean")
+
+    assert embed_dedup.audit(nodes, found(20), 0.93) == (1.0, True)
+    assert embed_dedup.audit(nodes, found(10), 0.93) == (0.5, True)
+    assert embed_dedup.audit(nodes, found(0), 0.93) == (0.0, True)
+
+
+def test_recall_that_is_not_reached_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "audit", lambda *_: (0.5, True))
+    monkeypatch.setattr(embed_dedup, "TRIES", 2)
+    vectors = spark.createDataFrame([(i, [1.0, float(i)], 1) for i in range(9)], "vec_id long, embedding array<float>, label int")
+    with pytest.raises(RuntimeError, match="0.5000"):
+        embed_dedup.near_duplicates(vectors, rounds=1)
+
+
+def test_like_signs_are_parted_by_further_bits():
+    """Rows in the order of their signs: near ones meet however many there are."""
+    rng = np.random.default_rng(6)
+    x = np.repeat(rng.normal(size=(500, 16)), 2, axis=0) + 1e-3 * rng.normal(size=(1000, 16))
+    kinds = pa.schema([("node", pa.int64()), ("vec", pa.list_(pa.float64()))])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(x.tolist(), kinds.field("vec").type)], schema=kinds)
+    (signed,) = embed_dedup._signs([batch], 1, 0)
+    order = np.argsort([s[0] for s in signed.column("signs").to_pylist()], kind="stable")
+    rows = batch.take(pa.array(order)).add_column(0, "run", pa.array(np.zeros(1000, np.int64)))
+    for size in (70, 1000):                            # however the rows come in batches
+        parts = [rows.slice(i, size) for i in range(0, 1000, size)]
+        found = pa.Table.from_batches(list(embed_dedup._neighbours_in_order(parts, 2, 8)))
+        pairs = set(zip(found.column("u").to_pylist(), found.column("v").to_pylist(), strict=True))
+        assert len(pairs) == found.num_rows == 2000
+        assert sum((i, i ^ 1) in pairs for i in range(1000)) >= 900
+
+
 def test_no_vectors(spark):
     nothing = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embed_dedup.near_duplicates(nothing).count() == 0

@@ -1,13 +1,15 @@
 """Embedding near-duplicates by NN-descent.
 
 Equal vectors are one node.  A first graph comes from random hyperplanes: nodes
-with like signs meet in small groups and keep their nearest.  NN-descent then
+stand in the order of their signs, meet those about them and keep their nearest.  NN-descent then
 refines it: each node introduces its neighbours to one another, whoever improves
 a list enters it, and only pairs with a new edge meet again.  A link that was met
 is lost only if the lists of both its ends are full of nearer ones; the components
 with full lists are therefore counted in blocks against themselves and against
-one another, which joins those that link.  A sample of nodes, compared with every row, audits
-the recall; below the target the search goes on with fresh hyperplanes.
+one another, which joins those that link.  A sample of nodes, linked ones and
+others, compared with every row, audits the mean recall of a node outside the
+crowds; below the target the search goes on with fresh hyperplanes and larger
+meetings, and after TRIES it fails with the recall reached.
 """
 
 from __future__ import annotations
@@ -26,13 +28,14 @@ from .vectors import by_width, unit, usable
 
 NEIGHBOURS = 12                # length of a neighbour list
 TABLES = 6                     # sets of hyperplanes of the first graph
-MEET = 128                     # nodes that meet in a group of like signs, about
+MEET = 128                     # nodes of like signs that meet, and as many on either side
 ROUNDS = 4
-AUDIT = 400                    # nodes that the audit compares with every row
+AUDIT = 2_000                  # linked, and unlinked, nodes that the audit compares with every row
 RECALL = 0.97
+TRIES = 8                      # each with fresh hyperplanes and twice as many that meet
 BLOCK = 512                    # members of a crowded component compared at once
 TILE = 1024                    # blocks whose centres are compared at once
-BITS = 16
+BITS = 48
 
 EDGES = "u long, v long, sim double"
 
@@ -40,45 +43,72 @@ EDGES = "u long, v long, sim double"
 def _signs(batches, tables: int, seed: int) -> Iterator[pa.RecordBatch]:
     """Adds ``signs``: for each set of hyperplanes the BITS signs as a number."""
     for b in batches:
-        out = np.zeros((b.num_rows, tables), np.int32)
+        out = np.zeros((b.num_rows, tables), np.int64)
         for rows, x in by_width(b.column("vec")):
             planes = np.random.default_rng([seed, x.shape[1]]).normal(size=(x.shape[1], tables * BITS))
             side = (unit(x) @ planes > 0).reshape(len(rows), tables, BITS)
-            out[rows] = side @ (1 << np.arange(BITS)[::-1])
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(list(out), pa.list_(pa.int32()))],
+            out[rows] = side @ (1 << np.arange(BITS, dtype=np.int64)[::-1])
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(list(out), pa.list_(pa.int64()))],
                                          names=[*b.schema.names, "signs"])
 
 
-def _nearest(group: pa.Table, k: int) -> pa.Table:
-    """Each member's ``k`` nearest in its group."""
-    node = group.column("node").to_numpy()
+def _nearest(group: pa.Table, done: int, k: int, meet: int, ends: bool) -> tuple[list[pa.Table], int]:
+    """The ``k`` nearest of each row from ``done`` on, among its block of ``meet``
+    rows and the blocks before and after; and how far that came."""
+    node, n, out = group.column("node").to_numpy(), group.num_rows, []
     (_, x), = by_width(group.column("vec"))
-    sim = unit(x) @ unit(x).T
-    np.fill_diagonal(sim, -np.inf)
-    k = min(k, len(node) - 1)
-    best = np.argpartition(-sim, k - 1, axis=1)[:, :k] if k > 0 else np.zeros((len(node), 0), np.int64)
-    u = np.repeat(np.arange(len(node)), k)
-    return pa.table({"u": node[u], "v": node[best.ravel()], "sim": sim[u, best.ravel()]})
-
-
-def _first_graph(nodes: DataFrame, sizes: DataFrame, k: int, tables: int, seed: int) -> DataFrame:
-    """Edges among nodes with like signs.  The signs used grow with the number of
-    nodes of a label; a crowd of equal signs is dealt into groups at random."""
-    kinds = "node long, label int, dim int, vec array<double>, signs array<int>".replace(
-        "array<double>", nodes.schema["vec"].dataType.simpleString())
-    signed = map_arrow(nodes.select("node", F.col("label"), "dim", "vec"),
-                       partial(_signs, tables=tables, seed=seed),
-                       kinds.replace("label int", f"label {nodes.schema['label'].dataType.simpleString()}"))
-    signed = (signed.join(sizes, ["label", "dim"])
-              .select("node", "label", "dim", "vec", "bits", F.posexplode("signs").alias("t", "sign"))
-              .withColumn("spot", F.expr(f"shiftright(sign, {BITS} - bits)")))
-    place = ["label", "dim", "t", "spot"]
-    crowds = (signed.groupBy(*place).agg(F.count(F.lit(1)).alias("n"))
-              .select(*place, F.ceil(F.col("n") / (2 * MEET)).alias("parts")))
-    dealt = signed.join(crowds, place).withColumn(
-        "part", F.pmod(F.xxhash64("node", "t", F.lit(seed)), F.col("parts")))
-    return group_arrow(dealt.select(*place, "part", "node", "vec"), [*place, "part"],
-                       partial(_nearest, k=k), EDGES)
+    x = unit(x)
+    while done < n and (ends or done + 2 * meet <= n):
+        lo, hi, to = max(0, done - meet), min(n, done + 2 * meet), min(n, done + meet)
+        sim = x[done:to] @ x[lo:hi].T
+        sim[np.arange(to - done), np.arange(done, to) - lo] = -np.inf
+        most = min(k, hi - lo - 1)
+        if most > 0:
+            best = np.argpartition(-sim, most - 1, axis=1)[:, :most]
+            u = np.repeat(np.arange(to - done), most)
+            out.append(pa.table({"u": node[done:to][u], "v": node[lo:hi][best.ravel()], "sim": sim[u, best.ravel()]}))
+        done = to
+    return out, done
+
+
+def _neighbours_in_order(batches, k: int, meet: int) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of (run, sign): each meets those about it in its run."""
+    kept, done = None, 0                               # the last run's end, of it passed on already
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        t = t if kept is None else pa.concat_tables([kept, t]).combine_chunks()
+        if not t.num_rows:
+            continue
+        run = t.column("run").to_numpy()
+        edge = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(run)]
+        for lo, hi in zip(edge, edge[1:], strict=False):
+            own, last = t.slice(lo, hi - lo), hi == len(run)
+            out, done = _nearest(own, done, k, meet, not last)
+            for o in out:
+                yield from o.to_batches()
+            if last:
+                rest = max(0, done - meet)
+                kept, done = own.slice(rest), done - rest
+            else:
+                done = 0
+    if kept is not None:
+        for o in _nearest(kept, done, k, meet, True)[0]:
+            yield from o.to_batches()
+
+
+def _first_graph(nodes: DataFrame, k: int, tables: int, meet: int, seed: int) -> DataFrame:
+    """Edges among nodes with like signs: the nodes of a label stand in the order of
+    their signs, so that where they are many further bits part them, and meet
+    those next to them.  Only equal signs stand in random order."""
+    kinds = (f"node long, label {nodes.schema['label'].dataType.simpleString()}, dim int, "
+             f"vec {nodes.schema['vec'].dataType.simpleString()}, signs array<long>")
+    order = ["label", "dim", "t", "sign", "deal"]
+    signed = (map_arrow(nodes.select("node", "label", "dim", "vec"), partial(_signs, tables=tables, seed=seed), kinds)
+              .select("node", "label", "dim", "vec", F.posexplode("signs").alias("t", "sign"))
+              .withColumn("deal", F.xxhash64("node", "t", F.lit(seed)))
+              .repartitionByRange(*order).sortWithinPartitions(*order)
+              .select(F.xxhash64("label", "dim", "t").alias("run"), "node", "vec"))
+    return map_arrow(signed, partial(_neighbours_in_order, k=k, meet=meet), EDGES)
 
 
 def _top(edges: DataFrame, k: int) -> DataFrame:
@@ -234,21 +264,39 @@ def _audited(batches, sample: dict, threshold: float) -> Iterator[pa.RecordBatch
                 yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(link.sum(axis=0))], names=["node", "n"])
 
 
-def audit(nodes: DataFrame, links: DataFrame, threshold: float, sample: int = AUDIT) -> float:
-    """Share of the links of ``sample`` nodes, found by comparing them with every
-    row of their label, that ``links`` (node, nodes: linked nodes) has."""
-    picked = nodes.orderBy(F.xxhash64("node", F.lit("audit"))).limit(sample).select("node", "label", "dim", "vec")
-    rows = picked.toArrow()
+def audit(nodes: DataFrame, links: DataFrame, threshold: float, sample: int = AUDIT) -> tuple[float, bool]:
+    """Mean over the nodes with links of the share that ``links`` (node, nodes: linked
+    nodes, crowded) has, crowded components apart, and whether a node with links
+    was seen or every node was.  ``sample`` nodes with a found link and as many
+    without are compared with every row of their label; either kind weighs by
+    its number."""
+    state = (nodes.select("node", "label", "dim", "vec").join(links, "node", "left")
+             .filter(~F.coalesce("crowded", F.lit(False)))
+             .withColumn("got", F.coalesce("nodes", F.lit(0).cast("long"))))
+    order = F.xxhash64("node", F.lit("audit"))
+    queries, got, picked, asked = {}, {}, [], {}
+    of_all = {r["some"]: r["count"] for r in state.groupBy((F.col("got") > 0).alias("some")).count().collect()}
+    for some in of_all:
+        rows = (state.filter((F.col("got") > 0) == F.lit(some)).orderBy(order).limit(sample)
+                .select("node", "label", "vec", "got").toArrow())
+        asked[some] = rows.num_rows
+        got.update(zip(rows.column("node").to_pylist(), rows.column("got").to_pylist(), strict=True))
+        picked.append(rows)
+    if not picked:
+        return 1.0, True
+    rows = pa.concat_tables(picked).combine_chunks()
     node, label = rows.column("node").to_numpy(), np.array(rows.column("label").to_pylist(), object)
-    queries = {}
-    for at, x in by_width(rows.column("vec")) if len(node) else []:
+    for at, x in by_width(rows.column("vec")):
         for own in set(label[at].tolist()):
             mine = label[at] == own
             queries[own, x.shape[1]] = (node[at[mine]], unit(x[mine]))
     true = map_arrow(nodes.select("node", "label", "vec"), partial(_audited, sample=queries, threshold=threshold),
-                     "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
-    got = true.join(links, "node", "left").agg(F.sum("n"), F.sum(F.least("n", F.coalesce("nodes", F.lit(0))))).first()
-    return 1.0 if not got[0] else got[1] / got[0]
+                     "node long, n long").groupBy("node").agg(F.sum("n").alias("n")).filter("n > 0").collect()
+    weight = {some: of_all[some] / asked[some] for some in of_all}
+    share = [(weight[got[r["node"]] > 0], min(1.0, got[r["node"]] / r["n"])) for r in true]
+    if not share:
+        return 1.0, asked == of_all
+    return sum(w * s for w, s in share) / sum(w for w, _ in share), True
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = NEIGHBOURS,
@@ -269,20 +317,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = NEIGHB
     nodes = cut(valid.groupBy("label", "dim", "vec")
                 .agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
                 .withColumn("node", F.monotonically_increasing_id()))
-    sizes = nodes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).select(
-        "label", "dim", F.least(F.lit(BITS), F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / MEET)).cast("int")))
-        .alias("bits"))
-    graph, reached, tried = None, 0.0, 0
-    while reached < recall and tried < 3:
-        fresh = _first_graph(nodes, sizes, k, TABLES, seed + tried).withColumn("new", F.lit(True))
+    graph, tried = None, 0
+    while True:
+        fresh = _first_graph(nodes, k, TABLES, MEET << tried, seed + tried).withColumn("new", F.lit(True))
         known = fresh if graph is None else graph.union(fresh.select(*graph.columns))
         graph = cut(_top(known, k))
         for r in range(rounds):
             graph = cut(_descend(nodes, graph, k, seed + r))
-            if graph.filter(F.col("new") & (F.col("sim") >= threshold)).limit(1).isEmpty():
+            if graph.filter("new").limit(1).isEmpty():
                 break
-        links, roots, reached = _links(nodes, graph, threshold, k)
+        links, roots, reached, seen = _links(nodes, graph, threshold, k)
         tried += 1
+        if reached >= recall and (seen or tried > 1):
+            break
+        if tried == TRIES:
+            raise RuntimeError(f"{reached:.4f} of a node's links found after {tried} tries, {recall} asked for")
     found = (nodes.join(links.select("node", "n_links"), "node", "left").join(roots, "node", "left")
              .withColumn("root", F.coalesce("root", "node"))
              .withColumn("n_links", F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1))
@@ -295,9 +344,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = NEIGHB
         "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
-def _links(nodes: DataFrame, graph: DataFrame, threshold: float, k: int) -> tuple[DataFrame, DataFrame, float]:
-    """(node, n_links: other vectors linked, nodes: other nodes linked),
-    (node, root), and the audited recall."""
+def _links(nodes: DataFrame, graph: DataFrame, threshold: float, k: int) -> tuple[DataFrame, DataFrame, float, bool]:
+    """(node, n_links: other vectors linked, nodes: other nodes linked, crowded),
+    (node, root), and what the audit says."""
     edges = graph.filter(F.col("sim") >= threshold).select("u", "v")
     pairs = cut(edges.union(edges.select("v", "u")).distinct())
     roots = cut(components(pairs.select(F.col("u").alias("a"), F.col("v").alias("b"))))
@@ -310,7 +359,7 @@ def _links(nodes: DataFrame, graph: DataFrame, threshold: float, k: int) -> tupl
            .groupBy(F.col("u").alias("node")).agg(F.sum("copies").alias("n_links"),
                                                   F.count(F.lit(1)).alias("nodes")))
     counts, joined = _count_in_blocks(crowd, threshold)
-    links = cut(few.unionByName(counts))
+    links = cut(few.withColumn("crowded", F.lit(False)).unionByName(counts.withColumn("crowded", F.lit(True))))
     merged = components(joined).select(F.col("node").alias("root"), F.col("root").alias("whole"))
     roots = cut(roots.join(merged, "root", "left").select("node", F.coalesce("whole", "root").alias("root")))
-    return links, roots, audit(nodes, links, threshold)
+    return links, roots, *audit(nodes, links, threshold)
