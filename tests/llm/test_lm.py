@@ -55,6 +55,23 @@ def test_awkward_rows_near_and_far_words(awkward, monkeypatch, known):
         assert abs(again.setdefault((r["doc_id"], r["n_tokens"]), r["score"]) - r["score"]) < 1e-4
 
 
+@pytest.mark.parametrize(("rounds", "share"), [(lm.ROUNDS, lm.SHARE), (1, 3)])
+def test_rounds_train_on_every_document(awkward, monkeypatch, rounds, share):
+    monkeypatch.setattr(lm, "ENOUGH", 10, raising=False)        # as a large corpus
+    read, as_it_was = [], lm.map_arrow
+
+    def noted(df, fn, schema):
+        if getattr(fn, "func", None) is lm._train:
+            read.extend(bytes(r["text"]) for r in df.collect())
+        return as_it_was(df, fn, schema)
+
+    training = awkward.filter("doc_id is null or doc_id < 100")
+    voc = lm.vocabulary(lm.count_words(training), training.count())
+    monkeypatch.setattr(lm, "map_arrow", noted)
+    lm.train(training, voc, rounds, share)
+    assert sorted(read) == sorted((r["text"] or "").encode() for r in training.collect())
+
+
 def test_clashing_columns_no_rows_and_no_training(clashing, empty, spark):
     assert lm.score(clashing).columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     assert lm.score(empty).count() == 0

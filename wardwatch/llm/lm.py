@@ -10,8 +10,9 @@ the cost of a small multiple of their number's root.  A shared unit's words
 divide its probability by their smoothed counts.
 
 Training is noise-contrastive estimation in numpy: in each round every task goes
-through its share of the training documents from the same start, and the results
-are averaged by the tokens seen, summed up on the executors.
+through its part of a share of the training documents from the same start, and the
+results are averaged by the tokens seen, summed up on the executors.  The rounds
+together go through every training document, by the same rule at every size.
 """
 
 from __future__ import annotations
@@ -36,9 +37,7 @@ SIZE = 24                      # components of a vector
 CONTEXT = 3
 NOISE = 16
 ROUNDS = 2
-SHARE = 8                      # a round takes one of so many training documents, or as few
-ENOUGH = 2_000_000             # as leave it so many tokens; fewer than that are gone through
-PASSES = 8                     # again, up to so often
+SHARE = 2                      # a round takes one of so many shares of the training documents
 BATCH = 2048                   # tokens of a training step
 KNOWN = 1_000_000              # words whose counts every task holds, at most
 FLUSH = 2_000_000              # distinct words that a counting task holds
@@ -300,12 +299,11 @@ class Trainer:
         self.tokens += n
 
 
-def _train(batches, voc, flat, seed: int, passes: int) -> Iterator[pa.RecordBatch]:
+def _train(batches, voc, flat, seed: int) -> Iterator[pa.RecordBatch]:
     """One task's steps from the shared start: its parameters times its tokens."""
     v = voc.value
     trainer = Trainer(Model.of(flat.value.copy()), v.share, seed)
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
-    seen: list[tuple[np.ndarray, np.ndarray]] = []     # kept only for further passes
 
     def steps(rest: bool) -> None:
         nonlocal waiting
@@ -326,13 +324,8 @@ def _train(batches, voc, flat, seed: int, passes: int) -> Iterator[pa.RecordBatc
             flat_units, context, _ = _units(v, texts, before, closes)[:3]
             before = _carry(before, flat_units)
             waiting.append((flat_units, context))
-            if passes > 1:
-                seen.append((flat_units, context))
             steps(False)
     steps(True)
-    for _ in range(passes - 1):
-        waiting = list(seen)
-        steps(True)
     if trainer.tokens:
         params = trainer.m.flat().astype(np.float64) * trainer.tokens
         task = TaskContext.get().partitionId() if TaskContext.get() else 0
@@ -371,17 +364,15 @@ def _summed(batches) -> Iterator[pa.RecordBatch]:
 
 def train(training: DataFrame, voc: Vocabulary, rounds: int = ROUNDS, share: int = SHARE) -> Model:
     """Rounds of parallel training; round i takes the documents whose hash modulo
-    ``share`` is i modulo share, so what is trained on grows with the corpus.  A
-    small corpus is dealt into fewer shares, and a very small one gone through
-    several times, for want of tokens."""
+    ``share`` is i modulo share.  There are as many rounds as shares at least, so
+    that every training document is gone through."""
     sc = training.sparkSession.sparkContext
-    share = max(1, min(share, voc.tokens // ENOUGH))
-    passes = max(1, min(PASSES, ENOUGH // max(1, voc.tokens // share)))
+    rounds = max(rounds, share)
     shared, model = sc.broadcast(voc), start(voc.share)
     for i in range(rounds):
         flat = sc.broadcast(model.flat())
         part = training.filter(F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(share)) == i % share)
-        own = map_arrow(part.select(text_bytes().alias("text")), partial(_train, voc=shared, flat=flat, seed=i, passes=passes),
+        own = map_arrow(part.select(text_bytes().alias("text")), partial(_train, voc=shared, flat=flat, seed=i),
                         "task int, tokens long, params binary")
         sums = map_arrow(own.repartition(AVERAGERS, "task").select("tokens", "params"), _summed,
                          "tokens long, params binary").collect()
