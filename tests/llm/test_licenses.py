@@ -45,6 +45,19 @@ def test_whole_texts_with_small_differences_and_neighbours():
     assert names(changed) == []
 
 
+def test_notices_across_lines_and_several_in_a_sentence():
+    assert names("Licensed under the Apache License,\nVersion 2.0.") == ["Apache-2.0"]
+    assert names("# This work is licensed under a Creative\n# Commons\n# Attribution 4.0 International License.") == ["CC-BY-4.0"]
+    assert names("This is free and unencumbered software released into the public\ndomain.") == ["Unlicense"]
+    assert names("It is not\nlicensed under the Apache License,\nVersion 2.0.") == []
+    both = "Licensed under the MIT License or licensed under the Apache License, Version 2.0"
+    found = licenses.scan(both)
+    assert [both[f["start"]: f["end"]].split()[3] for f in found] == ["MIT", "Apache"]
+    assert [f["license"] for f in found] == ["MIT", "Apache-2.0"]
+    for at in range(1_900, 2_010, 7):                  # a long line, cut anywhere
+        assert names("word " * (at // 5) + "x" * (at % 5) + " Licensed under the MIT License " + "word " * 900) == ["MIT"], at
+
+
 def test_spans_and_sizes():
     text = "Été ﬁn.\nReleased under the MIT License.\nİx"
     (f,) = licenses.scan(text)

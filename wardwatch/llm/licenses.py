@@ -3,13 +3,15 @@
 Passages that speak of rights are cut out as candidate blocks.  Each block is
 compressed alone and again with each template as a raw Zstandard dictionary; the
 templates that shrink it most are the likeliest, and the exact differences in
-wording confirm or refuse them.  Short notices are sought sentence by sentence,
-whole license texts in runs of sentences.
+wording confirm or refuse them.  Whole license texts are sought in runs of
+sentences, short notices in each sentence and then across its borders; what a
+notice leaves on either side is looked at again.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
@@ -23,12 +25,12 @@ from pyspark.sql import functions as F
 from .common import map_arrow, slices
 
 LEVEL = 3
-WINNERS = 3                    # templates whose wording is compared
+WINNERS = 3                    # templates whose wording is compared before the next in rank
 DIFFERENT = 0.2                # share of a template's words that may differ
 GAP = 3                        # sentences between two that speak of rights
 LONG = 25                      # words from which a template is a whole text
 LONGEST = 2_000                # characters of a sentence; a longer one is cut
-RUN = 200                      # sentences of a run that are compared at once
+RUN = 4_000                    # words of a run that are compared at once
 
 #: What a passage on rights contains, in lower case.
 MARKS = ["licen", "copyright", "spdx", "warrant", "redistribut", "permission", "public domain",
@@ -124,7 +126,9 @@ TEMPLATES: list[tuple[str, str, str]] = [
 _WORD = re.compile(r"[a-z0-9]+")
 #: Up to the end of a line or of a sentence (not the dot after a single letter).
 _SENTENCE = re.compile(r"(?:[^\n.;]|[.;](?!\s|$)|(?<=\W[a-z])\.)+[.;]*|[.;]+")
-_MARK = re.compile("|".join(map(re.escape, MARKS)))
+#: Two words of a mark may stand on two lines.
+MARK = "|".join(m.replace(" ", "[^a-z0-9]+") for m in MARKS)
+_MARK = re.compile(MARK)
 
 
 def _lower(text: str) -> str:
@@ -189,6 +193,14 @@ def differences(words: list[str], template: Template) -> tuple[int, int, list[st
     match = [m for m in SequenceMatcher(None, template.words, words, autojunk=False).get_matching_blocks() if m.size]
     if not match:
         return 0, 0, [f"-{w}" for w in template.words]
+    cost = {}                                          # stray words on either side are no part of it
+    for i in range(len(match)):
+        kept = 0
+        for j in range(i, len(match)):
+            kept += match[j].size
+            cost[i, j] = len(template.words) - kept + match[j].b + match[j].size - match[i].b - kept
+    i, j = min(cost, key=lambda c: (cost[c], c[0] - c[1]))
+    match = match[i: j + 1]
     out, at, own = [], match[0].b, 0
     for m in match:
         out += [f"-{w}" for w in template.words[own: m.a]] + [f"+{w}" for w in words[at: m.b]]
@@ -196,18 +208,31 @@ def differences(words: list[str], template: Template) -> tuple[int, int, list[st
     return match[0].b, at, out + [f"-{w}" for w in template.words[own:]]
 
 
-def _confirmed(words: list[str], best: list[tuple[int, int, Template]]):
-    """Of the winners that save anything, the one whose wording differs least, if
-    it differs little and in no word that matters."""
-    fit = []
-    for place, (saved, size, t) in enumerate(best[:WINNERS]):
-        first, end, diff = differences(words, t)
-        lost = {d[1:] for d in diff if d[0] == "-"} & t.needs
-        added = {d[1:] for d in diff if d[0] == "+"} & (QUALIFIERS - set(t.words))
-        refused = NEGATIONS & set(words[max(0, first - 3): first])
-        if saved > 0 and not refused and not lost and not added and len(diff) <= DIFFERENT * len(t.words):
-            fit.append((len(diff), place, saved, size, t, first, end, diff))
-    return min(fit, default=None, key=lambda f: f[:2])
+def _confirmed(words: list[str], best: list[tuple[int, int, Template]], before: list[str]):
+    """Of the templates that save anything, the one whose wording differs least, if it
+    differs little and in no word that matters: the first WINNERS, then the next
+    ones while none fits.  ``before`` are the words before the block."""
+    there = set(words)
+    for lo in range(0, min(WINNERS, len(best)), WINNERS):
+        fit = []
+        for place, (saved, size, t) in enumerate(best[lo: lo + WINNERS]):
+            most = DIFFERENT * len(t.words)
+            if saved <= 0 or t.needs - there or sum(w not in there for w in t.words) > most:
+                continue
+            first, end, diff = differences(words, t)
+            lost = {d[1:] for d in diff if d[0] == "-"} & t.needs
+            added = {d[1:] for d in diff if d[0] == "+"} & (QUALIFIERS - set(t.words))
+            refused = NEGATIONS & set([*before, *words[:first]][-3:])
+            if not refused and not lost and not added and len(diff) <= most:
+                fit.append((len(diff), place, saved, size, t, first, end, diff))
+        if fit:
+            return min(fit, key=lambda f: f[:2])
+    return None
+
+
+def _reach(among: list[Template]) -> int:
+    """Words that a notice of these templates may take up."""
+    return int(max((len(t.words) for t in among), default=0) * (1 + DIFFERENT)) + 1
 
 
 def scan(text: str, templates: tuple = tuple(TEMPLATES)) -> list[dict]:
@@ -216,43 +241,76 @@ def scan(text: str, templates: tuple = tuple(TEMPLATES)) -> list[dict]:
     known, plain = _prepared(templates)
     low = _lower(text)
     spans = sentences(low)
-    marked = [i for i, (s, e) in enumerate(spans) if _MARK.search(low, s, e)]
-    out, covered = [], set()
-
-    def look(lo: int, hi: int, among: list[Template]):
-        """Spans lo to hi as one block."""
-        s, e = spans[lo][0], spans[hi - 1][1]
-        places = [m.span() for m in _WORD.finditer(low, s, e)]
-        words = [low[a:b] for a, b in places]
-        if not words:
-            return None
-        found = _confirmed(words, ranked(low[s:e], among, plain))
-        if found:
-            _, _, saved, size, t, first, end, diff = found
-            a, b = places[first][0], places[end - 1][1]
-            out.append({"license": t.license, "start": a, "end": b, "plain_size": size + saved, "saved": saved,
-                        "template": t.text, "differences": diff})
-            return a, b
-        return None
-
-    runs: list[list[int]] = []
-    for i in marked:
-        if runs and i - runs[-1][-1] <= GAP + 1 and i - runs[-1][0] < RUN:
-            runs[-1].append(i)
-        else:
-            runs.append([i])
+    marks = [m.span() for m in _MARK.finditer(low)]
+    if not marks:
+        return []
+    places = [m.span() for m in _WORD.finditer(low)]
+    words, starts = [low[a:b] for a, b in places], [a for a, _ in places]
+    bounds = [(bisect_left(starts, s), bisect_left(starts, e)) for s, e in spans]    # of spans, in words
+    ends = [e for _, e in spans]
+    marked = sorted({i for a, b in marks
+                     for i in range(bisect_right(ends, a), min(len(spans), bisect_left(ends, b) + 1))})
     whole, short = [t for t in known if t.whole], [t for t in known if not t.whole]
-    for run in runs:
-        open_ = [(max(0, run[0] - 1), min(len(spans), run[-1] + 1 + GAP))]
-        while open_:                       # what a text leaves on either side may hold another
-            lo, hi = open_.pop()
-            if lo < hi and spans[hi - 1][1] - spans[lo][0] > LONG * 4 and (hit := look(lo, hi, whole)):
-                inside = {i for i in range(lo, hi) if spans[i][0] < hit[1] and spans[i][1] > hit[0]}
-                covered |= inside
-                open_ += [(lo, min(inside)), (max(inside) + 1, hi)]
-    for i in marked:
-        if i not in covered:
-            look(i, i + 1, short)
+    out: list[dict] = []
+    taken: list[tuple[int, int]] = []                  # words of the notices found, in order
+
+    def gaps(lo: int, hi: int) -> list[tuple[int, int]]:
+        """What is not taken of the words lo to hi."""
+        left = []
+        for a, b in taken[max(0, bisect_left(taken, (lo, lo)) - 1):]:
+            if a >= hi:
+                break
+            if b > lo:
+                left.append((lo, a))
+                lo = b
+        return [(a, b) for a, b in [*left, (lo, hi)] if a < b]
+
+    def look(lo: int, hi: int, among: list[Template], before: list[str]) -> bool:
+        """Words lo to hi as one block."""
+        s, e = places[lo][0], places[hi - 1][1]
+        while e < len(low) and low[e] in ".;":         # as a sentence ends
+            e += 1
+        found = _confirmed(words[lo:hi], ranked(low[s:e], among, plain), before)
+        if not found:
+            return False
+        _, _, saved, size, t, first, end, diff = found
+        out.append({"license": t.license, "start": places[lo + first][0], "end": places[lo + end - 1][1],
+                    "plain_size": size + saved, "saved": saved, "template": t.text, "differences": diff})
+        insort(taken, (lo + first, lo + end))
+        return True
+
+    def search(lo: int, hi: int, among: list[Template], first: int, split: int = 0) -> None:
+        """Every notice among the words lo to hi; a block without one is split, if a
+        notice takes up ``split`` words and the block more than three times that.
+        From word ``first`` on the words before count as being before a notice."""
+        open_ = [(lo, hi)]
+        while open_:
+            for a, b in gaps(*open_.pop()):
+                if look(a, b, among, words[max(first, a - 3): a]):
+                    open_.append((a, b))
+                elif split and b - a > 3 * split:
+                    mid = (a + b) // 2
+                    open_ += [(mid, b), (a, mid + split)]
+
+    far, runs = _reach(whole), []
+    for i in marked if whole else []:
+        lo, last = bounds[max(0, i - 1)][0], bounds[min(len(spans) - 1, i + GAP)][1]
+        hi = max(last, min(len(words), bounds[i][1] + far))
+        if runs and lo <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], hi)
+        else:
+            runs.append([lo, hi])
+    for lo, hi in runs:                                # what is longer comes in overlapping parts
+        for a in range(lo, max(lo + 1, hi - far), RUN - far):
+            search(a, min(hi, a + RUN), whole, a)
+    near = _reach(short)
+    for i in marked if short else []:
+        if bounds[i][0] < bounds[i][1]:
+            search(*bounds[i], short, bounds[i][0])
+    for i in marked if short else []:                  # across the borders of sentences and lines
+        a, b = max(0, bounds[i][0] - near), min(len(words), bounds[i][1] + near)
+        if (a, b) != bounds[i] and a < b:
+            search(a, b, short, max(0, a - 3))
     return sorted(out, key=lambda f: (f["start"], f["license"]))
 
 
@@ -277,11 +335,7 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str, str]] | None =
     their notices each; a text holds any number.  Rows without doc_id keep a null
     one.  Further columns are left out; no rows: no rows.
     """
-    low = F.lower("text")
-    some = F.lit(False)
-    for mark in MARKS:
-        some = some | F.contains(low, F.lit(mark))
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(some)
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.lower("text").rlike(MARK))
     return map_arrow(read, partial(_scan, templates=tuple(templates or TEMPLATES)),
                      "doc_id long, license string, start long, end long, plain_size long, saved long, "
                      "template string, differences array<string>")
