@@ -1,3 +1,5 @@
+import textwrap
+
 import zstandard
 
 from wardwatch.llm import licenses
@@ -58,6 +60,19 @@ def test_notices_across_lines_and_several_in_a_sentence():
         assert names("word " * (at // 5) + "x" * (at % 5) + " Licensed under the MIT License " + "word " * 900) == ["MIT"], at
 
 
+def test_whole_text_among_reworded_ones_and_in_long_runs():
+    text = {t[0]: t[2] for t in licenses.TEMPLATES if len(t[2].split()) > licenses.LONG}
+
+    def altered(t):
+        return " ".join("other" if i % 4 == 3 else w for i, w in enumerate(t.split()))
+
+    notices = "\n".join([altered(text[n]) for n in ("BSD-3-Clause", "BSD-2-Clause", "GPL-3.0", "GPL-2.0")] + [text["ISC"]])
+    assert names(notices) == ["ISC"]
+    wrapped = "\n".join(textwrap.wrap(text["MIT"], 60))
+    for lines in (190, 196, 199, 203):
+        assert names("this line speaks of a license\n" * lines + wrapped) == ["MIT"], lines
+
+
 def test_spans_and_sizes():
     text = "Été ﬁn.\nReleased under the MIT License.\nİx"
     (f,) = licenses.scan(text)

@@ -213,7 +213,7 @@ def _confirmed(words: list[str], best: list[tuple[int, int, Template]], before:
     differs little and in no word that matters: the first WINNERS, then the next
     ones while none fits.  ``before`` are the words before the block."""
     there = set(words)
-    for lo in range(0, min(WINNERS, len(best)), WINNERS):
+    for lo in range(0, len(best), WINNERS):
         fit = []
         for place, (saved, size, t) in enumerate(best[lo: lo + WINNERS]):
             most = DIFFERENT * len(t.words)
@@ -302,7 +302,7 @@ def scan(text: str, templates: tuple = tuple(TEMPLATES)) -> list[dict]:
             runs.append([lo, hi])
     for lo, hi in runs:                                # what is longer comes in overlapping parts
         for a in range(lo, max(lo + 1, hi - far), RUN - far):
-            search(a, min(hi, a + RUN), whole, a)
+            search(a, min(hi, a + RUN), whole, a, far)
     near = _reach(short)
     for i in marked if short else []:
         if bounds[i][0] < bounds[i][1]:
