@@ -1,0 +1,125 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from test_vectors import awkward_vectors, good
+
+from wardwatch.llm import cover_tree, hard_negatives
+from wardwatch.llm.common import table
+
+
+def by_brute_force(rows, anchors, positives=5, negatives=5):
+    kept = {}
+    for r in rows:
+        if r["vec_id"] is not None and r["label"] is not None and good(r["embedding"]):
+            held = (r["label"], list(r["embedding"]))
+            kept[r["vec_id"]] = min(kept.get(r["vec_id"], held), held)
+    ints = {i: (label, [int(np.floor(256 * x)) for x in v]) for i, (label, v) in kept.items()}
+    out = []
+    for a in sorted(anchors & ints.keys()):
+        label, v = ints[a]
+        scored = [(-sum(x * y for x, y in zip(v, w, strict=True)), i, other)
+                  for i, (other, w) in ints.items() if i != a and len(w) == len(v)]
+        for p, pid, _ in sorted(s for s in scored if s[2] == label)[:positives]:
+            fits = sorted(s for s in scored if s[2] != label and 80 * -p <= 100 * -s[0] <= 100 * -p)
+            out += [(a, pid, n + 1, i, -p, -s) for n, (s, i, _) in enumerate(fits[:negatives])]
+    return sorted(out)
+
+
+def mined(vectors, anchors):
+    return sorted(map(tuple, hard_negatives.mine(vectors, anchors).collect()))
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_as_by_brute_force(spark, kind, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "ROWS", 25)
+    monkeypatch.setattr(hard_negatives, "ANCHORS", 6)
+    near = [(2000 + i, [0.9, *[0.01 * i] * 15], i % 3) for i in range(30)]
+    vectors = awkward_vectors(spark, kind).unionByName(spark.createDataFrame(near, f"vec_id long, embedding array<{kind}>, label int"))
+    anchors = vectors.filter("vec_id % 10 = 0 or vec_id > 5000")
+    want = by_brute_force(vectors.collect(), {r["vec_id"] for r in anchors.collect()})
+    assert len(want) > 100 and mined(vectors, anchors) == want
+
+
+def test_given_table(spark, small):
+    vectors = table(spark, small, "embeddings")
+    want = by_brute_force(vectors.collect(), {r["vec_id"] for r in vectors.filter("vec_id % 50 = 0").collect()})
+    assert mined(vectors, vectors.filter("vec_id % 50 = 0")) == want
+
+
+def test_copies_ties_and_one_label(spark, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "ROWS", 16)
+    rows = [(i, [1.0, 0.5, 0.25], i % 2) for i in range(90)]
+    rows += [(100 + i, [1.0 - i / 40, 0.5, 0.0], 2) for i in range(40)] + [(5, [1.0, 0.5, 0.25], 1)] * 20
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    anchors = vectors.filter("vec_id % 10 = 0")
+    assert mined(vectors, anchors) == by_brute_force(vectors.collect(), {r["vec_id"] for r in anchors.collect()})
+    alone = vectors.withColumn("label", F.lit(1))
+    assert mined(alone, anchors) == []
+
+
+def test_none_and_clashing(spark):
+    kinds = "vec_id long, embedding array<float>, label int"
+    nothing = spark.createDataFrame([], kinds)
+    assert mined(nothing, nothing) == []
+    rows = [(10, [1.0, 0.0], 1), (1, [0.9, 0.0], 1), (2, [0.8, 0.1], 2), (3, None, 2), (4, [0.85, 0.0], None),
+            (20, [-1.0, 0.0], 5), (21, [0.5, 0.5], 5), (22, [0.0, 0.0], 5)]
+    few = spark.createDataFrame(rows, kinds)
+    assert mined(few, nothing) == [] == mined(nothing, few)
+    want = by_brute_force(few.collect(), {10, 20, 22})
+    asked = few.filter("vec_id in (10, 20, 22)")
+    assert mined(few, asked) == want and any(w[0] == 22 for w in want)
+    names = ["vec", "row", "dim", "cell", "away", "anchor_id", "lo", "hi", "s", "w", "place", "rank", "score", "block", "chunk"]
+    clash = few.select("*", *[F.lit("x").alias(c) for c in names])
+    assert mined(clash, clash.filter("vec_id in (10, 20, 22)")) == want
+
+
+def test_big_components_stay_exact(spark):
+    rows = [(i, [float(2 ** 20) + 3 * i / 256, float(i % 5)], i % 2) for i in range(40)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert mined(vectors, vectors) == by_brute_force(vectors.collect(), set(range(40)))
+
+
+def tree_rows(seed, n=600, groups=12):
+    rng = np.random.default_rng(seed)
+    x = np.floor(256 * (rng.normal(size=(groups, 10))[rng.integers(0, groups, n)] + 0.1 * rng.normal(size=(n, 10))))
+    return x, np.sort(rng.choice(10 * n, n, replace=False))
+
+
+def rows_below(tree, n):
+    node = tree.nodes[n]
+    return np.concatenate([node.rows, *[rows_below(tree, c) for c in node.children]])
+
+
+def test_nodes_cover_their_rows_and_centres_stand_apart():
+    x, ids = tree_rows(1)
+    tree = cover_tree.grow(x, ids, 5)
+    y = np.c_[tree.x, np.sqrt(np.maximum(tree.longest ** 2 - (tree.x ** 2).sum(axis=1), 0))]
+
+    for n, node in enumerate(tree.nodes):
+        rows = rows_below(tree, n)
+        assert np.linalg.norm(y[rows] - y[node.centre], axis=1).max() <= node.radius + 1e-6
+        centres = [tree.nodes[c].centre for c in node.children]
+        for i, a in enumerate(centres):
+            assert tree.nodes[node.children[i]].radius <= node.radius / 2 + 1e-6
+            assert all(np.linalg.norm(y[a] - y[b]) > node.radius / 2 - 1e-6 for b in centres[:i])
+    assert sorted(rows_below(tree, 0).tolist()) == list(range(len(x))) and len(tree.nodes) > 12
+
+
+def test_bounds_hold_and_windows_skip_nodes():
+    x, ids = tree_rows(2)
+    tree = cover_tree.grow(x, ids, 3)
+    queries = np.concatenate([tree.x[:40], np.zeros((1, 10)), -tree.x[:3]])
+    at = np.arange(len(queries))
+    q = cover_tree.Queries(queries, np.full(len(at), -1), at, np.full(len(at), 1), np.full(len(at), cover_tree.HIGH))
+    norm = np.linalg.norm(queries, axis=1)
+    for n, node in enumerate(tree.nodes):
+        low, high = cover_tree._bounds(tree, node, q, norm, at)
+        score = queries @ tree.x[rows_below(tree, n)].T
+        assert (low <= score.min(axis=1)).all() and (score.max(axis=1) <= high).all()
+    best = cover_tree.Lists.empty(len(at), 3)
+    verified = cover_tree.search(tree, q, at, best)
+    score = queries @ tree.x.T
+    for i in at:
+        want = sorted((-s, n) for s, n in zip(score[i], tree.ids) if s >= 1)[:3]
+        assert [(-s, n) for s, n in zip(best.score[i], best.ids[i]) if s > cover_tree.LOW] == want
+    assert verified < 0.6 * len(at) * len(tree.x)

@@ -44,11 +44,22 @@ def test_stages_take_awkward_tables(spark, awkward, empty, tiny):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "quality_classifier", "simhash_near_dedup", "packing"]
 
 
+def test_sql_twins(spark, small):
+    import duckdb
+    con = duckdb.connect()
+    for name in ("documents", "embeddings", "labels"):
+        con.sql(f"create view {name} as select * from '{small}/{name}.parquet'")
+    for name, sql in catalog.SQL.items():
+        got = catalog.QUERIES[name](spark, small)
+        want = con.sql(sql).df()[got.columns]
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.itertuples(index=False))), name
+
+
 def test_registered():
     names = __spark_entry__.queries()
     assert set(catalog.QUERIES) | {"pipeline"} <= set(names)
     assert [k for k in catalog.QUERIES if not k.startswith("op")] == []
-    assert sorted(int(k[2:].split("_")[0]) for k in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in catalog.QUERIES) == list(range(1, 14))
     assert set(__spark_entry__.oracle_sql()) <= set(names)
 
 
