@@ -94,13 +94,41 @@ def test_crowded_variants_lose_no_component(spark, bits, monkeypatch):
     assert got == want
 
 
-def test_keep_one_keeps_the_first_of_each_group(awkward):
-    found = simhash.near_duplicates(awkward).collect()
-    kept = simhash.keep_one(awkward).collect()
-    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted(
-        {r["component_id"] for r in found if r["component_id"] is not None})
+def kept_by_brute_force(rows):
+    """Texts of the rows that stay, as (doc_id, text): any row of the smallest id (else fingerprint)."""
+    fps = [simhash.fingerprint((t or "").encode()) for _, t in rows]
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    roots = smallest_reachable(signed, fps, 2)
+    groups = {}
+    for (i, t), f, root in zip(rows, signed, roots, strict=True):
+        groups.setdefault(root, []).append((i is None, i or 0, f, t or ""))
+    return [{(None if m[0] else m[1], m[3]) for m in g if m[:3] == min(g)[:3]} for g in groups.values()]
+
+
+def check_kept(df):
+    rows = [(r["doc_id"], r["text"]) for r in df.collect()]
+    got = [(r["doc_id"], r["text"] or "") for r in simhash.keep_one(df).collect()]
+    want = kept_by_brute_force(rows)
+    assert len(got) == len(want) and all(sum(g in w for g in got) == 1 for w in want)
+
+
+def test_keep_one_keeps_exactly_one_row_of_each_group(awkward, clashing):
+    check_kept(awkward)
+    assert simhash.keep_one(clashing).columns == clashing.columns
+    assert simhash.keep_one(clashing).count() == simhash.keep_one(awkward).count()
     # of the rows without id, the one whose text nothing else has
-    assert [r["text"] for r in kept if r["doc_id"] is None] == ["a row without id that stands alone here"]
+    assert [r["text"] for r in simhash.keep_one(awkward).collect() if r["doc_id"] is None] == ["a row without id that stands alone here"]
+
+
+def test_texts_that_share_an_id_stay_apart(spark):
+    """Two unlinked texts under one id are two groups; a copy under a repeated id goes."""
+    one, two, three = "a b c d e f g", "q r s t u v w x", "k l m n o p"
+    rows = [(3, one), (3, two), (4, two), (2, three), (3, three), (5, one), (3, one), (None, two), (None, "z z1 z2 z3"),
+            (None, "z z1 z2 z3"), (6, ""), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    check_kept(df)
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in simhash.keep_one(df).collect()) == [
+        (0, "z z1 z2 z3"), (2, three), (3, one), (3, two), (6, "")]
 
 
 def test_components_of_a_path_a_star_and_loops(spark):

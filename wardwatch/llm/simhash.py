@@ -165,6 +165,22 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     return near.distinct()
 
 
+def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and of every fingerprint its component's name
+    (smallest doc_id, or null) and the one fingerprint under that name that stands for it."""
+    marked = cut(fingerprints(docs, shingle))
+    distinct = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    joined = components(links(distinct.select("fp"), max_bits)) \
+        .select(F.col("node").alias("fp"), "root")
+    rooted = cut(distinct.join(joined, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    first = F.min(F.struct(F.col("first_id").isNull().alias("nameless"), "first_id", "fp"))
+    # dealt out anew, so that Spark can split a component that holds many fingerprints
+    names = (rooted.groupBy("root").agg(first.alias("first"))
+             .select("root", F.col("first.first_id").alias("component_id"), F.col("first.fp").alias("stays"))
+             .repartition("root", "stays"))
+    return marked, rooted.join(names, "root").select("fp", "component_id", "stays")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id joined to
     it by links, itself included) and fp (the bits), one row for each row of
@@ -174,40 +190,43 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     rows stay and link; rows without doc_id link too but never name a component
     (component_id is null where no member has an id); no rows: no rows.
     """
-    marked = cut(fingerprints(docs, shingle))
-    distinct = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    joined = components(links(distinct.select("fp"), max_bits)) \
-        .select(F.col("node").alias("fp"), "root")
-    rooted = cut(distinct.join(joined, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root")
+    marked, named = _grouped(docs, shingle, max_bits)
     return (marked.join(named.select("fp", "component_id"), "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     "component_id", "fp"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """``docs`` with one row of each near-duplicate component, all columns kept:
-    the row of its smallest doc_id.  A repeated doc_id leaves one row; a
-    component whose rows all lack an id is kept whole, so no text is lost.
+    """``docs`` with exactly one row of each near-duplicate component, all columns
+    kept: a row of its smallest doc_id; without any id, a row of its smallest
+    fingerprint.  Rows that share a doc_id are told apart by their fingerprints, so
+    of two texts under one id each stays in its own component.
 
     Only ids travel where the dropped ones fit a broadcast; they are written, so
-    that the planner knows their size.
+    that the planner knows their size.  Rows without an id of their own are few as a
+    rule; their texts are marked once more.
     """
-    found = near_duplicates(docs, shingle, max_bits)
-    verdict = cut(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__id"))
-                  .agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("keep"),
-                       F.count(F.lit(1)).alias("n")))
+    marked, named = _grouped(docs, shingle, max_bits)
+    stays = cut(named.filter("fp = stays").select(F.col("fp").alias("__fp"), F.col("component_id").alias("__of")))
     own = F.col("doc_id").cast("long") == F.col("__id")
-    named = docs.filter("doc_id is not null").join(
+    verdict = cut(marked.filter("doc_id is not null").join(stays, F.col("fp") == F.col("__fp"), "left")
+                  .groupBy(F.col("doc_id").alias("__id"))
+                  .agg(F.coalesce(F.bool_or(F.col("doc_id") == F.col("__of")), F.lit(False)).alias("keep"),
+                       F.count(F.lit(1)).alias("n")))
+    kept = docs.filter("doc_id is not null").join(
         stored(verdict.filter("not keep").select("__id"), "dropped"), own, "left_anti")
     again = stored(verdict.filter("keep and n > 1").select("__id"), "repeated")
+    unsure = None
     if not again.isEmpty():
-        named = named.join(again, own, "left_anti").unionByName(
-            named.join(again, own, "left_semi").dropDuplicates(["doc_id"]))
-    nameless = found.filter("component_id is null").select("fp").distinct()
-    if nameless.isEmpty():
-        return named
-    loose, text = docs.filter("doc_id is null"), F.xxhash64(text_bytes())    # told apart by their texts
-    marked = fingerprints(loose.select(text.alias("doc_id"), "text"), shingle)
-    keep = stored(marked.join(nameless, "fp").select(F.col("doc_id").alias("__text")).distinct(), "nameless")
-    return named.unionByName(loose.join(keep, text == F.col("__text"), "left_semi"))
+        unsure, kept = kept.join(again, own, "left_semi"), kept.join(again, own, "left_anti")
+    if not marked.filter("doc_id is null").isEmpty():
+        nameless = docs.filter("doc_id is null")
+        unsure = nameless if unsure is None else unsure.unionByName(nameless)
+    if unsure is None:
+        return kept
+    text = F.xxhash64(text_bytes())
+    found = cut(fingerprints(unsure.select(text.alias("doc_id"), "text"), shingle)
+                .select(F.col("doc_id").alias("__text"), F.col("fp").alias("__fp")).distinct()
+                .join(stays, "__fp"))
+    mine = (text == F.col("__text")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__of"))
+    return kept.unionByName(unsure.join(found, mine).dropDuplicates(["__fp"]).select(*docs.columns))
