@@ -184,6 +184,27 @@ def test_top_k_as_by_brute_force(spark, k, monkeypatch):
     assert found_top(vectors, queries, k) == top_by_brute_force(vectors.collect(), asked, k)
 
 
+@pytest.mark.parametrize("copies", [1, 12, 300])
+def test_one_id_with_many_vectors_hides_no_other(spark, copies):
+    """Its vectors have the largest bounds; the bound is over ids all the same."""
+    rows = [(0, [1.0, 0.0])] + [(7, [9.0 + i / 64, i / 640]) for i in range(copies)]
+    rows += [(100 + i, [0.5 + i / 64, 0.25]) for i in range(20)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = found_top(vectors, vectors.filter("vec_id = 0"), 5)
+    assert len(got) == 5 and got == top_by_brute_force(vectors.collect(), [0], 5)
+
+
+def test_columns_that_clash(spark):
+    names = ["vec", "dim", "grp", "low", "at", "label_", "node", "root", "part", "block", "query_id", "score", "rank", "copies",
+             "n_links", "component_id", "kept", "first_id", "sim", "new"]
+    from pyspark.sql import functions as F
+    vectors = awkward_vectors(spark)
+    clash = vectors.select("*", *[F.lit("x").alias(c) for c in names])
+    queries = "vec_id % 40 = 0"
+    assert found_top(clash, clash.filter(queries), 3) == found_top(vectors, vectors.filter(queries), 3)
+    assert found_by(clash) == found_by(vectors)
+
+
 def test_rows_below_the_bound_are_not_sent(spark):
     """One tight group of queries far from most rows."""
     rng = np.random.default_rng(6)

@@ -3,8 +3,8 @@
 Queries are grouped by their nearest pivot.  For a group around pivot p whose
 queries lie within r of it, every row o satisfies, for every query q of the group,
     <p, o> - r |o|  <=  <q, o>  <=  <p, o> + r |o|.
-Each task sums its rows up by the k + 1 largest lower bounds a group; the k-th
-largest over all of them (one is spared for the query itself) is a score that
+Each task sums its rows up by the k + 1 ids of the largest lower bounds a group; the
+k-th largest over all ids (one is spared for the query itself) is a score that
 every query of the group reaches.  A row whose upper bound stays below it is no
 answer and is not sent to the group; all others are, in blocks, and matrix
 products solve each group and block exactly.
@@ -54,9 +54,11 @@ def _pivots(vectors: DataFrame, queries: int) -> dict[int, np.ndarray]:
     return out
 
 
-def _to_pivots(x: np.ndarray, p: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(((x[:, None, :] - p[None]) ** 2).sum(axis=2), 0)) if len(p) * x.size < 1 << 22 else \
-        np.sqrt(np.maximum((x ** 2).sum(1)[:, None] - 2 * x @ p.T + (p ** 2).sum(1), 0))
+def _to_pivots(x: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest pivot of each row, and the distance to it by differences (the
+    expanded square would cancel where a row lies on its pivot)."""
+    near = ((p ** 2).sum(axis=1) - 2 * x @ p.T).argmin(axis=1)
+    return near, np.sqrt(((x - p[near]) ** 2).sum(axis=1))
 
 
 def _group(batches, pivots) -> Iterator[pa.RecordBatch]:
@@ -66,12 +68,11 @@ def _group(batches, pivots) -> Iterator[pa.RecordBatch]:
             p = pivots.get(x.shape[1])
             if p is None:                              # a length that the sample has not seen
                 p = np.zeros((1, x.shape[1]))
-            d = _to_pivots(_ints(x), p)
-            near = d.argmin(axis=1)
+            near, away = _to_pivots(_ints(x), p)
             yield pa.RecordBatch.from_arrays(
                 [b.column("vec_id").take(pa.array(rows)), b.column("vec").take(pa.array(rows)),
                  pa.array(np.full(len(rows), x.shape[1], np.int32)), pa.array(near.astype(np.int32)),
-                 pa.array(d[np.arange(len(rows)), near] * (1 + 1e-9) + 1e-6)],
+                 pa.array(away * (1 + 1e-9) + 1e-6)],
                 names=["query_id", "vec", "dim", "grp", "away"])
 
 
@@ -90,17 +91,23 @@ def _bounds(x: np.ndarray, pivots: dict, radius: dict) -> Iterator[tuple[int, in
 
 
 def _summaries(batches, pivots, radius, k: int) -> Iterator[pa.RecordBatch]:
-    """The k + 1 largest lower bounds of a task's rows for each group."""
-    best: dict[tuple[int, int], np.ndarray] = {}
+    """The k + 1 ids with the largest lower bounds of a task's rows for each group
+    (an id with several vectors counts by its largest)."""
+    best: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
     for b in batches:
-        for _, x in by_width(b.column("vec")):
+        names = b.column("vec_id").to_numpy()
+        for rows, x in by_width(b.column("vec")):
             for dim, g, low, _ in _bounds(_ints(x), pivots, radius):
-                both = np.concatenate([best.get((dim, g), np.zeros(0)), low])
-                best[dim, g] = np.sort(both)[-(k + 1):]
-    for (dim, g), low in best.items():
+                ids, held = best.get((dim, g), (np.zeros(0, np.int64), np.zeros(0)))
+                more = low >= held.min() if len(held) > k else np.ones(len(low), bool)
+                ids, held = np.concatenate([ids, names[rows][more]]), np.concatenate([held, low[more]])
+                order = np.argsort(-held, kind="stable")
+                order = order[np.sort(np.unique(ids[order], return_index=True)[1])[: k + 1]]
+                best[dim, g] = ids[order], held[order]
+    for (dim, g), (ids, low) in best.items():
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(low), dim, np.int32)),
-                                          pa.array(np.full(len(low), g, np.int32)), pa.array(low)],
-                                         names=["dim", "grp", "low"])
+                                          pa.array(np.full(len(low), g, np.int32)), pa.array(ids), pa.array(low)],
+                                         names=["dim", "grp", "vec_id", "low"])
 
 
 def _replicas(batches, pivots, radius, reach) -> Iterator[pa.RecordBatch]:
@@ -186,8 +193,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     groups = collected(groups)
     radius = {(int(d), int(g)): r for d, g, r in zip(groups["dim"], groups["grp"], groups["r"], strict=True)}
     order = Window.partitionBy("dim", "grp").orderBy(F.desc("low"))
-    reached = (map_arrow(rows, partial(_summaries, pivots=pivots, radius=radius, k=k), "dim int, grp int, low double")
-               .withColumn("at", F.row_number().over(order)).filter(F.col("at") == k + 1))
+    reached = (map_arrow(rows, partial(_summaries, pivots=pivots, radius=radius, k=k),
+                         "dim int, grp int, vec_id long, low double")
+               .groupBy("dim", "grp", "vec_id").agg(F.max("low").alias("low")).withColumn("at", F.row_number().over(order)).filter(F.col("at") == k + 1))
     reached = collected(reached)
     reach = {(int(d), int(g)): s for d, g, s in zip(reached["dim"], reached["grp"], reached["low"], strict=True)}
     sent = cut(map_arrow(rows, partial(_replicas, pivots=pivots, radius=radius, reach=reach),
