@@ -65,8 +65,9 @@ def awkward_rows():
     return rows
 
 
-@pytest.mark.parametrize("files_per_batch", [None, 1, 3])
-def test_as_by_brute_force_whatever_the_batches(spark, tmp_path, files_per_batch):
+@pytest.mark.parametrize(("files_per_batch", "texts"), [(None, 1024), (1, 16), (3, 1)])
+def test_as_by_brute_force_whatever_the_batches(spark, tmp_path, monkeypatch, files_per_batch, texts):
+    monkeypatch.setattr(filter_audit, "TEXTS", texts)
     rows = awkward_rows()
     path = written(spark, rows, str(tmp_path / "documents.parquet"), 6)
     labels = spark.createDataFrame([(i, i % 2, i % 3 % 2) for i in range(0, 310, 3)] + [(200, 1, None), (200, 0, 1), (None, 1, 1)], KINDS)
@@ -99,9 +100,9 @@ def test_a_text_of_a_third_of_all_rows_is_one_row_a_task(spark):
     batch = pa.RecordBatch.from_pydict({"digest": [b"x"] * 500 + [b"%d" % i for i in range(500)], "id": list(range(1000)),
                                         "part": ["en"] * 1000, "mask": pa.array([1] * 1000, pa.int32()), "n": [1] * 1000,
                                         "good": [1] * 1000, "toxic": [0] * 1000})
-    rows = [r for b in filter_audit._pack([batch, batch.slice(0, 0)]) for r in b.to_pylist()]
-    assert [(r["mask"], r["n"]) for r in rows if r["kind"]] == [(1, 501), (17, 499)]
-    assert sum(r["digest"] == b"x" for r in rows if not r["kind"]) == 1
+    rows = [r for b in filter_audit._pack([batch, batch.slice(0, 0)], 8) for r in b.to_pylist()]
+    assert [(r["mask"], r["n"]) for r in rows if r["digest"] is None] == [(1, 501), (17, 499)]
+    assert sum(r["digest"] == b"x" for r in rows) == 1
 
 
 def test_no_documents_and_clashing_columns(spark, tmp_path):

@@ -3,7 +3,8 @@
 A stream reads the documents' files in available-now micro-batches.  Four of
 the filters look at a text alone and are Spark expressions; the fifth, identical to
 the text of a smaller doc_id, depends on documents that may come later.  Each text (by its
-SHA-256) therefore keeps its smallest doc_id so far in the state store.  A
+SHA-256) therefore keeps its smallest doc_id so far in the state store; about TEXTS
+of them, by their hash, share a key of the store, so that one call of Python serves them all.  A
 document is counted at once as if its id were the smallest; when a smaller one
 is known or arrives, the earlier count is retracted and made anew with the
 fifth filter failing.  Each task sums its counts up, and of a text sends on only its
@@ -16,6 +17,7 @@ fail, as bits); every order and step follows from these at most 32 counts a part
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from itertools import permutations
 
 import numpy as np
@@ -33,14 +35,13 @@ COPY = 1 << FILTERS.index("E")
 ORDERS = ["".join(p) for p in permutations(FILTERS)]
 BATCHES = 4                    # micro-batches that the files are dealt over, about
 PENDING = 1 << 18              # rows that a task sums up at once
-STORE = {"spark.sql.streaming.stateStore.providerClass":
-         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+TEXTS = 1_024                  # texts that share a key of the state store, about
 
 COUNTS = "part string, mask int, n long, good long, toxic long"
-ROW = f"digest binary, kind int, id long, {COUNTS}"
-STATE = "id long, mask int, parts array<string>, n array<long>, good array<long>, toxic array<long>"
+ROW = f"bucket long, digest binary, id long, {COUNTS}"
+STATE = "texts binary"         # an Arrow stream of KEPT
 SUMS = ["n", "good", "toxic"]
+KEPT = ["digest", "id", "part", "mask"]
 
 
 def failures(text: Column) -> Column:
@@ -58,32 +59,34 @@ def _summed(df: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
     return df.groupby(keys, sort=False, dropna=False)[SUMS].sum().reset_index()
 
 
-def _packed(df: pd.DataFrame) -> Iterator[pa.RecordBatch]:
-    """kind 1: counts of the rows, each as its task sees it; kind 0: the smallest id
-    of each text with its own counts."""
-    schema = pa.schema([("digest", pa.binary()), ("kind", pa.int32()), ("id", pa.int64()), ("part", pa.string()),
+def _packed(df: pd.DataFrame, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Counts of the rows, each as its task sees it (without digest), and the smallest id of
+    each text with its own counts."""
+    schema = pa.schema([("bucket", pa.int64()), ("digest", pa.binary()), ("id", pa.int64()), ("part", pa.string()),
                         ("mask", pa.int32()), ("n", pa.int64()), ("good", pa.int64()), ("toxic", pa.int64())])
     least = df.groupby("digest", sort=False)["id"].transform("min")
     first = df["id"].notna() & (df["id"] == least)
     later = df["id"].notna() & ~first
     known = df.assign(mask=np.where(later, df["mask"] | COPY, df["mask"]))
-    counts = _summed(known, ["part", "mask"]).assign(digest=df["digest"].iloc[0], kind=1, id=None)
-    firsts = _summed(df[first], ["digest", "id", "part", "mask"]).assign(kind=0)
+    firsts = _summed(df[first], KEPT)
+    firsts["bucket"] = [int.from_bytes(d[:8], "big") % buckets for d in firsts["digest"]]
+    counts = _summed(known, ["part", "mask"]).assign(digest=None, id=None)
+    counts["bucket"] = int.from_bytes(df["digest"].iloc[0][:8], "big") % buckets      # any: they only pass
     for made in (counts, firsts):
         yield pa.RecordBatch.from_pandas(made[schema.names], schema=schema, preserve_index=False)
 
 
-def _pack(batches) -> Iterator[pa.RecordBatch]:
+def _pack(batches, buckets: int) -> Iterator[pa.RecordBatch]:
     held, n = [], 0
     for b in batches:
         if b.num_rows:
             held.append(b)
             n += b.num_rows
         if n >= PENDING:
-            yield from _packed(pa.Table.from_batches(held).to_pandas(types_mapper=_ids))
+            yield from _packed(pa.Table.from_batches(held).to_pandas(types_mapper=_ids), buckets)
             held, n = [], 0
     if held:
-        yield from _packed(pa.Table.from_batches(held).to_pandas(types_mapper=_ids))
+        yield from _packed(pa.Table.from_batches(held).to_pandas(types_mapper=_ids), buckets)
 
 
 def _ids(kind: pa.DataType):
@@ -102,44 +105,29 @@ def _combine(batches) -> Iterator[pa.RecordBatch]:
 def settle(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Counts pass on.  Of a text's ids the smallest is kept; what was counted for
     any other as if it were smallest is retracted and counted as a copy."""
-    if key[1]:
-        for df in frames:
-            yield _summed(df, ["part", "mask"])
-        return
-    wrong: dict[tuple[str, int], list[int]] = {}
-
-    def retract(mask: int, own: dict) -> None:
-        for part, sums in own.items():
-            for at, sign in ((mask, -1), (mask | COPY, 1)):
-                total = wrong.setdefault((part, at), [0, 0, 0])
-                for i, v in enumerate(sums):
-                    total[i] += sign * v
-
-    least, mask, own = None, 0, {}
+    new = pd.concat(list(frames), ignore_index=True)
+    counts, rows = new[new["digest"].isna()], new[new["digest"].notna()]
+    rows = rows.assign(id=rows["id"].astype("int64"))[[*KEPT, *SUMS]]
     if state.exists:
-        least, mask, parts, *sums = state.get
-        own = {p: list(s) for p, *s in zip(parts, *sums, strict=True)}
-    before = (least, sum(s[0] for s in own.values()))
-    for df in frames:
-        for one, part, mask, *sums in zip(*(df[c].tolist() for c in ("id", "part", "mask", *SUMS)), strict=True):
-            if least is not None and one > least:
-                retract(mask, {part: sums})
-            else:
-                if least is not None and one < least:
-                    retract(mask, own)
-                    own = {}
-                least, held = one, own.setdefault(part, [0, 0, 0])
-                own[part] = [a + b for a, b in zip(held, sums, strict=True)]
-    if (least, sum(s[0] for s in own.values())) != before:
-        state.update((least, mask, list(own), *(list(s) for s in zip(*own.values(), strict=True))))
-    if wrong:
-        yield pd.DataFrame([(*k, *v) for k, v in wrong.items()], columns=["part", "mask", *SUMS])
+        rows = pd.concat([pa.ipc.open_stream(state.get[0]).read_pandas(), rows], ignore_index=True)
+    stays = rows["id"] == rows.groupby("digest", sort=False)["id"].transform("min")
+    wrong = rows[~stays]
+    changes = pd.concat([counts, wrong.assign(**{c: -wrong[c] for c in SUMS}), wrong.assign(mask=wrong["mask"] | COPY)])
+    if len(rows):
+        held = pa.Table.from_pandas(_summed(rows[stays], KEPT), preserve_index=False)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held.schema) as out:
+            out.write_table(held)
+        state.update((sink.getvalue().to_pybytes(),))
+    if len(changes):
+        yield _summed(changes, ["part", "mask"])
 
 
 def mask_counts(spark: SparkSession, path: str, labels: DataFrame, files_per_batch: int | None = None) -> DataFrame:
     """(part, mask, n, good, toxic) of the documents in the Parquet files at
     ``path``, by one run of the stream."""
     read = spark.read.parquet(path)
+    buckets = max(1, -(-read.count() // TEXTS))
     files = read.inputFiles()
     if len(files) == 1 and files[0].split("/")[-1] == path.split("/")[-1]:
         path = f"{path[:-1]}[{path[-1]}]"              # a stream takes one file by a pattern only
@@ -158,18 +146,11 @@ def mask_counts(spark: SparkSession, path: str, labels: DataFrame, files_per_bat
         "digest", "id", "part", "mask", F.lit(1).cast("long").alias("n"),
         F.coalesce("good", F.lit(0)).cast("long").alias("good"), F.coalesce("toxic", F.lit(0)).cast("long").alias("toxic"))
     ship(spark)
-    changes = (map_arrow(marked, _pack, ROW).groupBy("digest", "kind")
+    changes = (map_arrow(marked, partial(_pack, buckets=buckets), ROW).groupBy("bucket")
                .applyInPandasWithState(settle, COUNTS, STATE, "append", GroupStateTimeout.NoTimeout))
-    before = {name: spark.conf.get(name, None) for name in STORE}
-    for name, value in STORE.items():
-        spark.conf.set(name, value)
-    try:
-        query = (map_arrow(changes, _combine, COUNTS).writeStream.format("parquet").outputMode("append")
-                 .option("path", f"{root}/counts").option("checkpointLocation", f"{root}/checkpoint")
-                 .trigger(availableNow=True).start())
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    query = (map_arrow(changes, _combine, COUNTS).writeStream.format("parquet").outputMode("append")
+             .option("path", f"{root}/counts").option("checkpointLocation", f"{root}/checkpoint")
+             .trigger(availableNow=True).start())
     query.awaitTermination()
     return (spark.read.schema(COUNTS).parquet(f"{root}/counts").groupBy("part", "mask")
             .agg(*[F.sum(c).alias(c) for c in SUMS]))
@@ -210,6 +191,7 @@ def audit(spark: SparkSession, path: str, labels: DataFrame, files_per_batch: in
     text is empty.  A row without doc_id is a copy of none, and makes none a
     copy; rows that share doc_id and text are no copies of one another.  Columns
     beyond these are not read.  No documents: no rows.  ``files_per_batch`` files
-    are a micro-batch; by default the files make about BATCHES of them.
+    are a micro-batch; by default the files make about BATCHES of them.  The state
+    is kept by the session's provider (RocksDB for more texts than executors hold in memory).
     """
     return interactions(mask_counts(spark, path, labels, files_per_batch))
