@@ -1,0 +1,105 @@
+"""The message log: caps, restarts, removed offsets - as with a broker."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from wardwatch.functions.schema import MESSAGE_SCHEMA
+from wardwatch.sources import lake, offsets
+from wardwatch.streaming import job
+
+
+def messages(spark, lo, hi, partitions=3, step=2):
+    """Offsets with gaps, as the lens has them."""
+    when = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [(b"P-1", b"{}", "vitals", i % partitions, step * i, when) for i in range(lo, hi)]
+    return spark.createDataFrame(rows, MESSAGE_SCHEMA)
+
+
+def run(spark, log, root, **options):
+    sink = job.Sink(f"{root}/lake", f"{root}/checkpoints")
+    return sink, job.run_log(spark, log, sink, "bronze_raw_vitals", **options)
+
+
+def found(spark, sink):
+    rows = lake.read_layer(spark, sink.path("bronze_raw_vitals"), "raw_vitals").collect()
+    return sorted((r["kafka_partition"], r["kafka_offset"]) for r in rows)
+
+
+def expected(lo, hi, partitions=3, step=2):
+    return sorted((i % partitions, step * i) for i in range(lo, hi))
+
+
+def test_no_batch_above_the_cap_and_nothing_lost(spark, tmp_path):
+    log = str(tmp_path / "log")
+    offsets.append(messages(spark, 0, 700), log, rows_per_file=90)
+    offsets.append(messages(spark, 700, 1000), log, rows_per_file=1000)
+    sink, batches = run(spark, log, tmp_path, max_offsets_per_trigger=120)
+    sizes = [b["numInputRows"] for b in batches]
+    assert max(sizes) <= 120 and sum(sizes) == 1000 and len(sizes) >= 9
+    assert found(spark, sink) == expected(0, 1000)
+
+
+def test_a_partition_far_ahead_takes_what_others_leave(spark, tmp_path):
+    log = str(tmp_path / "log")
+    offsets.append(messages(spark, 0, 400).withColumn("partition", (F.col("offset") < 20).cast("int")), log, 64)
+    sink, batches = run(spark, log, tmp_path, max_offsets_per_trigger=100)
+    assert [b["numInputRows"] for b in batches] == [100] * 4
+    assert len(found(spark, sink)) == 400
+
+
+def test_a_restart_neither_loses_nor_repeats_and_keeps_the_cap(spark, tmp_path):
+    log = str(tmp_path / "log")
+    offsets.append(messages(spark, 0, 300), log, 50)
+    run(spark, log, tmp_path, max_offsets_per_trigger=100)
+    offsets.append(messages(spark, 300, 800), log, 50)
+    sink, batches = run(spark, log, tmp_path, max_offsets_per_trigger=100)
+    assert max(b["numInputRows"] for b in batches) <= 100 and sum(b["numInputRows"] for b in batches) == 500
+    # a batch that was planned but not committed is run again
+    commits = sorted((tmp_path / "checkpoints" / "bronze_raw_vitals" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    os.remove(commits[-1])
+    for crc in commits[-1].parent.glob(f".{commits[-1].name}.crc"):
+        os.remove(crc)
+    offsets.append(messages(spark, 800, 900), log, 50)
+    run(spark, log, tmp_path, max_offsets_per_trigger=100)
+    assert found(spark, sink) == expected(0, 900)
+
+
+def test_removed_offsets_stop_the_stream_unless_told_otherwise(spark, tmp_path):
+    log = str(tmp_path / "log")
+    offsets.append(messages(spark, 0, 60), log)
+    run(spark, log, tmp_path)
+    offsets.append(messages(spark, 60, 90), log)
+    offsets.append(messages(spark, 90, 120), log)
+    offsets.expire(log, 1)                             # read already: no loss
+    sink, _ = run(spark, log, tmp_path)
+    assert found(spark, sink) == expected(0, 120)
+    for lo in (120, 150):
+        offsets.append(messages(spark, lo, lo + 30), log)
+    offsets.expire(log, 3)                             # 120 to 149 were not read
+    with pytest.raises(Exception, match="were removed"):
+        run(spark, log, tmp_path)
+    sink, _ = run(spark, log, tmp_path, fail_on_data_loss=False)
+    assert found(spark, sink) == sorted(expected(0, 120) + expected(150, 180))
+
+
+def test_where_to_start(spark, tmp_path):
+    log = str(tmp_path / "log")
+    offsets.append(messages(spark, 0, 30), log)
+    reader = offsets.LogReader({"path": log})
+    assert reader.initialOffset() == {"0": 0, "1": 2, "2": 4}
+    assert offsets.LogReader({"path": log, "startingOffsets": "latest"}).initialOffset() == {"0": 55, "1": 57, "2": 59}
+    assert offsets.LogReader({"path": log, "startingOffsets": '{"1": 20}'}).initialOffset()["1"] == 20
+    sink, _ = run(spark, log, tmp_path, starting_offsets='{"0": 30, "1": 100, "2": 0}')
+    assert found(spark, sink) == [r for r in expected(0, 30) if r[0] == 2 or (r[0] == 0 and r[1] >= 30)]
+
+
+def test_a_batch_without_its_marker_is_not_read(spark, tmp_path):
+    log = str(tmp_path / "log")
+    offsets.append(messages(spark, 0, 30), log)
+    offsets.append(messages(spark, 30, 60), log)
+    os.remove(f"{log}/batch=000000000001/_SUCCESS")
+    sink, _ = run(spark, log, tmp_path)
+    assert found(spark, sink) == expected(0, 30)

@@ -151,3 +151,17 @@ def export_bundle(silver: DataFrame, alerts: DataFrame, patient_risk: DataFrame,
      .join(layers.agg(F.collect_list(F.struct(*layers.columns)).alias("layers")))  # one row a layer
      .coalesce(1).write.mode("overwrite").json(paths["recording"]))
     return paths
+
+
+def commit_bundle(silver: DataFrame, alerts: DataFrame, patient_risk: DataFrame, patients: DataFrame,
+                  layers: DataFrame, log, gap_ms: int = GAP_SECONDS * 1000,
+                  trail_minutes: float = TRAIL_MINUTES) -> int:
+    """The bundle as one version of a commit log (``sources.commits``): a reader sees
+    all parts of one export, and of two exports at once one fails with a conflict."""
+    from ..sources.commits import Change
+    base, longest = log.version(), longest_segment(gap_segments(silver, gap_ms))
+    return log.commit({
+        "vitals": Change(replay_slice(silver, longest, trail_minutes), "event_time"),
+        "alerts": Change(replay_alerts(alerts, longest, trail_minutes), "event_time"),
+        "patient_risk": Change(patient_risk.drop("event_date")), "patients": Change(patients),
+        "recording": Change(layers)}, base)

@@ -6,17 +6,20 @@ reads the shared test tables and its work grows with them.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.schema import SILVER_COLUMNS
-from ..operators import ml, monitor, quality, replay, reports, risk
+from ..operators import ml, monitor, quality, replay, reports, risk, rollup
 from ..operators import transforms as tx
 from ..session import scratch
-from ..sources import lake
+from ..sources import lake, offsets
+from ..sources.commits import Change, CommitLog
 from ..streaming import job
+from ..streaming import risk as live_risk
 from .layers import Layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,3 +193,151 @@ def _stream_silver(L: Layers) -> DataFrame:
 query("stream_silver")(_stream_silver)
 query("stream_alerts")(lambda L: _stream_layer(L, "gold_alerts"))
 query("stream_vitals_1min")(lambda L: _stream_layer(L, "gold_vitals_1min"))
+
+
+# --- a stream with offsets; two outputs of one pass; accounts of a stream ------
+
+
+def _from_offsets(L: Layers) -> DataFrame:
+    """Bronze by way of the message log: at most 20,000 offsets a micro-batch."""
+    root = scratch(L.spark, "offsets")
+    offsets.append(L.messages, f"{root}/log")
+    sink = job.Sink(f"{root}/lake", f"{root}/checkpoints")
+    job.run_log(L.spark, f"{root}/log", sink, "bronze_raw_vitals")
+    return lake.read_layer(L.spark, sink.path("bronze_raw_vitals"), "raw_vitals")
+
+
+def _files(L: Layers, parts: int = 1) -> tuple[str, DataFrame]:
+    """A folder of message files and the stream over it."""
+    root = scratch(L.spark, "stream")
+    (L.messages if parts == 1 else L.messages.repartition(parts, "offset")).write.parquet(f"{root}/messages")
+    return root, job.file_source(L.spark, f"{root}/messages")
+
+
+def _rejected(L: Layers) -> DataFrame:
+    root, messages = _files(L)
+    job.start_judged(messages, f"{root}/judged", f"{root}/checkpoint", available_now=True).awaitTermination()
+    _, rejected = job.read_judged(L.spark, f"{root}/judged")
+    return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def _accounting(L: Layers) -> DataFrame:
+    root, messages = _files(L)
+    accounts = job.run_accounted(L.spark, messages, job.Sink(f"{root}/lake", f"{root}/checkpoints"))
+    silver = lake.read_layer(L.spark, f"{root}/lake/vitals", "vitals").agg(F.count(F.lit(1)).alias("silver")).scalar()
+    return accounts.agg(*[F.sum(c).alias(c) for c in ("messages", "invalid", "late", "duplicates", "written")]).withColumn(
+        "adds_up", (F.col("messages") == F.col("invalid") + F.col("late") + F.col("duplicates") + F.col("written"))
+        & (F.col("written") == silver))
+
+
+def _live_risk(L: Layers) -> DataFrame:
+    """Messages -> one-minute layer -> each patient's last windows, two streams."""
+    root, messages = _files(L)
+    sink = job.Sink(f"{root}/lake", f"{root}/checkpoints")
+    job.run_bounded(L.spark, messages, sink, only=["gold_vitals_1min"])
+    live_risk.run_bounded(L.spark, sink.path("gold_vitals_1min"), f"{root}/windows", f"{root}/checkpoints/risk", files_per_batch=8)
+    return live_risk.patient_risk(L.spark, f"{root}/windows").select(*risk.PATIENT_RISK_COLUMNS)
+
+
+query("stream_from_offsets")(_from_offsets)
+query("rejected_by_reason")(_rejected)
+query("stream_accounting")(_accounting)
+query("stream_patient_risk")(_live_risk)
+
+# --- commit log and zone map ----------------------------------------------------
+
+
+def _log(L: Layers) -> CommitLog:
+    return CommitLog(L.spark, scratch(L.spark, "commits"))
+
+
+def _snapshot_read(L: Layers) -> DataFrame:
+    """Two rounds of the risk table, the second read from a pinned version."""
+    log, rows = _log(L), rule_risk(L).select(*risk.PATIENT_RISK_COLUMNS)
+    first = log.commit({"patient_risk": Change(rows.filter("risk_level = 'High'")), "patients": Change(L.patients)})
+    second = log.commit({"patient_risk": Change(rows)}, base=first)
+    return log.pin(second).table("patient_risk")
+
+
+def _recent_slice(L: Layers) -> DataFrame:
+    """The last minutes of alerts that were committed in three appends."""
+    log = _log(L)
+    for i in range(3):
+        log.commit({"alerts": Change(L.alerts.filter(F.pmod(F.hour("event_time"), F.lit(3)) == i), "event_time", append=True)})
+    pinned = log.pin()
+    return pinned.recent("alerts", pinned.newest("alerts") - dt.timedelta(minutes=VIEW_MINUTES))
+
+
+def _inventory(L: Layers) -> DataFrame:
+    stored, log = L.stored(), _log(L)
+    log.commit({"raw_vitals": Change(stored.bronze, "kafka_time"), "vitals": Change(stored.silver, "event_time"),
+                "alerts": Change(stored.alerts, "event_time"), "vitals_1min": Change(stored.features, "window_start")})
+    return log.pin().inventory().select("table_name", "rows", "oldest", "newest")
+
+
+def _replay_bundle(L: Layers) -> DataFrame:
+    stored, log = L.stored(), _log(L)
+    layers = L.spark.createDataFrame([("Silver", "vitals")], "layer string, table string")
+    replay.commit_bundle(stored.silver, stored.alerts, rule_risk(stored), stored.patients, layers, log, GAP_MS, TRAIL_MINUTES)
+    return log.pin().inventory().select("table_name", "rows")
+
+
+def _written(L: Layers) -> tuple[str, Layers]:
+    """A batch copy of Silver, alerts and features below a lake root."""
+    root, stored = scratch(L.spark, "lake"), L.stored()
+    for name, df in (("vitals", stored.silver), ("alerts", stored.alerts), ("vitals_1min", stored.features)):
+        df.write.partitionBy("event_date").parquet(f"{root}/{name}")
+    return root, stored
+
+
+def _layer_reader(L: Layers) -> DataFrame:
+    root, _ = _written(L)
+    there = lake.read_layer(L.spark, f"{root}/vitals", "vitals")
+    return there.unionByName(lake.read_layer(L.spark, f"{root}/not_there", "vitals"))
+
+
+def _sql_alert_counts(L: Layers) -> DataFrame:
+    """The report as SQL text over the registered external tables."""
+    root, _ = _written(L)
+    database = "ww_" + root.rsplit("-", 1)[-1]
+    lake.register_tables(L.spark, root, database=database)
+    return L.spark.sql(f"""
+        select alert_type, severity, count(*) as alerts, count(distinct patient_id) as patients_affected,
+               round(cast(sum(cast(latency_sec as decimal(18,2))) as double) / count(latency_sec), 2) as avg_latency_sec
+        from {database}.alerts group by alert_type, severity order by alerts desc""")
+
+
+query("snapshot_read")(_snapshot_read)
+query("recent_slice")(_recent_slice)
+query("layer_inventory")(_inventory)
+query("replay_bundle")(_replay_bundle)
+query("layer_reader")(_layer_reader)
+query("sql_alert_counts")(_sql_alert_counts)
+
+# --- minute roll-ups with bitmaps of patients --------------------------------------
+query("rollup_alert_counts")(lambda L: rollup.alert_counts(rollup.alerts_per_minute(L.alerts)))
+query("rollup_ward_hourly")(lambda L: rollup.ward_hourly(rollup.windows_per_minute(L.features, L.patients)))
+
+
+def _active(L: Layers) -> DataFrame:
+    path = scratch(L.spark, "rollup") + "/minutes"
+    rollup.per_minute(L.clean, "event_time", []).write.parquet(path)
+    return rollup.active_patients(L.spark.read.parquet(path))
+
+
+query("active_patients")(_active)
+
+# --- the model, held against its own outputs ---------------------------------------
+
+
+def _agreement(L: Layers) -> DataFrame:
+    """The tree saved, reloaded and compiled."""
+    path = scratch(L.spark, "tree") + "/model"
+    trained = ml.train(L.labelled).model
+    trained.write().overwrite().save(path)
+    return ml.tree_agreement(ml.PipelineModel.load(path), L.labelled)
+
+
+query("training_gate")(lambda L: ml.training_gate(L.features))
+query("tree_agreement")(_agreement)
+query("model_verified")(lambda L: ml.verified(ml.run_round(L.spark, L.labelled)))

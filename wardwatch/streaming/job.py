@@ -16,9 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import rules
 from ..functions.schema import MESSAGE_SCHEMA
 from ..operators import features as feat
 from ..operators import transforms as tx
+from ..sources.offsets import log_source
 
 # fixed values: trigger of each layer in the monitored system (alerts fastest)
 TRIGGERS = {"bronze_raw_vitals": "10 seconds", "silver_vitals": "5 seconds",
@@ -76,11 +78,13 @@ def layers(messages: DataFrame, alert_time: Column | None = None) -> dict[str, D
 
 @dataclass
 class Sink:
-    """Where the layers go.  A batch writes at most ``files_per_date`` files for
-    each date in it."""
+    """Where the layers go.  A task writes its rows as they come, up to
+    ``rows_per_file`` a file; with ``files_per_date`` set, a batch instead writes at
+    most so many files for each date in it, at the price of a shuffle onto as many tasks."""
     lake_root: str
     checkpoint_root: str
-    files_per_date: int = 4
+    files_per_date: int | None = None
+    rows_per_file: int = 5_000_000
 
     def path(self, name: str) -> str:
         return f"{self.lake_root.rstrip('/')}/{TABLES[name]}"
@@ -93,15 +97,16 @@ def start(df: DataFrame, name: str, sink: Sink, trigger: str | None = None,
           available_now: bool = False) -> StreamingQuery:
     """Append ``df`` as date-partitioned Parquet with its own checkpoint.
 
-    No ``coalesce(1)``: that would run parse and rules in one task.  Instead the
-    rows that are left are dealt by (date, hash) before the write, so a batch's
-    files don't grow with its tasks; compaction belongs to a batch job writing to
+    No ``coalesce(1)``: that would run parse and rules in one task.  The stateless
+    layers are written by the scan's own tasks, without a shuffle, so a backlog of one
+    date uses every core; few, larger files come from ``lake.compact``, a batch job writing to
     a different folder (a file-sink folder only exposes files in its manifest).
     """
     date = PARTITION[name]
-    deal = F.pmod(F.xxhash64(*[c for c in df.columns if c != date]), F.lit(sink.files_per_date))
-    df = df.repartition(date, deal)
-    w = (df.writeStream.queryName(name).format("parquet")
+    if sink.files_per_date:
+        deal = F.pmod(F.xxhash64(*[c for c in df.columns if c != date]), F.lit(sink.files_per_date))
+        df = df.repartition(date, deal)
+    w = (df.writeStream.queryName(name).format("parquet").option("maxRecordsPerFile", sink.rows_per_file)
          .option("path", sink.path(name))
          .option("checkpointLocation", sink.checkpoint(name))
          .partitionBy(date).outputMode("append"))
@@ -126,6 +131,19 @@ def start_all(messages: DataFrame, sink: Sink, available_now: bool = False,
     return started
 
 
+def run_log(spark: SparkSession, log: str, sink: Sink, name: str, alert_time: Column | None = None,
+            **options) -> list[dict]:
+    """Bring one layer up to the end of a message log (``sources.offsets``) and stop;
+    the progress of each micro-batch.  An available-now trigger would end after one capped batch."""
+    messages = log_source(spark, log, checkpoint=sink.checkpoint(name), **options)
+    query = start(layers(messages, alert_time)[name], name, sink, trigger="0 seconds")
+    try:
+        query.processAllAvailable()
+        return [p for p in query.recentProgress if p["numInputRows"]]
+    finally:
+        query.stop()
+
+
 def run_bounded(spark: SparkSession, messages: DataFrame, sink: Sink,
                 alert_time: Column | None = None, only: list[str] | None = None) -> None:
     """Process everything available now and stop (a replay / backfill run).  If
@@ -142,6 +160,48 @@ def run_bounded(spark: SparkSession, messages: DataFrame, sink: Sink,
             q.stop()
 
 
+def start_judged(messages: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Clean readings and rejected messages as two outputs of one pass: one sink with a
+    folder each (``outcome=clean``, ``outcome=rejected``).  The sink's manifest takes a batch's
+    files of both at once, and a batch that is run again replaces them by its id."""
+    w = (tx.judged(messages).writeStream.queryName("judged").format("parquet").option("path", path)
+         .option("checkpointLocation", checkpoint).partitionBy("outcome").outputMode("append"))
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")).start()
+
+
+def read_judged(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(clean readings, rejected messages with their reasons) of :func:`start_judged`."""
+    both = spark.read.parquet(path)
+    return (both.filter("outcome = 'clean'").drop("outcome", "reason", "raw_json", "kafka_partition"),
+            both.filter("outcome = 'rejected'").drop("outcome"))
+
+
+ACCOUNT = "batch_id bigint, messages bigint, invalid bigint, late bigint, duplicates bigint, written bigint"
+
+
+def run_accounted(spark: SparkSession, messages: DataFrame, sink: Sink) -> DataFrame:
+    """Bring Silver up to date and account for every message, batch by batch: each is
+    invalid, late (behind the watermark), a duplicate, or written.  What comes in and
+    goes out is observed in the query itself, the rest is the state operator's; the rows are
+    also added to ``_accounts`` beside the layers."""
+    seen = tx.parse(messages).observe("delivered", F.count(F.lit(1)).alias("messages"),
+                                      F.count_if(~rules.valid_reading()).alias("invalid"))
+    out = tx.silver_stream(tx.clean(seen), DEDUP_WATERMARK).observe("kept", F.count(F.lit(1)).alias("written"))
+    query = start(out, "silver_vitals", sink, available_now=True)
+    query.awaitTermination()
+    rows = []
+    for p in query.recentProgress:
+        seen, kept, state = p["observedMetrics"].get("delivered"), p["observedMetrics"].get("kept"), p["stateOperators"][0]
+        if seen is None:
+            continue
+        seen, kept = (m.asDict() if hasattr(m, "asDict") else m for m in (seen, kept))
+        rows.append((p["batchId"], seen["messages"], seen["invalid"], state["numRowsDroppedByWatermark"],
+                     state["customMetrics"].get("numDroppedDuplicateRows", 0), kept["written"]))
+    accounts = spark.createDataFrame(rows, ACCOUNT)
+    accounts.coalesce(1).write.mode("append").parquet(f"{sink.lake_root.rstrip('/')}/_accounts")
+    return accounts
+
+
 def use_rocksdb(spark: SparkSession) -> None:
     """Keep de-dup and window state off-heap, for many patients."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
