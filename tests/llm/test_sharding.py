@@ -38,6 +38,14 @@ def test_runs_are_numbered_without_gaps(spark):
         assert slots == list(range(len(slots)))
 
 
+def test_equal_rows_are_dealt_over_the_runs(spark):
+    docs = spark.createDataFrame([(None, None)] * 900, "doc_id long, text string").repartition(5)
+    out = sharding.place(docs, rows_per_run=100)
+    assert sorted(r["slot"] for r in out.collect()) == list(range(900))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "row#" in plan                              # the run's hash takes the row's number
+
+
 def test_a_changed_weight_moves_rows_only_within_its_subtree(spark):
     def shards(tree):
         df = spark.range(3000).withColumn("shard", sharding.shard_of(F.col("id"), tree))

@@ -26,9 +26,18 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder that the cluster shares and go on
     from there: later jobs neither recompute it nor depend on one executor."""
     shared_dir(df.sparkSession)
+    _ends_with_driver(df.sparkSession.sparkContext)
     return df.checkpoint()
 
 
+def _ends_with_driver(sc) -> None:
+    """The context's own checkpoint folder is removed as the driver ends."""
+    if getattr(sc, "_checkpoints_end", None) != sc.getCheckpointDir():
+        folder = sc._jvm.org.apache.hadoop.fs.Path(sc.getCheckpointDir())
+        folder.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(folder)
+        sc._checkpoints_end = sc.getCheckpointDir()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table of the shared folder and read back, with its size
     known to the planner."""

@@ -3,10 +3,11 @@
 Equal vectors are one node.  A first graph comes from random hyperplanes: nodes
 stand in the order of their signs, meet those about them and keep their nearest.  NN-descent then
 refines it: each node introduces its neighbours to one another, whoever improves
-a list enters it, and only pairs with a new edge meet again.  A link that was met
-is lost only if the lists of both its ends are full of nearer ones; the components
-with full lists are therefore counted in blocks against themselves and against
-one another, which joins those that link.  A sample of nodes, linked ones and
+a list enters it, and only pairs with a new edge meet again.  A list that is full
+of links is saturated: it is enlarged, twice as long each time up to WIDEST, and its
+node's edges are new again, so that the descent goes on about it.  Links beyond the widest
+lists are not given up: components with a saturated list are counted exactly, in tiles of
+blocks against themselves and against one another, which joins those that link.  A sample of nodes, linked ones and
 others, compared with every row, audits the mean recall of a node outside the
 crowds; below the target the search goes on with fresh hyperplanes and larger
 meetings, and after TRIES it fails with the recall reached.
@@ -26,7 +27,8 @@ from .common import cut, group_arrow, map_arrow
 from .components import components
 from .vectors import by_width, unit, usable
 
-NEIGHBOURS = 12                # length of a neighbour list
+NEIGHBOURS = 12                # length of a neighbour list at first
+WIDEST = 48                    # and of a saturated one at most
 TABLES = 6                     # sets of hyperplanes of the first graph
 MEET = 128                     # nodes of like signs that meet, and as many on either side
 ROUNDS = 4
@@ -34,6 +36,7 @@ AUDIT = 2_000                  # linked, and unlinked, nodes that the audit comp
 RECALL = 0.97
 TRIES = 8                      # each with fresh hyperplanes and twice as many that meet
 BLOCK = 512                    # members of a crowded component compared at once
+SIDE = 8                       # blocks on either side of a tile
 TILE = 1024                    # blocks whose centres are compared at once
 BITS = 48
 
@@ -111,11 +114,36 @@ def _first_graph(nodes: DataFrame, k: int, tables: int, meet: int, seed: int) ->
     return map_arrow(signed, partial(_neighbours_in_order, k=k, meet=meet), EDGES)
 
 
-def _top(edges: DataFrame, k: int) -> DataFrame:
-    """The ``k`` nearest of each u; an edge is new unless it was there before."""
+def _top(edges: DataFrame, k: int, sizes: DataFrame) -> DataFrame:
+    """The nearest of each u, as many as its list is long (``sizes``: node, size of the
+    enlarged ones; others ``k``); an edge is new unless it was there before."""
     one = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.bool_and("new").alias("new"))
     order = Window.partitionBy("u").orderBy(F.desc("sim"), "v")
-    return one.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= k).drop("at")
+    near = one.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= max(k, WIDEST))
+    long = sizes.select(F.col("node").alias("u"), "size")
+    return (near.join(long, "u", "left").filter(F.col("at") <= F.coalesce("size", F.lit(k)))
+            .select("u", "v", "sim", "new"))
+
+
+def _saturated(graph: DataFrame, k: int, sizes: DataFrame, threshold: float) -> DataFrame:
+    """(node, size): nodes whose list is full of links, and how long it is."""
+    links = (graph.filter(F.col("sim") >= threshold).groupBy(F.col("u").alias("node"))
+             .agg(F.count(F.lit(1)).alias("n")).join(sizes, "node", "left")
+             .withColumn("size", F.coalesce("size", F.lit(k))))
+    return links.filter(F.col("n") >= F.col("size")).select("node", "size")
+
+
+def _enlarged(graph: DataFrame, k: int, sizes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame] | None:
+    """Lists that are saturated made twice as long, and their edges new; None if none is
+    or they are as long as can be."""
+    grown = cut(_saturated(graph, k, sizes, threshold).filter(F.col("size") < WIDEST)
+                .select("node", F.least(2 * F.col("size"), F.lit(WIDEST)).cast("int").alias("size")))
+    if grown.isEmpty():
+        return None
+    sizes = cut(sizes.join(grown, "node", "left_anti").union(grown))
+    again = grown.select(F.col("node").alias("u"), F.lit(True).alias("again"))
+    return sizes, cut(graph.join(again, "u", "left").select(
+        "u", "v", "sim", (F.col("new") | F.coalesce("again", F.lit(False))).alias("new")))
 
 
 def _whole_groups(batches, key: str) -> Iterator[pa.Table]:
@@ -157,21 +185,24 @@ def _introduce(batches) -> Iterator[pa.RecordBatch]:
                 names=["u", "v", "sim"])
 
 
-def _descend(nodes: DataFrame, graph: DataFrame, k: int, seed: int) -> DataFrame:
+def _descend(nodes: DataFrame, graph: DataFrame, k: int, sizes: DataFrame, seed: int) -> DataFrame:
     """One round of NN-descent."""
     back = graph.select(F.col("v").alias("c"), F.col("u").alias("node"), "new")
     some = Window.partitionBy("c").orderBy(F.desc("new"), F.xxhash64("node", F.lit(seed)))
-    back = back.withColumn("at", F.row_number().over(some)).filter(F.col("at") <= k).drop("at")
+    back = (back.withColumn("at", F.row_number().over(some)).filter(F.col("at") <= max(k, WIDEST))
+            .join(sizes.select(F.col("node").alias("c"), "size"), "c", "left")
+            .filter(F.col("at") <= F.coalesce("size", F.lit(k))).select("c", "node", "new"))
     members = (graph.select(F.col("u").alias("c"), F.col("v").alias("node"), "new").union(back)
                .groupBy("c", "node").agg(F.bool_or("new").alias("new")))
-    worst = (graph.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("least"))
-             .select(F.col("u").alias("node"), F.when(F.col("n") < k, -2.0).otherwise(F.col("least")).alias("worst")))
+    worst = (graph.groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("least"))
+             .join(sizes, "node", "left")
+             .select("node", F.when(F.col("n") < F.coalesce("size", F.lit(k)), -2.0).otherwise(F.col("least")).alias("worst")))
     known = (nodes.select("node", "vec").join(worst, "node", "left")
              .withColumn("worst", F.coalesce("worst", F.lit(-2.0))))
     met = (members.join(known, "node").select("c", "node", "new", "worst", "vec")
            .repartition("c").sortWithinPartitions("c"))
     found = map_arrow(met, _introduce, EDGES).distinct().withColumn("new", F.lit(True))
-    return _top(graph.withColumn("new", F.lit(False)).union(found.select("u", "v", "sim", "new")), k)
+    return _top(graph.withColumn("new", F.lit(False)).union(found.select("u", "v", "sim", "new")), k, sizes)
 
 
 def _ball(group: pa.Table) -> pa.Table:
@@ -202,32 +233,37 @@ def _may_link(group: pa.Table, threshold: float) -> pa.Table:
     return pa.table({"root": root[a[i]], "own": own[a[i]], "root2": root[b[j]], "own2": own[b[j]]})
 
 
-def _linked_in_block(group: pa.Table, threshold: float) -> pa.Table:
-    """For each member of two blocks how many vectors of the other it links to, and
-    the other's root if it links to any."""
+def _linked_in_tile(group: pa.Table, threshold: float) -> pa.Table:
+    """For each member of two sides of blocks how many vectors of the other it links to,
+    and the other's root if it links to any.  A block that came for several pairs counts once."""
     node, side, root = (group.column(c).to_numpy() for c in ("node", "side", "root"))
     copies = group.column("copies").to_numpy()
     (_, x), = by_width(group.column("vec"))
     x = unit(x)
     a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    if not len(b):                                     # a block with itself
-        b = a
-    link = (x[a] @ x[b].T >= threshold) & (node[a][:, None] != node[b][None, :])
-
-    def side_of(mine, other, link):
-        return pa.table({"node": node[mine], "n_links": (link * copies[other]).sum(axis=1).astype(np.int64),
-                         "nodes": link.sum(axis=1).astype(np.int64), "root": root[mine],
-                         "other": np.where(link.any(axis=1), root[other[0]], root[mine])})
-
-    return pa.concat_tables([side_of(a, b, link)] + ([side_of(b, a, link.T)] if b is not a else []))
+    alone = not len(b)
+    b = a if alone else b                              # a tile with itself
+    n_links, nodes = np.zeros((2, len(node)), np.int64)
+    for lo in range(0, len(a), BLOCK):
+        at = a[lo: lo + BLOCK]
+        link = (x[at] @ x[b].T >= threshold) & (node[at][:, None] != node[b][None, :])
+        n_links[at], nodes[at] = (link * copies[b]).sum(axis=1), link.sum(axis=1)
+        if not alone:
+            n_links[b] += (link * copies[at][:, None]).sum(axis=0)
+            nodes[b] += link.sum(axis=0)
+    other = np.where(side == 0, root[b[0]], root[a[0]])
+    return pa.table({"node": node, "n_links": n_links, "nodes": nodes, "root": root,
+                     "other": np.where(nodes > 0, other, root)})
 
 
 def _count_in_blocks(members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(node, n_links, nodes) of crowded components, and (a, b): roots that a link
     joins.  ``members`` (root, label, dim, node, copies, vec) are dealt into blocks; every
     two blocks of a label, of one component or of two, whose centres and radii
-    leave room for a link are compared, by counts alone; no pair leaves its task."""
-    blocks = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    leave room for a link are compared, by counts alone; no pair leaves its task.
+    Pairs of blocks meet in tiles of SIDE by SIDE: a block is sent once a tile, not once a pair."""
+    blocks = (members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+              .repartition("root", "blocks"))          # so that a large root can be split in the join
     dealt = cut(members.join(blocks, "root")
                 .withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int")).drop("blocks"))
     kinds = "root long, own int, centre array<double>, radius double"
@@ -239,13 +275,19 @@ def _count_in_blocks(members: DataFrame, threshold: float) -> tuple[DataFrame, D
              .withColumn("with", F.explode(F.expr("sequence(0, tiles - 1)"))))
     tiled = tiled.select("label", "dim", F.least("tile", "with").alias("i"), F.greatest("tile", "with").alias("j"),
                          (F.col("tile") > F.col("with")).cast("int").alias("side"), "root", "own", "centre", "radius")
-    near = cut(group_arrow(tiled, ["label", "dim", "i", "j"], partial(_may_link, threshold=threshold),
-                           "root long, own int, root2 long, own2 int")
-               .withColumn("pair", F.monotonically_increasing_id()))
-    sides = (near.select("pair", F.lit(0).alias("side"), "root", "own")
-             .union(near.filter("root != root2 or own != own2").select("pair", F.lit(1), "root2", "own2")))
-    found = cut(group_arrow(sides.join(dealt, ["root", "own"]).select("pair", "side", "root", "node", "copies", "vec"),
-                            ["pair"], partial(_linked_in_block, threshold=threshold),
+    near = group_arrow(tiled, ["label", "dim", "i", "j"], partial(_may_link, threshold=threshold),
+                       "root long, own int, root2 long, own2 int")
+    # both ends in one order, so that two tiles meet once; blocks that aren't near have no link
+    ends = F.sort_array(F.array(F.struct("root", "own"), F.struct(F.col("root2").alias("root"), F.col("own2").alias("own"))))
+    ends = near.select(ends.alias("e")).select(
+        *[F.col("e")[i][c].alias(f"{c}{i}") for i in (0, 1) for c in ("root", "own")])
+    for i in (0, 1):
+        ends = ends.withColumn(f"t{i}", F.expr(f"own{i} div {SIDE}"))
+    pair, apart = ["root0", "t0", "root1", "t1"], (F.col("root0") != F.col("root1")) | (F.col("t0") != F.col("t1"))
+    sides = cut(ends.select(*pair, F.lit(0).alias("side"), F.col("root0").alias("root"), F.col("own0").alias("own"))
+                .union(ends.select(*pair, apart.cast("int"), "root1", "own1")).distinct())
+    found = cut(group_arrow(sides.join(dealt, ["root", "own"]).select(*pair, "side", "root", "node", "copies", "vec"),
+                            pair, partial(_linked_in_tile, threshold=threshold),
                             "node long, n_links long, nodes long, root long, other long"))
     return (found.groupBy("node").agg(F.sum("n_links").alias("n_links"), F.sum("nodes").alias("nodes")),
             found.filter("root != other").select(F.col("root").alias("a"), F.col("other").alias("b")).distinct())
@@ -317,16 +359,22 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = NEIGHB
     nodes = cut(valid.groupBy("label", "dim", "vec")
                 .agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
                 .withColumn("node", F.monotonically_increasing_id()))
-    graph, tried = None, 0
+    spark = vectors.sparkSession
+    graph, tried, sizes = None, 0, spark.createDataFrame([], "node long, size int")
     while True:
         fresh = _first_graph(nodes, k, TABLES, MEET << tried, seed + tried).withColumn("new", F.lit(True))
         known = fresh if graph is None else graph.union(fresh.select(*graph.columns))
-        graph = cut(_top(known, k))
-        for r in range(rounds):
-            graph = cut(_descend(nodes, graph, k, seed + r))
-            if graph.filter("new").limit(1).isEmpty():
+        graph = cut(_top(known, k, sizes))
+        while True:
+            for r in range(rounds):
+                graph = cut(_descend(nodes, graph, k, sizes, seed + r))
+                if graph.filter("new").limit(1).isEmpty():
+                    break
+            grown = _enlarged(graph, k, sizes, threshold)
+            if grown is None:
                 break
-        links, roots, reached, seen = _links(nodes, graph, threshold, k)
+            sizes, graph = grown
+        links, roots, reached, seen = _links(nodes, graph, threshold, k, sizes, AUDIT << tried)
         tried += 1
         if reached >= recall and (seen or tried > 1):
             break
@@ -335,7 +383,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = NEIGHB
     found = (nodes.join(links.select("node", "n_links"), "node", "left").join(roots, "node", "left")
              .withColumn("root", F.coalesce("root", "node"))
              .withColumn("n_links", F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1))
-    names = found.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    names = (found.groupBy("root").agg(F.min("first_id").alias("component_id"))
+             .repartition("root", "component_id"))     # so that a large root can be split in the join
     named = found.join(names, "root").select("label", "dim", "vec", "n_links", "component_id")
     linked = valid.join(named, ["label", "dim", "vec"]).select("vec_id", "n_links", "component_id")
     alone = rows.filter(~good).select("vec_id", F.lit(0).cast("long").alias("n_links"),
@@ -344,14 +393,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = NEIGHB
         "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
-def _links(nodes: DataFrame, graph: DataFrame, threshold: float, k: int) -> tuple[DataFrame, DataFrame, float, bool]:
+def _links(nodes: DataFrame, graph: DataFrame, threshold: float, k: int, sizes: DataFrame,
+           sample: int) -> tuple[DataFrame, DataFrame, float, bool]:
     """(node, n_links: other vectors linked, nodes: other nodes linked, crowded),
     (node, root), and what the audit says."""
     edges = graph.filter(F.col("sim") >= threshold).select("u", "v")
     pairs = cut(edges.union(edges.select("v", "u")).distinct())
     roots = cut(components(pairs.select(F.col("u").alias("a"), F.col("v").alias("b"))))
-    full = (graph.filter(F.col("sim") >= threshold).groupBy("u").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") >= k).select(F.col("u").alias("node")))
+    full = _saturated(graph, k, sizes, threshold).select("node").union(sizes.select("node")).distinct()
     crowded = roots.join(full, "node").select("root").distinct()
     crowd = roots.join(crowded, "root").join(nodes.select("node", "label", "dim", "copies", "vec"), "node")
     few = (pairs.join(roots.join(crowded, "root", "left_anti").select(F.col("node").alias("u")), "u")
@@ -362,4 +411,4 @@ def _links(nodes: DataFrame, graph: DataFrame, threshold: float, k: int) -> tupl
     links = cut(few.withColumn("crowded", F.lit(False)).unionByName(counts.withColumn("crowded", F.lit(True))))
     merged = components(joined).select(F.col("node").alias("root"), F.col("root").alias("whole"))
     roots = cut(roots.join(merged, "root", "left").select("node", F.coalesce("whole", "root").alias("root")))
-    return links, roots, *audit(nodes, links, threshold)
+    return links, roots, *audit(nodes, links, threshold, sample)

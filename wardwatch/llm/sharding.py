@@ -67,8 +67,8 @@ def place(docs: DataFrame, tree: Tree = EIGHT, grown: Tree | None = NINE,
     size is the text's UTF-8 bytes plus 1 and a null text counts as empty.  Rows
     with the same doc_id, a missing one included, share a shard.  slot numbers
     each shard's rows from 0 without gaps: rows are hashed into runs over
-    id, size and checksum, runs are numbered by their counts, rows within them by
-    a window, so no task holds a shard.  Equal rows get slots in any order.
+    id, size, checksum and the row's own number, runs are numbered by their counts, rows within
+    them by a window, so no task holds a shard, nor all of many equal rows.  Equal rows get slots in any order.
     Other columns of ``docs`` are left out; no rows: no rows.
     """
     key = F.col("doc_id").cast("long")
@@ -78,9 +78,9 @@ def place(docs: DataFrame, tree: Tree = EIGHT, grown: Tree | None = NINE,
     placed = read.select(
         "*", F.lit("key").alias("law"), shard_of(F.col("doc_id"), tree).alias("shard"),
         (shard_of(F.col("doc_id"), grown) if grown else F.lit(None).cast("int")).alias("grown_shard"))
-    placed = cut(placed)
+    placed = cut(placed.withColumn("row", F.monotonically_increasing_id()))    # fixed as it is written
     runs = max(8, placed.count() // rows_per_run)
-    run = F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(runs))
+    run = F.pmod(F.xxhash64("doc_id", "size", "text_crc32", "row"), F.lit(runs))
     placed = placed.withColumn("run", run)
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("run")
                              .rowsBetween(Window.unboundedPreceding, -1))
