@@ -4,10 +4,10 @@ Equal vectors are one node.  A first graph comes from random hyperplanes: nodes
 stand in the order of their signs, meet those about them and keep their nearest.  NN-descent then
 refines it: each node introduces its neighbours to one another, whoever improves
 a list enters it, and only pairs with a new edge meet again.  A list that is full
-of links is saturated: it is enlarged, twice as long each time up to WIDEST, and its
-node's edges are new again, so that the descent goes on about it.  Links beyond the widest
-lists are not given up: components with a saturated list are counted exactly, in tiles of
-blocks against themselves and against one another, which joins those that link.  A sample of nodes, linked ones and
+of links is saturated: it and the lists about it are enlarged, WIDEN times as long, their edges
+are new again, and the descent goes on among them.  Links beyond the longer lists are not
+given up: components with a saturated list are counted exactly, in tiles of blocks
+against themselves and against one another, which joins those that link.  A sample of nodes, linked ones and
 others, compared with every row, audits the mean recall of a node outside the
 crowds; below the target the search goes on with fresh hyperplanes and larger
 meetings, and after TRIES it fails with the recall reached.
@@ -28,7 +28,8 @@ from .components import components
 from .vectors import by_width, unit, usable
 
 NEIGHBOURS = 12                # length of a neighbour list at first
-WIDEST = 48                    # and of a saturated one at most
+WIDEN = 4                      # times as long are saturated ones
+WIDE_ROUNDS = 2                # of descent among these
 TABLES = 6                     # sets of hyperplanes of the first graph
 MEET = 128                     # nodes of like signs that meet, and as many on either side
 ROUNDS = 4
@@ -114,36 +115,17 @@ def _first_graph(nodes: DataFrame, k: int, tables: int, meet: int, seed: int) ->
     return map_arrow(signed, partial(_neighbours_in_order, k=k, meet=meet), EDGES)
 
 
-def _top(edges: DataFrame, k: int, sizes: DataFrame) -> DataFrame:
-    """The nearest of each u, as many as its list is long (``sizes``: node, size of the
-    enlarged ones; others ``k``); an edge is new unless it was there before."""
+def _top(edges: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest of each u; an edge is new unless it was there before."""
     one = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.bool_and("new").alias("new"))
     order = Window.partitionBy("u").orderBy(F.desc("sim"), "v")
-    near = one.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= max(k, WIDEST))
-    long = sizes.select(F.col("node").alias("u"), "size")
-    return (near.join(long, "u", "left").filter(F.col("at") <= F.coalesce("size", F.lit(k)))
-            .select("u", "v", "sim", "new"))
+    return one.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= k).drop("at")
 
 
-def _saturated(graph: DataFrame, k: int, sizes: DataFrame, threshold: float) -> DataFrame:
-    """(node, size): nodes whose list is full of links, and how long it is."""
-    links = (graph.filter(F.col("sim") >= threshold).groupBy(F.col("u").alias("node"))
-             .agg(F.count(F.lit(1)).alias("n")).join(sizes, "node", "left")
-             .withColumn("size", F.coalesce("size", F.lit(k))))
-    return links.filter(F.col("n") >= F.col("size")).select("node", "size")
-
-
-def _enlarged(graph: DataFrame, k: int, sizes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame] | None:
-    """Lists that are saturated made twice as long, and their edges new; None if none is
-    or they are as long as can be."""
-    grown = cut(_saturated(graph, k, sizes, threshold).filter(F.col("size") < WIDEST)
-                .select("node", F.least(2 * F.col("size"), F.lit(WIDEST)).cast("int").alias("size")))
-    if grown.isEmpty():
-        return None
-    sizes = cut(sizes.join(grown, "node", "left_anti").union(grown))
-    again = grown.select(F.col("node").alias("u"), F.lit(True).alias("again"))
-    return sizes, cut(graph.join(again, "u", "left").select(
-        "u", "v", "sim", (F.col("new") | F.coalesce("again", F.lit(False))).alias("new")))
+def _saturated(graph: DataFrame, k: int, threshold: float) -> DataFrame:
+    """(node): those whose list of ``k`` is full of links."""
+    return (graph.filter(F.col("sim") >= threshold).groupBy(F.col("u").alias("node"))
+            .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k).select("node"))
 
 
 def _whole_groups(batches, key: str) -> Iterator[pa.Table]:
@@ -185,24 +167,33 @@ def _introduce(batches) -> Iterator[pa.RecordBatch]:
                 names=["u", "v", "sim"])
 
 
-def _descend(nodes: DataFrame, graph: DataFrame, k: int, sizes: DataFrame, seed: int) -> DataFrame:
+def _descend(nodes: DataFrame, graph: DataFrame, k: int, seed: int) -> DataFrame:
     """One round of NN-descent."""
     back = graph.select(F.col("v").alias("c"), F.col("u").alias("node"), "new")
     some = Window.partitionBy("c").orderBy(F.desc("new"), F.xxhash64("node", F.lit(seed)))
-    back = (back.withColumn("at", F.row_number().over(some)).filter(F.col("at") <= max(k, WIDEST))
-            .join(sizes.select(F.col("node").alias("c"), "size"), "c", "left")
-            .filter(F.col("at") <= F.coalesce("size", F.lit(k))).select("c", "node", "new"))
+    back = back.withColumn("at", F.row_number().over(some)).filter(F.col("at") <= k).drop("at")
     members = (graph.select(F.col("u").alias("c"), F.col("v").alias("node"), "new").union(back)
                .groupBy("c", "node").agg(F.bool_or("new").alias("new")))
-    worst = (graph.groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("least"))
-             .join(sizes, "node", "left")
-             .select("node", F.when(F.col("n") < F.coalesce("size", F.lit(k)), -2.0).otherwise(F.col("least")).alias("worst")))
+    worst = (graph.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("least"))
+             .select(F.col("u").alias("node"), F.when(F.col("n") < k, -2.0).otherwise(F.col("least")).alias("worst")))
     known = (nodes.select("node", "vec").join(worst, "node", "left")
              .withColumn("worst", F.coalesce("worst", F.lit(-2.0))))
     met = (members.join(known, "node").select("c", "node", "new", "worst", "vec")
            .repartition("c").sortWithinPartitions("c"))
     found = map_arrow(met, _introduce, EDGES).distinct().withColumn("new", F.lit(True))
-    return _top(graph.withColumn("new", F.lit(False)).union(found.select("u", "v", "sim", "new")), k, sizes)
+    return _top(graph.withColumn("new", F.lit(False)).union(found.select("u", "v", "sim", "new")), k)
+
+
+def _enlarged(nodes: DataFrame, graph: DataFrame, full: DataFrame, wide: int, seed: int) -> DataFrame:
+    """``graph`` with longer lists, of ``wide``, of the saturated nodes ``full`` and of those in
+    their lists: all their edges are new again, and the descent goes on among them."""
+    about = cut(full.union(graph.join(full.withColumnRenamed("node", "u"), "u", "left_semi").select("v")).distinct())
+    some = nodes.select("node", "vec").join(about, "node", "left_semi")
+    lists = graph.join(about.withColumnRenamed("node", "u"), "u", "left_semi").withColumn("new", F.lit(True))
+    for r in range(WIDE_ROUNDS):
+        lists = cut(_descend(some, lists, wide, seed + r))
+    return cut(graph.select("u", "v", "sim").union(lists.select("u", "v", "sim")).groupBy("u", "v")
+               .agg(F.max("sim").alias("sim")).withColumn("new", F.lit(False)))
 
 
 def _ball(group: pa.Table) -> pa.Table:
@@ -359,22 +350,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = NEIGHB
     nodes = cut(valid.groupBy("label", "dim", "vec")
                 .agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
                 .withColumn("node", F.monotonically_increasing_id()))
-    spark = vectors.sparkSession
-    graph, tried, sizes = None, 0, spark.createDataFrame([], "node long, size int")
+    graph, tried = None, 0
     while True:
         fresh = _first_graph(nodes, k, TABLES, MEET << tried, seed + tried).withColumn("new", F.lit(True))
         known = fresh if graph is None else graph.union(fresh.select(*graph.columns))
-        graph = cut(_top(known, k, sizes))
-        while True:
-            for r in range(rounds):
-                graph = cut(_descend(nodes, graph, k, sizes, seed + r))
-                if graph.filter("new").limit(1).isEmpty():
-                    break
-            grown = _enlarged(graph, k, sizes, threshold)
-            if grown is None:
+        graph = cut(_top(known, k))
+        for r in range(rounds):
+            graph = cut(_descend(nodes, graph, k, seed + r))
+            if graph.filter("new").limit(1).isEmpty():
                 break
-            sizes, graph = grown
-        links, roots, reached, seen = _links(nodes, graph, threshold, k, sizes, AUDIT << tried)
+        full = cut(_saturated(graph, k, threshold))
+        if not full.isEmpty():
+            graph = _enlarged(nodes, graph, full, WIDEN * k, seed)
+        links, roots, reached, seen = _links(nodes, graph, full, threshold, AUDIT << tried)
         tried += 1
         if reached >= recall and (seen or tried > 1):
             break
@@ -393,14 +381,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = NEIGHB
         "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
-def _links(nodes: DataFrame, graph: DataFrame, threshold: float, k: int, sizes: DataFrame,
+def _links(nodes: DataFrame, graph: DataFrame, full: DataFrame, threshold: float,
            sample: int) -> tuple[DataFrame, DataFrame, float, bool]:
     """(node, n_links: other vectors linked, nodes: other nodes linked, crowded),
     (node, root), and what the audit says."""
     edges = graph.filter(F.col("sim") >= threshold).select("u", "v")
     pairs = cut(edges.union(edges.select("v", "u")).distinct())
     roots = cut(components(pairs.select(F.col("u").alias("a"), F.col("v").alias("b"))))
-    full = _saturated(graph, k, sizes, threshold).select("node").union(sizes.select("node")).distinct()
     crowded = roots.join(full, "node").select("root").distinct()
     crowd = roots.join(crowded, "root").join(nodes.select("node", "label", "dim", "copies", "vec"), "node")
     few = (pairs.join(roots.join(crowded, "root", "left_anti").select(F.col("node").alias("u")), "u")
