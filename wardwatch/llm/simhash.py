@@ -137,7 +137,8 @@ def _edges_by(variants: DataFrame, keys: list[str], max_bits: int,
                  .filter("n > 1"))
     close = f"bit_count(x) <= {max_bits} and {once}"
     two = groups.filter("n = 2").withColumn("x", F.expr("a ^ b")).filter(close).select("a", "b")
-    members = cut(variants.join(groups.filter("n > 2").select(*keys, "n"), keys))
+    # both sides are shuffled at every size: the groups grow with the fingerprints
+    members = cut(variants.join(groups.filter("n > 2").select(*keys, "n").hint("merge"), keys))
     some = (members.filter(F.col("n") <= FULL).groupBy(*keys).agg(F.sort_array(F.collect_list("fp")).alias("fps"))
             .select(*keys, F.expr(f"""explode(flatten(transform(fps, (a, i) -> transform(filter(transform(
                 slice(fps, i + 2, size(fps)), b -> a ^ b), x -> {close}), x -> struct(a, a ^ x as b)))))""")
