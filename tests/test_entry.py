@@ -19,6 +19,6 @@ def test_queries_and_oracles_line_up():
     for name, fn in q.items():
         assert len(inspect.signature(fn).parameters) == 2, name
     own = set(q) & set(CATALOG)
-    assert own == set(CATALOG) and len(own) == 53 and len(own & set(o)) == 48
+    assert own == set(CATALOG) and len(own) == 69 and len(own & set(o)) == 64
     for name in own & set(o):
         assert "from events" in o[name] and "from customer" in o[name], name   # reads the given tables
