@@ -31,6 +31,44 @@ def test_random_texts():
         check(["".join(rng.choice(letters) for _ in range(rng.randint(0, 80))) for _ in range(400)])
 
 
+UNBROKEN = [("日本語文字漢字処理", 6000), ("ABCDwxyz0189+/", 6000), ("etaoin", 6000), ("z", 5000), ("ab", 3001), ("the", 9)]
+
+
+def test_text_without_blanks():
+    rng = random.Random(5)
+    check(["".join(rng.choice(letters) for _ in range(n)) for letters, n in UNBROKEN])
+    words = "the quick brown fox jumps over information international process".split()
+    check(["".join(rng.choice(words) for _ in range(n)) for n in (20, 40, 700, 701, 702)] + ["  " + "aba" * 999])
+
+
+def test_chunks_that_disagree_are_gone_through_again(monkeypatch):
+    monkeypatch.setattr(pieces, "CHUNK", 5)
+    vocabulary = pieces.Vocabulary(pieces.default_model())
+    vocabulary.lead = vocabulary.longest
+    again = []
+    plain = vocabulary._advance
+    monkeypatch.setattr(vocabulary, "_advance", lambda c, b, k, done=0: (again.append(done > 0), plain(c, b, k, done)))
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(a) for _ in range(rng.randint(30, 300))) for a in ("thequickbrown", "aab", "th", "a")
+             for _ in range(40)]
+    found, at = vocabulary.chunked([pieces.codepoints([pieces.BLANK + t])[0] for t in texts])
+    for t, path in zip(texts, vocabulary.ids_of(found, at), strict=True):
+        assert path.tolist() == LIBRARY.encode(t), t
+    assert any(again)
+
+
+def test_very_long_texts_by_parts(monkeypatch):
+    monkeypatch.setattr(pieces, "PART", 100)
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(a) for _ in range(n)) for a in ("ab  c", "日本 語▁", "z", " ", "aB9+xQ", "é\n\U0001F642 ")
+             for n in (99, 100, 101, 1000, 1777)]
+    check([*texts, "", "a"])
+    encoder = pieces.Encoder.of(pieces.default_model())
+    for t in texts:
+        assert pieces._long_figures(encoder, t) == pieces._figures(encoder, [t])[0]
+        assert "".join(part for part, _ in encoder.parts(t)) == t
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     from wardwatch.llm import spans
     monkeypatch.setattr(spans, "KEPT", 10)

@@ -12,6 +12,13 @@ either side, the latest first, and probing what the facing pieces would make.
 One candidate at each position passes, so the path found is the merge result,
 character for character.  Runs of blanks, whose pieces share one score, are
 resolved by length.
+
+Text without blanks is cut between two characters that stand side by side in no
+piece, as no merge crosses there.  A word that is still long advances as chunks
+of one length, all at once, each begun some way before its own part; a chunk
+stands if it agrees with its predecessor over the longest piece's length, since
+nothing further back is looked at, and is else gone through again from there.
+Very long texts are worked on in parts that end at such borders.
 """
 
 from __future__ import annotations
@@ -29,12 +36,15 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, slices
 from .spans import SpanTable
-from .textops import BASE, codepoints, mix, prefix_hashes, span_hashes
+from .textops import BASE, codepoints, mix, part_ends, prefix_hashes, span_hashes
 
 MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 NEVER = np.int64(1) << 40
 WORDS = 4096                   # words that advance together
+WHOLE = 32                     # words up to this length are not searched for borders
+CHUNK = 128                    # characters that a chunk of a long word owns
+PART = 1 << 20                 # characters of a text that are worked on at once
 PAIRS = 2_000_000              # pairs of pieces whose border a process remembers
 
 
@@ -85,6 +95,9 @@ class Vocabulary:
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(usable)[order]
         self._split({self.pieces[i]: i for i in usable})
+        self.beside = np.unique(np.array([ord(a) << 21 | ord(b) for i in usable
+                                          for a, b in zip(self.pieces[i], self.pieces[i][1:])], np.int64))
+        self.lead = 3 * self.longest
         self.pairs, self.stays = np.zeros(0, np.int64), np.zeros(0, bool)
 
     @staticmethod
@@ -106,12 +119,17 @@ class Vocabulary:
                     lost.append(i)
         keep = ~np.isin(self.ids, lost)
         self.keys, self.ids = self.keys[keep], self.ids[keep]
+        self.seen = np.zeros(1 << 20, bool)                     # whether a key has these first 20 bits
+        self.seen[self.keys >> np.uint64(44)] = True
 
     def probe(self, raw: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Piece of each substring hash, -1 if there is none."""
         key = mix(raw + length.astype(np.uint64))
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.ids[at], -1)
+        found = np.full(len(key), -1)
+        some = np.flatnonzero(self.seen[key >> np.uint64(44)])
+        at = np.minimum(np.searchsorted(self.keys, key[some]), len(self.keys) - 1)
+        found[some] = np.where(self.keys[at] == key[some], self.ids[at], -1)
+        return found
 
     # A character that is no piece stands as size + code point.
 
@@ -163,9 +181,15 @@ class Vocabulary:
             self.pairs = np.insert(self.pairs, where, new)
         return self.stays[np.searchsorted(self.pairs, own)][back]
 
-    def viterbi(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces of words of equal length, one a row of code points: all paths one
-        after another, and offsets by word."""
+    def borders(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Whether no piece holds the two characters side by side."""
+        pair = before.astype(np.int64) << 21 | after
+        at = np.minimum(np.searchsorted(self.beside, pair), len(self.beside) - 1)
+        return self.beside[at] != pair
+
+    def _advance(self, chars: np.ndarray, best: np.ndarray, back: np.ndarray, done: int = 0) -> None:
+        """Last piece of each prefix of words of equal length, one a row of code
+        points, and its length, from prefixes longer than ``done`` on."""
         many, n = chars.shape
         prefix = np.zeros((many, n + 1), np.uint64)
         powers = np.full(n, BASE, np.uint64)
@@ -175,10 +199,8 @@ class Vocabulary:
         inverse[:1] = 1
         inverse = np.multiply.accumulate(inverse)
         np.cumsum((chars.astype(np.uint64) + np.uint64(1)) * powers, axis=1, out=prefix[:, 1:])
-        best = np.zeros((many, n + 1), np.int64)                # last piece of each prefix
-        back = np.zeros((many, n + 1), np.int64)                # and its length
         rows = np.arange(many)
-        for end in range(1, n + 1):
+        for end in range(done + 1, n + 1):
             sizes = np.arange(1, min(end, self.longest) + 1)
             found = self.probe(((prefix[:, [end]] - prefix[:, end - sizes]) * inverse[end - sizes]).ravel(),
                                np.tile(sizes, many)).reshape(many, -1)
@@ -193,8 +215,15 @@ class Vocabulary:
             np.maximum.at(length, r[passes], sizes[c[passes]])
             back[:, end] = length
             best[:, end] = found[rows, length - 1]
+
+    def viterbi(self, chars: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of words, one a row of code points filled up to equal length: all
+        paths one after another, and offsets by word."""
+        many, n = chars.shape
+        best, back = np.zeros((many, n + 1), np.int64), np.zeros((many, n + 1), np.int64)
+        self._advance(chars, best, back)
         row, last = [], []
-        at = np.full(many, n)
+        at = lengths.copy()
         while len(open_ := np.flatnonzero(at > 0)):
             row.append(open_)
             last.append(best[open_, at[open_]])
@@ -202,6 +231,44 @@ class Vocabulary:
         row, last = np.concatenate(row[::-1]), np.concatenate(last[::-1])
         return last[np.argsort(row, kind="stable")], np.concatenate([[0], np.cumsum(np.bincount(row, minlength=many))])
 
+    def chunked(self, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of long words, all their chunks advancing together.  A word's chunk k
+        starts at its character k * CHUNK and owns what lies beyond its first
+        ``lead`` characters; the first owns those too."""
+        lead, near, width = self.lead, self.longest, CHUNK + self.lead
+        count = [max(1, -(-(len(w) - lead) // CHUNK)) for w in words]
+        first = np.concatenate([[0], np.cumsum(count)])
+        chars = np.zeros((first[-1], width), np.int64)
+        for w, lo, hi in zip(words, first[:-1], first[1:], strict=True):
+            filled = np.zeros((hi - lo) * CHUNK + lead, np.int64)
+            filled[:len(w)] = w
+            chars[lo:hi] = np.lib.stride_tricks.sliding_window_view(filled, width)[::CHUNK]
+        best, back = np.zeros((2, len(chars), width + 1), np.int64)
+        for lo in range(0, len(chars), WORDS):
+            rows = slice(lo, lo + WORDS)
+            self._advance(chars[rows], best[rows], back[rows])
+        ends, starts = slice(width + 1 - near, None), slice(lead + 1 - near, lead + 1)
+        differs = np.ones(len(chars), bool)
+        differs[1:] = ((best[1:, starts] != best[:-1, ends]) | (back[1:, starts] != back[:-1, ends])).any(axis=1)
+        differs[first[:-1]] = False
+        for k in range(len(chars)):                             # in order: a chunk set right may part from the next
+            if differs[k]:
+                best[k, starts], back[k, starts] = best[k - 1, ends], back[k - 1, ends]
+                self._advance(chars[k:k + 1], best[k:k + 1], back[k:k + 1], lead)
+                if k + 1 < len(chars) and k + 1 not in first:
+                    differs[k + 1] = ((best[k + 1, starts] != best[k, ends]).any()
+                                      or (back[k + 1, starts] != back[k, ends]).any())
+        paths = []
+        for w, lo, hi in zip(words, first[:-1], first[1:], strict=True):
+            last = np.concatenate([best[lo, :lead + 1], best[lo:hi, lead + 1:].ravel()])
+            steps = np.concatenate([back[lo, :lead + 1], back[lo:hi, lead + 1:].ravel()]).tolist()
+            path, at = [], len(w)
+            while at:
+                path.append(at)
+                at -= steps[at]
+            paths.append(last[path[::-1]])
+        return np.concatenate(paths), np.concatenate([[0], np.cumsum([len(p) for p in paths])])
+
     def ids_of(self, pieces: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids of each path: characters that are no piece become bytes or unknown."""
         paths = np.split(pieces, offsets[1:-1])
@@ -284,14 +351,19 @@ class Encoder:
         words = sorted({BLANK * (n > 0) + b for n, b in zip(blanks, bare, strict=True) if b}, key=len)
         paths: dict[str, np.ndarray] = {}
         lo = 0
-        while lo < len(words):
+        while lo < len(words) and len(words[lo]) <= CHUNK:
+            most = -(-len(words[lo]) // 16) * 16 if len(words[lo]) > WHOLE else len(words[lo])
             hi = lo
-            while hi < len(words) and len(words[hi]) == len(words[lo]) and hi - lo < WORDS:
+            while hi < len(words) and len(words[hi]) <= most and hi - lo < WORDS:
                 hi += 1
-            chars, _ = codepoints(words[lo:hi])
-            found = self.v.viterbi(chars.reshape(hi - lo, -1).astype(np.int64))
-            paths.update(zip(words[lo:hi], self.v.ids_of(*found), strict=True))
+            chars, at = codepoints(words[lo:hi])
+            rows = np.zeros((hi - lo, most), np.int64)
+            rows[np.arange(most) < np.diff(at)[:, None]] = chars
+            paths.update(zip(words[lo:hi], self.v.ids_of(*self.v.viterbi(rows, np.diff(at))), strict=True))
             lo = hi
+        if lo < len(words):
+            found = self.v.chunked([codepoints([w])[0] for w in words[lo:]])
+            paths.update(zip(words[lo:], self.v.ids_of(*found), strict=True))
         out = []
         for n, b in zip(blanks, bare, strict=True):
             ids = paths[BLANK * (n > 0) + b] if b else self.v.blanks(n)
@@ -303,26 +375,53 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after another, and offsets by text."""
-        marked = [BLANK + t.replace(" ", BLANK) if t else "" for t in texts]
+        if max(map(len, texts), default=0) <= PART:
+            return self._encode([BLANK + t.replace(" ", BLANK) if t else "" for t in texts])
+        ids = [[found for _, found in self.parts(t)] for t in texts]
+        return (np.concatenate([x for found in ids for x in found]),
+                np.concatenate([[0], np.cumsum([sum(map(len, found)) for found in ids])]))
+
+    def _encode(self, marked: list[str]) -> tuple[np.ndarray, np.ndarray]:
         cp, ends = codepoints(marked)
         blank = cp == ord(BLANK)
         first = blank.copy()
         first[1:] &= ~blank[:-1]
         first[ends[:-1][ends[:-1] < len(cp)]] = True
         starts = np.flatnonzero(first)
+        size = np.diff(starts, append=len(cp))
+        inner = np.flatnonzero(np.repeat(size > WHOLE, size) & ~first & ~blank)
+        inner = inner[~blank[inner - 1]]
+        if len(inner):
+            first[inner[self.v.borders(cp[inner - 1], cp[inner])]] = True
+            starts = np.flatnonzero(first)
         stops = np.append(starts[1:], len(cp))[: len(starts)]
         entry = self.table.entries(span_hashes(prefix_hashes(cp), starts, stops), starts, stops, "".join(marked))
         ids, at = self.table.gather(entry)
         return ids, at[np.searchsorted(starts, ends)]
 
-    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
-        """Texts of id sequences; bytes that are no UTF-8 become U+FFFD."""
+    def _opens(self, window: str) -> np.ndarray:
+        """Places in ``window``, but the first, where a text may be parted."""
+        cp = codepoints([window.replace(" ", BLANK)])[0]
+        blank = cp == ord(BLANK)
+        return 1 + np.flatnonzero(~blank[:-1] & (blank[1:] | self.v.borders(cp[:-1], cp[1:])))
+
+    def parts(self, text: str) -> Iterator[tuple[str, np.ndarray]]:
+        """A text's parts with their ids; all parts' ids are the text's."""
+        lo = 0
+        for hi in part_ends(text, self._opens, PART):
+            part = text[lo:hi]
+            yield part, self._encode([BLANK * (lo == 0 < hi) + part.replace(" ", BLANK)])[0]
+            lo = hi
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray, inner: bool = False) -> list[str]:
+        """Texts of id sequences; bytes that are no UTF-8 become U+FFFD.  ``inner``
+        sequences are parts of a text but the first: no blank was set before them."""
         ids = np.asarray(ids, np.int64)
         size = (self.bytes_at[1:] - self.bytes_at[:-1])[ids]
         at = np.concatenate([[0], np.cumsum(size)])
         raw = self.bytes[np.repeat(self.bytes_at[ids] - at[:-1], size) + np.arange(at[-1])].tobytes()
         where = at[offsets]
-        return [raw[s + (raw[s: s + 1] == b" " and e > s): e].decode("utf-8", "replace")
+        return [raw[s + (not inner and raw[s: s + 1] == b" " and e > s): e].decode("utf-8", "replace")
                 for s, e in zip(where[:-1].tolist(), where[1:].tolist(), strict=True)]
 
 
@@ -372,19 +471,38 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     return map_arrow(read, partial(_decode, path=model or default_model()), f"{kinds}, n_ids int, text string")
 
 
+def _figures(encoder: Encoder, texts: list[str]) -> list[tuple]:
+    """n_ids, ids_crc32, text_crc32, decoded_crc32 and equality of each text."""
+    ids, at = encoder.encode(texts)
+    back = encoder.decode(ids, at)
+    raw = memoryview(ids.astype("<u4")).cast("B")
+    return [(e - s, zlib.crc32(raw[4 * s: 4 * e]), zlib.crc32(t.encode()), zlib.crc32(d.encode()), t == d)
+            for s, e, t, d in zip(at[:-1].tolist(), at[1:].tolist(), texts, back, strict=True)]
+
+
+def _long_figures(encoder: Encoder, text: str) -> tuple:
+    """The same of a very long text, part by part."""
+    n = ids_crc = text_crc = back_crc = 0
+    same = True
+    for k, (part, ids) in enumerate(encoder.parts(text)):
+        back = encoder.decode(ids, np.array([0, len(ids)]), inner=k > 0)[0]
+        n += len(ids)
+        ids_crc = zlib.crc32(ids.astype("<u4").tobytes(), ids_crc)
+        text_crc, back_crc = zlib.crc32(part.encode(), text_crc), zlib.crc32(back.encode(), back_crc)
+        same &= part == back
+    return n, ids_crc, text_crc, back_crc, same
+
+
 def _round_trip(batches, path: str) -> Iterator[pa.RecordBatch]:
     encoder = Encoder.of(path)
     for b in slices(batches, "text"):
         texts = [t or "" for t in b.column("text").to_pylist()]
-        ids, at = encoder.encode(texts)
-        back = encoder.decode(ids, at)
-        raw = memoryview(ids.astype("<u4")).cast("B")
-        crc = [zlib.crc32(raw[4 * s: 4 * e]) for s, e in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        long = {i: _long_figures(encoder, t) for i, t in enumerate(texts) if len(t) > PART}
+        rows = _figures(encoder, ["" if i in long else t for i, t in enumerate(texts)])
+        n, ids_crc, text_crc, back_crc, same = zip(*(long.get(i, r) for i, r in enumerate(rows)), strict=True)
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array(np.diff(at)), pa.array(crc, pa.int64()),
-             pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()),
-             pa.array([zlib.crc32(t.encode()) for t in back], pa.int64()),
-             pa.array([x == y for x, y in zip(texts, back, strict=True)], pa.bool_())],
+            [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_crc, pa.int64()),
+             pa.array(text_crc, pa.int64()), pa.array(back_crc, pa.int64()), pa.array(same, pa.bool_())],
             names=["doc_id", "n_ids", "ids_crc32", "text_crc32", "decoded_crc32", "round_trip"])
 
 

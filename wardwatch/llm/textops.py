@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 
 BASE = np.uint64(0x9E3779B97F4A7C15)       # odd, so its powers are invertible
@@ -57,3 +59,21 @@ def class_table(name: str, test) -> np.ndarray:
     if name not in _TABLES:
         _TABLES[name] = np.fromiter((test(chr(i)) for i in range(0x110000)), bool, 0x110000)
     return _TABLES[name]
+
+
+def part_ends(text: str, opens: Callable[[str], np.ndarray], size: int) -> Iterator[int]:
+    """Ends of the parts that a text is worked on in: about ``size`` characters, each
+    ending at one of the places that ``opens`` names in the window given to it (a
+    part is longer where there is none)."""
+    lo = 0
+    while len(text) - lo > size:
+        a, b = lo + size - min(size, 4096), lo + size
+        at = opens(text[a:b])
+        while not len(at) and b < len(text):
+            a, b = max(lo, b - 64), min(b + size, len(text))
+            at = opens(text[a:b])
+        if not len(at):
+            break
+        lo = a + int(at[-1])
+        yield lo
+    yield len(text)
