@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from wardwatch.llm import packing
+from wardwatch.llm import packing, tokens
 from wardwatch.llm.common import table
 from wardwatch.llm.tokens import Encoder
 
@@ -27,6 +27,32 @@ def test_ids_as_the_library_gives_them():
         assert found[at[i]: at[i + 1]].tolist() == ids_of(t), t
 
 
+def test_very_long_texts_by_parts(monkeypatch):
+    monkeypatch.setattr(tokens, "PART", 150)
+    encoder, rng = Encoder.of(PATH), random.Random(8)
+    for letters in ("ab 's\n\t1!é'lredmv　", "日本語，。", "aB9+/xQ", "y", "it's we'll 12, ", ["<|endoftext|>", " a", "|>", "b1"]):
+        for n in (149, 150, 151, 1500, 3000):
+            text = "".join(rng.choice(letters) for _ in range(n))
+            found = list(encoder.parts(text))
+            assert np.concatenate(found).tolist() == ids_of(text), text
+            assert letters in ("y",) or len(text) < 1500 or len(found) > 1
+            cut = packing._long_pieces(iter(found), 64)
+            assert np.concatenate(cut).tolist() == ids_of(text) and {len(c) for c in cut[:-1]} <= {64}
+
+
+def test_long_and_short_texts_in_one_batch(spark, monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(tokens, "PART", 500)
+    texts = ["a b c", None, "word and 12 " * 900, "", "short"]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(5), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    out = [r for b in packing._pieces([rows], PATH, 64, True) for r in b.to_pylist()]
+    for i, t in enumerate(texts):
+        own = sorted((r for r in out if r["doc_id"] == i), key=lambda r: r["start"])
+        assert [x for r in own for x in r["ids"]] == ids_of(t) and {r["doc_tokens"] for r in own} == {len(ids_of(t))}
+        for r in own:
+            assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes()) and r["length"] == len(r["ids"])
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     from wardwatch.llm import spans
     monkeypatch.setattr(spans, "KEPT", 10)

@@ -1,7 +1,7 @@
 """Packing documents into sequences: first-fit decreasing with a tournament tree.
 
 Documents are tokenised where they are read and cut into full sequences and a
-rest; only the pieces' numbers travel on.  Rests are dealt at random into groups
+rest, a very long one part by part; only the pieces' numbers travel on.  Rests are dealt at random into groups
 of about ``GROUP`` pieces; each group packs its own, longest first, always into
 the first bin that has room.  A tournament tree over the bins' free room finds
 that bin in logarithmic time.
@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import tokens as tokenizing
 from .common import cut, group_pandas, map_arrow, slices
 from .tokens import Encoder
 
@@ -34,25 +35,49 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def _batch(doc_id: pa.Array, start: np.ndarray, ids: list[np.ndarray], tokens: np.ndarray,
+           with_ids: bool) -> pa.RecordBatch:
+    arrays = [doc_id, pa.array(start, pa.int64()), pa.array([len(x) for x in ids], pa.int64()),
+              pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(tokens, pa.int64())]
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    if with_ids:
+        arrays.append(pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())))
+        names.append("ids")
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def _long_pieces(parts: Iterator[np.ndarray], length: int) -> list[np.ndarray]:
+    """The pieces of one text whose ids come part by part."""
+    out, rest = [], np.zeros(0, "<u4")
+    for ids in parts:
+        rest = np.concatenate([rest, ids.astype("<u4")])
+        full = len(rest) // length * length
+        out += [rest[s: s + length] for s in range(0, full, length)]
+        rest = rest[full:]
+    return out + [rest] * (len(rest) > 0)
+
+
 def _pieces(batches, path: str, length: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     encoder = Encoder.of(path)
     for b in slices(batches, "text"):
-        ids, at = encoder.encode([t or "" for t in b.column("text").to_pylist()])
-        tokens = np.diff(at)
+        texts = [t or "" for t in b.column("text").to_pylist()]
+        doc_id, short = b.column("doc_id"), [i for i, t in enumerate(texts) if len(t) <= tokenizing.PART]
+        for i in sorted(set(range(len(texts))) - set(short)):
+            found = _long_pieces(encoder.parts(texts[i]), length)
+            n = sum(map(len, found))
+            yield _batch(doc_id.take(pa.array([i] * len(found))), np.arange(len(found)) * length, found,
+                         np.full(len(found), n), with_ids)
+        if not short:
+            continue
+        ids, at = encoder.encode([texts[i] for i in short])
+        ids, tokens = ids.astype("<u4"), np.diff(at)
         count = -(-tokens // length)
-        row = np.repeat(np.arange(b.num_rows), count)
+        row = np.repeat(np.arange(len(short)), count)
         start = (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)) * length
-        size = np.minimum(length, tokens[row] - start)
-        raw, lo = memoryview(ids.astype("<u4")).cast("B"), at[row] + start
-        spans = list(zip(lo.tolist(), (lo + size).tolist(), strict=True))
-        arrays = [b.column("doc_id").take(pa.array(row)), pa.array(start), pa.array(size),
-                  pa.array([zlib.crc32(raw[4 * s: 4 * e]) for s, e in spans], pa.int64()),
-                  pa.array(tokens[row])]
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-        if with_ids:
-            arrays.append(pa.array([ids[s:e].astype(np.int32) for s, e in spans], pa.list_(pa.int32())))
-            names.append("ids")
-        yield pa.RecordBatch.from_arrays(arrays, names=names)
+        lo = at[row] + start
+        hi = lo + np.minimum(length, tokens[row] - start)
+        yield _batch(doc_id.take(pa.array(np.array(short)[row])), start,
+                     [ids[s:e] for s, e in zip(lo.tolist(), hi.tolist(), strict=True)], tokens[row], with_ids)
 
 
 def pieces(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None,

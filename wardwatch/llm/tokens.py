@@ -5,20 +5,23 @@ into pre-tokens and gathering their ids is numpy work.  The split follows the
 vocabulary's own pattern: contractions, an optional blank before a run of
 letters, digits or other signs, and white space whose last character belongs
 to what follows.  Character classes are asked of the tokenizer itself, and a
-text that holds an added token's string is encoded by the tokenizer alone.
+text that holds an added token's string is encoded by the tokenizer alone.  Very long
+texts are worked on in parts that end where a pre-token does in any context.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 import numpy as np
 
 from .spans import SpanTable
-from .textops import codepoints, prefix_hashes, span_hashes
+from .textops import codepoints, part_ends, prefix_hashes, span_hashes
 
 LETTER, DIGIT, OTHER, SPACE, UNSEEN = range(5)
 END = 0                        # id that ends every document
+PART = 1 << 20                 # characters of a text that are worked on at once
 
 
 def _byte_signs() -> dict[int, str]:
@@ -57,13 +60,43 @@ class Encoder:
         return next((k for k, before in ((LETTER, "a"), (DIGIT, "1"), (OTHER, "!"))
                      if len(alone(before + char)) == 1), SPACE)
 
-    def split(self, cp: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Starts of the pre-tokens of texts that follow one another in ``cp``."""
+    def _kinds(self, cp: np.ndarray) -> np.ndarray:
         kind = self.classes[cp]
         if (kind == UNSEEN).any():
             for c in np.unique(cp[kind == UNSEEN]):
                 self.classes[c] = self._class(chr(c))
             kind = self.classes[cp]
+        return kind
+
+    def _opens(self, window: str) -> np.ndarray:
+        """Places well inside ``window`` where a pre-token begins whatever stands
+        around: a single blank between two others, or another class of character
+        that follows no apostrophe; none within an added token."""
+        cp = codepoints([window])[0]
+        kind = self._kinds(cp)
+        margin = 2 + max(map(len, self.added), default=0)
+        opens = np.zeros(len(cp), bool)
+        before, here, after = kind[:-2] != SPACE, kind[1:-1] != SPACE, kind[2:] != SPACE
+        opens[1:-1] = before & ((cp[1:-1] == 32) & after | here & (kind[:-2] != kind[1:-1]) & (cp[:-2] != 39))
+        opens[:margin] = opens[-margin:] = False
+        for a in self.added:
+            at = window.find(a)
+            while at >= 0:
+                opens[at + 1: at + len(a)] = False
+                at = window.find(a, at + 1)
+        return np.flatnonzero(opens)
+
+    def parts(self, text: str) -> Iterator[np.ndarray]:
+        """Ids of a text's parts, which are together the text's, END included."""
+        lo = 0
+        for hi in part_ends(text, self._opens, PART):
+            ids = self.encode([text[lo:hi]])[0]
+            yield ids if hi == len(text) else ids[:-1]
+            lo = hi
+
+    def split(self, cp: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Starts of the pre-tokens of texts that follow one another in ``cp``."""
+        kind = self._kinds(cp)
         n = len(cp)
         first = np.zeros(n + 1, bool)
         first[ends] = True
