@@ -1,4 +1,5 @@
 import textwrap
+from collections import Counter
 
 import zstandard
 
@@ -24,11 +25,42 @@ def test_every_template_finds_itself():
 def test_like_wording_of_another_license_is_told_apart():
     assert names("Licensed under CC BY 4.0.") == ["CC-BY-4.0"]
     assert names("Licensed under CC BY-SA 4.0.") == ["CC-BY-SA-4.0"]
-    assert names("Licensed under CC BY-NC-ND 4.0.") == []
+    assert names("Licensed under CC BY-NC-ND 4.0.") == ["CC-BY-NC-ND-4.0"]
+    assert names("Licensed under CC BY-NC-ND 2.0.") == []
     assert names("This work is licensed under the GNU General Public License, version 2.") == ["GPL-2.0"]
     assert names("Not licensed under the MIT License.") == []
 
 
+def test_identifiers_abbreviations_headings_and_addresses():
+    for text, want in {
+            "SPDX-License-Identifier: BSD-3-Clause": ["BSD-3-Clause"],
+            "SPDX-License-Identifier: GPL-2.0-or-later": ["GPL-2.0-or-later"],
+            "SPDX-License-Identifier: GPL-2.0": ["GPL-2.0"],
+            "# SPDX-License-Identifier: MIT-0\nimport os": ["MIT-0"],
+            "GNU Lesser General Public License version 2.1 is what it is licensed under.": [],
+            "Licensed under the GNU Lesser General Public License version 2.1": ["LGPL-2.1"],
+            "Licensed under the GNU GPL v3": ["GPL-3.0"],
+            "Licensed under the LGPLv3 or later.": ["LGPL-3.0-or-later"],
+            "Prose.\nMIT License\nCopyright of nobody": ["MIT"],
+            "The MIT License\n": ["MIT"],
+            "He read the MIT License.": [],
+            "See https://creativecommons.org/licenses/by-nc-sa/4.0/ for it.": ["CC-BY-NC-SA-4.0"],
+            "https://creativecommons.org/licenses/by/3.0": ["CC-BY-3.0"],
+            "https://creativecommons.org/licenses/by/2.5": [],
+            "https://creativecommons.org/publicdomain/zero/1.0/": ["CC0-1.0"]}.items():
+        assert names(text) == want, text
+
+
+def test_licenses_joined_by_or_and_and():
+    assert names("SPDX-License-Identifier: MIT OR Apache-2.0") == ["MIT", "Apache-2.0"]
+    assert names("SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause\nand the rest") == [
+        "MIT", "Apache-2.0", "BSD-3-Clause"]
+    assert names("It is dual-licensed under the MIT License and the Apache License, Version 2.0.") == ["MIT", "Apache-2.0"]
+    assert names("Released under the MIT License or GPLv3.") == ["MIT", "GPL-3.0"]
+    assert names("Released under the MIT License and or the like, or Apache ants.") == ["MIT"]
+    assert names("A license, mit or isc, and apache.") == []
+
+
 def test_prose_on_rights_is_no_notice():
     assert names("The driver lost a license. Permission was never asked; no warranty came with the dog.") == []
     assert names("") == names("nothing here") == []
@@ -94,8 +126,21 @@ def test_notices_of_the_given_table(spark, small):
         for line in (r["text"] or "").split("\n"):
             if line.strip() in SHORT:
                 want.add((r["doc_id"], SHORT[line.strip()]))
-    got = {(r["doc_id"], r["license"]) for r in licenses.license_scan(docs).collect()}
-    assert want <= got and want
+    rows = licenses.license_scan(docs).collect()
+    assert want <= {(r["doc_id"], r["license"]) for r in rows} and want
+    text, known = {r["doc_id"]: r["text"] for r in docs.collect()}, licenses.TEMPLATES + licenses.HEADINGS + licenses.CONTINUED
+    taken = {}
+    for r in rows:                                     # no false hit: the span is the template but for the differences
+        wording = Counter(licenses._WORD.findall(text[r["doc_id"]][r["start"]: r["end"]].lower()))
+        wording.subtract(d[1:] for d in r["differences"] if d[0] == "+")
+        wording.update(d[1:] for d in r["differences"] if d[0] == "-")
+        own = licenses._WORD.findall(r["template"])
+        assert +wording == Counter(own) and len(r["differences"]) <= licenses.DIFFERENT * len(own)
+        assert (r["license"], r["template"]) in {(name, t.lower()) for name, _, t in known}
+        taken.setdefault(r["doc_id"], []).append((r["start"], r["end"]))
+    for spans in taken.values():                       # no notice twice
+        spans.sort()
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
 def test_awkward_rows(spark, awkward, clashing, empty):

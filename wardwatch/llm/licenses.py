@@ -3,9 +3,12 @@
 Passages that speak of rights are cut out as candidate blocks.  Each block is
 compressed alone and again with each template as a raw Zstandard dictionary; the
 templates that shrink it most are the likeliest, and the exact differences in
-wording confirm or refuse them.  Whole license texts are sought in runs of
-sentences, short notices in each sentence and then across its borders; what a
-notice leaves on either side is looked at again.
+wording confirm or refuse them; a template whose needed words are not all in the
+block could not be confirmed and is not tried.  Whole license texts are sought in
+runs of sentences, short notices in each sentence and then across its borders;
+what a notice leaves on either side is looked at again.  A license that OR or AND
+adds to a notice is sought right behind it, a license's bare name only where it is
+all there is on a line.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ RUN = 4_000                    # words of a run that are compared at once
 
 #: What a passage on rights contains, in lower case.
 MARKS = ["licen", "copyright", "spdx", "warrant", "redistribut", "permission", "public domain",
-         "rights reserved", "creative commons", "cc by", "cc0"]
+         "rights reserved", "creative commons", "creativecommons", "cc by", "cc0"]
 
 #: Words that make another license of one that is otherwise worded alike.
 QUALIFIERS = {"nc", "nd", "sa", "noncommercial", "sharealike", "noderivatives", "noderivs", "lesser",
@@ -121,9 +124,101 @@ TEMPLATES: list[tuple[str, str, str]] = [
      "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
      "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."),
 ]
+
+#: SPDX identifier and name of licenses whose notices follow by rule
+NAMED: list[tuple[str, str]] = [
+    ("0BSD", "BSD Zero Clause License"),
+    ("AGPL-3.0-only", "GNU Affero General Public License, version 3"),
+    ("AGPL-3.0-or-later", "GNU Affero General Public License, version 3 or later"),
+    ("Apache-1.1", "Apache License, Version 1.1"),
+    ("Apache-2.0", "Apache License, Version 2.0"),
+    ("Artistic-2.0", "Artistic License, version 2.0"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("BSD-4-Clause", "BSD 4-Clause License"),
+    ("BSL-1.0", "Boost Software License, version 1.0"),
+    ("CC0-1.0", "CC0 1.0 Universal License"),
+    ("CDDL-1.0", "Common Development and Distribution License, version 1.0"),
+    ("EPL-1.0", "Eclipse Public License, version 1.0"),
+    ("EPL-2.0", "Eclipse Public License, version 2.0"),
+    ("EUPL-1.2", "European Union Public License, version 1.2"),
+    ("GPL-2.0-only", "GNU General Public License, version 2"),
+    ("GPL-2.0-or-later", "GNU General Public License, version 2 or later"),
+    ("GPL-3.0-only", "GNU General Public License, version 3"),
+    ("GPL-3.0-or-later", "GNU General Public License, version 3 or later"),
+    ("ISC", "ISC License"),
+    ("LGPL-2.0-only", "GNU Library General Public License, version 2"),
+    ("LGPL-2.1-only", "GNU Lesser General Public License, version 2.1"),
+    ("LGPL-2.1-or-later", "GNU Lesser General Public License, version 2.1 or later"),
+    ("LGPL-3.0-only", "GNU Lesser General Public License, version 3"),
+    ("LGPL-3.0-or-later", "GNU Lesser General Public License, version 3 or later"),
+    ("MIT", "MIT License"),
+    ("MIT-0", "MIT No Attribution License"),
+    ("MPL-1.1", "Mozilla Public License, version 1.1"),
+    ("MPL-2.0", "Mozilla Public License, version 2.0"),
+    ("OFL-1.1", "SIL Open Font License, version 1.1"),
+    ("PostgreSQL", "PostgreSQL License"),
+    ("Unlicense", "Unlicense"),
+    ("Zlib", "zlib License"),
+]
+#: Creative Commons: code and name
+COMMONS: list[tuple[str, str]] = [
+    ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+    ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+]
+COMMONS_VERSIONS = ["4.0", "3.0"]
 # --- end of fixed values -------------------------------------------------------------
 
 _WORD = re.compile(r"[a-z0-9]+")
+_COMMON = {"the", "gnu", "license", "version", "and", "a"}     # words that a name may do without
+
+
+def _needs(text: str) -> str:
+    return " ".join(sorted(set(_WORD.findall(text.lower())) - _COMMON))
+
+
+def _by_rule() -> tuple[list, list, list]:
+    """(notices, headings, continued): templates that follow from NAMED and COMMONS.
+    Notices stand anywhere, headings alone on a line, the last behind a notice."""
+    notices, headings, continued = [], [], []
+    for spdx, name in NAMED:
+        own = spdx.removesuffix("-only")
+        family, _, version = own.removesuffix("-or-later").partition("-")
+        notices += [(own, _needs(spdx.removesuffix("-only")), f"SPDX-License-Identifier: {spdx}"),
+                    (own, _needs(name), f"Licensed under the {name}."),
+                    (own, _needs(name), f"Released under the terms of the {name}.")]
+        headings += [(own, _needs(name), name), (own, _needs(name), f"The {name}")]
+        if family in ("GPL", "LGPL", "AGPL"):
+            short = "v" + version.removesuffix(".0")
+            later = " or later" if spdx.endswith("-or-later") else ""
+            for form in (f"GNU {family} {short}{later}", f"{family} {short}{later}", f"{family}{short}{later}"):
+                notices.append((own, _needs(form), f"Licensed under the {form}."))
+                continued += [(own, _needs(f"{how} {form}"), f"{how} {form}") for how in ("or", "and", "or the", "and the")]
+        for how in ("or", "and"):
+            continued += [(own, f"{how} {_needs(spdx.removesuffix('-only'))}", f"{how} {spdx}"),
+                          (own, f"{how} {_needs(name)}", f"{how} the {name}"),
+                          (own, f"{how} {_needs(name)}", f"{how} {name}")]
+    for code, name in COMMONS:
+        for version in COMMONS_VERSIONS:
+            own, digit = f"CC-{code}-{version}", version[0]
+            form = f"CC {code} {version}"
+            notices += [(own, _needs(f"cc {code} {digit}"), f"Licensed under {form}."),
+                        (own, _needs(f"cc {code} {digit}"), f"SPDX-License-Identifier: {own}"),
+                        (own, _needs(f"{name} {digit}"), f"This work is licensed under a Creative Commons {name} {version} "
+                                                         f"{'International' if digit == '4' else 'Unported'} License."),
+                        (own, _needs(f"creativecommons {code} {digit}"),
+                         f"creativecommons.org/licenses/{code.lower()}/{version}")]
+            headings += [(own, _needs(form), form)]
+            continued += [(own, _needs(f"{how} cc {code} {digit}"), f"{how} {form}") for how in ("or", "and")]
+    notices.append(("CC0-1.0", "publicdomain zero 1", "creativecommons.org/publicdomain/zero/1.0"))
+    known = {text for _, _, text in TEMPLATES}
+    return [n for n in notices if n[2] not in known], headings, continued
+
+
+NOTICES, HEADINGS, CONTINUED = _by_rule()
+TEMPLATES += NOTICES
+_JOINERS = {"or", "and"}
 #: Up to the end of a line or of a sentence (not the dot after a single letter).
 _SENTENCE = re.compile(r"(?:[^\n.;]|[.;](?!\s|$)|(?<=\W[a-z])\.)+[.;]*|[.;]+")
 #: Two words of a mark may stand on two lines.
@@ -183,7 +278,8 @@ def ranked(block: str, templates: list[Template], plain) -> list[tuple[int, int,
     """(size saved, size with the template, template), the largest saving first."""
     raw = block.encode("utf-8", "replace")
     alone = len(plain.compress(raw))
-    found = [(alone - (size := len(t.compressor.compress(raw))), size, t) for t in templates]
+    there = set(_WORD.findall(block))
+    found = [(alone - (size := len(t.compressor.compress(raw))), size, t) for t in templates if t.needs <= there]
     return sorted(found, key=lambda f: (-f[0], f[1], f[2].license, f[2].text))
 
 
@@ -208,8 +304,8 @@ def differences(words: list[str], template: Template) -> tuple[int, int, list[st
     return match[0].b, at, out + [f"-{w}" for w in template.words[own:]]
 
 
-def _confirmed(words: list[str], best: list[tuple[int, int, Template]], before: list[str]):
-    """Of the templates that save anything, the one whose wording differs least, if it
+def _confirmed(words: list[str], best: list[tuple[int, int, Template]], before: list[str], least: float = 1):
+    """Of the templates that save ``least`` bytes, the one whose wording differs least, if it
     differs little and in no word that matters: the first WINNERS, then the next
     ones while none fits.  ``before`` are the words before the block."""
     there = set(words)
@@ -217,7 +313,7 @@ def _confirmed(words: list[str], best: list[tuple[int, int, Template]], before:
         fit = []
         for place, (saved, size, t) in enumerate(best[lo: lo + WINNERS]):
             most = DIFFERENT * len(t.words)
-            if saved <= 0 or t.needs - there or sum(w not in there for w in t.words) > most:
+            if saved < least or t.needs - there or sum(w not in there for w in t.words) > most:
                 continue
             first, end, diff = differences(words, t)
             lost = {d[1:] for d in diff if d[0] == "-"} & t.needs
@@ -239,6 +335,7 @@ def scan(text: str, templates: tuple = tuple(TEMPLATES)) -> list[dict]:
     """License notices of a text: license, start and end (characters), plain_size
     and saved (bytes compressed), template (its text) and differences."""
     known, plain = _prepared(templates)
+    headings, continued = _prepared(tuple(HEADINGS))[0], _prepared(tuple(CONTINUED))[0]
     low = _lower(text)
     spans = sentences(low)
     marks = [m.span() for m in _MARK.finditer(low)]
@@ -265,15 +362,19 @@ def scan(text: str, templates: tuple = tuple(TEMPLATES)) -> list[dict]:
                 lo = b
         return [(a, b) for a, b in [*left, (lo, hi)] if a < b]
 
-    def look(lo: int, hi: int, among: list[Template], before: list[str]) -> bool:
-        """Words lo to hi as one block."""
+    def look(lo: int, hi: int, among: list[Template], before: list[str], exact: str = "") -> bool:
+        """Words lo to hi as one block; ``exact``: without differences, and right at
+        its ``start`` or covering it ``whole``."""
         s, e = places[lo][0], places[hi - 1][1]
         while e < len(low) and low[e] in ".;":         # as a sentence ends
             e += 1
-        found = _confirmed(words[lo:hi], ranked(low[s:e], among, plain), before)
+        # two words alone save nothing beside a frame's own bytes
+        found = _confirmed(words[lo:hi], ranked(low[s:e], among, plain), before, float("-inf") if exact else 1)
         if not found:
             return False
         _, _, saved, size, t, first, end, diff = found
+        if exact and (diff or first or exact == "whole" and end < hi - lo):
+            return False
         out.append({"license": t.license, "start": places[lo + first][0], "end": places[lo + end - 1][1],
                     "plain_size": size + saved, "saved": saved, "template": t.text, "differences": diff})
         insort(taken, (lo + first, lo + end))
@@ -311,6 +412,21 @@ def scan(text: str, templates: tuple = tuple(TEMPLATES)) -> list[dict]:
         a, b = max(0, bounds[i][0] - near), min(len(words), bounds[i][1] + near)
         if (a, b) != bounds[i] and a < b:
             search(a, b, short, max(0, a - 3))
+    line = max(len(t.words) for t in headings)
+    for i in marked:                                   # a name alone on its line
+        lo, hi = bounds[i]
+        if lo < hi <= lo + line and gaps(lo, hi) == [(lo, hi)]:
+            s, e = places[lo][0], places[hi - 1][1]
+            ahead, behind = low.rfind("\n", 0, s) + 1, low.find("\n", e)
+            if not _WORD.search(low, ahead, s) and not _WORD.search(low, e, behind if behind >= 0 else len(low)):
+                look(lo, hi, headings, [], "whole")
+    tail = max(len(t.words) for t in continued)
+    for _, end in list(taken):                         # what OR and AND add to a notice
+        while end < len(words) and words[end] in _JOINERS:
+            hi = next((b for a, b in gaps(end, min(len(words), end + tail)) if a == end), end)
+            if hi == end or not any(look(end, b, continued, [], "start") for b in range(hi, end + 1, -1)):
+                break
+            end = next(b for a, b in taken if a == end)
     return sorted(out, key=lambda f: (f["start"], f["license"]))
 
 
@@ -328,7 +444,8 @@ def _scan(batches, templates: tuple) -> Iterator[pa.RecordBatch]:
 
 def license_scan(docs: DataFrame, templates: list[tuple[str, str, str]] | None = None) -> DataFrame:
     """doc_id, license, start, end, plain_size, saved, template, differences: one row
-    for each license notice found in a text.
+    for each license notice found in a text.  Licenses of one expression ("MIT OR
+    Apache-2.0") give a row each.
 
     Null and empty texts have none.  Of templates that save alike, the one whose
     wording differs less wins, then the alphabetically first.  Repeated rows give
