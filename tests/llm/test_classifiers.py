@@ -1,4 +1,6 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -29,9 +31,30 @@ def grams(text, buckets):
     return sorted(out)
 
 
+_BUCKET = {}
+
+
+def grams_of(text, buckets):
+    """As ``grams``, each distinct n-gram hashed once."""
+    x = [ord(c) + 1 for w in "".join(c if c.isalpha() else " " for c in (text or "").lower()).split() for c in w + " "]
+    out = []
+    for n in langid.ORDERS:
+        for i in range(len(x) - n + 1):
+            own = tuple(x[i: i + n])
+            if own == (33,):
+                continue
+            if own not in _BUCKET:
+                h = 0
+                for v in own:
+                    h = (h * 0x100000001B3 + v) % 2 ** 64
+                _BUCKET[own] = int(langid.mix(np.array([h + n], np.uint64))[0]) % buckets
+            out.append(_BUCKET[own])
+    return out
+
+
 def test_grams_as_one_by_one():
     texts = ["The cat.", "", "été  à 12 b", "x", "  lead", "9", "a b"]
-    found, seen = langid._grams(texts, 1 << 15)
+    found, seen, _ = langid._grams([t.lower() + " " for t in texts], 1 << 15)
     for i, t in enumerate(texts):
         got = sorted(int(b) for bucket, at in found for b in bucket[at[i]: at[i + 1]])
         want = grams(t, 1 << 15)
@@ -74,6 +97,40 @@ def test_long_texts_in_parts_score_alike(monkeypatch, awkward):
     assert whole[0] == parts[0] == ["de", "und", "en", "und"]
 
 
+def test_a_cut_changes_no_gram(monkeypatch):
+    """Parts of any size hold the n-grams of the whole text, those at a cut too."""
+    text = "Der  Hund -- 123 und\u0130 die ΣΑΣ Katze, " * 3 + "9" * 40 + "ende"
+    want = grams(text, 1 << 15)
+    for size in (1, 2, 3, 7, 50, 1000):
+        monkeypatch.setattr(langid, "LONG", size)
+        got, last = [], langid.NOTHING
+        for parts, _, begins in langid._parts([text]):
+            found, _, last = langid._grams(parts, 1 << 15, langid.NOTHING if begins else last)
+            got += [int(b) for bucket, _ in found for b in bucket]
+        assert sorted(got) == want, size
+
+
+def test_posterior_as_one_by_one(spark, small):
+    """Counts, priors, likelihoods and predictions of a whole table, in plain Python."""
+    docs = table(spark, small, "documents")
+    rows = docs.select("doc_id", "text", "lang").collect()
+    model = langid.fit(docs, train_docs=10 ** 9)
+    size = model.log_prob.shape[0]
+    count = {lang: Counter() for lang in model.langs}
+    for r in rows:
+        weight = min(1.0, langid.FULL_WEIGHT / max(1, len(r["text"] or "")))
+        for b in grams_of(r["text"], size):
+            count[r["lang"]][b] += weight
+    total = {lang: sum(c.values()) + 0.5 * size for lang, c in count.items()}
+    prior = Counter(r["lang"] for r in rows)
+    found = langid.classify([r["text"] for r in rows], model)
+    for r, lang, score in zip(rows[::7], found[0][::7], found[1][::7], strict=True):
+        like = [math.log(prior[x] / len(rows))
+                + sum(math.log((count[x][b] + 0.5) / total[x]) for b in grams_of(r["text"], size)) for x in model.langs]
+        assert lang == model.langs[int(np.argmax(like))]
+        assert abs(score - 1 / sum(math.exp(x - max(like)) for x in like)) < 1e-6
+
+
 def test_nothing_learned(spark, awkward):
     from pyspark.sql import functions as F
     rows = langid.identify(awkward.withColumn("lang", F.lit(None).cast("string"))).collect()
@@ -101,6 +158,28 @@ def test_sum_of_squares_identity():
         assert np.isclose(quality.raw_scores(m, i, x, np.array([0, n]))[0], want)
 
 
+def plain_score(m, text, n_chars):
+    """The whole score of a text: bias, weights and every pair, one by one."""
+    index, value, at = quality.features([text], [n_chars])
+    own = {}
+    for i, v in zip(index[at[0]: at[1]], value[at[0]: at[1]], strict=True):
+        own[int(i)] = own.get(int(i), 0.0) + float(v)
+    items = sorted(own.items())
+    z = m.bias + sum(m.weight[i] * v for i, v in items)
+    for k, (i, v) in enumerate(items):
+        for j, w in items[:k]:
+            z += sum(float(a) * float(b) for a, b in zip(m.factor[i], m.factor[j], strict=True)) * v * w
+    return 1 / (1 + math.exp(-z))
+
+
+def test_whole_score_as_one_by_one():
+    rng = np.random.default_rng(2)
+    m = quality.Model(0.1, rng.normal(0, 0.1, quality.FEATURES), rng.normal(0, 0.1, (quality.FEATURES, quality.RANK)))
+    texts, given = ["The cat & the dog!\nTHE END", "", None, "x " * 90, "a" * 30 + " 12 %%"], [26, None, 0, 180, 7]
+    got = 1 / (1 + np.exp(-quality.raw_scores(m, *quality.features(texts, given))))
+    assert np.allclose(got, [plain_score(m, t, n) for t, n in zip(texts, given, strict=True)], atol=1e-6)
+
+
 def test_gradient_lowers_the_loss():
     rows = [(np.array([0 if k % 2 else 1, 5]), np.array([1.0, 1.0], np.float32)) for k in range(200)]
     label = np.array([float(k % 2) for k in range(200)])

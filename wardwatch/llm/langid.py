@@ -8,6 +8,7 @@ of the matrix gathered and summed by document.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -28,6 +29,8 @@ UNKNOWN = "und"
 MIN_SCORE = 0.5
 SLICE = 1 << 18
 LONG = 1 << 20                 # characters of a text that are worked on at once
+BLANK = np.uint64(33)          # symbol of all that is no letter; a letter is its code point plus 1
+NOTHING = np.zeros(0, np.uint64)
 
 
 @dataclass
@@ -41,16 +44,34 @@ def _letters() -> np.ndarray:
     return class_table("letter", str.isalpha)
 
 
-def _grams(texts: list[str], buckets: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
-    """For each order the buckets of all n-grams and their offsets by text, and
-    whether each text has a letter.  What is no letter counts as one blank,
-    which also ends every text; n-grams of blanks only are left out."""
-    cp, ends = codepoints([t.lower() + " " for t in texts])
+def _parts(texts: list[str | None]) -> Iterator[tuple[list[str], np.ndarray, bool]]:
+    """(texts in lower case, rows, begins): those of at most LONG characters
+    together; a longer one in parts, one after another.  A blank ends every text."""
+    lower = [(t or "").lower() + " " for t in texts]
+    short = [i for i, t in enumerate(lower) if len(t) <= LONG]
+    if short:
+        yield [lower[i] for i in short], np.array(short), True
+    for i, t in enumerate(lower):
+        if len(t) > LONG:
+            for lo in range(0, len(t), LONG):
+                yield [t[lo: lo + LONG]], np.array([i]), lo == 0
+
+
+def _grams(texts: list[str], buckets: int, before: np.ndarray = NOTHING
+           ) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+    """For each order the buckets of all n-grams and their offsets by text,
+    whether each text has a letter, and the last symbols.  What is no letter counts
+    as one blank; n-grams of blanks only are left out.  ``before`` are the last
+    symbols of the part before (of one text): n-grams that begin there and end here
+    count here."""
+    cp, ends = codepoints(texts)
     letter = _letters()[cp]
     doc = np.repeat(np.arange(len(texts)), np.diff(ends))
-    keep = letter | np.concatenate([[False], letter[:-1]])
-    x = np.where(letter, cp, 32).astype(np.uint64)[keep] + np.uint64(1)
-    doc, letter = doc[keep], letter[keep]
+    follows = len(before) > 0 and before[-1] != BLANK
+    keep = letter | np.concatenate([[follows], letter])[: len(letter)]
+    x = np.concatenate([before, np.where(letter, cp, 32).astype(np.uint64)[keep] + np.uint64(1)])
+    doc = np.concatenate([np.zeros(len(before), np.int64), doc[keep]])
+    letter = x != BLANK
     starts = np.searchsorted(doc, np.arange(len(texts) + 1))
     out = []
     h = np.zeros(len(x), np.uint64)
@@ -62,19 +83,13 @@ def _grams(texts: list[str], buckets: int) -> tuple[list[tuple[np.ndarray, np.nd
         h = h[:m] * np.uint64(0x100000001B3) + x[n - 1:]
         inside = inside[:m] & (doc[n - 1:] == doc[:m])
         if n in ORDERS:
-            ok = inside & letter[:m] if n == 1 else inside
+            ok = inside & letter[:m] if n == 1 else inside.copy()
+            ok[: max(0, len(before) - n + 1)] = False
             at = np.flatnonzero(ok)
             bucket = (mix(h[at] + np.uint64(n)) % np.uint64(buckets)).astype(np.int32)
             out.append((bucket, np.searchsorted(at, starts)))
     seen = sum_rows(letter.astype(np.int64), starts) > 0
-    return out, seen
-
-
-def _pieces(texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-    """Texts cut into parts of at most LONG characters, and each part's row."""
-    parts = [(t[lo: lo + LONG], i) for i, t in enumerate(t or "" for t in texts)
-             for lo in range(0, max(len(t), 1), LONG)]
-    return [p for p, _ in parts], np.array([i for _, i in parts])
+    return out, seen, x[len(x) - min(len(x), max(ORDERS) - 1):]
 
 
 def _counts(batches, langs: list[str], buckets: int):
@@ -82,13 +97,15 @@ def _counts(batches, langs: list[str], buckets: int):
     row = {lang: i for i, lang in enumerate(langs)}
     for b in slices(batches, "text", SLICE):
         texts = b.column("text").to_pylist()
-        parts, owner = _pieces(texts)
-        lang = np.array([row[x] for x in b.column("lang").to_pylist()])[owner]
-        weight = np.array([min(1.0, FULL_WEIGHT / max(1, len(t))) for t in texts])[owner]
-        for bucket, at in _grams(parts, buckets)[0]:
-            which = np.repeat(lang, np.diff(at)).astype(np.int64)
-            total += np.bincount(which * buckets + bucket, np.repeat(weight, np.diff(at)),
-                                 total.size).reshape(total.shape)
+        lang = np.array([row[x] for x in b.column("lang").to_pylist()])
+        weight = np.array([min(1.0, FULL_WEIGHT / max(1, len(t))) for t in texts])
+        last = NOTHING
+        for parts, rows, begins in _parts(texts):
+            grams, _, last = _grams(parts, buckets, NOTHING if begins else last)
+            for bucket, at in grams:
+                which = np.repeat(lang[rows], np.diff(at)).astype(np.int64)
+                total += np.bincount(which * buckets + bucket, np.repeat(weight[rows], np.diff(at)),
+                                     total.size).reshape(total.shape)
     lang, bucket = np.nonzero(total)
     if len(lang):
         yield pa.RecordBatch.from_arrays(
@@ -106,7 +123,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, buckets: int = BUCKETS) -
     by_lang = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect()
     langs, sizes = [r["lang"] for r in by_lang], np.array([r["n"] for r in by_lang], np.float64)
     if not langs:
-        return Model([], np.zeros(0), np.zeros((buckets, 0), np.float32))
+        return Model([], np.zeros(0), np.zeros((buckets, 0)))
     sample = usable if sizes.sum() <= train_docs else usable.filter(
         share < int(train_docs / sizes.sum() * (1 << 20)) + 1)
     rows = (map_arrow(sample.select("text", "lang").repartition(TRAIN_PARTS),
@@ -117,7 +134,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, buckets: int = BUCKETS) -
     counts[rows["bucket"], rows["lang"]] = rows["n"]
     counts += 0.5
     return Model(langs, np.log(sizes / sizes.sum()),
-                 np.log(counts / counts.sum(axis=0)).astype(np.float32))
+                 np.log(counts / counts.sum(axis=0)))
 
 
 def classify(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:
@@ -126,13 +143,13 @@ def classify(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarr
     n = len(texts)
     if not model.langs:
         return [UNKNOWN] * n, np.zeros(n)
-    parts, owner = _pieces(texts)
-    grams, seen = _grams(parts, model.log_prob.shape[0])
-    like = np.zeros((len(parts), len(model.langs)))
-    for bucket, at in grams:
-        like += sum_rows(model.log_prob[bucket], at)
-    by_row = np.searchsorted(owner, np.arange(n + 1))
-    like, seen = sum_rows(like, by_row) + model.log_prior, sum_rows(seen.astype(np.int64), by_row) > 0
+    like, seen = np.tile(model.log_prior, (n, 1)), np.zeros(n, bool)
+    last = NOTHING
+    for parts, rows, begins in _parts(texts):
+        grams, letters, last = _grams(parts, model.log_prob.shape[0], NOTHING if begins else last)
+        for bucket, at in grams:
+            like[rows] += sum_rows(model.log_prob[bucket], at)
+        seen[rows] |= letters
     best = like.argmax(axis=1)
     score = 1 / np.exp(like - like.max(axis=1, keepdims=True)).sum(axis=1)
     return ([model.langs[k] if ok else UNKNOWN for k, ok in zip(best, seen, strict=True)],
