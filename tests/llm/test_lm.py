@@ -9,6 +9,9 @@ from wardwatch.llm import lm
 from wardwatch.llm.common import table
 
 
+UNITS, GROUPS = 1024, 63
+
+
 def tokens(text):
     return [*(text or "").encode().lower().split(), None]
 
@@ -55,14 +58,15 @@ def test_awkward_rows_near_and_far_words(awkward, monkeypatch, known):
         assert abs(again.setdefault((r["doc_id"], r["n_tokens"]), r["score"]) - r["score"]) < 1e-4
 
 
-@pytest.mark.parametrize(("rounds", "share"), [(lm.ROUNDS, lm.SHARE), (1, 3)])
+@pytest.mark.parametrize(("rounds", "share"), [(None, None), (1, 3)])
 def test_rounds_train_on_every_document(awkward, monkeypatch, rounds, share):
-    monkeypatch.setattr(lm, "ENOUGH", 10, raising=False)        # as a large corpus
-    read, as_it_was = [], lm.map_arrow
+    monkeypatch.setattr(lm, "SHARD", 10_000)                    # as a large corpus
+    read, parts, as_it_was = [], [], lm.map_arrow
 
     def noted(df, fn, schema):
         if getattr(fn, "func", None) is lm._train:
             read.extend(bytes(r["text"]) for r in df.collect())
+            parts.append(df.rdd.getNumPartitions())
         return as_it_was(df, fn, schema)
 
     training = awkward.filter("doc_id is null or doc_id < 100")
@@ -70,6 +74,70 @@ def test_rounds_train_on_every_document(awkward, monkeypatch, rounds, share):
     monkeypatch.setattr(lm, "map_arrow", noted)
     lm.train(training, voc, rounds, share)
     assert sorted(read) == sorted((r["text"] or "").encode() for r in training.collect())
+    size = sum(len(t) + 1 for t in read)
+    assert len(parts) == (share or lm.rounds_of(size)) and size / 10_000 <= sum(parts) < size / 10_000 + len(parts)
+
+
+def test_model_and_rounds_grow_with_the_tokens():
+    sizes = [lm.classes_of(10 ** k) for k in range(14)]
+    assert sizes == sorted(sizes) and sizes[0] == lm.LEAST and sizes[-1] == lm.MOST and len(set(sizes)) > 4
+    assert [lm.rounds_of(lm.SHARD * n) for n in (0, 1, 4, 16, 4 ** 10)] == [2, 2, 3, 4, 12]
+
+
+@pytest.mark.parametrize("known", [1_000_000, 3])
+def test_score_word_by_word(awkward, monkeypatch, known):
+    """The score of every text by the model's definition, a word at a time: the soft-max
+    of the class, that of the unit in it, and a shared unit's division by counts."""
+    monkeypatch.setattr(lm, "KNOWN", known)
+    rows = [(r["doc_id"], (r["text"] or "").encode()) for r in awkward.select("doc_id", "text").collect()]
+    held = [zlib.crc32(("" if d is None else str(d)).encode()) % 5 == 1 for d, _ in rows]
+    kept = {}
+    made = lm.vocabulary
+    monkeypatch.setattr(lm, "vocabulary", lambda counts, texts: kept.setdefault("voc", made(counts, texts)))
+
+    def fixed(training, voc, rounds, share):
+        model, rng = lm.start(voc.share), np.random.default_rng(5)
+        for a in model.arrays():
+            a += rng.normal(0, 0.3, a.shape).astype(np.float32)
+        return kept.setdefault("model", model)
+
+    monkeypatch.setattr(lm, "train", fixed)
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], round(r["score"], 6)) for r in lm.score(awkward).collect())
+    voc, m = kept["voc"], kept["model"]
+    count = Counter(w for (_, t), h in zip(rows, held, strict=True) if not h for w in t.lower().split())
+    hashes = {w: int(lm.words([w])[0][0]) for _, t in rows for w in t.lower().split()}
+    own = {int(k): int(u) for k, u in zip(voc.key, voc.unit, strict=True)}
+    shared = {int(u): g for g, u in enumerate(voc.ending_unit)}
+    c = m.classes
+
+    def unit_of(w):
+        g = int(lm._group(np.array([w[-1] * 256 + (w[-2] if len(w) > 1 else 0)]), len(voc.ending_unit))[0])
+        return own.get(hashes[w], int(voc.ending_unit[g])), g
+
+    seen = {}
+
+    def log_p(u, context):
+        if (u, context) not in seen:
+            q = sum(m.context[x].astype(float) * m.weight[j] for j, x in enumerate(context))
+            a = m.group.astype(float) @ q + m.group_bias
+            k = u // c
+            b = m.unit[k * c: k * c + c].astype(float) @ q + m.unit_bias[k * c: k * c + c]
+            seen[u, context] = (a[k] - math.log(sum(math.exp(x) for x in a)) + b[u % c] - math.log(sum(math.exp(x) for x in b)))
+        return seen[u, context]
+
+    want = []
+    for d, t in rows:
+        words, total, context = t.lower().split(), 0.0, (voc.end_unit,) * lm.CONTEXT
+        for w in words:
+            u, g = unit_of(w)
+            total += log_p(u, context) / math.log(10)
+            if u in shared:
+                total += math.log10((count[w] + 0.5) / (voc.rest_count[g] + 0.5 * (voc.rest_words[g] + 1)))
+            context = (u, *context[:-1])
+        total += log_p(voc.end_unit, context) / math.log(10)
+        want.append((d is None, d or 0, len(words) + 1, total))
+    for a, b in zip(got, sorted(want), strict=True):
+        assert a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-5 * max(1, abs(b[3])) + 1e-3, (a, b)
 
 
 def test_clashing_columns_no_rows_and_no_training(clashing, empty, spark):
@@ -84,9 +152,9 @@ def small_vocabulary():
     texts = [b"the cat the dog", b"a cat", b"the the bird sings"] * 30
     key, ending, _ = lm.words(texts)
     own, first, n = np.unique(key, return_index=True, return_counts=True)
-    share = np.random.default_rng(0).random(lm.UNITS)
+    share = np.random.default_rng(0).random(UNITS)
     return lm.Vocabulary(len(key) + 90, len(own) + 1, 90, own, n, np.arange(1, len(own) + 1, dtype=np.int32), 0,
-                         np.arange(lm.UNITS - lm.ENDINGS, lm.UNITS), np.zeros(lm.ENDINGS), np.zeros(lm.ENDINGS),
+                         np.arange(UNITS - GROUPS, UNITS), np.zeros(GROUPS), np.zeros(GROUPS),
                          share / share.sum()), texts
 
 
@@ -97,15 +165,15 @@ def test_probabilities_are_normalised():
     for a in model.arrays():
         a += rng.normal(0, 0.5, a.shape).astype(np.float32)
     for _ in range(3):
-        context = np.tile(rng.integers(0, lm.UNITS, lm.CONTEXT), (lm.UNITS, 1))
-        assert abs(np.exp(lm.log_probabilities(model, np.arange(lm.UNITS), context)).sum() - 1) < 1e-4
+        context = np.tile(rng.integers(0, UNITS, lm.CONTEXT), (UNITS, 1))
+        assert abs(np.exp(lm.log_probabilities(model, np.arange(UNITS), context)).sum() - 1) < 1e-4
 
 
 def test_start_predicts_shares():
     voc, _ = small_vocabulary()
     zero = lm.start(voc.share)
     zero.context[:] = 0
-    got = lm.log_probabilities(zero, np.arange(lm.UNITS), np.zeros((lm.UNITS, lm.CONTEXT), np.int64))
+    got = lm.log_probabilities(zero, np.arange(UNITS), np.zeros((UNITS, lm.CONTEXT), np.int64))
     assert np.allclose(np.exp(got), voc.share, rtol=1e-3)
 
 

@@ -1,22 +1,24 @@
 """Language-model scoring with a log-bilinear model.
 
 Words are counted over all training documents.  The most frequent ones are units
-of their own; the others share a unit with those of a like ending.  A unit is
-predicted from the units before it: each has a vector, a position weighs its
+of their own; the others share a unit with those of a like ending.  The number of
+units grows with the tokens.  A unit is predicted from the units before it: each has a vector, a position weighs its
 components, and the sum q meets the vectors of the next unit's class and of the
 unit within its class (as many classes as units in one).  Both steps are soft-
 maxes over a few matrix products, so every unit's probability is normalised at
 the cost of a small multiple of their number's root.  A shared unit's words
 divide its probability by their smoothed counts.
 
-Training is noise-contrastive estimation in numpy: in each round every task goes
-through its part of a share of the training documents from the same start, and the
-results are averaged by the tokens seen, summed up on the executors.  The rounds
-together go through every training document, by the same rule at every size.
+Training is noise-contrastive estimation in numpy: in each round a share of the
+training documents is dealt out to shards of SHARD bytes, whatever the splits of the
+input; every shard is gone through from the same start, and the results are averaged
+by the tokens seen, summed up on the executors.  The rounds together go through every
+training document, and there is one more for every fourfold of the text.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -30,20 +32,29 @@ from pyspark.sql import functions as F
 from .common import collected, cut, fold, map_arrow, slices, sum_rows, text_bytes
 from .textops import mix, prefix_hashes, span_hashes
 
-CLASSES, PER_CLASS = 32, 32
-UNITS = CLASSES * PER_CLASS
-ENDINGS = 63                   # shared units, by the hash of a word's last two bytes
+LEAST, MOST = 16, 128          # classes, and units in each, at least and at most (6 MB of parameters a task)
 SIZE = 24                      # components of a vector
 CONTEXT = 3
 NOISE = 16
-ROUNDS = 2
-SHARE = 2                      # a round takes one of so many shares of the training documents
-BATCH = 2048                   # tokens of a training step
+SHARD = 16_000_000             # bytes of text that a task trains on in a round, about
+BATCH = 64                     # tokens of a training step for each class
 KNOWN = 1_000_000              # words whose counts every task holds, at most
 FLUSH = 2_000_000              # distinct words that a counting task holds
 SLAB = 32_768                  # tokens scored at once
 SLICE = 1 << 19
 AVERAGERS = 32
+BUCKETS = 4096                 # of documents, dealt out to the rounds
+
+
+def classes_of(tokens: int) -> int:
+    """Classes, and units in each, for so many training tokens: a multiple of eight
+    that grows as their fourth root, so units as their square root, within bounds."""
+    return int(np.clip(8 * round(tokens ** 0.25 / 16), LEAST, MOST))
+
+
+def rounds_of(size: int) -> int:
+    """Rounds for so many bytes of training text."""
+    return 2 + int(np.log2(max(1.0, size / SHARD)) / 2)
 
 
 # --- words ----------------------------------------------------------------------
@@ -66,17 +77,16 @@ def _parts(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray, bool,
 
 
 def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and ending of every word, and word offsets by text.  A-Z count as a-z;
-    words end at blanks and bytes 9 to 13."""
+    """Hash and ending (last two bytes as a number) of every word, and word offsets by
+    text.  A-Z count as a-z; words end at blanks and bytes 9 to 13."""
     raw = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     raw = raw + ((raw >= 65) & (raw <= 90)) * np.uint8(32)
     space = (raw == 32) | ((raw >= 9) & (raw <= 13))
     edge = np.flatnonzero(np.diff(space, prepend=True, append=True))
     starts, stops = edge[::2], edge[1::2]
     bounds = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
-    tail = raw[stops - 1].astype(np.uint64) if len(stops) else np.zeros(0, np.uint64)
-    two = np.where(stops - starts > 1, raw[np.maximum(stops - 2, 0)], 0).astype(np.uint64)
-    ending = (mix(tail * np.uint64(256) + two) % np.uint64(ENDINGS)).astype(np.int64)
+    tail = raw[stops - 1].astype(np.int64) if len(stops) else np.zeros(0, np.int64)
+    ending = tail * 256 + np.where(stops - starts > 1, raw[np.maximum(stops - 2, 0)], 0)
     return span_hashes(prefix_hashes(raw), starts, stops), ending, np.searchsorted(starts, bounds)
 
 
@@ -121,11 +131,20 @@ class Vocabulary:
     count: np.ndarray
     unit: np.ndarray           # their units
     end_unit: int
-    ending_unit: np.ndarray    # unit of each ending
-    rest_count: np.ndarray     # by ending: tokens and words that have no unit of
+    ending_unit: np.ndarray    # unit of each group of endings
+    rest_count: np.ndarray     # by group: tokens and words that have no unit of
     rest_words: np.ndarray     # their own
     share: np.ndarray          # probability of each unit
 
+    @property
+    def classes(self) -> int:
+        return math.isqrt(len(self.share))
+
+
+def _group(ending: np.ndarray, groups: int) -> np.ndarray:
+    """The group of each ending; each group has a shared unit."""
+    return (mix(ending.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
+
 
 def count_words(training: DataFrame) -> DataFrame:
     """(h, n, ending): every distinct word of all training texts."""
@@ -134,8 +153,8 @@ def count_words(training: DataFrame) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
-    """Collects totals and at most KNOWN words: those that occur at least 2**p
-    times, with the least p that leaves no more."""
+    """Collects totals (by ending, at most 65,536) and at most KNOWN words: those that
+    occur at least 2**p times, with the least p that leaves no more."""
     steps = (counts.groupBy(F.floor(F.log2("n")).cast("int").alias("p"))
              .agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).orderBy(F.desc("p")).collect())
     held, least = 0, 62
@@ -146,24 +165,27 @@ def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
         least = row["p"]
     top = collected(counts.filter(F.col("n") >= (1 << least)))
     by_ending = collected(counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")))
-    rest_count, rest_words = np.zeros(ENDINGS), np.zeros(ENDINGS)
-    rest_count[by_ending["ending"]], rest_words[by_ending["ending"]] = by_ending["n"], by_ending["words"]
+    n = int(sum(r["n"] for r in steps)) + texts
+    classes = classes_of(n)
+    units, groups = classes * classes, 2 * classes - 1
+    group = _group(by_ending["ending"], groups)
+    rest_count = np.bincount(group, by_ending["n"], groups).astype(float)
+    rest_words = np.bincount(group, by_ending["words"], groups).astype(float)
     key = top["h"].view(np.uint64)
     order = np.argsort(key)
-    key, count, ending = key[order], top["n"][order], top["ending"][order].astype(np.int64)
-    own = np.lexsort((key, -count))[: UNITS - 1 - ENDINGS]
+    key, count, ending = key[order], top["n"][order], _group(top["ending"][order], groups)
+    own = np.lexsort((key, -count))[: units - 1 - groups]
     np.subtract.at(rest_count, ending[own], count[own])
     np.subtract.at(rest_words, ending[own], 1)
     mass = np.concatenate([[texts + 0.5], count[own] + 0.5, rest_count + 0.5 * (rest_words + 1),
-                           np.zeros(UNITS - 1 - ENDINGS - len(own)) + 1e-3])
-    place = np.empty(UNITS, np.int64)                  # units in the order of their mass
-    place[np.argsort(-mass, kind="stable")] = np.arange(UNITS)
-    share = np.empty(UNITS)
+                           np.zeros(units - 1 - groups - len(own)) + 1e-3])
+    place = np.empty(units, np.int64)                  # units in the order of their mass
+    place[np.argsort(-mass, kind="stable")] = np.arange(units)
+    share = np.empty(units)
     share[place] = mass / mass.sum()
-    ending_unit = place[1 + len(own): 1 + len(own) + ENDINGS]
+    ending_unit = place[1 + len(own): 1 + len(own) + groups]
     unit = ending_unit[ending] if len(ending) else np.zeros(0, np.int64)
     unit[own] = place[1: 1 + len(own)]
-    n = int(sum(r["n"] for r in steps)) + texts
     return Vocabulary(n, int(sum(r["words"] for r in steps)) + (texts > 0), texts, key, count,
                       unit.astype(np.int32), int(place[0]), ending_unit, rest_count, rest_words, share)
 
@@ -208,21 +230,26 @@ class Model:
     def flat(self) -> np.ndarray:
         return np.concatenate([a.ravel() for a in self.arrays()])
 
+    @property
+    def classes(self) -> int:
+        return len(self.group_bias)
+
     @classmethod
-    def of(cls, flat: np.ndarray) -> Model:
-        shapes = [(UNITS, SIZE), (CONTEXT, SIZE), (CLASSES, SIZE), (CLASSES,), (UNITS, SIZE), (UNITS,)]
+    def of(cls, flat: np.ndarray, classes: int) -> Model:
+        units = classes * classes
+        shapes = [(units, SIZE), (CONTEXT, SIZE), (classes, SIZE), (classes,), (units, SIZE), (units,)]
         ends = np.cumsum([int(np.prod(s)) for s in shapes])
         return cls(*(p.reshape(s).astype(np.float32) for p, s in zip(np.split(flat, ends[:-1]), shapes, strict=True)))
 
 
 def start(share: np.ndarray, seed: int = 9) -> Model:
     """A model that predicts every unit by its share, whatever comes before."""
-    rng = np.random.default_rng(seed)
-    group = share.reshape(CLASSES, PER_CLASS).sum(axis=1)
+    rng, classes = np.random.default_rng(seed), math.isqrt(len(share))
+    group = share.reshape(classes, classes).sum(axis=1)
     return Model.of(np.concatenate([
-        rng.normal(0, 0.1, UNITS * SIZE), 1.0 / (1 + np.repeat(np.arange(CONTEXT), SIZE)),
-        rng.normal(0, 0.1, CLASSES * SIZE), np.log(group),
-        rng.normal(0, 0.1, UNITS * SIZE), np.log(share) - np.log(np.repeat(group, PER_CLASS))]))
+        rng.normal(0, 0.1, len(share) * SIZE), 1.0 / (1 + np.repeat(np.arange(CONTEXT), SIZE)),
+        rng.normal(0, 0.1, classes * SIZE), np.log(group),
+        rng.normal(0, 0.1, len(share) * SIZE), np.log(share) - np.log(np.repeat(group, classes))]), classes)
 
 
 def _hidden(m: Model, context: np.ndarray) -> np.ndarray:
@@ -243,7 +270,7 @@ def _scatter(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
 class Trainer:
@@ -252,8 +279,9 @@ class Trainer:
 
     def __init__(self, model: Model, share: np.ndarray, seed: int, rate: float = 0.3):
         self.m, self.rate, self.rng, self.tokens = model, rate, np.random.default_rng(seed), 0
-        self.group_share = share.reshape(CLASSES, PER_CLASS).sum(axis=1)
-        self.unit_share = share.reshape(CLASSES, PER_CLASS) / self.group_share[:, None]
+        self.classes, self.batch = model.classes, BATCH * model.classes
+        self.group_share = share.reshape(self.classes, self.classes).sum(axis=1)
+        self.unit_share = share.reshape(self.classes, self.classes) / self.group_share[:, None]
         self.group_ends = np.cumsum(self.group_share)
         self.unit_ends = np.cumsum(self.unit_share, axis=1)
         self.log_group = np.log(NOISE * self.group_share).astype(np.float32)
@@ -271,17 +299,17 @@ class Trainer:
                 np.concatenate([pos[:, None] * q, neg.T @ q]), np.concatenate([pos, neg.sum(axis=0)]))
 
     def step(self, target: np.ndarray, context: np.ndarray) -> None:
-        m, n = self.m, len(target)
-        group = target // PER_CLASS
+        m, n, classes = self.m, len(target), self.classes
+        group = target // classes
         order = np.argsort(group, kind="stable")               # classes one after another
         target, context, group = target[order], context[order], group[order]
-        ends = np.searchsorted(group, np.arange(CLASSES + 1))
+        ends = np.searchsorted(group, np.arange(classes + 1))
         q = _hidden(m, context)
-        noise = np.minimum(np.searchsorted(self.group_ends, self.rng.random(NOISE)), CLASSES - 1)
+        noise = np.minimum(np.searchsorted(self.group_ends, self.rng.random(NOISE)), classes - 1)
         to_q, rows, values, ones = self._contrast(q, group, noise, m.group, m.group_bias, self.log_group)
-        grads = [None, None, _scatter(rows, values, CLASSES), np.bincount(rows, ones, CLASSES)]
-        draws = (self.rng.random((CLASSES, NOISE, 1)) > self.unit_ends[:, None, :]).sum(axis=2)
-        draws = np.minimum(draws, PER_CLASS - 1) + np.arange(CLASSES)[:, None] * PER_CLASS
+        grads = [None, None, _scatter(rows, values, classes), np.bincount(rows, ones, classes)]
+        draws = (self.rng.random((classes, NOISE, 1)) > self.unit_ends[:, None, :]).sum(axis=2)
+        draws = np.minimum(draws, classes - 1) + np.arange(classes)[:, None] * classes
         found = []
         for c in np.flatnonzero(np.diff(ends)):
             mine = slice(ends[c], ends[c + 1])
@@ -289,9 +317,9 @@ class Trainer:
             to_q[mine] += more
             found.append(rest)
         rows, values, ones = (np.concatenate(x) for x in zip(*found, strict=True))
-        grads += [_scatter(rows, values, UNITS), np.bincount(rows, ones, UNITS)]
+        grads += [_scatter(rows, values, classes * classes), np.bincount(rows, ones, classes * classes)]
         grads[1] = np.stack([np.einsum("nd,nd->d", to_q, m.context[context[:, j]]) for j in range(CONTEXT)])
-        grads[0] = _scatter(context.T.ravel(), np.concatenate([to_q * w for w in m.weight]), UNITS)
+        grads[0] = _scatter(context.T.ravel(), np.concatenate([to_q * w for w in m.weight]), classes * classes)
         for a, g, s in zip(m.arrays(), grads, self.seen, strict=True):
             g = (g * (64 / n)).astype(np.float32)
             s += g * g
@@ -302,7 +330,7 @@ class Trainer:
 def _train(batches, voc, flat, seed: int) -> Iterator[pa.RecordBatch]:
     """One task's steps from the shared start: its parameters times its tokens."""
     v = voc.value
-    trainer = Trainer(Model.of(flat.value.copy()), v.share, seed)
+    trainer = Trainer(Model.of(flat.value.copy(), v.classes), v.share, seed)
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
     def steps(rest: bool) -> None:
@@ -311,9 +339,9 @@ def _train(batches, voc, flat, seed: int) -> Iterator[pa.RecordBatch]:
             return
         target = np.concatenate([t for t, _ in waiting])
         context = np.concatenate([c for _, c in waiting])
-        last = len(target) if rest else len(target) // BATCH * BATCH
-        for lo in range(0, last, BATCH):
-            trainer.step(target[lo: lo + BATCH], context[lo: lo + BATCH])
+        last = len(target) if rest else len(target) // trainer.batch * trainer.batch
+        for lo in range(0, last, trainer.batch):
+            trainer.step(target[lo: lo + trainer.batch], context[lo: lo + trainer.batch])
         waiting = [(target[last:], context[last:])]
 
     for b in slices(batches, "text", SLICE):
@@ -341,6 +369,7 @@ def _carry(before: np.ndarray, units: np.ndarray) -> np.ndarray:
 
 def _units(v: Vocabulary, texts: list[bytes], before: np.ndarray, closes: bool):
     key, ending, offsets = words(texts)
+    ending = _group(ending, len(v.ending_unit))
     at, known = _lookup(v, key)
     unit = v.ending_unit[ending]
     if len(v.key):
@@ -362,23 +391,28 @@ def _summed(batches) -> Iterator[pa.RecordBatch]:
                                          names=["tokens", "params"])
 
 
-def train(training: DataFrame, voc: Vocabulary, rounds: int = ROUNDS, share: int = SHARE) -> Model:
+def train(training: DataFrame, voc: Vocabulary, rounds: int | None = None, share: int | None = None) -> Model:
     """Rounds of parallel training; round i takes the documents whose hash modulo
-    ``share`` is i modulo share.  There are as many rounds as shares at least, so
-    that every training document is gone through."""
+    ``share`` is i modulo share, dealt out evenly to shards.  There are as many rounds
+    as shares at least, so that every training document is gone through.  By default
+    the size of the text gives the rounds, each with its own share."""
     sc = training.sparkSession.sparkContext
+    bucket = F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(BUCKETS))
+    size = collected(training.groupBy(bucket.alias("b")).agg(
+        F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("bytes")))    # at most BUCKETS rows
+    rounds = rounds or rounds_of(int(size["bytes"].sum()))
+    share = share or rounds
     rounds = max(rounds, share)
     shared, model = sc.broadcast(voc), start(voc.share)
     for i in range(rounds):
         flat = sc.broadcast(model.flat())
-        part = training.filter(F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(share)) == i % share)
-        own = map_arrow(part.select(text_bytes().alias("text")), partial(_train, voc=shared, flat=flat, seed=i),
+        part = training.filter(bucket % share == i % share).select(text_bytes().alias("text"))
+        shards = math.ceil(size["bytes"][size["b"] % share == i % share].sum() / SHARD)
+        own = map_arrow(part.repartition(max(1, shards)), partial(_train, voc=shared, flat=flat, seed=i),
                         "task int, tokens long, params binary")
-        sums = map_arrow(own.repartition(AVERAGERS, "task").select("tokens", "params"), _summed,
-                         "tokens long, params binary").collect()
-        if sums:
-            total = sum(np.frombuffer(r["params"], np.float64) for r in sums)
-            model = Model.of(total / sum(r["tokens"] for r in sums))
+        sums = map_arrow(own.repartition(AVERAGERS, "task").select("tokens", "params"), _summed, "tokens long, params binary")
+        for total in map_arrow(sums.repartition(1), _summed, "tokens long, params binary").collect():   # one row, or none
+            model = Model.of(np.frombuffer(total["params"], np.float64) / total["tokens"], voc.classes)
     return model
 
 
@@ -390,19 +424,19 @@ def _log_softmax_at(scores: np.ndarray, column: np.ndarray) -> np.ndarray:
 def log_probabilities(m: Model, target: np.ndarray, context: np.ndarray) -> np.ndarray:
     """Natural log-probability of each target unit after its context, normalised
     over all units."""
-    out = np.empty(len(target))
+    out, classes = np.empty(len(target)), m.classes
     for lo in range(0, len(target), SLAB):
         t = target[lo: lo + SLAB]
         q = _hidden(m, context[lo: lo + SLAB])
-        group = t // PER_CLASS
+        group = t // classes
         found = _log_softmax_at(q @ m.group.T + m.group_bias, group)
         order = np.argsort(group, kind="stable")
-        ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        ends = np.searchsorted(group[order], np.arange(classes + 1))
+        for c in range(classes):
             mine = order[ends[c]: ends[c + 1]]
             if len(mine):
-                own = slice(c * PER_CLASS, (c + 1) * PER_CLASS)
-                found[mine] += _log_softmax_at(q[mine] @ m.unit[own].T + m.unit_bias[own], t[mine] % PER_CLASS)
+                own = slice(c * classes, (c + 1) * classes)
+                found[mine] += _log_softmax_at(q[mine] @ m.unit[own].T + m.unit_bias[own], t[mine] % classes)
         out[lo: lo + SLAB] = found
     return out
 
@@ -413,7 +447,8 @@ def log_probabilities(m: Model, target: np.ndarray, context: np.ndarray) -> np.n
 def _score(batches, voc, flat) -> Iterator[pa.RecordBatch]:
     """Per text: what its known words, ends and units score, and a list of the
     words whose counts are elsewhere."""
-    v, m = voc.value, Model.of(flat.value)
+    v = voc.value
+    m = Model.of(flat.value, v.classes)
     whole = np.log10(v.tokens + 0.5 * (v.distinct + 1))
     end_base = np.log10(v.texts + 0.5) - whole
     rest = np.log10(v.rest_count + 0.5 * (v.rest_words + 1))
@@ -459,7 +494,7 @@ def _score(batches, voc, flat) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "far"])
 
 
-def score(docs: DataFrame, rounds: int = ROUNDS, share: int = SHARE) -> DataFrame:
+def score(docs: DataFrame, rounds: int | None = None, share: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row
     for each row of ``docs``; scores are log10 probabilities of the whole text.
 
@@ -487,7 +522,7 @@ def score(docs: DataFrame, rounds: int = ROUNDS, share: int = SHARE) -> DataFram
     whole = float(np.log10(voc.tokens + 0.5 * (voc.distinct + 1)))
     few = counts.select("h", F.col("n").alias("c"))
     far = (near.select("row", F.explode("far").alias("w")).select("row", "w.*")
-           .join(few, "h", "left").join(F.broadcast(rest), "ending")           # ENDINGS rows
+           .join(few, "h", "left").join(F.broadcast(rest), "ending")           # 2 * MOST - 1 rows at most
            .withColumn("own", F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5)))
            .groupBy("row").agg(
                F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).cast("long").alias("far_known"),
