@@ -40,7 +40,7 @@ SHARD = 16_000_000             # bytes of text that a task trains on in a round,
 BATCH = 64                     # tokens of a training step for each class
 KNOWN = 1_000_000              # words whose counts every task holds, at most
 FLUSH = 2_000_000              # distinct words that a counting task holds
-SLAB = 32_768                  # tokens scored at once
+SLAB = 16_384                  # tokens scored at once
 SLICE = 1 << 19
 AVERAGERS = 32
 BUCKETS = 4096                 # of documents, dealt out to the rounds
@@ -417,8 +417,10 @@ def train(training: DataFrame, voc: Vocabulary, rounds: int | None = None, share
 
 
 def _log_softmax_at(scores: np.ndarray, column: np.ndarray) -> np.ndarray:
-    top = scores.max(axis=1)
-    return scores[np.arange(len(scores)), column] - top - np.log(np.exp(scores - top[:, None]).sum(axis=1))
+    """Overwrites ``scores``."""
+    mine, top = scores[np.arange(len(scores)), column], scores.max(axis=1)
+    scores -= top[:, None]
+    return mine - top - np.log(np.exp(scores, out=scores).sum(axis=1))
 
 
 def log_probabilities(m: Model, target: np.ndarray, context: np.ndarray) -> np.ndarray:
@@ -426,18 +428,15 @@ def log_probabilities(m: Model, target: np.ndarray, context: np.ndarray) -> np.n
     over all units."""
     out, classes = np.empty(len(target)), m.classes
     for lo in range(0, len(target), SLAB):
-        t = target[lo: lo + SLAB]
-        q = _hidden(m, context[lo: lo + SLAB])
-        group = t // classes
+        order = lo + np.argsort(target[lo: lo + SLAB], kind="stable")      # classes one after another
+        group, column = np.divmod(target[order], classes)
+        q = _hidden(m, context[order])
         found = _log_softmax_at(q @ m.group.T + m.group_bias, group)
-        order = np.argsort(group, kind="stable")
-        ends = np.searchsorted(group[order], np.arange(classes + 1))
-        for c in range(classes):
-            mine = order[ends[c]: ends[c + 1]]
-            if len(mine):
-                own = slice(c * classes, (c + 1) * classes)
-                found[mine] += _log_softmax_at(q[mine] @ m.unit[own].T + m.unit_bias[own], t[mine] % classes)
-        out[lo: lo + SLAB] = found
+        ends = np.searchsorted(group, np.arange(classes + 1))
+        for c in np.flatnonzero(np.diff(ends)):
+            mine, own = slice(ends[c], ends[c + 1]), slice(c * classes, (c + 1) * classes)
+            found[mine] += _log_softmax_at(q[mine] @ m.unit[own].T + m.unit_bias[own], column[mine])
+        out[order] = found
     return out
 
 
