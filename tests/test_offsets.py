@@ -103,3 +103,48 @@ def test_a_batch_without_its_marker_is_not_read(spark, tmp_path):
     os.remove(f"{log}/batch=000000000001/_SUCCESS")
     sink, _ = run(spark, log, tmp_path)
     assert found(spark, sink) == expected(0, 30)
+
+
+def test_a_micro_batch_reads_short_runs_in_few_tasks(spark, tmp_path, monkeypatch):
+    log = str(tmp_path / "log")
+    offsets.append(messages(spark, 0, 300), log, rows_per_file=10)
+    offsets.append(messages(spark, 300, 500), log, rows_per_file=7)
+    reader = offsets.LogReader({"path": log, "maxOffsetsPerTrigger": "230"})
+    at = [reader.initialOffset()] + [dict(reader.latestOffset()) for _ in range(3)]
+
+    def read(lo, hi):
+        tasks = [[(t["partition"][i].as_py(), t["offset"][i].as_py()) for t in reader.read(task) for i in range(t.num_rows)]
+                 for task in reader.partitions(lo, hi)]
+        return [len(t) for t in tasks], [r for t in tasks for r in t]
+
+    sizes, rows = zip(*(read(lo, hi) for lo, hi in zip(at, at[1:])), strict=True)
+    assert [len(s) for s in sizes] == [1, 1, 1] and [sum(s) for s in sizes] == [230, 230, 40]
+    assert sorted(r for some in rows for r in some) == expected(0, 500)
+    assert reader.partitions(at[-1], at[-1]) == []
+    monkeypatch.setattr(offsets, "ROWS_PER_TASK", 60)       # a large batch still goes to many tasks
+    sizes, rows = read(at[0], at[-1])
+    assert max(sizes) <= 80 and len(sizes) >= 8 and sorted(rows) == expected(0, 500)
+
+
+def test_planning_a_micro_batch_does_not_go_through_the_whole_log(spark, tmp_path, monkeypatch):
+    log = str(tmp_path / "log")
+    offsets.append(messages(spark, 0, 300), log, rows_per_file=10)
+    reader = offsets.LogReader({"path": log, "maxOffsetsPerTrigger": "30"})
+    before, looked, look = reader.latestOffset(), [], offsets.Log.run
+    monkeypatch.setattr(offsets.Log, "run", lambda self, path, p: looked.append(path) or look(self, path, p))
+    reader.partitions(before, reader.latestOffset())
+    assert len(looked) <= 6                                 # not all 30 files, again and again
+
+
+def test_runs_by_bisection_are_those_of_a_plain_search():
+    runs = [offsets.Run(f"{i}", "0", first, last, rows) for i, (first, last, rows) in enumerate(
+        [(0, 9, 5), (9, 9, 3), (9, 40, 8), (12, 20, 4), (0, -1, 0), (41, 41, 1), (60, 90, 9)])]
+    log = offsets.Log("/nowhere")
+    log._batches = {"batch=0": {"0": ["3", "0", "4", "2"]}, "batch=1": {"0": ["6", "1", "5"], "1": []}}
+    log._runs = {r.path: r for r in runs}
+    for at in range(-1, 95):
+        for end in (None, *range(0, 95, 3), 41, 42):
+            plain = [r for files in log._batches.values() for r in sorted((log._runs[f] for f in files["0"]), key=lambda r: r.first)
+                     if r.last >= at and r.rows and (end is None or r.first < end)]
+            assert list(log.runs("0", at, end)) == plain
+    assert list(log.runs("1", 0)) == [] and runs[2].between(9, 41) == 8 and runs[2].between(25, 100) == 4

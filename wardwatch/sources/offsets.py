@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import json
 import sys
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate, islice
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -31,6 +33,7 @@ from ..functions.schema import MESSAGE_SCHEMA
 FORMAT = "message_log"
 MAX_OFFSETS = 20_000           # of a micro-batch, as in the monitored system
 ROWS_PER_FILE = 5_000
+ROWS_PER_TASK = 10_000         # a task of a micro-batch reads about so many messages, of several runs if they are short
 _ARROW = pa.schema([("key", pa.binary()), ("value", pa.binary()), ("topic", pa.string()), ("partition", pa.int32()),
                     ("offset", pa.int64()), ("timestamp", pa.timestamp("us", tz="UTC"))])
 
@@ -44,6 +47,10 @@ class Run:
     last: int
     rows: int
 
+    def between(self, lo: int, hi: int) -> int:
+        """About how many of its messages have offsets from ``lo`` up to, not including, ``hi``."""
+        return self.rows * (min(hi, self.last + 1) - max(lo, self.first)) // (self.last + 1 - self.first)
+
 
 class Log:
     """What lies in a log's folder; footers are read when they are needed, once."""
@@ -52,6 +59,7 @@ class Log:
         self.fs, self.root = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
         self._batches: dict[str, dict[str, list[str]]] = {}
         self._runs: dict[str, Run] = {}
+        self._ordered: dict[tuple[str, str], tuple[list[Run], list[int], list[int]]] = {}
 
     def _list(self, path: str) -> list[fs.FileInfo]:
         return sorted(self.fs.get_file_info(fs.FileSelector(path, allow_not_found=True)), key=lambda i: i.path)
@@ -63,6 +71,7 @@ class Log:
             if info.base_name.startswith("batch=") and info.type == fs.FileType.Directory:
                 there[info.base_name] = self._batches.get(info.base_name) or self._complete(info.path)
         self._batches = {name: files for name, files in there.items() if files is not None}
+        self._ordered = {at: runs for at, runs in self._ordered.items() if at[0] in self._batches}
         return self._batches
 
     def _complete(self, path: str) -> dict[str, list[str]] | None:
@@ -84,11 +93,16 @@ class Log:
     def partitions(self) -> list[str]:
         return sorted({p for files in self.batches().values() for p in files} | set(self.starts()), key=int)
 
-    def runs(self, partition: str, position: int) -> Iterator[Run]:
-        """The partition's runs that reach ``position`` or beyond, in order of offsets."""
-        for files in list(self._batches.values()):
-            some = sorted((self.run(f, partition) for f in files.get(partition, [])), key=lambda r: r.first)
-            yield from (r for r in some if r.last >= position and r.rows)
+    def runs(self, partition: str, position: int, end: int | None = None) -> Iterator[Run]:
+        """The partition's runs that reach ``position`` or beyond and begin before ``end``, in
+        order of offsets.  They are found by bisection: a micro-batch's work does not grow with the log."""
+        for name, files in list(self._batches.items()):
+            if (name, partition) not in self._ordered:
+                some = sorted((self.run(f, partition) for f in files.get(partition, [])), key=lambda r: r.first)
+                self._ordered[name, partition] = some, [r.first for r in some], list(accumulate((r.last for r in some), max))
+            some, firsts, reach = self._ordered[name, partition]
+            last = len(some) if end is None else bisect_left(firsts, end)
+            yield from (r for r in islice(some, bisect_left(reach, position), last) if r.last >= position and r.rows)
 
     def starts(self) -> dict[str, int]:
         """The first offset that is kept of partitions whose head was removed."""
@@ -202,24 +216,30 @@ class LogReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         self.position = self.position or dict(end)
         self.log.batches()
-        starts, out = self.log.starts(), []
+        starts, out, size = self.log.starts(), [], 0
         for p, hi in end.items():
             lo = start.get(p, starts.get(p, 0))
             if lo < starts.get(p, 0) and lo < hi:
                 if self.strict:
                     raise DataLoss(f"partition {p}: offsets from {lo} on are due, those before {starts[p]} were removed")
                 lo = starts[p]
-            out += [InputPartition((r.path, lo, hi)) for r in self.log.runs(p, lo) if r.first < hi]
-        return out
+            for run in self.log.runs(p, lo, hi) if lo < hi else ():
+                rows = run.between(lo, hi)
+                if not out or size + rows > ROWS_PER_TASK:
+                    out.append([])
+                    size = 0
+                out[-1].append((run.path, lo, hi))
+                size += rows
+        return [InputPartition(pieces) for pieces in out]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        path, lo, hi = partition.value
-        with self.log.fs.open_input_file(path) as f:
-            t = pq.ParquetFile(f).read()
-        t = t.rename_columns(["partition" if c == "own" else c for c in t.column_names]).select(_ARROW.names)
-        at = t.column("offset")
-        t = t.filter(pc.and_(pc.greater_equal(at, lo), pc.less(at, hi))).cast(_ARROW)
-        yield from t.to_batches()
+        for path, lo, hi in partition.value:
+            with self.log.fs.open_input_file(path) as f:
+                t = pq.ParquetFile(f).read()
+            t = t.rename_columns(["partition" if c == "own" else c for c in t.column_names]).select(_ARROW.names)
+            at = t.column("offset")
+            t = t.filter(pc.and_(pc.greater_equal(at, lo), pc.less(at, hi))).cast(_ARROW)
+            yield from t.to_batches()
 
 
 class LogSource(DataSource):
